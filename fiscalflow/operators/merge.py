@@ -20,6 +20,9 @@ from fiscalflow.functions.names import group_from_name, ignore_by_name, safe_nam
 from fiscalflow.operators.extract import apply_filters, apply_where, normalize_columns
 from fiscalflow.operators.union import relaxed_union
 
+from pyspark.sql.types import StringType  # noqa: E402
+
+_STRING = StringType()
 ORIGIN = "arquivo_origem"
 GROUP = "grupo_mescla"
 
@@ -55,10 +58,19 @@ def select_for_merge(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
 class MergeResult:
     """Outputs of :func:`merge_by_group` (all DataFrames are lazy)."""
 
-    outputs: dict[str, str] = field(default_factory=dict)  # group -> written path
+    outputs: dict[str, str] = field(default_factory=dict)  # group -> folder holding its rows
+    tables: list[str] = field(default_factory=list)  # one written table per schema class of groups
     files: DataFrame | None = None  # (arquivo_origem, grupo_mescla, ignorado)
     unified: DataFrame | None = None
 
+    def group(self, spark: SparkSession, name: str) -> DataFrame:
+        """The merged rows of one group, with its lineage columns."""
+        path = self.outputs[name]
+        base = path.rsplit("/", 1)[0]
+        schema = spark.read.parquet(base).schema
+        schema = type(schema)([f if f.name != GROUP else type(f)(GROUP, _STRING, True) for f in schema.fields])
+        return spark.read.schema(schema).option("basePath", base).parquet(path)
+
 
 def merge_by_group(
     spark: SparkSession,
@@ -70,14 +82,19 @@ def merge_by_group(
     where: str | None = None,
     merge_single: bool = True,
 ) -> MergeResult:
-    """Merge tagged sources into one Parquet output per group.
+    """Merge tagged sources into one output per group.
 
     ``sources`` are scans already carrying ``arquivo_origem`` and
     ``grupo_mescla`` (see :func:`with_lineage`), one per schema class.
     Ignored names (data dictionaries) are left out; filters, predicate and
-    columns apply before the union so they reach each scan.  The only data
-    brought to the driver is the distinct (source, group) list, whose size is
-    the number of files.
+    columns apply before the union so they reach each scan.
+
+    Groups fed by the same set of sources share one schema, so they are
+    written together by one job, ``partitionBy(grupo_mescla)``: one folder
+    per group, as many jobs as distinct source sets (not one per group).
+    The only data brought to the driver is the distinct (source, group)
+    list, whose size is the number of files.  ``merge_single=False`` keeps
+    the v1.0 rule: a group made of a single file is not rewritten.
     """
     if not sources:
         raise ValueError("no sources to merge")
@@ -88,28 +105,47 @@ def merge_by_group(
 
     file_lists = [s.select(ORIGIN, GROUP).distinct() for s in sources]
     files = relaxed_union(file_lists).withColumn("ignorado", ignore_by_name(F.col(ORIGIN)))
-    groups_per_source = [
-        sorted({r[GROUP] for r in fl.filter(~ignore_by_name(F.col(ORIGIN))).select(GROUP).distinct().collect()})
-        for fl in file_lists
-    ]
-    all_groups = sorted({g for gs in groups_per_source for g in gs})
-    result = MergeResult(files=files)
-    if not all_groups:
+    members: dict[str, set[int]] = {}
+    origins: dict[str, set[str]] = {}
+    for idx, fl in enumerate(file_lists):
+        # one row per file: metadata-sized
+        for r in fl.filter(~ignore_by_name(F.col(ORIGIN))).collect():
+            members.setdefault(r[GROUP], set()).add(idx)
+            origins.setdefault(r[GROUP], set()).add(r[ORIGIN])
+    n_files = {g: len(o) for g, o in origins.items()}
+    if not members:
         raise ValueError("no file could be merged: every source is empty or ignored")
 
-    written = []
-    taken_names: dict[str, str] = {}
-    for g in all_groups:
-        members = [p.filter(F.col(GROUP) == g) for p, gs in zip(prepared, groups_per_source) if g in gs]
-        safe = safe_name_py(g)
-        if safe in taken_names:
-            raise ValueError(f"groups {taken_names[safe]!r} and {g!r} map to one output name {safe!r}")
-        taken_names[safe] = g
-        path = f"{out_dir.rstrip('/')}/mescla_{safe}"
-        if len(members) == 1 and not merge_single:
+    buckets: dict[frozenset[int], list[str]] = {}
+    for g in sorted(members):
+        if not merge_single and n_files.get(g, 0) <= 1:
             continue
-        relaxed_union(members).write.mode("overwrite").parquet(path)
-        result.outputs[g] = path
-        written.append(spark.read.parquet(path))
+        buckets.setdefault(frozenset(members[g]), []).append(g)
+
+    result = MergeResult(files=files)
+    written = []
+    root = out_dir.rstrip("/")
+    for i, (srcs, groups) in enumerate(sorted(buckets.items(), key=lambda kv: kv[1][0])):
+        parts = [prepared[j].filter(F.col(GROUP).isin(*groups)) for j in sorted(srcs)]
+        path = f"{root}/mescla_{i}"
+        merged = relaxed_union(parts)
+        merged.write.mode("overwrite").partitionBy(GROUP).parquet(path)
+        result.tables.append(path)
+        for g in groups:
+            result.outputs[g] = f"{path}/{GROUP}={_escape(g)}"
+        # Read back with the written schema: partition values stay text
+        # (no type inference turning a group such as ``043`` into 43).
+        written.append(spark.read.schema(merged.schema).parquet(path))
     result.unified = relaxed_union(written) if written else None
     return result
+
+
+def _escape(value: str) -> str:
+    """Hive partition-path escaping of a value (as Spark writes it)."""
+    special = set('"#%\'*/:=?\\\x7f{[]^') | {chr(c) for c in range(0x20)}
+    return "".join(f"%{ord(ch):02X}" if ch in special else ch for ch in value)
+
+
+def output_name(group: str) -> str:
+    """``mescla_<SAFE_GROUP>``: the reference's output name for a group."""
+    return f"mescla_{safe_name_py(group)}"

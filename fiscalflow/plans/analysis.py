@@ -18,6 +18,7 @@ equi-join of the two monthly sides, then per-key scaling.  No collect.
 
 from __future__ import annotations
 
+import calendar
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from fiscalflow.functions.dates import date_text, month_end, parse_date_lenient, to_yyyymm, yyyymm_to_month_end
 from fiscalflow.functions.numbers import decimal_comma_to_double
 from fiscalflow.operators.extract import drop_nulls, extract
+from fiscalflow.operators.filters import date_after, date_before
 from fiscalflow.session import table
 
 # Fixed analysis window of the reference, moved onto the test data's years:
@@ -35,9 +37,14 @@ RANGE_BEFORE = dt.date(2001, 2, 1)
 PAY_OFFSET_DAYS = 120
 
 
-def fines(spark: SparkSession, sf_dir: str, with_nation: bool = True) -> DataFrame:
-    """Fines-shaped rows (text dates, money, operator) derived from ``orders``."""
+def fines(spark: SparkSession, sf_dir: str, with_nation: bool = True, raw_bound: dt.date | None = None) -> DataFrame:
+    """Fines-shaped rows (text dates, money, operator) derived from ``orders``.
+
+    ``raw_bound`` keeps only orders dated after that day, as a pushed-down
+    predicate on the raw column."""
     o = table(spark, sf_dir, "orders")
+    if raw_bound is not None:
+        o = o.filter(date_after(o, "o_orderdate", raw_bound))
     decided = F.to_date("o_orderdate")
     paid = F.date_add(decided, (F.col("o_orderkey") % PAY_OFFSET_DAYS).cast("int"))
     out = o.select(
@@ -59,9 +66,9 @@ def fines(spark: SparkSession, sf_dir: str, with_nation: bool = True) -> DataFra
     return out.join(cust, "REGISTRO_OPERADORA", "inner")
 
 
-def parsed_fines(spark: SparkSession, sf_dir: str, with_nation: bool = True) -> DataFrame:
+def parsed_fines(spark: SparkSession, sf_dir: str, with_nation: bool = True, raw_bound: dt.date | None = None) -> DataFrame:
     """Fines with both text dates parsed leniently (null when absent)."""
-    return fines(spark, sf_dir, with_nation).withColumns(
+    return fines(spark, sf_dir, with_nation, raw_bound).withColumns(
         {
             "DT_PUBLICACAO_1A_FINAL": parse_date_lenient("DT_PUBLICACAO_1A_FINAL"),
             "DT_PAGTO_A_VISTA_ANS": parse_date_lenient("DT_PAGTO_A_VISTA_ANS"),
@@ -71,20 +78,37 @@ def parsed_fines(spark: SparkSession, sf_dir: str, with_nation: bool = True) ->
 
 def monthly_fines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paid value per nation and decision month (month-end date), over
-    decisions after the start of the window with both dates present."""
+    decisions after the start of the window with both dates present.
+
+    The decision-date bound is also stated on the raw ``o_orderdate`` column
+    (same rows: the text is that date) so the Parquet scan prunes row groups.
+    """
+    f = parsed_fines(spark, sf_dir, raw_bound=RANGE_AFTER)
     f = drop_nulls(
-        parsed_fines(spark, sf_dir).select("NATION", "DT_PUBLICACAO_1A_FINAL", "DT_PAGTO_A_VISTA_ANS", "VL_PAGO_A_VISTA_ANS")
+        f.select("NATION", "DT_PUBLICACAO_1A_FINAL", "DT_PAGTO_A_VISTA_ANS", "VL_PAGO_A_VISTA_ANS")
     ).filter(F.col("DT_PUBLICACAO_1A_FINAL") > F.lit(RANGE_AFTER))
     return f.groupBy("NATION", month_end("DT_PUBLICACAO_1A_FINAL").alias("COMPETENCIA")).agg(
         F.round(F.sum("VL_PAGO_A_VISTA_ANS"), 2).alias("VALOR_MES")
     )
 
 
-def raw_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_index(spark: SparkSession, sf_dir: str, window: tuple[dt.date, dt.date] | None = None) -> DataFrame:
     """Complaint-index-shaped rows per supplier nation and ``yyyymm``:
     ``COMPETENCIA`` integer, ``IGR`` decimal-comma text (mean quantity,
-    truncated to cents by integer arithmetic), ``QTD_RECLAMACOES`` count."""
+    truncated to cents by integer arithmetic), ``QTD_RECLAMACOES`` count.
+
+    ``window`` (exclusive month-end bounds) restricts the ship dates to the
+    months that can fall inside it, as a pushed-down raw-column range."""
     li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity", "l_shipdate")
+    if window is not None:
+        after, before = window
+        # last_day(m) > after  <=>  m starts on or after ``start``;
+        # last_day(m) < before <=>  m ends before the first of before's month.
+        last = after.replace(day=calendar.monthrange(after.year, after.month)[1])
+        start = after.replace(day=1) if after < last else last + dt.timedelta(days=1)
+        li = li.filter(
+            date_after(li, "l_shipdate", start - dt.timedelta(days=1)) & date_before(li, "l_shipdate", before.replace(day=1))
+        )
     sup = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("NATION"))
     g = (
         li.join(sup, "l_suppkey", "inner")
@@ -99,7 +123,7 @@ def raw_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def monthly_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index with ``COMPETENCIA`` as month-end date and ``IGR`` as double,
     restricted to the exclusive analysis window."""
-    idx = raw_index(spark, sf_dir).withColumns(
+    idx = raw_index(spark, sf_dir, (RANGE_AFTER, RANGE_BEFORE)).withColumns(
         {"COMPETENCIA": yyyymm_to_month_end("COMPETENCIA"), "IGR": decimal_comma_to_double("IGR")}
     )
     return extract(
@@ -115,3 +139,17 @@ def joined_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_index(spark, sf_dir).join(
         f.withColumnRenamed("MES_PAGAMENTO", "COMPETENCIA"), ["NATION", "COMPETENCIA"], "inner"
     )
+
+
+def series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined monthly series, written once to the shared checkpoint
+    folder and read back.
+
+    The series is tiny (nations x months) but every later step (per-key
+    statistics joined back, decomposition windows, correlation) refers to
+    it more than once; reading the written table keeps the big scans,
+    joins and aggregates behind it from running once per reference.
+    """
+    from fiscalflow.session import materialize
+
+    return materialize(joined_months(spark, sf_dir), spark, "series")

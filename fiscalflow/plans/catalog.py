@@ -525,19 +525,19 @@ def _scaled_sql(suffix: str) -> str:
 
 @register("zscore_scale", _scaled_sql("_Z"))
 def q_zscore_scale(spark, sf):
-    j = analysis.joined_months(spark, sf).select("NATION", "COMPETENCIA", *_SERIES)
+    j = analysis.series(spark, sf).select("NATION", "COMPETENCIA", *_SERIES)
     return _rounded(scaling.zscore(j, _SERIES, ["NATION"]), ["IGR_Z", "VALOR_MES_Z"], 9)
 
 
 @register("base100_scale", _scaled_sql("_B100"))
 def q_base100_scale(spark, sf):
-    j = analysis.joined_months(spark, sf).select("NATION", "COMPETENCIA", *_SERIES)
+    j = analysis.series(spark, sf).select("NATION", "COMPETENCIA", *_SERIES)
     return _rounded(scaling.base100(j, _SERIES, "COMPETENCIA", ["NATION"]), ["IGR_B100", "VALOR_MES_B100"], 9)
 
 
 @register("minmax_scale", _scaled_sql("_MINMAX"))
 def q_minmax_scale(spark, sf):
-    j = analysis.joined_months(spark, sf).select("NATION", "COMPETENCIA", *_SERIES)
+    j = analysis.series(spark, sf).select("NATION", "COMPETENCIA", *_SERIES)
     return _rounded(scaling.minmax(j, _SERIES, ["NATION"]), ["IGR_MINMAX", "VALOR_MES_MINMAX"], 9)
 
 
@@ -567,7 +567,7 @@ _DEC_OUT = [f"{c}_{p}" for c in _SERIES for p in ("TREND", "SEASONAL", "RESID")]
     ),
 )
 def q_seasonal_decompose(spark, sf):
-    j = analysis.joined_months(spark, sf).select("NATION", "COMPETENCIA", *_SERIES)
+    j = analysis.series(spark, sf).select("NATION", "COMPETENCIA", *_SERIES)
     return _rounded(seasonal.seasonal_decompose(j, ["NATION"], "COMPETENCIA", _SERIES), _DEC_OUT, 6)
 
 
@@ -581,7 +581,7 @@ def q_seasonal_decompose(spark, sf):
     ),
 )
 def q_deseasonalize(spark, sf):
-    j = analysis.joined_months(spark, sf).select("NATION", "COMPETENCIA", *_SERIES)
+    j = analysis.series(spark, sf).select("NATION", "COMPETENCIA", *_SERIES)
     d = seasonal.deseasonalize(seasonal.seasonal_decompose(j, ["NATION"], "COMPETENCIA", _SERIES), _SERIES)
     out = [f"{c}_SEM_SAZONAL" for c in _SERIES]
     return _rounded(d.select("NATION", "COMPETENCIA", *out), out, 6)
@@ -599,7 +599,7 @@ def q_deseasonalize(spark, sf):
     ),
 )
 def q_seasonal_corr(spark, sf):
-    j = analysis.joined_months(spark, sf).select("NATION", "COMPETENCIA", *_SERIES)
+    j = analysis.series(spark, sf).select("NATION", "COMPETENCIA", *_SERIES)
     return seasonal.seasonal_corr(j, ["NATION"], "COMPETENCIA", "IGR", "VALOR_MES").withColumn("r", rnd("r", 6))
 
 
@@ -634,8 +634,7 @@ def _corr_matrix_sql() -> str:
 
 @register("corr_matrix", _corr_matrix_sql())
 def q_corr_matrix(spark, sf):
-    j = analysis.joined_months(spark, sf)
-    j = scaling.minmax(scaling.base100(scaling.zscore(j, _SERIES, ["NATION"]), _SERIES, "COMPETENCIA", ["NATION"]), _SERIES, ["NATION"])
+    j = scaling.scale_all(analysis.series(spark, sf), _SERIES, ["NATION"], "COMPETENCIA")
     j = seasonal.deseasonalize(seasonal.seasonal_decompose(j, ["NATION"], "COMPETENCIA", _SERIES), _SERIES)
     m = correlation.corr_matrix(j, _MATRIX_COLS, keys=["NATION"])
     return m.withColumn("r", rnd("r", 6))
@@ -920,19 +919,11 @@ _MERGED_SQL = """merged AS (
 )
 def q_merge_by_group(spark, sf):
     res = _merged(spark, sf)
-    parts = []
-    for g, path in res.outputs.items():
-        parts.append(
-            spark.read.parquet(path).agg(
-                F.lit(g).alias("grupo_mescla"),
-                F.count(F.lit(1)).alias("linhas"),
-                F.count_distinct("arquivo_origem").alias("arquivos"),
-                F.round(F.sum("o_totalprice"), 2).alias("total"),
-            )
-        )
-    from functools import reduce
-
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return res.unified.groupBy("grupo_mescla").agg(
+        F.count(F.lit(1)).alias("linhas"),
+        F.count_distinct("arquivo_origem").alias("arquivos"),
+        F.round(F.sum("o_totalprice"), 2).alias("total"),
+    )
 
 
 @register("unified_union", Q.with_ctes([_MERGED_SQL], "SELECT * FROM merged"))

@@ -20,10 +20,7 @@ SERIES = ["IGR", "VALOR_MES"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    j = joined_months(spark, sf_dir)
-    j = scaling.zscore(j, SERIES, ["NATION"])
-    j = scaling.base100(j, SERIES, "COMPETENCIA", ["NATION"])
-    j = scaling.minmax(j, SERIES, ["NATION"])
+    j = scaling.scale_all(joined_months(spark, sf_dir), SERIES, ["NATION"], "COMPETENCIA")
     return j.orderBy("NATION", "COMPETENCIA").select(
         "NATION",
         "COMPETENCIA",
