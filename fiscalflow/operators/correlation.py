@@ -33,17 +33,32 @@ def corr_pair(df: DataFrame, a: str, b: str, keys: Sequence[str] = (), name: str
 
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None, keys: Sequence[str] = ()) -> DataFrame:
     """Long-form matrix ``(col_a, col_b, r)`` over every ordered pair of the
-    given (default: numeric) columns, diagonal included.  The upper triangle
-    is aggregated once and mirrored."""
+    given (default: numeric) columns, diagonal included.
+
+    Each row is unpivoted into one entry per column pair of the upper
+    triangle (a fixed count set by the column list, not by the data), then
+    one grouped aggregate by (key, col_a, col_b) computes every coefficient
+    with four aggregate functions; partial aggregation folds the entries
+    map-side, so the shuffle carries one row per key and pair.  The lower
+    triangle is the mirror image.
+    """
     from fiscalflow.operators.extract import numeric_columns
 
+    keys = list(keys)
     cols = list(columns) if columns else [c for c in numeric_columns(df) if c not in keys]
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    aggs = [pearson(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"__r{i}_{j}") for i, j in pairs]
-    one = df.groupBy(*keys).agg(*aggs)
-    cells = []
-    for i, j in pairs:
-        cells.append(F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), F.col(f"__r{i}_{j}").alias("r")))
-        if i != j:
-            cells.append(F.struct(F.lit(cols[j]).alias("col_a"), F.lit(cols[i]).alias("col_b"), F.col(f"__r{i}_{j}").alias("r")))
-    return one.select(*keys, F.inline(F.array(*cells)))
+    cells = [
+        F.struct(
+            F.lit(cols[i]).alias("col_a"),
+            F.lit(cols[j]).alias("col_b"),
+            F.col(cols[i]).cast("double").alias("x"),
+            F.col(cols[j]).cast("double").alias("y"),
+        )
+        for i in range(len(cols))
+        for j in range(i, len(cols))
+    ]
+    pairs = df.select(*keys, F.inline(F.array(*cells)))
+    upper = pairs.groupBy(*keys, "col_a", "col_b").agg(pearson("x", "y").alias("r"))
+    same = F.struct(F.col("col_a").alias("col_a"), F.col("col_b").alias("col_b"), F.col("r").alias("r"))
+    mirror = F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), F.col("r").alias("r"))
+    both = F.when(F.col("col_a") == F.col("col_b"), F.array(same)).otherwise(F.array(same, mirror))
+    return upper.select(*keys, F.inline(both))
