@@ -47,7 +47,7 @@ def select_for_merge(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
     cols = normalize_columns(columns)
     if cols is None:
         return df
-    wanted = list(dict.fromkeys([*cols, ORIGIN, GROUP]))
+    wanted = [c for c in dict.fromkeys([*cols, ORIGIN, GROUP]) if c != ORIGIN or ORIGIN in df.columns]
     missing = [c for c in wanted if c not in df.columns]
     if missing:
         raise ValueError(f"columns not found: {missing}; available: {df.columns}")
@@ -100,10 +100,14 @@ def merge_by_group(
         raise ValueError("no sources to merge")
     prepared = []
     for src in sources:
-        kept = src.filter(~ignore_by_name(F.col(ORIGIN)))
+        kept = src.filter(~ignore_by_name(F.col(ORIGIN))) if ORIGIN in src.columns else src
         prepared.append(select_for_merge(apply_where(apply_filters(kept, filters), where), columns))
 
-    file_lists = [s.select(ORIGIN, GROUP).distinct() for s in sources]
+    # Without an origin column (metadata columns not kept) files are counted by group.
+    file_lists = [
+        (s.select(ORIGIN, GROUP) if ORIGIN in s.columns else s.select(F.col(GROUP).alias(ORIGIN), GROUP)).distinct()
+        for s in sources
+    ]
     files = relaxed_union(file_lists).withColumn("ignorado", ignore_by_name(F.col(ORIGIN)))
     members: dict[str, set[int]] = {}
     origins: dict[str, set[str]] = {}
