@@ -17,7 +17,7 @@ def spark():
     s = build_session(
         master="local[4]",
         shuffle_partitions=4,
-        extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="ff-test-ckpt-")},
+        extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="ff-test-ckpt-"), "spark.sql.maxMetadataStringLength": "2000"},
     )
     yield s
     s.stop()
