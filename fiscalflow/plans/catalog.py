@@ -929,3 +929,168 @@ def q_merge_by_group(spark, sf):
 @register("unified_union", Q.with_ctes([_MERGED_SQL], "SELECT * FROM merged"))
 def q_unified_union(spark, sf):
     return _merged(spark, sf).unified
+
+
+# ------------------------------------------------------------------ file layer on files derived from the tables
+#
+# These write table data as landed files (Spark writes, several dialects or
+# schema classes), then run the file-layer operator on them.
+
+
+_DIALECTS = [("ponto_e_virgula", ";", "ISO-8859-1"), ("virgula", ",", "UTF-8"), ("tab", "\t", "UTF-8"), ("barra", "|", "UTF-8")]
+
+
+def _customer_landing(spark, sf) -> str:
+    from fiscalflow.session import scratch_path
+    from fiscalflow.sources.sinks import write_csv
+
+    root = scratch_path(spark, "landing-csv")
+    c = table(spark, sf, "customer")
+    for folder, sep, enc in _DIALECTS:
+        write_csv(c, f"{root}/{folder}", sep=sep, encoding=enc)
+    return root
+
+
+@register("csv_dialect", None)
+def q_csv_dialect(spark, sf):
+    from fiscalflow.sources.dialect import detect_dialects
+
+    root = _customer_landing(spark, sf)
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(root)
+    d = detect_dialects(listing.select("path"))
+    return d.select(F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("pasta"), "encoding", "sep", "header", "erro")
+
+
+_CUSTOMER_TEXT = (
+    "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, "
+    "CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer"
+)
+
+
+@register("bronze_convert", _CUSTOMER_TEXT)
+def q_bronze_convert(spark, sf):
+    from fiscalflow.session import scratch_path
+    from fiscalflow.sources.files import bronze_convert
+
+    root = _customer_landing(spark, sf)
+    out = bronze_convert(spark, f"{root}/ponto_e_virgula", scratch_path(spark, "bronze"), sep=";", encoding="ISO-8859-1")
+    return out.drop("arquivo_origem")
+
+
+_SCHEMA_CLASSES_SQL = """SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+       CASE WHEN o_orderpriority = '3-MEDIUM' THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+       o_totalprice, o_orderdate, o_orderpriority FROM orders"""
+
+
+@register("scan_parquet_dir", _SCHEMA_CLASSES_SQL)
+def q_scan_parquet_dir(spark, sf):
+    from fiscalflow.operators.union import relaxed_union
+    from fiscalflow.session import scratch_path
+    from fiscalflow.sources.files import scan_parquet_dir
+
+    o = table(spark, sf, "orders")
+    folder = scratch_path(spark, "parquet-dir")
+    o.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).write.mode("append").parquet(folder)
+    o.filter(F.col("o_orderpriority") == "3-MEDIUM").drop("o_orderstatus").write.mode("append").parquet(folder)
+    o.filter(F.col("o_orderpriority").isin("4-NOT SPECIFIED", "5-LOW")).withColumn(
+        "o_custkey", F.col("o_custkey").cast("string")
+    ).write.mode("append").parquet(folder)
+    return relaxed_union(scan_parquet_dir(spark, folder))
+
+
+def _ingested(spark, sf):
+    from fiscalflow.plans.ingest import ingest
+    from fiscalflow.session import scratch_path
+    from fiscalflow.sources.sinks import write_csv, write_parquet
+
+    root = scratch_path(spark, "landing-ingest")
+    write_csv(table(spark, sf, "customer"), f"{root}/clientes", sep=";", encoding="ISO-8859-1")
+    write_csv(table(spark, sf, "supplier"), f"{root}/fornecedores", sep="|")
+    write_parquet(table(spark, sf, "nation"), f"{root}/nacoes")
+    return ingest(spark, root, scratch_path(spark, "ingest"), group="CADASTRO")
+
+
+@register(
+    "ingest_end_to_end",
+    """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+       CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment,
+       NULL::VARCHAR AS s_suppkey, NULL::VARCHAR AS s_name, NULL::VARCHAR AS s_nationkey, NULL::VARCHAR AS s_acctbal,
+       NULL::INTEGER AS n_nationkey, NULL::VARCHAR AS n_name, NULL::INTEGER AS n_regionkey, 'CADASTRO' AS grupo_mescla
+FROM customer
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, CAST(s_suppkey AS VARCHAR), s_name, CAST(s_nationkey AS VARCHAR), CAST(s_acctbal AS VARCHAR),
+       NULL, NULL, NULL, 'CADASTRO' FROM supplier
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, n_nationkey, n_name, n_regionkey, 'CADASTRO' FROM nation""",
+)
+def q_ingest_end_to_end(spark, sf):
+    return _ingested(spark, sf).unified.drop("arquivo_origem")
+
+
+@register("manifest_build", None)
+def q_manifest_build(spark, sf):
+    return _ingested(spark, sf).manifest
+
+
+@register("manifest_roundtrip", None)
+def q_manifest_roundtrip(spark, sf):
+    from fiscalflow.sources.manifest import read_manifest
+
+    res = _ingested(spark, sf)
+    return read_manifest(spark, f"{res.out_dir}/manifesto")
+
+
+@register(
+    "merge_from_manifest",
+    "SELECT upper(lower(regexp_replace(o_orderpriority, '^[0-9]+-', ''))) AS grupo_mescla, count(*) AS linhas, "
+    "round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1",
+)
+def q_merge_from_manifest(spark, sf):
+    """Orders landed as one Parquet folder per priority; the manifest names
+    each file after its priority (``pedidos_<priority>.parquet``)."""
+    from fiscalflow.plans.ingest import list_files, merge_from_manifest, norm_path
+    from fiscalflow.session import scratch_path
+    from fiscalflow.sources.manifest import MANIFEST_SCHEMA
+
+    root = scratch_path(spark, "landing-manifest")
+    o = table(spark, sf, "orders").withColumn("prioridade", F.lower(F.regexp_replace("o_orderpriority", r"^[0-9]+-", "")))
+    o.write.mode("overwrite").partitionBy("prioridade").parquet(root)
+    rows = []
+    for p in list_files(spark, root):
+        local = norm_path(p)
+        if not local.endswith(".parquet"):
+            continue
+        prio = local.split("prioridade=", 1)[1].split("/", 1)[0]
+        name = f"pedidos_{prio}.parquet"
+        rows.append((local, local[len(norm_path(root)) + 1:], name, local, name, "", "arquivo_tabular_convertido_parquet"))
+    res = merge_from_manifest(spark, spark.createDataFrame(rows, MANIFEST_SCHEMA), scratch_path(spark, "merged-manifest"))
+    return res.unified.groupBy("grupo_mescla").agg(
+        F.count(F.lit(1)).alias("linhas"), F.round(F.sum("o_totalprice"), 2).alias("total")
+    )
+
+
+@register(
+    "incremental_ingest",
+    "SELECT event_id, user_id, event_type, value, strftime(ts, '%Y%m%d') AS grupo_mescla FROM events",
+)
+def q_incremental_ingest(spark, sf):
+    """``events`` land as CSV files by day in two waves; each incremental run
+    picks up only the files it has not seen."""
+    from fiscalflow.session import scratch_path
+    from fiscalflow.sources.sinks import write_csv
+    from fiscalflow.streaming.incremental import run_incremental
+
+    ev = table(spark, sf, "events").select(
+        "event_id", "user_id", "event_type", "value", F.date_format("ts", "yyyyMMdd").alias("dia")
+    )
+    src, out = scratch_path(spark, "events-src"), scratch_path(spark, "events-out")
+    schema = "event_id long, user_id long, event_type string, value double"
+    days = ev.select(F.min("dia").alias("lo"), F.max("dia").alias("hi")).first()
+    cut = str((int(days.lo) + int(days.hi)) // 2)
+    day = F.regexp_extract(F.col("_metadata.file_path"), r"dia=([0-9]{8})", 1)
+    for cond in (F.col("dia") <= cut, F.col("dia") > cut):
+        # the second wave lands after the first run: only its files are read
+        ev.filter(cond).write.mode("append").partitionBy("dia").option("header", True).csv(src)
+        run_incremental(spark, src, schema, out, name=day)
+    got = spark.read.parquet(out)
+    return got.select("event_id", "user_id", "event_type", "value", F.col("grupo_mescla"))

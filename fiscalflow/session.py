@@ -51,17 +51,26 @@ def build_session(
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a local one only if unset."""
+def checkpoint_root(spark: SparkSession) -> str:
+    """The configured shared folder (``spark.checkpoint.dir``); a local
+    temporary one is set only when the session has none (tests, local runs)."""
     current = spark.conf.get(_CHECKPOINT_KEY, None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="fiscalflow-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, current)
-    spark.sparkContext.setCheckpointDir(current)
-    # setCheckpointDir creates a uuid sub-folder; report the real one.
-    return spark.sparkContext.getCheckpointDir() or current
+    return current
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Folder for this application's intermediate tables and ``checkpoint()``.
+
+    The SparkContext's checkpoint folder is set once, under the configured
+    root (Spark adds a per-application sub-folder); later calls reuse it.
+    """
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(checkpoint_root(spark))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -10,15 +10,16 @@ which fits scheduled runs.  Lineage comes from ``_metadata.file_name``.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fiscalflow.functions.names import group_from_name
 from fiscalflow.operators.merge import GROUP, ORIGIN
-from fiscalflow.session import ensure_checkpoint_dir
+from fiscalflow.session import checkpoint_root
 
 
 @dataclass
@@ -38,21 +39,28 @@ def incremental_csv_stream(
     header: bool = True,
     group: str | None = None,
     max_files_per_trigger: int | None = None,
+    name: Column | None = None,
+    recursive: bool = True,
 ) -> DataFrame:
-    """Streaming DataFrame of the CSV files landing in ``source_dir``, tagged
-    with the source file and its merge group."""
+    """Streaming DataFrame of the CSV files landing under ``source_dir``,
+    tagged with the source file and its merge group.
+
+    ``name`` is the expression the group rule reads (default: the file
+    name); for Spark-written landings a folder segment of
+    ``_metadata.file_path`` names the file better than ``part-00000``."""
     r = (
         spark.readStream.schema(schema)
         .option("header", header)
         .option("sep", sep)
         .option("encoding", encoding)
         .option("mode", "PERMISSIVE")
+        .option("recursiveFileLookup", recursive)
     )
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = r.csv(source_dir)
-    name = F.col("_metadata.file_name")
-    return stream.withColumns({ORIGIN: name, GROUP: group_from_name(name, group)})
+    origin = F.col("_metadata.file_name")
+    return stream.withColumns({ORIGIN: origin, GROUP: group_from_name(origin if name is None else name, group)})
 
 
 def run_incremental(
@@ -65,7 +73,11 @@ def run_incremental(
 ) -> IncrementalRun:
     """Process every file not seen before into a Parquet table partitioned by
     group, then stop.  Rerunnable: the checkpoint remembers processed files."""
-    checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/incremental-{abs(hash((source_dir, output)))}"
+    if checkpoint is None:
+        # Stable across runs and processes: derived from the configured root
+        # and the (source, output) pair, not from a per-application folder.
+        digest = hashlib.sha1(f"{source_dir}|{output}".encode()).hexdigest()[:16]
+        checkpoint = f"{checkpoint_root(spark).rstrip('/')}/incremental-{digest}"
     q = (
         incremental_csv_stream(spark, source_dir, schema, **options)
         .writeStream.format("parquet")
