@@ -20,9 +20,6 @@ from fiscalflow.functions.names import group_from_name, ignore_by_name, safe_nam
 from fiscalflow.operators.extract import apply_filters, apply_where, normalize_columns
 from fiscalflow.operators.union import relaxed_union
 
-from pyspark.sql.types import StringType  # noqa: E402
-
-_STRING = StringType()
 ORIGIN = "arquivo_origem"
 GROUP = "grupo_mescla"
 
@@ -65,11 +62,11 @@ class MergeResult:
 
     def group(self, spark: SparkSession, name: str) -> DataFrame:
         """The merged rows of one group, with its lineage columns."""
+        from fiscalflow.sources.files import read_partitioned
+
         path = self.outputs[name]
         base = path.rsplit("/", 1)[0]
-        schema = spark.read.parquet(base).schema
-        schema = type(schema)([f if f.name != GROUP else type(f)(GROUP, _STRING, True) for f in schema.fields])
-        return spark.read.schema(schema).option("basePath", base).parquet(path)
+        return read_partitioned(spark, base, (GROUP,)).filter(F.col(GROUP) == name)
 
 
 def merge_by_group(

@@ -1078,7 +1078,7 @@ def q_incremental_ingest(spark, sf):
     picks up only the files it has not seen."""
     from fiscalflow.session import scratch_path
     from fiscalflow.sources.sinks import write_csv
-    from fiscalflow.streaming.incremental import run_incremental
+    from fiscalflow.streaming.incremental import read_output, run_incremental
 
     ev = table(spark, sf, "events").select(
         "event_id", "user_id", "event_type", "value", F.date_format("ts", "yyyyMMdd").alias("dia")
@@ -1092,5 +1092,5 @@ def q_incremental_ingest(spark, sf):
         # the second wave lands after the first run: only its files are read
         ev.filter(cond).write.mode("append").partitionBy("dia").option("header", True).csv(src)
         run_incremental(spark, src, schema, out, name=day)
-    got = spark.read.parquet(out)
+    got = read_output(spark, out)
     return got.select("event_id", "user_id", "event_type", "value", F.col("grupo_mescla"))

@@ -102,3 +102,14 @@ def cast_with_rejects(raw: DataFrame, schema: T.StructType) -> tuple[DataFrame,
         rejects.append(F.count_if(src.isNotNull() & (F.trim(src) != "") & cast.isNull()).alias(f.name))
     others = [c for c in raw.columns if c not in schema.fieldNames()]
     return raw.select(*typed_cols, *others), raw.agg(*rejects)
+
+
+def read_partitioned(spark: SparkSession, path: str, text_columns: Sequence[str] = ("grupo_mescla",)) -> DataFrame:
+    """Read a ``partitionBy`` output keeping the given partition columns as
+    text: partition-value type inference would turn a group such as ``043``
+    into the integer 43 (and ``2024`` into an int)."""
+    inferred = spark.read.parquet(path).schema
+    fields = [
+        T.StructField(f.name, T.StringType(), True) if f.name in text_columns else f for f in inferred.fields
+    ]
+    return spark.read.schema(T.StructType(fields)).parquet(path)

@@ -93,3 +93,10 @@ def run_incremental(
     rows = sum(int(p.get("numInputRows", 0)) for p in progress)
     batches = sum(1 for p in progress if int(p.get("numInputRows", 0)) > 0)
     return IncrementalRun(batches=batches, rows_written=rows, output=output)
+
+
+def read_output(spark: SparkSession, output: str) -> DataFrame:
+    """The incremental table (committed files only), group kept as text."""
+    from fiscalflow.sources.files import read_partitioned
+
+    return read_partitioned(spark, output, (GROUP,))
