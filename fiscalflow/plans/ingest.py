@@ -39,7 +39,7 @@ from fiscalflow.session import materialize, scratch_path
 from fiscalflow.sources import manifest as M
 from fiscalflow.sources.archives import MAX_DEPTH, zip_entries
 from fiscalflow.sources.dialect import detect_dialects
-from fiscalflow.sources.files import read_csv
+from fiscalflow.sources.files import parquet_schema_classes, read_csv
 from fiscalflow.sources.sheets import promote_header, spreadsheet_rows
 
 # Manifest-sized tables up to this many rows are broadcast to the scans.
@@ -223,17 +223,14 @@ def ingest(
             paths = {norm_path(r.path) for r in df.select("path").distinct().collect()}
             add_class(df, [by_path[p] for p in paths if p in by_path], F.col("path"))
 
-    # Parquet: one scan per distinct footer schema.
+    # Parquet: one scan per distinct footer schema (footers read in tasks).
     parquets = [e for e in entries if e["ext"] == ".parquet"]
-    by_schema: dict[str, list[dict]] = {}
-    for e in parquets:
-        try:
-            by_schema.setdefault(spark.read.parquet(e["caminho_local"]).schema.json(), []).append(e)
-        except AnalysisException as err:
-            errors.append((e["arquivo_origem"], f"AnalysisException: {str(err).splitlines()[0]}"))
-    for members in by_schema.values():
-        df = spark.read.parquet(*[m["caminho_local"] for m in members])
-        add_class(df, members, F.col("_metadata.file_path"))
+    classes, bad = parquet_schema_classes(spark, [e["caminho_local"] for e in parquets])
+    for p, err in bad:
+        errors.append((by_path[norm_path(p)]["arquivo_origem"], err))
+    for paths in classes:
+        members = [by_path[norm_path(p)] for p in paths]
+        add_class(spark.read.parquet(*paths), members, F.col("_metadata.file_path"))
 
     manifest = M.normalize_manifest(
         spark.createDataFrame([tuple(e[f] for f in M.FIELDS) for e in entries], M.MANIFEST_SCHEMA)
@@ -291,9 +288,10 @@ def merge_from_manifest(
         else:
             present.append(r)
     frames = []
-    by_schema: dict[str, list[dict]] = {}
-    for r in present:
-        by_schema.setdefault(spark.read.parquet(r["caminho_local"]).schema.json(), []).append(r)
+    present_by_path = {r["caminho_local"]: r for r in present}
+    classes, bad = parquet_schema_classes(spark, sorted(present_by_path))
+    errors.extend((present_by_path[p]["arquivo_origem"], err) for p, err in bad)
+    by_schema = {i: [present_by_path[p] for p in paths] for i, paths in enumerate(classes)}
     cols = normalize_columns(columns)
     for members in by_schema.values():
         df = _tag(spark.read.parquet(*[m["caminho_local"] for m in members]), members, spark, F.col("_metadata.file_path"))

@@ -32,22 +32,29 @@ SPARK_ENCODING = {"utf-8": "UTF-8", "utf-8-sig": "UTF-8", "latin1": "ISO-8859-1"
 DIALECT_SCHEMA = "path string, encoding string, sep string, header string, erro string"
 
 
-def open_prefix(path: str, n: int) -> bytes:
-    """First ``n`` bytes of a file given as a Spark path (``file:/...``,
-    ``s3a://...``, ``hdfs://...``), read inside the task."""
+def local_or_fs(path: str):
+    """(filesystem or None for local, path) for a Spark path (``file:/...``,
+    ``s3a://...``, ``hdfs://...``), usable inside a task."""
+    from urllib.parse import unquote
+
     if path.startswith("file:"):
         local = path[5:]
         while local.startswith("//"):
             local = local[1:]
-        with open(local, "rb") as fh:
-            return fh.read(n)
+        return None, unquote(local)
     if "://" not in path:
-        with open(path, "rb") as fh:
-            return fh.read(n)
+        return None, path
     import pyarrow.fs as pafs
 
-    uri = path.replace("s3a://", "s3://", 1)
-    fs, inner = pafs.FileSystem.from_uri(uri)
+    return pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+
+
+def open_prefix(path: str, n: int) -> bytes:
+    """First ``n`` bytes of a file, read inside the task (never the whole file)."""
+    fs, inner = local_or_fs(path)
+    if fs is None:
+        with open(inner, "rb") as fh:
+            return fh.read(n)
     with fs.open_input_stream(inner) as fh:
         return fh.read(n)
 

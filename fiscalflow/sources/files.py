@@ -9,8 +9,9 @@ over the data).  Typed columns come from a declared schema or from lenient
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,13 +24,50 @@ def scan_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
+def _footer_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import pyarrow.parquet as pq
+
+    from fiscalflow.sources.dialect import local_or_fs
+
+    for pdf in batches:
+        out = []
+        for path in pdf["path"]:
+            try:
+                fs, inner = local_or_fs(path)
+                schema = pq.read_schema(inner, filesystem=fs) if fs is not None else pq.read_schema(inner)
+                out.append((path, str(schema.remove_metadata()), None))
+            except Exception as e:  # noqa: BLE001 - an unreadable footer is an error row
+                out.append((path, None, f"{type(e).__name__}: {e}"))
+        yield pd.DataFrame(out, columns=["path", "esquema", "erro"])
+
+
+def parquet_schema_classes(spark: SparkSession, paths: Sequence[str]) -> tuple[list[list[str]], list[tuple[str, str]]]:
+    """Group Parquet files by footer schema, reading footers in tasks.
+
+    Returns (classes of paths, unreadable (path, error)).  Only one row per
+    file comes back to the driver; each class is then read by one scan.
+    """
+    if not paths:
+        return [], []
+    files = spark.createDataFrame([(p,) for p in paths], "path string")
+    rows = files.mapInPandas(_footer_batches, "path string, esquema string, erro string").collect()
+    classes: dict[str, list[str]] = {}
+    bad = []
+    for r in rows:
+        if r.erro:
+            bad.append((r.path, r.erro))
+        else:
+            classes.setdefault(r.esquema, []).append(r.path)
+    return [sorted(v) for v in classes.values()], bad
+
+
 def scan_parquet_dir(spark: SparkSession, folder: str) -> list[DataFrame]:
     """Parquet files directly inside ``folder`` (not recursive; suffix
     matched case-insensitively), one scan per distinct schema.
 
-    Files are listed by Spark's own file index; schemas come from footers.
-    Files sharing a schema are read by a single scan, so the list has one
-    DataFrame per schema class, ready for ``relaxed_union``.
+    Files are listed by Spark's own file index (no bytes read); footers are
+    read in tasks.  Files sharing a schema are read by a single scan, so the
+    list has one DataFrame per schema class, ready for ``relaxed_union``.
     """
     listing = (
         spark.read.format("binaryFile")
@@ -39,11 +77,10 @@ def scan_parquet_dir(spark: SparkSession, folder: str) -> list[DataFrame]:
         .select("path")
     )
     paths = sorted(r.path for r in listing.collect())  # file names only: metadata-sized
-    by_schema: dict[str, list[str]] = {}
-    for p in paths:
-        schema = spark.read.parquet(p).schema.json()
-        by_schema.setdefault(schema, []).append(p)
-    return [spark.read.parquet(*ps) for ps in by_schema.values()]
+    classes, bad = parquet_schema_classes(spark, paths)
+    if bad:
+        raise ValueError(f"unreadable Parquet footers: {bad[:5]}")
+    return [spark.read.parquet(*ps) for ps in classes]
 
 
 def all_string_schema(columns: Sequence[str]) -> T.StructType:
