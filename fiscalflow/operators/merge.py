@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalflow.functions.names import group_from_name, ignore_by_name, safe_name_py
+from fiscalflow.functions.names import group_from_name_py, ignore_by_name, safe_name_py
 from fiscalflow.operators.extract import apply_filters, apply_where, normalize_columns
 from fiscalflow.operators.union import relaxed_union
 
@@ -24,17 +24,36 @@ ORIGIN = "arquivo_origem"
 GROUP = "grupo_mescla"
 
 
+# Per-file tag tables up to this many rows (one per file) are broadcast.
+BROADCAST_FILES = 200_000
+
+
 def with_lineage(
-    df: DataFrame, name_col: str | Column | None = None, group: str | None = None, drop_name_col: bool = True
+    df: DataFrame, name_col: str | None = None, group: str | None = None, drop_name_col: bool = True
 ) -> DataFrame:
     """Add ``arquivo_origem`` (source file name) and ``grupo_mescla``.
 
     ``name_col`` defaults to the scan's ``_metadata.file_name``; a caller
-    ``group`` overrides the rule for every row.
+    ``group`` overrides the rule for every row.  The name rule depends on the
+    file only, so it runs once per distinct file (a metadata-sized list on
+    the driver), and the tags are joined back on the file: a broadcast join
+    when the file count, known here, is under ``BROADCAST_FILES``.
     """
-    name = F.col("_metadata.file_name") if name_col is None else (F.col(name_col) if isinstance(name_col, str) else name_col)
-    out = df.withColumns({ORIGIN: name, GROUP: group_from_name(name, group)})
-    if drop_name_col and isinstance(name_col, str) and name_col not in (ORIGIN, GROUP):
+    spark = df.sparkSession
+    if name_col is None:
+        key = F.col("_metadata.file_path")
+        pairs = df.select(key.alias("k"), F.col("_metadata.file_name").alias("n")).distinct().collect()
+    else:
+        key = F.col(name_col)
+        pairs = [(r.k, r.k) for r in df.select(key.alias("k")).distinct().collect()]
+    tags = spark.createDataFrame(
+        [(k, n, None if n is None else group_from_name_py(n, group)) for k, n in pairs],
+        f"__lineage_key string, {ORIGIN} string, {GROUP} string",
+    )
+    if len(pairs) <= BROADCAST_FILES:
+        tags = F.broadcast(tags)
+    out = df.withColumn("__lineage_key", key.cast("string")).join(tags, "__lineage_key", "left").drop("__lineage_key")
+    if drop_name_col and name_col is not None and name_col not in (ORIGIN, GROUP):
         out = out.drop(name_col)
     return out
 
@@ -78,6 +97,7 @@ def merge_by_group(
     filters: Column | Sequence[Column] | None = None,
     where: str | None = None,
     merge_single: bool = True,
+    file_groups: Sequence[Sequence[tuple[str, str]]] | None = None,
 ) -> MergeResult:
     """Merge tagged sources into one output per group.
 
@@ -90,8 +110,10 @@ def merge_by_group(
     written together by one job, ``partitionBy(grupo_mescla)``: one folder
     per group, as many jobs as distinct source sets (not one per group).
     The only data brought to the driver is the distinct (source, group)
-    list, whose size is the number of files.  ``merge_single=False`` keeps
-    the v1.0 rule: a group made of a single file is not rewritten.
+    list, whose size is the number of files; a caller that already knows it
+    (one ``(origin, group)`` list per source) passes ``file_groups`` and no
+    scan is spent on it.  ``merge_single=False`` keeps the v1.0 rule: a group
+    made of a single file is not rewritten.
     """
     if not sources:
         raise ValueError("no sources to merge")
@@ -106,13 +128,18 @@ def merge_by_group(
         for s in sources
     ]
     files = relaxed_union(file_lists).withColumn("ignorado", ignore_by_name(F.col(ORIGIN)))
+    if file_groups is None:
+        tagged = [fl.withColumn("__src", F.lit(i)) for i, fl in enumerate(file_lists)]
+        listing = relaxed_union(tagged).filter(~ignore_by_name(F.col(ORIGIN))).collect()  # one row per file
+        file_groups = [[] for _ in sources]
+        for r in listing:
+            file_groups[r["__src"]].append((r[ORIGIN], r[GROUP]))
     members: dict[str, set[int]] = {}
     origins: dict[str, set[str]] = {}
-    for idx, fl in enumerate(file_lists):
-        # one row per file: metadata-sized
-        for r in fl.filter(~ignore_by_name(F.col(ORIGIN))).collect():
-            members.setdefault(r[GROUP], set()).add(idx)
-            origins.setdefault(r[GROUP], set()).add(r[ORIGIN])
+    for idx, pairs in enumerate(file_groups):
+        for origin, g in pairs:
+            members.setdefault(g, set()).add(idx)
+            origins.setdefault(g, set()).add(origin)
     n_files = {g: len(o) for g, o in origins.items()}
     if not members:
         raise ValueError("no file could be merged: every source is empty or ignored")

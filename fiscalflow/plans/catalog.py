@@ -744,7 +744,6 @@ def _url_variants(spark, sf) -> DataFrame:
     Q.with_ctes(
         [_VARIANTS_SQL],
         f"SELECT page_id, url, CASE WHEN lower(regexp_extract(url, '{_URL_RE}', 2)) NOT IN ('http', 'https', 'ftp') THEN NULL "
-        f"WHEN {_SUFFIX_SQL.format(p=chr(39) + chr(39))} = 'x' THEN NULL "
         f"WHEN sfx = '.zip' THEN 'arquivo_zip' WHEN sfx IN ('.csv', '.xlsx', '.xls', '.ods') THEN 'arquivo_tabular' "
         f"WHEN lower(regexp_extract(url, '{_URL_RE}', 2)) = 'ftp' THEN 'ftp_pasta' ELSE 'http_pagina' END AS tipo_origem "
         f"FROM (SELECT *, {_SUFFIX_SQL.format(p=f'regexp_extract(url, {chr(39)}{_URL_RE}{chr(39)}, 5)')} AS sfx FROM variants) v",
@@ -998,7 +997,7 @@ def q_scan_parquet_dir(spark, sf):
     return relaxed_union(scan_parquet_dir(spark, folder))
 
 
-def _ingested(spark, sf):
+def _ingested(spark, sf, merge: bool = True):
     from fiscalflow.plans.ingest import ingest
     from fiscalflow.session import scratch_path
     from fiscalflow.sources.sinks import write_csv, write_parquet
@@ -1007,7 +1006,7 @@ def _ingested(spark, sf):
     write_csv(table(spark, sf, "customer"), f"{root}/clientes", sep=";", encoding="ISO-8859-1")
     write_csv(table(spark, sf, "supplier"), f"{root}/fornecedores", sep="|")
     write_parquet(table(spark, sf, "nation"), f"{root}/nacoes")
-    return ingest(spark, root, scratch_path(spark, "ingest"), group="CADASTRO")
+    return ingest(spark, root, scratch_path(spark, "ingest"), group="CADASTRO", merge=merge)
 
 
 @register(
@@ -1029,14 +1028,14 @@ def q_ingest_end_to_end(spark, sf):
 
 @register("manifest_build", None)
 def q_manifest_build(spark, sf):
-    return _ingested(spark, sf).manifest
+    return _ingested(spark, sf, merge=False).manifest
 
 
 @register("manifest_roundtrip", None)
 def q_manifest_roundtrip(spark, sf):
     from fiscalflow.sources.manifest import read_manifest
 
-    res = _ingested(spark, sf)
+    res = _ingested(spark, sf, merge=False)
     return read_manifest(spark, f"{res.out_dir}/manifesto")
 
 

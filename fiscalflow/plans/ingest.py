@@ -172,6 +172,7 @@ def ingest(
                 errors.append((r.arquivo_origem, r.motivo))
 
     frames: list[DataFrame] = []
+    frame_files: list[list[tuple[str, str]]] = []  # (origin, group) of each frame's files
     by_path = {e["caminho_local"]: e for e in entries}
 
     def add_class(df: DataFrame, members: list[dict], path_col: Column) -> None:
@@ -189,6 +190,13 @@ def ingest(
             if not include_metadata:
                 kept = kept.drop(ORIGIN)
             frames.append(kept)
+            frame_files.append(
+                [
+                    (m["arquivo_origem"] if include_metadata else group_from_name_py(m["nome_arquivo"], m["grupo_mescla_padrao"]),
+                     group_from_name_py(m["nome_arquivo"], m["grupo_mescla_padrao"]))
+                    for m in members
+                ]
+            )
         except (ValueError, AnalysisException) as e:
             for m in members:
                 errors.append((m["arquivo_origem"], f"{type(e).__name__}: {str(e).splitlines()[0]}"))
@@ -244,7 +252,9 @@ def ingest(
         sample = "; ".join(f"{a}: {e}" for a, e in errors[:5])
         raise ValueError("nenhum arquivo foi lido com sucesso" + (f"; primeiros erros: {sample}" if sample else ""))
     if merge:
-        result.merge = merge_by_group(spark, frames, f"{out}/mesclas", merge_single=merge_single)
+        result.merge = merge_by_group(
+            spark, frames, f"{out}/mesclas", merge_single=merge_single, file_groups=frame_files
+        )
     return result
 
 
@@ -293,6 +303,7 @@ def merge_from_manifest(
     errors.extend((present_by_path[p]["arquivo_origem"], err) for p, err in bad)
     by_schema = {i: [present_by_path[p] for p in paths] for i, paths in enumerate(classes)}
     cols = normalize_columns(columns)
+    known: list[list[tuple[str, str]]] = []
     for members in by_schema.values():
         df = _tag(spark.read.parquet(*[m["caminho_local"] for m in members]), members, spark, F.col("_metadata.file_path"))
         if cols is not None:
@@ -303,6 +314,7 @@ def merge_from_manifest(
                 continue
             df = df.select(*wanted)
         frames.append(df)
+        known.append([(m["arquivo_origem"], group_from_name_py(m["nome_arquivo"], m["grupo_mescla_padrao"])) for m in members])
     result = IngestResult(
         manifest=man,
         errors=spark.createDataFrame(errors, M.ERROR_SCHEMA),
@@ -313,6 +325,6 @@ def merge_from_manifest(
     if not frames:
         sample = "; ".join(f"{a}: {e}" for a, e in errors[:5])
         raise ValueError("nenhum arquivo do manifesto pode ser mesclado" + (f"; primeiros erros: {sample}" if sample else ""))
-    result.merge = merge_by_group(spark, frames, out, merge_single=merge_single)
+    result.merge = merge_by_group(spark, frames, out, merge_single=merge_single, file_groups=known)
     return result
 
