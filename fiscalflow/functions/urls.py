@@ -104,3 +104,9 @@ def resolve_href(base_url: str | Column, href: str | Column) -> Column:
         .when(h.startswith("/"), F.concat(prefix, rooted, h_rest))
         .otherwise(F.concat(prefix, merged, h_rest))
     )
+
+
+def url_file_name(url: str | Column) -> Column:
+    """Percent-decoded last path segment of a URL (``.../Dados%20ANS.csv`` ->
+    ``Dados ANS.csv``), the name a downloaded file gets."""
+    return F.url_decode(F.regexp_extract(url_path(url), r"([^/]*)$", 1))

@@ -150,3 +150,60 @@ def read_partitioned(spark: SparkSession, path: str, text_columns: Sequence[str]
         T.StructField(f.name, T.StringType(), True) if f.name in text_columns else f for f in inferred.fields
     ]
     return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def read_tabular(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
+    """CSV (dialect sniffed per file), ``.xlsx``/``.ods`` and Parquet files as
+    one all-string (Parquet: typed) DataFrame per schema class, each with a
+    ``path`` column naming the source file."""
+    from fiscalflow.sources.dialect import detect_dialects
+    from fiscalflow.sources.sheets import promote_header, spreadsheet_rows
+
+    def suffix(p: str) -> str:
+        name = p.rsplit("/", 1)[-1]
+        dot = name.rfind(".")
+        return name[dot:].lower() if 0 < dot < len(name) - 1 else ""
+
+    out: list[DataFrame] = []
+    csvs = [p for p in paths if suffix(p) == ".csv"]
+    if csvs:
+        dia = detect_dialects(spark.createDataFrame([(p,) for p in csvs], "path string")).collect()
+        classes: dict[tuple, list[str]] = {}
+        for d in dia:
+            if d.erro or not d.header:
+                raise ValueError(f"cannot read {d.path}: {d.erro or 'empty file'}")
+            classes.setdefault((d.encoding, d.sep, d.header), []).append(d.path)
+        for (enc, sep, _h), ps in classes.items():
+            out.append(read_csv(spark, ps, sep=sep, encoding=enc).withColumn("path", F.col("_metadata.file_path")))
+    sheets = [p for p in paths if suffix(p) in (".xlsx", ".ods")]
+    if sheets:
+        for _names, df in promote_header(spreadsheet_rows(spark.read.format("binaryFile").load(sheets))):
+            out.append(df.drop("row_idx"))
+    parquets = [p for p in paths if suffix(p) == ".parquet"]
+    classes_pq, bad = parquet_schema_classes(spark, parquets)
+    if bad:
+        raise ValueError(f"unreadable Parquet footers: {bad[:5]}")
+    out += [spark.read.parquet(*ps).withColumn("path", F.col("_metadata.file_path")) for ps in classes_pq]
+    unsupported = [p for p in paths if suffix(p) not in (".csv", ".xlsx", ".ods", ".parquet")]
+    if unsupported:
+        raise ValueError(f"unsupported file types: {unsupported[:5]}")
+    return out
+
+
+def convert_tabular(spark: SparkSession, paths: Sequence[str], out: str, fmt: str = "csv") -> list[str]:
+    """Convert tabular files to CSV (UTF-8, header) or Parquet, one output
+    folder per schema class (``out/parte_<i>``); returns the folders."""
+    from fiscalflow.sources.sinks import write_csv, write_parquet
+
+    written = []
+    for i, df in enumerate(read_tabular(spark, paths)):
+        target = f"{out.rstrip('/')}/parte_{i}"
+        data = df.drop("path")
+        if fmt == "csv":
+            write_csv(data, target)
+        elif fmt == "parquet":
+            write_parquet(data, target)
+        else:
+            raise ValueError(f"unknown format {fmt!r}")
+        written.append(target)
+    return written

@@ -99,3 +99,22 @@ def test_parquet_dir_one_scan_per_schema(spark, tmp_path):
     u = relaxed_union(scans)
     assert dict(u.dtypes) == {"k": "string", "s": "string", "v": "double"}
     assert sorted(r.k for r in u.collect()) == ["1", "2"]
+
+
+def test_convert_tabular_to_csv_and_parquet(spark, tmp_path):
+    write(tmp_path / "in" / "a.csv", csv_text(";"))
+    write(tmp_path / "in" / "b.xlsx", xlsx_bytes([["id", "nome", "valor"], [4, "Rui", "1,5"]]))
+    paths = [str(tmp_path / "in" / "a.csv"), str(tmp_path / "in" / "b.xlsx")]
+    outs = files.convert_tabular(spark, paths, str(tmp_path / "csv"))
+    assert len(outs) == 2
+    back = [files.read_csv(spark, o, sep=",") for o in outs]
+    assert sorted(r.id for df in back for r in df.collect()) == ["1", "2", "3", "4"]
+    pq = files.convert_tabular(spark, paths, str(tmp_path / "pq"), fmt="parquet")
+    assert sum(spark.read.parquet(o).count() for o in pq) == 4
+
+
+def test_url_file_name(spark):
+    from fiscalflow.functions.urls import url_file_name
+
+    df = spark.createDataFrame([("https://x.org/FTP/PDA/Dados%20ANS%C3%A7.csv?x=1",), ("ftp://h/a/",)], "u string")
+    assert [r.n for r in df.select(url_file_name("u").alias("n")).collect()] == ["Dados ANSç.csv", ""]
