@@ -19,6 +19,25 @@ from pyspark.sql import DataFrame, SparkSession
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
+CLUSTER_SETTINGS = {
+    # Start with many shuffle partitions and let AQE coalesce them to
+    # ~advisoryPartitionSizeInBytes each: the right count at 100 TB is
+    # thousands, at a test scale it is a handful.
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.minPartitionNum": "1",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # Runtime broadcast only below a measured size (AQE uses the actual
+    # shuffle statistics, not estimates).
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    # Survive executor loss without recomputing whole stages.
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "fiscalflow",
@@ -40,7 +59,10 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Workbooks and archives go through Arrow batches one file at a time.
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
     )
     for k, v in (extra or {}).items():
