@@ -96,9 +96,13 @@ def seasonal_decompose(
     for i in range(len(value_cols)):
         items = F.collect_list(F.struct(F.col(_PHASE).alias("k"), F.col(f"__pa_{i}").alias("d")))
         centre_aggs.append(F.try_divide(_ordered_sum(items, "d"), F.count(f"__pa_{i}")).alias(f"__mu_{i}"))
-    centres = phase_avg.groupBy(*keys).agg(*centre_aggs)
+    ck = {k: f"__ck{i}" for i, k in enumerate(keys)}
+    centres = phase_avg.groupBy(*[F.col(k).alias(ck[k]) for k in keys]).agg(*centre_aggs)
     rk = {k: f"__sk{i}" for i, k in enumerate(keys)}
-    seasonal = phase_avg.join(centres, on=keys, how="inner")
+    on_key = F.lit(True)
+    for k in keys:  # null-safe: a null key is a series of its own, as in groupBy
+        on_key = on_key & F.col(k).eqNullSafe(F.col(ck[k]))
+    seasonal = phase_avg.join(centres, on=on_key, how="inner").drop(*ck.values())
     seasonal = seasonal.select(
         *[F.col(k).alias(rk[k]) for k in keys],
         F.col(_PHASE).alias("__sphase"),

@@ -54,3 +54,17 @@ def test_every_query_has_oracle_or_is_fixture_backed():
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "VALOR_MES_Z" in df.columns
+
+
+def test_rows_only_queries(spark):
+    q = E.queries()
+    d = {(r.pasta, r.encoding, r.sep) for r in q["csv_dialect"](spark, SF_SMALL).collect()}
+    assert d == {("ponto_e_virgula", "ISO-8859-1", ";"), ("virgula", "UTF-8", ","), ("tab", "UTF-8", "\t"), ("barra", "UTF-8", "|")}
+    m = q["manifest_build"](spark, SF_SMALL)
+    assert m.columns == ["caminho_local", "caminho_relativo", "nome_arquivo", "origem_url", "arquivo_origem",
+                         "grupo_mescla_padrao", "origem_tipo"]
+    rows = m.collect()
+    assert rows and all(r.grupo_mescla_padrao == "CADASTRO" for r in rows)
+    assert {r.caminho_relativo.split("/")[0] for r in rows} == {"clientes", "fornecedores", "nacoes"}
+    back = q["manifest_roundtrip"](spark, SF_SMALL)
+    assert dict(back.dtypes) == {c: "string" for c in m.columns} and back.count() == len(rows)

@@ -69,3 +69,13 @@ def test_rolling_rows_and_months(spark):
     m12 = {(r.k, r.d.strftime("%Y%m")): r.q_12m for r in windows.rolling_sum_months(dated, ["k"], "d", "q", 12).collect()}
     # 2025-02 trailing 12 months = 2024-03 .. 2025-02: 4 + 8 + 16
     assert m12[("a", "202502")] == 28 and m12[("a", "202501")] == 14 and m12[("a", "202405")] == 7
+
+
+def test_decomposition_null_key_is_a_series(spark):
+    rows = [(None, i, float(i % 12)) for i in range(36)] + [("x", i, float(i % 12) * 2) for i in range(36)]
+    df = spark.createDataFrame(rows, "k string, m int, v double")
+    out = seasonal.seasonal_decompose(df, ["k"], "m", ["v"]).collect()
+    assert len(out) == 72
+    by = {(r.k, r.m): r for r in out}
+    assert by[(None, 20)].v_SEASONAL is not None
+    assert abs(by[("x", 20)].v_SEASONAL - 2 * by[(None, 20)].v_SEASONAL) < 1e-9
