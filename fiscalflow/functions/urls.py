@@ -70,9 +70,15 @@ def file_kind(path: str | Column) -> Column:
     )
 
 
-def _remove_dot_segments(path: Column) -> Column:
-    """RFC 3986 5.2.4 on an absolute path, as a fold over its segments."""
+def _remove_dot_segments(path: Column, drop_empty_inner: bool = False) -> Column:
+    """RFC 3986 5.2.4 on an absolute path, as a fold over its segments.
+
+    ``drop_empty_inner`` also removes empty segments other than the last
+    (``a//b`` -> ``a/b``), which ``urljoin`` does for relative references."""
     segs = F.slice(F.split(path, "/"), 2, 1 << 30)  # drop the empty head before the first '/'
+    if drop_empty_inner:
+        n = F.size(segs)
+        segs = F.filter(segs, lambda x, i: (x != "") | (i == n - 1))
     empty = F.array().cast("array<string>")
 
     def step(acc, s):
@@ -81,7 +87,7 @@ def _remove_dot_segments(path: Column) -> Column:
 
     kept = F.aggregate(segs, empty, step)
     last = F.element_at(segs, -1)
-    trailing = F.when(last.isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
+    trailing = F.when(last.isin(".", "..") & (F.size(kept) > 0), F.lit("/")).otherwise(F.lit(""))
     return F.concat(F.lit("/"), F.array_join(kept, "/"), trailing)
 
 
@@ -95,7 +101,7 @@ def resolve_href(base_url: str | Column, href: str | Column) -> Column:
     h_path = F.regexp_extract(h, r"^([^?#]*)", 1)
     h_rest = F.regexp_extract(h, r"^[^?#]*(.*)$", 1)
     base_dir = F.regexp_replace(F.when(bpath == "", F.lit("/")).otherwise(bpath), r"[^/]*$", "")
-    merged = _remove_dot_segments(F.concat(base_dir, h_path))
+    merged = _remove_dot_segments(F.concat(base_dir, h_path), drop_empty_inner=True)
     rooted = _remove_dot_segments(h_path)
     prefix = F.concat(scheme, F.lit("://"), host)
     return (
