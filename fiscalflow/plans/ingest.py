@@ -212,9 +212,9 @@ def ingest(
             elif not d.header:
                 errors.append((by_path[d.path]["arquivo_origem"], "arquivo vazio"))
             else:
-                classes.setdefault((d.encoding, d.sep, d.header), []).append(by_path[d.path])
-        for (enc, sep, _h), members in classes.items():
-            df = read_csv(spark, [m["caminho_local"] for m in members], sep=sep, encoding=enc)
+                classes.setdefault((d.encoding, d.sep, d.header, bool(d.multilinha)), []).append(by_path[d.path])
+        for (enc, sep, _h, multi), members in classes.items():
+            df = read_csv(spark, [m["caminho_local"] for m in members], sep=sep, encoding=enc, multiline=multi)
             add_class(df, members, F.col("_metadata.file_path"))
 
     # Spreadsheets: parsed in tasks once (bronze cells), one frame per header.

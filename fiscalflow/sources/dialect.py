@@ -17,6 +17,7 @@ Decisions on the reference's hazards:
 from __future__ import annotations
 
 import csv
+import io
 from collections.abc import Iterator
 
 import pandas as pd
@@ -29,7 +30,7 @@ DELIMITERS = ",;\t|"
 FALLBACK_SEP = ";"
 SPARK_ENCODING = {"utf-8": "UTF-8", "utf-8-sig": "UTF-8", "latin1": "ISO-8859-1"}
 
-DIALECT_SCHEMA = "path string, encoding string, sep string, header string, erro string"
+DIALECT_SCHEMA = "path string, encoding string, sep string, header string, multilinha boolean, erro string"
 
 
 def local_or_fs(path: str):
@@ -69,6 +70,18 @@ def _decode(sample: bytes, encoding: str) -> str:
         raise
 
 
+def has_quoted_newlines(text: str, sep: str) -> bool:
+    """Whether a quoted field in the sample spans lines (then the file must
+    be read with ``multiLine``, which gives up splitting it)."""
+    if '"' not in text:
+        return False
+    complete = text[: text.rfind("\n")] if "\n" in text else text  # ignore a row cut by the sample end
+    try:
+        return any("\n" in field or "\r" in field for row in csv.reader(io.StringIO(complete), delimiter=sep) for field in row)
+    except csv.Error:
+        return False
+
+
 def sniff(sample: bytes) -> tuple[str, str, str]:
     """(Spark encoding name, separator, header line) of a CSV sample."""
     for enc in ENCODINGS:
@@ -91,11 +104,13 @@ def _sniff_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for path in pdf["path"]:
             try:
-                enc, sep, header = sniff(open_prefix(path, SAMPLE_BYTES))
-                out.append((path, enc, sep, header, None))
+                sample = open_prefix(path, SAMPLE_BYTES)
+                enc, sep, header = sniff(sample)
+                text = sample.decode({"UTF-8": "utf-8", "ISO-8859-1": "latin1"}[enc], errors="ignore")
+                out.append((path, enc, sep, header, has_quoted_newlines(text, sep), None))
             except Exception as e:  # noqa: BLE001 - one bad file must not stop the others
-                out.append((path, None, None, None, f"{type(e).__name__}: {e}"))
-        yield pd.DataFrame(out, columns=["path", "encoding", "sep", "header", "erro"])
+                out.append((path, None, None, None, None, f"{type(e).__name__}: {e}"))
+        yield pd.DataFrame(out, columns=["path", "encoding", "sep", "header", "multilinha", "erro"])
 
 
 def detect_dialects(files: DataFrame) -> DataFrame:

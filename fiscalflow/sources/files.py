@@ -172,9 +172,10 @@ def read_tabular(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
         for d in dia:
             if d.erro or not d.header:
                 raise ValueError(f"cannot read {d.path}: {d.erro or 'empty file'}")
-            classes.setdefault((d.encoding, d.sep, d.header), []).append(d.path)
-        for (enc, sep, _h), ps in classes.items():
-            out.append(read_csv(spark, ps, sep=sep, encoding=enc).withColumn("path", F.col("_metadata.file_path")))
+            classes.setdefault((d.encoding, d.sep, d.header, bool(d.multilinha)), []).append(d.path)
+        for (enc, sep, _h, multi), ps in classes.items():
+            df = read_csv(spark, ps, sep=sep, encoding=enc, multiline=multi)
+            out.append(df.withColumn("path", F.col("_metadata.file_path")))
     sheets = [p for p in paths if suffix(p) in (".xlsx", ".ods")]
     if sheets:
         for _names, df in promote_header(spreadsheet_rows(spark.read.format("binaryFile").load(sheets))):

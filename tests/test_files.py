@@ -118,3 +118,16 @@ def test_url_file_name(spark):
 
     df = spark.createDataFrame([("https://x.org/FTP/PDA/Dados%20ANS%C3%A7.csv?x=1",), ("ftp://h/a/",)], "u string")
     assert [r.n for r in df.select(url_file_name("u").alias("n")).collect()] == ["Dados ANSç.csv", ""]
+
+
+def test_quoted_newlines_are_detected_and_read(spark, tmp_path):
+    from fiscalflow.plans.ingest import ingest
+
+    write(tmp_path / "in" / "notas.csv", 'id;texto\n1;"linha um\nlinha dois"\n2;simples\n')
+    write(tmp_path / "in" / "outras.csv", "id;texto\n3;sem quebra\n")
+    d = {r.path.rsplit("/", 1)[-1]: r.multilinha for r in dialect.detect_dialects(
+        spark.read.format("binaryFile").load(str(tmp_path / "in")).select("path")).collect()}
+    assert d == {"notas.csv": True, "outras.csv": False}
+    res = ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), group="NOTAS")
+    got = sorted((r.id, r.texto) for r in res.unified.collect())
+    assert got == [("1", "linha um\nlinha dois"), ("2", "simples"), ("3", "sem quebra")]
