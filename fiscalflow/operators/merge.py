@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalflow.functions.names import group_from_name_py, ignore_by_name, safe_name_py
+from fiscalflow.functions.names import group_from_name, ignore_by_name, safe_name_py
 from fiscalflow.operators.extract import apply_filters, apply_where, normalize_columns
 from fiscalflow.operators.union import relaxed_union
 
@@ -24,10 +24,6 @@ ORIGIN = "arquivo_origem"
 GROUP = "grupo_mescla"
 
 
-# Per-file tag tables up to this many rows (one per file) are broadcast.
-BROADCAST_FILES = 200_000
-
-
 def with_lineage(
     df: DataFrame, name_col: str | None = None, group: str | None = None, drop_name_col: bool = True
 ) -> DataFrame:
@@ -35,24 +31,27 @@ def with_lineage(
 
     ``name_col`` defaults to the scan's ``_metadata.file_name``; a caller
     ``group`` overrides the rule for every row.  The name rule depends on the
-    file only, so it runs once per distinct file (a metadata-sized list on
-    the driver), and the tags are joined back on the file: a broadcast join
-    when the file count, known here, is under ``BROADCAST_FILES``.
+    file only, so it runs on the distinct file list (a metadata-only scan:
+    no data columns are read), and the per-file tags are joined back on the
+    file.  Nothing goes through the driver; AQE broadcasts the tag table
+    when its measured size allows, else the join is a shuffle join whose
+    skewed partitions (one huge file) AQE splits.
     """
-    spark = df.sparkSession
     if name_col is None:
-        key = F.col("_metadata.file_path")
-        pairs = df.select(key.alias("k"), F.col("_metadata.file_name").alias("n")).distinct().collect()
+        key, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
     else:
-        key = F.col(name_col)
-        pairs = [(r.k, r.k) for r in df.select(key.alias("k")).distinct().collect()]
-    tags = spark.createDataFrame(
-        [(k, n, None if n is None else group_from_name_py(n, group)) for k, n in pairs],
-        f"__lineage_key string, {ORIGIN} string, {GROUP} string",
+        key = name = F.col(name_col)
+    tags = (
+        df.select(key.cast("string").alias("__lineage_key"), name.cast("string").alias(ORIGIN))
+        .distinct()
+        .withColumn(GROUP, group_from_name(F.col(ORIGIN), group))
+    )
+    cond = F.col("__lineage_key").eqNullSafe(F.col("__tag_key"))
+    out = (
+        df.withColumn("__lineage_key", key.cast("string"))
+        .join(tags.withColumnRenamed("__lineage_key", "__tag_key"), cond, "left")
+        .drop("__lineage_key", "__tag_key")
     )
-    if len(pairs) <= BROADCAST_FILES:
-        tags = F.broadcast(tags)
-    out = df.withColumn("__lineage_key", key.cast("string")).join(tags, "__lineage_key", "left").drop("__lineage_key")
     if drop_name_col and name_col is not None and name_col not in (ORIGIN, GROUP):
         out = out.drop(name_col)
     return out
@@ -128,19 +127,29 @@ def merge_by_group(
         for s in sources
     ]
     files = relaxed_union(file_lists).withColumn("ignorado", ignore_by_name(F.col(ORIGIN)))
+    members: dict[str, set[int]] = {}
+    n_files: dict[str, int] = {}
     if file_groups is None:
+        # One row per (source, group) with its file count: small, whatever
+        # the number of files.
         tagged = [fl.withColumn("__src", F.lit(i)) for i, fl in enumerate(file_lists)]
-        listing = relaxed_union(tagged).filter(~ignore_by_name(F.col(ORIGIN))).collect()  # one row per file
-        file_groups = [[] for _ in sources]
-        for r in listing:
-            file_groups[r["__src"]].append((r[ORIGIN], r[GROUP]))
-    members: dict[str, set[int]] = {}
-    origins: dict[str, set[str]] = {}
-    for idx, pairs in enumerate(file_groups):
-        for origin, g in pairs:
-            members.setdefault(g, set()).add(idx)
-            origins.setdefault(g, set()).add(origin)
-    n_files = {g: len(o) for g, o in origins.items()}
+        summary = (
+            relaxed_union(tagged)
+            .filter(~ignore_by_name(F.col(ORIGIN)))
+            .groupBy("__src", GROUP)
+            .agg(F.count_distinct(ORIGIN).alias("__files"))
+            .collect()
+        )
+        for r in summary:
+            members.setdefault(r[GROUP], set()).add(r["__src"])
+            n_files[r[GROUP]] = n_files.get(r[GROUP], 0) + r["__files"]
+    else:
+        origins: dict[str, set[str]] = {}
+        for idx, pairs in enumerate(file_groups):
+            for origin, g in pairs:
+                members.setdefault(g, set()).add(idx)
+                origins.setdefault(g, set()).add(origin)
+        n_files = {g: len(o) for g, o in origins.items()}
     if not members:
         raise ValueError("no file could be merged: every source is empty or ignored")
 
