@@ -39,14 +39,6 @@ def month_end(c: str | Column) -> Column:
     return F.last_day(F.to_date(col(c)))
 
 
-def month_start(c: str | Column) -> Column:
-    return F.trunc(F.to_date(col(c)), "month")
-
-
-def year_of(c: str | Column) -> Column:
-    return F.year(col(c))
-
-
 def days_between(end: str | Column, start: str | Column) -> Column:
     """Whole days from ``start`` to ``end`` (integer, may be negative)."""
     return F.datediff(F.to_date(col(end)), F.to_date(col(start)))

@@ -83,10 +83,6 @@ def scan_parquet_dir(spark: SparkSession, folder: str) -> list[DataFrame]:
     return [spark.read.parquet(*ps) for ps in classes]
 
 
-def all_string_schema(columns: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-
-
 def read_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
