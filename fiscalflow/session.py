@@ -73,14 +73,24 @@ def build_session(
     return spark
 
 
+_local_root: str | None = None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The configured shared folder (``spark.checkpoint.dir``); a local
-    temporary one is set only when the session has none (tests, local runs)."""
-    current = spark.conf.get(_CHECKPOINT_KEY, None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="fiscalflow-ckpt-")
-        spark.conf.set(_CHECKPOINT_KEY, current)
-    return current
+    """The configured shared folder (``spark.checkpoint.dir``).
+
+    Read from the session, never overridden.  Only when no setting exists
+    (local runs, tests) is a temporary folder used, remembered for the
+    process; ``spark.checkpoint.dir`` is a core setting a running session
+    cannot change, so it is not written back.
+    """
+    global _local_root
+    current = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
+    if current:
+        return current
+    if _local_root is None:
+        _local_root = tempfile.mkdtemp(prefix="fiscalflow-ckpt-")
+    return _local_root
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
