@@ -33,6 +33,7 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     rows, cols = df.collect(), df.columns
+    assert len(set(cols)) == len(cols) and not any("(" in c or " " in c for c in cols), cols
     res = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
