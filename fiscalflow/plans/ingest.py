@@ -153,7 +153,9 @@ def ingest(
     if zips:
         land = f"{out}/_extraidos"
         ent = materialize(
-            zip_entries(spark.read.format("binaryFile").load(zips), land, max_zip_depth, group), spark, "zip-entries"
+            zip_entries(spark.createDataFrame([(z,) for z in zips], "path string"), land, max_zip_depth, group, len(zips)),
+            spark,
+            "zip-entries",
         )
         for r in ent.collect():  # one row per archive entry
             if r.status == "ok":
@@ -221,7 +223,9 @@ def ingest(
     sheets = [e for e in entries if e["ext"] in (".xlsx", ".ods")]
     if sheets:
         cells = materialize(
-            spreadsheet_rows(spark.read.format("binaryFile").load([s["caminho_local"] for s in sheets])), spark, "cells"
+            spreadsheet_rows(spark.createDataFrame([(s["caminho_local"],) for s in sheets], "path string"), len(sheets)),
+            spark,
+            "cells",
         )
         seen = {norm_path(r.path) for r in cells.select("path").distinct().collect()}
         for s in sheets:

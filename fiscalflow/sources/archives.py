@@ -1,10 +1,11 @@
 """Zip archives: recursive expansion inside tasks, entries landed as files.
 
-Each archive is one task (deflate streams do not split); nested archives
-are opened in memory inside that task, down to ``max_depth``.  Tabular
-entries are written to a landing folder under the shared checkpoint area
-and come back as *paths*, so their bytes never travel inside Spark rows
-and the landed CSVs are read by Spark's own splittable CSV scan afterwards.
+Each archive is one task (deflate streams do not split), opened by path
+with random access; nested archives are landed and opened the same way,
+down to ``max_depth``.  Tabular entries are streamed to a landing folder
+under the shared checkpoint area and come back as *paths*, so their bytes
+never travel inside Spark rows and the landed CSVs are read by Spark's own
+splittable CSV scan afterwards.
 
 Per entry the output says what happened (``ok``, ``ignorado`` with the
 reason, ``erro`` with the message), which feeds the error and ignored
@@ -16,8 +17,8 @@ also keeps two archives with the same stem apart.
 from __future__ import annotations
 
 import hashlib
-import io
 import os
+import shutil
 import zipfile
 from collections.abc import Iterator
 
@@ -44,28 +45,44 @@ def _suffix(name: str) -> str:
     return base[dot:].lower() if 0 < dot < len(base) - 1 else ""
 
 
-def write_bytes(path: str, data: bytes) -> None:
-    """Write a file on local or shared storage from inside a task."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    if "://" not in path:
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        tmp = f"{path}.tmp-{os.getpid()}"
+def _local(path: str) -> str | None:
+    from fiscalflow.sources.dialect import local_or_fs
+
+    fs, inner = local_or_fs(path)
+    return inner if fs is None else None
+
+
+def open_input(path: str):
+    """Random-access binary handle on local or shared storage, from a task."""
+    from fiscalflow.sources.dialect import local_or_fs
+
+    fs, inner = local_or_fs(path)
+    return open(inner, "rb") if fs is None else fs.open_input_file(inner)
+
+
+def write_stream(path: str, src, chunk: int = 8 << 20) -> None:
+    """Copy a readable stream to ``path`` in chunks (bounded memory).
+
+    Local files are written under a temporary name and renamed, so a retried
+    task rewrites the same name atomically; object stores commit on close.
+    """
+    local = _local(path)
+    if local is not None:
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        tmp = f"{local}.tmp-{os.getpid()}"
         with open(tmp, "wb") as fh:
-            fh.write(data)
-        os.replace(tmp, path)  # atomic: a retried task rewrites the same name
+            shutil.copyfileobj(src, fh, chunk)
+        os.replace(tmp, local)
         return
-    import pyarrow.fs as pafs
+    from fiscalflow.sources.dialect import local_or_fs
 
-    fs, inner = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    fs, inner = local_or_fs(path)
     with fs.open_output_stream(inner) as fh:
-        fh.write(data)
+        shutil.copyfileobj(src, fh, chunk)
 
 
 def expand_zip(
-    data: bytes,
+    archive: str,
     chain: str,
     group: str,
     land_dir: str,
@@ -75,11 +92,16 @@ def expand_zip(
 ) -> Iterator[tuple]:
     """Yield one tuple per entry (see ``ENTRY_SCHEMA`` minus ``arquivo_zip``).
 
-    ``group`` is the outermost archive's group, kept for every nested entry.
-    Landed names hash the archive's full path with the chain, so archives
-    that share a name in different folders land apart.
+    ``archive`` is a path opened with random access, so only the central
+    directory and the entries themselves are read, in chunks.  A nested
+    archive is first landed (streamed) and then opened the same way, so
+    memory stays bounded whatever the sizes.  ``group`` is the outermost
+    archive's group, kept for every nested entry.  Landed names hash the
+    outermost archive's full path with the chain, so archives that share a
+    name in different folders land apart.
     """
-    with zipfile.ZipFile(io.BytesIO(data)) as zf:
+    root = land_dir.rstrip("/")
+    with open_input(archive) as raw, zipfile.ZipFile(raw) as zf:
         for info in zf.infolist():
             if info.is_dir():
                 continue
@@ -90,22 +112,24 @@ def expand_zip(
             if ignore_by_name_py(name):
                 yield (origin, entry, name, depth, group, "ignorado", "dicionario de dados", None)
                 continue
+            key = hashlib.sha1(f"{archive_path}{CHAIN_SEP}{origin}".encode("utf-8")).hexdigest()[:20]
             try:
                 if ext == ".zip":
                     if depth + 1 > max_depth:
                         raise ValueError(f"maximum archive depth {max_depth} exceeded")
-                    inner = zf.read(info)
-                    yield from expand_zip(inner, origin, group, land_dir, depth + 1, max_depth, archive_path)
+                    nested = f"{root}/_aninhados/{key}.zip"
+                    with zf.open(info) as src:
+                        write_stream(nested, src)
+                    yield from expand_zip(nested, origin, group, land_dir, depth + 1, max_depth, archive_path)
                     continue
                 if ext not in TABULAR:
                     yield (origin, entry, name, depth, group, "ignorado", f"extensao nao suportada: {ext or '(nenhuma)'}", None)
                     continue
                 if ext not in READABLE:
                     raise ValueError(f"no reader for {ext}")
-                content = zf.read(info)
-                key = hashlib.sha1(f"{archive_path}{CHAIN_SEP}{origin}".encode("utf-8")).hexdigest()[:20]
-                target = f"{land_dir.rstrip('/')}/{key}/{_safe_file_name(name)}"
-                write_bytes(target, content)
+                target = f"{root}/{key}/{_safe_file_name(name)}"
+                with zf.open(info) as src:  # CRC is checked as the stream ends
+                    write_stream(target, src)
                 yield (origin, entry, name, depth, group, "ok", None, target)
             except Exception as e:  # noqa: BLE001 - a bad entry is recorded, the rest goes on
                 yield (origin, entry, name, depth, group, "erro", f"{type(e).__name__}: {e}", None)
@@ -122,11 +146,11 @@ def _expand_batches(land_dir: str, max_depth: int, given_group: str | None):
                 "grupo_mescla_padrao", "status", "motivo", "caminho_local"]
         for pdf in batches:
             out = []
-            for path, content in zip(pdf["path"], pdf["content"]):
+            for path in pdf["path"]:
                 zip_name = path.rsplit("/", 1)[-1]
                 group = group_from_name_py(zip_name, given_group)
                 try:
-                    for row in expand_zip(bytes(content), zip_name, group, land_dir, 0, max_depth, path):
+                    for row in expand_zip(path, zip_name, group, land_dir, 0, max_depth, path):
                         out.append((path, *row))
                 except Exception as e:  # noqa: BLE001 - corrupt archive: one error row
                     out.append((path, zip_name, None, zip_name, 0, group, "erro", f"{type(e).__name__}: {e}", None))
@@ -135,13 +159,19 @@ def _expand_batches(land_dir: str, max_depth: int, given_group: str | None):
     return run
 
 
-def zip_entries(archives: DataFrame, land_dir: str, max_depth: int = MAX_DEPTH, group: str | None = None) -> DataFrame:
-    """``archives`` is a ``binaryFile`` scan of ``*.zip`` files (path, content).
+def zip_entries(
+    archives: DataFrame, land_dir: str, max_depth: int = MAX_DEPTH, group: str | None = None, n_files: int | None = None
+) -> DataFrame:
+    """``archives`` has a ``path`` column (e.g. a ``binaryFile`` listing with
+    only ``path`` selected: no bytes are read by Spark).
 
-    No shuffle of archive bytes: the ``binaryFile`` scan already gives a big
-    archive a task of its own (whole files, packed up to
-    ``spark.sql.files.maxPartitionBytes``), and expansion runs where the
-    bytes were read.
+    Each task opens its archives by path with random access and streams
+    entries out, so an archive of any size (beyond the 2 GB a single
+    ``binaryFile`` row can hold) expands in bounded memory.  One row per
+    archive, spread over as many partitions as archives (capped), so big
+    archives expand in parallel.
     """
-    src = archives.select("path", "content")
-    return src.mapInPandas(_expand_batches(land_dir, max_depth, group), ENTRY_SCHEMA)
+    from fiscalflow.sources.sheets import one_file_per_task
+
+    paths = one_file_per_task(archives, n_files)
+    return paths.mapInPandas(_expand_batches(land_dir, max_depth, group), ENTRY_SCHEMA)

@@ -36,13 +36,11 @@ DIALECT_SCHEMA = "path string, encoding string, sep string, header string, multi
 def local_or_fs(path: str):
     """(filesystem or None for local, path) for a Spark path (``file:/...``,
     ``s3a://...``, ``hdfs://...``), usable inside a task."""
-    from urllib.parse import unquote
-
-    if path.startswith("file:"):
+    if path.startswith("file:"):  # listing paths are not percent-encoded
         local = path[5:]
         while local.startswith("//"):
             local = local[1:]
-        return None, unquote(local)
+        return None, local
     if "://" not in path:
         return None, path
     import pyarrow.fs as pafs

@@ -1,8 +1,9 @@
 """Spreadsheets (``.xlsx``, ``.ods``): first sheet as rows of text cells.
 
 No spreadsheet library is installed, and both formats are zip files of
-XML, so each workbook is parsed with the standard library inside a task
-(one workbook per task: a workbook cannot be split).  The output is one
+XML, so each workbook is opened by path inside a task (one workbook per
+task: a workbook cannot be split) and its sheet XML is streamed with
+``iterparse``, so memory stays bounded by the batch size, not the file.  The output is one
 row per sheet row, ``(path, row_idx, cells array<string>)``; the header row
 is promoted to column names per header class by :func:`promote_header`,
 with JVM-side projections.  ``.xls`` (binary BIFF) has no reader here and is
@@ -39,88 +40,115 @@ def _col_index(ref: str) -> int:
     return n - 1
 
 
+def _iter_xlsx(zf: zipfile.ZipFile) -> Iterator[list[str | None]]:
+    names = set(zf.namelist())
+    shared: list[str] = []
+    if "xl/sharedStrings.xml" in names:
+        with zf.open("xl/sharedStrings.xml") as fh:
+            for _, el in ET.iterparse(fh):
+                if el.tag == f"{_NS_MAIN}si":
+                    shared.append("".join(t.text or "" for t in el.iter(f"{_NS_MAIN}t")))
+                    el.clear()
+    wb = ET.fromstring(zf.read("xl/workbook.xml"))
+    first = next(wb.iter(f"{_NS_MAIN}sheet"))
+    rid = first.get(f"{_NS_REL}id")
+    target = "worksheets/sheet1.xml"
+    if "xl/_rels/workbook.xml.rels" in names:
+        rels = ET.fromstring(zf.read("xl/_rels/workbook.xml.rels"))
+        for rel in rels.iter(f"{_NS_PKG_REL}Relationship"):
+            if rel.get("Id") == rid:
+                target = rel.get("Target").lstrip("/")
+                break
+    path = target if target.startswith("xl/") else f"xl/{target}"
+    n_rows = 0
+    with zf.open(path) as fh:
+        for _, row in ET.iterparse(fh):
+            if row.tag != f"{_NS_MAIN}row":
+                continue
+            r_idx = int(row.get("r", n_rows + 1)) - 1
+            while n_rows < r_idx:  # rows absent from the XML are empty
+                yield []
+                n_rows += 1
+            cells: list[str | None] = []
+            for c in row.iter(f"{_NS_MAIN}c"):
+                idx = _col_index(c.get("r")) if c.get("r") else len(cells)
+                while len(cells) < idx:
+                    cells.append(None)
+                kind = c.get("t")
+                v = c.find(f"{_NS_MAIN}v")
+                if kind == "s" and v is not None:
+                    value = shared[int(v.text)]
+                elif kind == "inlineStr":
+                    value = "".join(t.text or "" for t in c.iter(f"{_NS_MAIN}t"))
+                elif kind == "b" and v is not None:
+                    value = "true" if v.text == "1" else "false"
+                else:
+                    value = v.text if v is not None else None
+                cells.append(value)
+            row.clear()
+            yield cells
+            n_rows += 1
+
+
+def _ods_cell(c) -> str | None:
+    vtype = c.get(f"{_NS_OFFICE}value-type")
+    if vtype in ("float", "percentage", "currency"):
+        return c.get(f"{_NS_OFFICE}value")
+    if vtype == "date":
+        return c.get(f"{_NS_OFFICE}date-value")
+    if vtype == "boolean":
+        return c.get(f"{_NS_OFFICE}boolean-value")
+    paras = ["".join(p.itertext()) for p in c.iter(f"{_NS_TEXT}p")]
+    return "\n".join(paras) if paras else None
+
+
+def _iter_ods(zf: zipfile.ZipFile) -> Iterator[list[str | None]]:
+    """First table only; repeated cells/rows expanded, trailing empty cells
+    dropped, runs of empty rows kept once only when rows follow them."""
+    pending_empty = 0
+    depth = 0
+    with zf.open("content.xml") as fh:
+        for event, el in ET.iterparse(fh, events=("start", "end")):
+            if el.tag == f"{_NS_TABLE}table":
+                if event == "start":
+                    depth += 1
+                    continue
+                return  # end of the first table
+            if event != "end" or el.tag != f"{_NS_TABLE}table-row" or depth == 0:
+                continue
+            cells: list[str | None] = []
+            for c in el:
+                if c.tag not in (f"{_NS_TABLE}table-cell", f"{_NS_TABLE}covered-table-cell"):
+                    continue
+                rep = int(c.get(f"{_NS_TABLE}number-columns-repeated", "1"))
+                cells.extend([_ods_cell(c)] * min(rep, 16384))
+            while cells and cells[-1] is None:
+                cells.pop()
+            rep_rows = int(el.get(f"{_NS_TABLE}number-rows-repeated", "1"))
+            el.clear()
+            if not cells:
+                pending_empty = 1  # a run of empty rows counts once; trailing ones vanish
+                continue
+            for _ in range(pending_empty):
+                yield []
+            pending_empty = 0
+            for _ in range(min(rep_rows, 1_048_576)):
+                yield cells
+
+
+_READERS = {".xlsx": _iter_xlsx, ".ods": _iter_ods}
+
+
 def read_xlsx(data: bytes) -> list[list[str | None]]:
-    """Rows of the first worksheet; shared and inline strings resolved."""
+    """Rows of the first worksheet of an in-memory workbook."""
     with zipfile.ZipFile(io.BytesIO(data)) as zf:
-        shared: list[str] = []
-        if "xl/sharedStrings.xml" in zf.namelist():
-            root = ET.fromstring(zf.read("xl/sharedStrings.xml"))
-            for si in root.iter(f"{_NS_MAIN}si"):
-                shared.append("".join(t.text or "" for t in si.iter(f"{_NS_MAIN}t")))
-        wb = ET.fromstring(zf.read("xl/workbook.xml"))
-        first = next(wb.iter(f"{_NS_MAIN}sheet"))
-        rid = first.get(f"{_NS_REL}id")
-        target = "worksheets/sheet1.xml"
-        if "xl/_rels/workbook.xml.rels" in zf.namelist():
-            rels = ET.fromstring(zf.read("xl/_rels/workbook.xml.rels"))
-            for rel in rels.iter(f"{_NS_PKG_REL}Relationship"):
-                if rel.get("Id") == rid:
-                    target = rel.get("Target").lstrip("/")
-                    break
-        path = target if target.startswith("xl/") else f"xl/{target}"
-        sheet = ET.fromstring(zf.read(path))
-    rows: list[list[str | None]] = []
-    for row in sheet.iter(f"{_NS_MAIN}row"):
-        r_idx = int(row.get("r", len(rows) + 1)) - 1
-        while len(rows) < r_idx:
-            rows.append([])
-        cells: list[str | None] = []
-        for c in row.iter(f"{_NS_MAIN}c"):
-            idx = _col_index(c.get("r")) if c.get("r") else len(cells)
-            while len(cells) < idx:
-                cells.append(None)
-            kind = c.get("t")
-            v = c.find(f"{_NS_MAIN}v")
-            if kind == "s" and v is not None:
-                value = shared[int(v.text)]
-            elif kind == "inlineStr":
-                value = "".join(t.text or "" for t in c.iter(f"{_NS_MAIN}t"))
-            elif kind == "b" and v is not None:
-                value = "true" if v.text == "1" else "false"
-            else:
-                value = v.text if v is not None else None
-            cells.append(value)
-        rows.append(cells)
-    return rows
+        return list(_iter_xlsx(zf))
 
 
 def read_ods(data: bytes) -> list[list[str | None]]:
-    """Rows of the first table; repeated rows/cells expanded, trailing empty
-    cells and rows dropped."""
+    """Rows of the first table of an in-memory ODS document."""
     with zipfile.ZipFile(io.BytesIO(data)) as zf:
-        root = ET.fromstring(zf.read("content.xml"))
-    table = next(root.iter(f"{_NS_TABLE}table"))
-    rows: list[list[str | None]] = []
-    for row in table.iter(f"{_NS_TABLE}table-row"):
-        cells: list[str | None] = []
-        for c in row:
-            if c.tag not in (f"{_NS_TABLE}table-cell", f"{_NS_TABLE}covered-table-cell"):
-                continue
-            rep = int(c.get(f"{_NS_TABLE}number-columns-repeated", "1"))
-            vtype = c.get(f"{_NS_OFFICE}value-type")
-            if vtype in ("float", "percentage", "currency"):
-                value = c.get(f"{_NS_OFFICE}value")
-            elif vtype == "date":
-                value = c.get(f"{_NS_OFFICE}date-value")
-            elif vtype == "boolean":
-                value = c.get(f"{_NS_OFFICE}boolean-value")
-            else:
-                paras = ["".join(p.itertext()) for p in c.iter(f"{_NS_TEXT}p")]
-                value = "\n".join(paras) if paras else None
-            cells.extend([value] * min(rep, 16384))
-        while cells and cells[-1] is None:
-            cells.pop()
-        rep_rows = int(row.get(f"{_NS_TABLE}number-rows-repeated", "1"))
-        if cells:
-            rows.extend([cells] * min(rep_rows, 1_048_576))
-        else:
-            rows.append(cells)  # a run of empty rows counts once; trailing ones are dropped
-    while rows and not rows[-1]:
-        rows.pop()
-    return rows
-
-
-READERS = {".xlsx": read_xlsx, ".ods": read_ods}
+        return list(_iter_ods(zf))
 
 
 def _suffix(path: str) -> str:
@@ -129,23 +157,47 @@ def _suffix(path: str) -> str:
     return name[dot:].lower() if 0 < dot < len(name) - 1 else ""
 
 
+BATCH_ROWS = 10_000
+
+
 def _sheet_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    from fiscalflow.sources.archives import open_input
+
+    def frame(paths, idxs, cells):
+        return pd.DataFrame({"path": paths, "row_idx": pd.Series(idxs, dtype="int32"), "cells": cells})
+
     for pdf in batches:
-        paths, idxs, cells = [], [], []
-        for path, content in zip(pdf["path"], pdf["content"]):
-            reader = READERS.get(_suffix(path))
+        for path in pdf["path"]:
+            reader = _READERS.get(_suffix(path))
             if reader is None:
                 continue
-            for i, row in enumerate(reader(bytes(content))):
-                paths.append(path)
-                idxs.append(i)
-                cells.append(row)
-        yield pd.DataFrame({"path": paths, "row_idx": pd.Series(idxs, dtype="int32"), "cells": cells})
-
-
-def spreadsheet_rows(files: DataFrame) -> DataFrame:
-    """``files``: a ``binaryFile`` scan (path, content) of workbooks."""
-    return files.select("path", "content").mapInPandas(_sheet_batches, CELLS_SCHEMA)
+            paths, idxs, cells = [], [], []
+            with open_input(path) as raw, zipfile.ZipFile(raw) as zf:
+                for i, row in enumerate(reader(zf)):
+                    paths.append(path)
+                    idxs.append(i)
+                    cells.append(row)
+                    if len(paths) >= BATCH_ROWS:  # bounded memory per task
+                        yield frame(paths, idxs, cells)
+                        paths, idxs, cells = [], [], []
+            if paths:
+                yield frame(paths, idxs, cells)
+
+
+def one_file_per_task(files: DataFrame, n_files: int | None = None, cap: int = 10_000) -> DataFrame:
+    """Spread a path list so each task gets about one file: an explicit
+    partition count (AQE does not coalesce it) with range partitioning
+    (balanced, unlike hashing a few keys)."""
+    paths = files.select("path")
+    n = n_files if n_files is not None else paths.count()  # a listing: metadata only
+    return paths.repartitionByRange(max(1, min(n, cap)), "path")
+
+
+def spreadsheet_rows(files: DataFrame, n_files: int | None = None) -> DataFrame:
+    """``files`` has a ``path`` column (a ``binaryFile`` listing with only
+    ``path`` selected reads no bytes).  Each workbook is opened by path in a
+    task and its first sheet streamed out in batches of ``BATCH_ROWS``."""
+    return one_file_per_task(files, n_files).mapInPandas(_sheet_batches, CELLS_SCHEMA)
 
 
 def header_names(header: list[str | None]) -> list[str]:
