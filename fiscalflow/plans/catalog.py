@@ -1096,3 +1096,58 @@ def q_incremental_ingest(spark, sf):
         run_incremental(spark, src, schema, out, name=day)
     got = read_output(spark, out)
     return got.select("event_id", "user_id", "event_type", "value", F.col("grupo_mescla"))
+
+
+def _zip_parts(out_dir: str):
+    """mapInPandas body: pack each landed CSV part into its own archive
+    (every second one nested one level deeper), written under ``out_dir``."""
+    import io as _io
+    import zipfile as _zip
+
+    import pandas as pd
+
+    from fiscalflow.sources.archives import open_input, write_stream
+
+    def run(batches):
+        for pdf in batches:
+            made = []
+            for path in pdf["path"]:
+                part = path.rsplit("/", 1)[-1]
+                stem = part.split(".", 1)[0]
+                buf = _io.BytesIO()
+                with _zip.ZipFile(buf, "w", _zip.ZIP_DEFLATED) as zf, open_input(path) as src:
+                    with zf.open(f"documentos/{stem}.csv", "w") as dst:
+                        while chunk := src.read(8 << 20):
+                            dst.write(chunk)
+                data = buf.getvalue()
+                if sum(map(ord, stem)) % 2:  # nest this one: outer.zip::inner.zip::entry
+                    outer = _io.BytesIO()
+                    with _zip.ZipFile(outer, "w", _zip.ZIP_STORED) as zf:
+                        zf.writestr(f"interno_{stem}.zip", data)
+                    data = outer.getvalue()
+                target = f"{out_dir.rstrip('/')}/documentos_{stem}.zip"
+                write_stream(target, _io.BytesIO(data))
+                made.append(target)
+            yield pd.DataFrame({"path": made})
+
+    return run
+
+
+@register(
+    "zip_entries",
+    "SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, source, text, 'DOCUMENTOS' AS grupo_mescla FROM documents",
+)
+def q_zip_entries(spark, sf):
+    """``documents`` landed as ``;`` CSV parts, each packed into a zip (some
+    nested), then expanded and ingested: whole texts, quoted newlines
+    included, must come back unchanged."""
+    from fiscalflow.plans.ingest import ingest
+    from fiscalflow.session import scratch_path
+    from fiscalflow.sources.sinks import write_csv
+
+    root = scratch_path(spark, "landing-zip")
+    write_csv(table(spark, sf, "documents").select("doc_id", "lang", "source", "text"), f"{root}/csv", sep=";")
+    parts = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(f"{root}/csv").select("path")
+    parts.mapInPandas(_zip_parts(f"{root}/zips"), "path string").collect()  # one row per archive written
+    res = ingest(spark, f"{root}/zips", scratch_path(spark, "ingest-zip"), group="DOCUMENTOS")
+    return res.unified.select("doc_id", "lang", "source", "text", "grupo_mescla")

@@ -75,9 +75,14 @@ def has_quoted_newlines(text: str, sep: str) -> bool:
         return False
     complete = text[: text.rfind("\n")] if "\n" in text else text  # ignore a row cut by the sample end
     try:
-        return any("\n" in field or "\r" in field for row in csv.reader(io.StringIO(complete), delimiter=sep) for field in row)
-    except csv.Error:
+        for row in csv.reader(io.StringIO(complete), delimiter=sep, strict=True):
+            if any("\n" in field or "\r" in field for field in row):
+                return True
         return False
+    except csv.Error:
+        # The text was cut at a line break; a quote still open there means a
+        # quoted field runs across lines.
+        return True
 
 
 def sniff(sample: bytes) -> tuple[str, str, str]:

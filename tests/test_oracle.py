@@ -47,7 +47,7 @@ def test_query_matches_oracle(spark, con, name):
 def test_every_query_has_oracle_or_is_fixture_backed():
     fixture_only = set(E.queries()) - set(E.oracle_sql())
     assert fixture_only <= {
-        "manifest_build", "scan_parquet_dir", "csv_dialect", "spreadsheet_rows", "zip_entries",
+        "manifest_build", "scan_parquet_dir", "csv_dialect", "spreadsheet_rows",
         "manifest_roundtrip", "bronze_convert", "merge_from_manifest", "ingest_end_to_end", "incremental_ingest",
     }
 
