@@ -11,6 +11,7 @@ setting is absent (tests, local runs).
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -70,9 +71,29 @@ def build_session(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the executors, once per application.
+
+    Functions run in tasks are pickled by reference, so a worker must be able
+    to import ``fiscalflow`` whatever folder or PYTHONPATH it starts with.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(here):  # else the package is itself imported from a shipped archive
+        base = os.path.join(tempfile.mkdtemp(prefix="fiscalflow-src-"), "fiscalflow_src")
+        spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(here), os.path.basename(here)))
+    _shipped.add(app)
+
+
 _local_root: str | None = None
 
 
