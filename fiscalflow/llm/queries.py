@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fiscalflow.llm import langid
+from fiscalflow.llm import bpe, golomb_dedup, langid
 from fiscalflow.llm.common import documents
 
 
@@ -17,6 +17,36 @@ def op1_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.learn_and_predict(documents(spark, sf_dir))
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """The public tokenizer file; the same path on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_and_decode(documents(spark, sf_dir), vocabulary())
+
+
+def op10_golomb_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return golomb_dedup.exact_groups(documents(spark, sf_dir))
+
+
+OP10_SQL = r"""
+WITH n AS (
+  SELECT doc_id, length(coalesce(text, '')) AS c, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents
+)
+SELECT doc_id,
+  first_value(doc_id) OVER (PARTITION BY t ORDER BY c DESC, doc_id) AS keep_id,
+  count(*) OVER (PARTITION BY t) AS group_size,
+  doc_id = first_value(doc_id) OVER (PARTITION BY t ORDER BY c DESC, doc_id) AS kept,
+  sha256(t) AS text_sha256
+FROM n
+"""
+
+
 CATALOG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_rank_order_language": (op1_rank_order_language, None),
+    "op3_backtracking_bpe": (op3_backtracking_bpe, None),
+    "op10_golomb_exact_dedup": (op10_golomb_exact_dedup, OP10_SQL),
 }
