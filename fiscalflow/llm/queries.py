@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fiscalflow.llm import bpe, golomb_dedup, langid
+from fiscalflow.llm import bpe, dac_tokens, golomb_dedup, langid
 from fiscalflow.llm.common import documents
 
 
@@ -24,6 +24,10 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_dac_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dac_tokens.write_and_read(documents(spark, sf_dir), vocabulary())
+
+
 def op3_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(documents(spark, sf_dir), vocabulary())
 
@@ -47,6 +51,7 @@ FROM n
 
 CATALOG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_rank_order_language": (op1_rank_order_language, None),
+    "op2_dac_token_files": (op2_dac_token_files, None),
     "op3_backtracking_bpe": (op3_backtracking_bpe, None),
     "op10_golomb_exact_dedup": (op10_golomb_exact_dedup, OP10_SQL),
 }
