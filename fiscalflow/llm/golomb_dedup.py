@@ -148,7 +148,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     verified = by_bytes.groupBy(F.sha2("norm", 256).alias("sha")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_texts"))
     verified = verified.select("sha", F.when(F.col("n_texts") == 1, F.col("n")).otherwise(F.raise_error(F.lit("two texts with one digest"))).alias("n"))
     best = members.where("suspect").groupBy(F.col("text_sha256").alias("sha")).agg(F.min(F.struct(-F.col("n_chars"), F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_no"))).alias("best"))
-    groups = best.join(verified, "sha").select("sha", F.col("best.doc_id").alias("keep_id"), F.col("best.row_no").alias("keep_row"), F.col("n").alias("group_size"))
+    # A written table: a join with it can split a hot group's rows over tasks.
+    groups = materialize(best.join(verified, "sha").select("sha", F.col("best.doc_id").alias("keep_id"), F.col("best.row_no").alias("keep_row"), F.col("n").alias("group_size")), spark, "golomb-groups")
     out = members.join(groups, F.col("text_sha256") == F.col("sha"), "left")
     group_size = F.coalesce("group_size", F.lit(1)).alias("group_size")
     keep_id = F.when(F.col("sha").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fiscalflow.llm import bpe, dac_tokens, golomb_dedup, langid
+from fiscalflow.llm import bpe, dac_tokens, golomb_dedup, jaccard_join, langid
 from fiscalflow.llm.common import documents
 
 
@@ -32,6 +32,27 @@ def op3_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(documents(spark, sf_dir), vocabulary())
 
 
+def op5_adaptive_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(documents(spark, sf_dir))
+
+
+OP5_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS ws
+  FROM documents
+), g AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE [array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)] END) AS s
+  FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+r AS (SELECT doc_id, doc_id AS reach FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.reach)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(reach) AS component_id FROM r GROUP BY doc_id) m USING (doc_id)
+"""
+
+
 def op10_golomb_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return golomb_dedup.exact_groups(documents(spark, sf_dir))
 
@@ -53,5 +74,6 @@ CATALOG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op1_rank_order_language": (op1_rank_order_language, None),
     "op2_dac_token_files": (op2_dac_token_files, None),
     "op3_backtracking_bpe": (op3_backtracking_bpe, None),
+    "op5_adaptive_jaccard_join": (op5_adaptive_jaccard_join, OP5_SQL),
     "op10_golomb_exact_dedup": (op10_golomb_exact_dedup, OP10_SQL),
 }
