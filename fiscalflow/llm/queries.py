@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fiscalflow.llm import bpe, dac_tokens, golomb_dedup, jaccard_join, langid
+from fiscalflow.llm import bpe, dac_tokens, golomb_dedup, jaccard_join, langid, toxicity
 from fiscalflow.llm.common import documents
 
 
@@ -32,6 +32,11 @@ def op3_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(documents(spark, sf_dir), vocabulary())
 
 
+def op4_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return toxicity.learn_and_score(documents(spark, sf_dir), labels)
+
+
 def op5_adaptive_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(documents(spark, sf_dir))
 
@@ -74,6 +79,7 @@ CATALOG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op1_rank_order_language": (op1_rank_order_language, None),
     "op2_dac_token_files": (op2_dac_token_files, None),
     "op3_backtracking_bpe": (op3_backtracking_bpe, None),
+    "op4_noisy_channel_toxicity": (op4_noisy_channel_toxicity, None),
     "op5_adaptive_jaccard_join": (op5_adaptive_jaccard_join, OP5_SQL),
     "op10_golomb_exact_dedup": (op10_golomb_exact_dedup, OP10_SQL),
 }
