@@ -6,7 +6,8 @@
    letters or for nothing.  Viterbi decoding under the language model finds the
    likeliest word; it joins the text it came from.
 3. A logistic model scores the restored text by character 3- to 5-grams within
-   words.  It is fitted on a bounded sample of labelled rows, weighted back to
+   words and longer word beginnings, each by whether it occurs once, twice or
+   three times at least.  It is fitted on a bounded sample of labelled rows, weighted back to
    the labels' true shares; words that carry its evidence then get a share of
    the language model that decodes the texts to be scored.
 
@@ -36,6 +37,8 @@ SAMPLE_PER_LABEL = 8000
 FEATURES, LEAST_DOCS, LEAST_G2 = 4096, 3, 12.0
 #: From this score on a text is predicted toxic.
 THRESHOLD = 0.3
+#: An n-gram's occurrences are told apart up to this number.
+LEVELS = 3
 #: Share of the language model for words that carry evidence, and the number of such words at most.
 LEXICON_SHARE, LEXICON_WORDS = 0.1, 5000
 #: Longest written form that is taken for one obfuscated word.
@@ -217,20 +220,21 @@ class Restorer:
 
 
 def ngram_hashes(text: str) -> np.ndarray:
-    """Hashes of the 3- to 5-grams of a text, gaps only at their ends."""
+    """Hashes of the 3- to 5-grams of a text, gaps only at their ends, and of the word beginnings of 5 to 7 letters."""
     points = _code_points(text)
     s = np.where(_letters(points), points, 1).astype(np.uint64)
     s = np.concatenate(([np.uint64(1)], s, [np.uint64(1)]))
     s = s[np.concatenate(([True], (s[1:] != 1) | (s[:-1] != 1)))]
     gap = s == 1
     out = []
-    code, inner = s[:-1] * np.uint64(0x100000001B3) + s[1:], gap[1:]
-    for n in (3, 4, 5):
+    code, broken = s[:-1] * np.uint64(0x100000001B3) + s[1:], np.zeros(max(0, len(s) - 1), bool)
+    for n in range(3, 9):
         if len(s) < n:
             break
         code = code[:-1] * np.uint64(0x100000001B3) + s[n - 1 :]
-        inside = inner[: len(code)].copy() if n == 3 else inside[: len(code)] | gap[n - 2 : n - 2 + len(code)]
-        out.append(mix64(code[~inside] + np.uint64(n)))
+        broken = broken[:-1] | gap[n - 2 : len(s) - 1]
+        on = ~broken if n < 6 else gap[: len(broken)] & ~broken & ~gap[n - 1 :]
+        out.append(mix64(code[on] + np.uint64(n)))
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
@@ -242,6 +246,8 @@ def _letters(points: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
+    """Weights of an n-gram's first, second and third occurrence, by ascending hash."""
+
     hashes: np.ndarray
     weights: np.ndarray
     intercept: float
@@ -252,11 +258,14 @@ class Model:
         self.front[(self.hashes >> np.uint64(44)).astype(np.int64)] = True
 
     def found(self, restored: str) -> np.ndarray:
-        """Indices of the model's n-grams in a restored text."""
+        """Places in the flattened weights of what occurs in a restored text."""
         h = ngram_hashes(restored)
         h = h[self.front[(h >> np.uint64(44)).astype(np.int64)]]
-        at = np.minimum(np.searchsorted(self.hashes, h), max(0, len(self.hashes) - 1))
-        return np.unique(at[self.hashes[at] == h]) if len(self.hashes) else np.empty(0, np.int64)
+        if not len(h):
+            return np.empty(0, np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        places, counts = np.unique(at[self.hashes[at] == h], return_counts=True)
+        return np.concatenate([places[counts > k] * LEVELS + k for k in range(LEVELS)])
 
     def score(self, restored: str) -> float:
         z = self.intercept + float(self.weights[self.found(restored)].sum())
@@ -322,42 +331,46 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = materialize(sample.mapInArrow(restored, "text string, label int"), spark, "toxic-sample")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[np.ndarray]] = {0: [], 1: []}
+        held: dict[tuple[int, int], list[np.ndarray]] = {}
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for label, parts in held.items():
-                if parts:
-                    values, counts = np.unique(np.concatenate(parts), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(np.where(label == 1, counts, 0).astype(np.int64)), pa.array(np.where(label == 0, counts, 0).astype(np.int64))], ["h", "toxic", "clean"])
+            for (label, level), parts in held.items():
+                values, counts = np.unique(np.concatenate(parts), return_counts=True)
+                none = np.zeros(len(values), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(np.full(len(values), level, np.int32)), pa.array(counts if label else none), pa.array(none if label else counts)], ["h", "level", "toxic", "clean"])
 
         for b in batches:
             for text, label in zip(b["text"].to_pylist(), b["label"].to_pylist(), strict=True):
-                held[label].append(np.unique(ngram_hashes(text)))
-                size += len(held[label][-1])
+                values, counts = np.unique(ngram_hashes(text), return_counts=True)
+                for level in range(LEVELS):
+                    held.setdefault((label, level), []).append(values[counts > level])
+                size += len(values)
             if size > FLUSH:
                 yield from flush()
-                held, size = {0: [], 1: []}, 0
+                held, size = {}, 0
         yield from flush()
 
     of = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(of) < 2:
         return None
-    counts = sample.mapInArrow(counted, "h long, toxic long, clean long").groupBy("h").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).where(F.col("t") >= LEAST_DOCS)
+    counts = sample.mapInArrow(counted, "h long, level int, toxic long, clean long").groupBy("h", "level").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).where(F.col("t") >= LEAST_DOCS)
     rate = (F.col("t") + F.col("c")) / float(of[0] + of[1])
     g2 = 2 * (F.col("t") * F.log(F.col("t") / (rate * of[1])) + F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / (rate * of[0]))).otherwise(0.0))
-    best = counts.where(F.col("t") > rate * of[1]).select("h", g2.alias("g2")).where(F.col("g2") >= LEAST_G2).orderBy(F.desc("g2"), "h").limit(FEATURES).toArrow()
-    hashes = np.sort(best["h"].to_numpy().view(np.uint64))
-    model = Model(hashes, np.zeros(len(hashes)), 0.0, chars)
+    best = counts.where(F.col("t") > rate * of[1]).select("h", "level", g2.alias("g2")).where(F.col("g2") >= LEAST_G2).orderBy(F.desc("g2"), "h", "level").limit(FEATURES).toArrow()
+    hashes = np.unique(best["h"].to_numpy().view(np.uint64))
+    chosen = np.zeros(len(hashes) * LEVELS, bool)
+    chosen[np.searchsorted(hashes, best["h"].to_numpy().view(np.uint64)) * LEVELS + best["level"].to_numpy()] = True
+    model = Model(hashes, np.zeros(len(chosen)), 0.0, chars)
 
     def matrix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b["label"], pa.array([model.found(t).astype(np.int32).tobytes() for t in b["text"].to_pylist()], pa.binary())], ["label", "found"])
+            yield pa.RecordBatch.from_arrays([b["label"], pa.array([(x := model.found(t))[chosen[x]].astype(np.int32).tobytes() for t in b["text"].to_pylist()], pa.binary())], ["label", "found"])
 
     table = sample.mapInArrow(matrix, "label int, found binary").toArrow()
     data = [(y, n[y] / of[y], np.frombuffer(x, np.int32).astype(np.int64)) for y, x in zip(table["label"].to_pylist(), table["found"].to_pylist(), strict=True)]
     data.sort(key=lambda r: (r[0], r[2].tobytes()))
-    weights, intercept = _logistic(data, len(hashes))
+    weights, intercept = _logistic(data, len(chosen))
     model = Model(hashes, weights, intercept, chars)
 
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
