@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fiscalflow.llm import bpe, dac_tokens, golomb_dedup, jaccard_join, langid, toxicity
+from fiscalflow.llm import bpe, dac_tokens, golomb_dedup, jaccard_join, langid, secrets_scan, toxicity
 from fiscalflow.llm.common import documents
 
 
@@ -58,6 +58,10 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(reach) AS c
 """
 
 
+def op6_markov_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_scan.scan(documents(spark, sf_dir))
+
+
 def op10_golomb_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return golomb_dedup.exact_groups(documents(spark, sf_dir))
 
@@ -81,5 +85,6 @@ CATALOG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op3_backtracking_bpe": (op3_backtracking_bpe, None),
     "op4_noisy_channel_toxicity": (op4_noisy_channel_toxicity, None),
     "op5_adaptive_jaccard_join": (op5_adaptive_jaccard_join, OP5_SQL),
+    "op6_markov_secret_scan": (op6_markov_secret_scan, None),
     "op10_golomb_exact_dedup": (op10_golomb_exact_dedup, OP10_SQL),
 }
