@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fiscalflow.llm import bpe, dac_tokens, golomb_dedup, jaccard_join, langid, secrets_scan, toxicity
+from fiscalflow.llm import bpe, dac_tokens, golomb_dedup, imatch, jaccard_join, langid, maglev, secrets_scan, toxicity
 from fiscalflow.llm.common import documents
 
 
@@ -62,6 +62,15 @@ def op6_markov_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_scan.scan(documents(spark, sf_dir))
 
 
+def op8_imatch_lexicons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.edit_report(documents(spark, sf_dir))
+
+
+def op9_maglev_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = {f"shard-{k:03d}": 1 for k in range(maglev.SHARDS)}
+    return maglev.shard_documents(documents(spark, sf_dir).select("doc_id", "text"), shards, "shard-000")
+
+
 def op10_golomb_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return golomb_dedup.exact_groups(documents(spark, sf_dir))
 
@@ -86,5 +95,7 @@ CATALOG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op4_noisy_channel_toxicity": (op4_noisy_channel_toxicity, None),
     "op5_adaptive_jaccard_join": (op5_adaptive_jaccard_join, OP5_SQL),
     "op6_markov_secret_scan": (op6_markov_secret_scan, None),
+    "op8_imatch_lexicons": (op8_imatch_lexicons, None),
+    "op9_maglev_shards": (op9_maglev_shards, None),
     "op10_golomb_exact_dedup": (op10_golomb_exact_dedup, OP10_SQL),
 }
