@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fiscalflow.session import ensure_checkpoint_dir, materialize, scratch_path, ship_package
 
-__all__ = ["BROADCAST_ROWS", "arrow_rows", "binary_column", "documents", "held_out", "materialize", "mix64", "scratch_path", "semi_join", "text_rows"]
+__all__ = ["BROADCAST_ROWS", "anti_join", "arrow_rows", "binary_column", "documents", "held_out", "materialize", "mix64", "scratch_path", "semi_join", "text_rows"]
 
 #: Arrow batches of at most this many documents bound a Python worker's memory (texts of 100 kB: 25 MB a batch).
 ARROW_ROWS = 256
@@ -52,6 +52,13 @@ def semi_join(rows: DataFrame, ids: DataFrame, key: str = "doc_id", limit: int =
     return rows.join(small, rows[key].eqNullSafe(F.col("_wanted")), "left_semi")
 
 
+def anti_join(rows: DataFrame, dropped: DataFrame, key: str, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Rows whose key is not in the one column of ``dropped``, a written table; broadcast as in ``semi_join``."""
+    name = dropped.columns[0]
+    side = F.broadcast(dropped) if dropped.count() <= limit else dropped
+    return rows.join(side, rows[key] == side[name], "left_anti")
+
+
 def binary_column(values: list[bytes]) -> pa.Array:
     return pa.array(values, pa.binary())
 

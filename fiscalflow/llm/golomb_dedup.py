@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fiscalflow.llm.common import arrow_rows, materialize, semi_join, text_rows
+from fiscalflow.llm.common import anti_join, arrow_rows, materialize, semi_join, text_rows
 
 #: Characters that do not count when texts are compared.
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -153,4 +153,20 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     out = members.join(groups, F.col("text_sha256") == F.col("sha"), "left")
     group_size = F.coalesce("group_size", F.lit(1)).alias("group_size")
     keep_id = F.when(F.col("sha").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
-    return out.select("doc_id", keep_id.alias("keep_id"), group_size, F.coalesce(F.col("keep_row") == F.col("row_no"), F.lit(True)).alias("kept"), "text_sha256")
+    return out.select("doc_id", keep_id.alias("keep_id"), group_size, F.coalesce(F.col("keep_row") == F.col("row_no"), F.lit(True)).alias("kept"), "text_sha256", "n_chars")
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that stay, with all their columns."""
+    spark = docs.sparkSession
+    found = materialize(exact_groups(docs, id_col, text_col), spark, "golomb-kept")
+    if not found.groupBy("doc_id").count().where("count > 1").take(1):
+        dropped = materialize(found.where(~F.col("kept")).select(F.col("doc_id").alias("_dropped")), spark, "golomb-dropped")
+        return anti_join(docs, dropped, id_col)
+    # Rows that share an id are told apart by text and length; of rows equal in all three any one stays.
+    marks = [F.col(id_col), F.length(F.coalesce(F.col(text_col), F.lit(""))).cast("long"), F.sha2(F.translate(F.coalesce(F.col(text_col), F.lit("")), BLANKS.decode(), ""), 256)]
+    kept = found.where("kept").select(F.struct("doc_id", "n_chars", "text_sha256").alias("_kept"))
+    marked = docs.withColumn("_mark", F.struct(*marks))
+    same = [F.col("_mark").getField(f"col{k}").eqNullSafe(F.col("_kept").getField(c)) for k, c in ((2, "n_chars"), (3, "text_sha256"))]
+    same.append(F.col("_mark").getField(id_col).eqNullSafe(F.col("_kept").getField("doc_id")))
+    return marked.join(kept, same, "left_semi").dropDuplicates(["_mark"]).drop("_mark")

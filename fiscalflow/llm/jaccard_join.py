@@ -15,8 +15,11 @@ Stages, all over whole texts and all documents:
    at most ``HOT_GRAMS``, fix the order; any order gives the same links.
 2. postings: prefix grams go to buckets by hash, packed by batch.  Grams that
    one set only has end there.  Grams known as frequent need no such test and
-   pass through in salted buckets, so none is gathered in one task.
-3. links: in the list of each gram the sets are compared with one pivot, the
+   pass through in salted buckets, so none is gathered in one task.  Lists are
+   cut by size: sets that differ too much in size for a link share no list.
+   Of a similar pair the smaller set has a shared gram in a still shorter
+   prefix; postings in it are flagged, and a pair needs the smaller set's flag.
+3. links: in each list the sets are compared with one pivot, the
    set that most lists have; verified links make components; a second round
    takes pivots at random and skips pairs within one component.
 4. the rest: a pair in two components that no pivot has tested is tested in
@@ -44,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fiscalflow.llm.common import arrow_rows, materialize, mix64, semi_join, text_rows
+from fiscalflow.llm.common import BROADCAST_ROWS, anti_join, arrow_rows, materialize, mix64, semi_join, text_rows
 from fiscalflow.llm.components import components
 
 #: Words in a gram; least similarity, in hundredths.
@@ -81,6 +84,11 @@ def need(n: np.ndarray | int, percent: int = PERCENT) -> np.ndarray | int:
     return -(-n * percent // 100)
 
 
+def need_smaller(n: int, percent: int = PERCENT) -> int:
+    """Grams that a set of size n shares with any similar set that is not smaller."""
+    return -(-2 * n * percent // (100 + percent))
+
+
 class Order:
     """Grams from rare to frequent: by known frequency, then by hash."""
 
@@ -163,21 +171,24 @@ def _postings(order: Order, buckets: int):
         sigs: list[bytes] = []
         grams: list[np.ndarray] = []
         known: list[np.ndarray] = []
+        flags: list[np.ndarray] = []
+        sizes: list[int] = []
         size = turn = 0
 
         def packed() -> Iterator[pa.RecordBatch]:
             all_grams, all_known = np.concatenate(grams), np.concatenate(known)
+            all_flags = np.concatenate(flags)
             owner = np.repeat(np.arange(len(grams), dtype=np.uint32), [len(g) for g in grams])
             bucket = (all_grams % np.uint64(buckets)).astype(np.int64)
             # Frequent grams need no list in one place; which bucket takes them does not matter.
             bucket[all_known] = buckets + (xxhash.xxh3_64_intdigest(sigs[0]) + turn) % buckets
             by = np.argsort(bucket, kind="stable")
-            bucket, owner, all_grams = bucket[by], owner[by], all_grams[by]
+            bucket, owner, all_grams, all_flags = bucket[by], owner[by], all_grams[by], all_flags[by]
             cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
-            ids, heads = np.array(docs, np.int64), np.frombuffer(b"".join(x[:8] for x in sigs), np.uint64)
+            ids, heads, ns = np.array(docs, np.int64), np.frombuffer(b"".join(x[:8] for x in sigs), np.uint64), np.array(sizes, np.uint32)
             for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
                 own, at = np.unique(owner[lo:hi], return_inverse=True)
-                yield pa.RecordBatch.from_pydict({"bucket": [int(bucket[lo])], "docs": [ids[own].tobytes()], "sigs": [heads[own].tobytes()], "owner": [at.astype(np.uint32).tobytes()], "grams": [all_grams[lo:hi].tobytes()]})
+                yield pa.RecordBatch.from_pydict({"bucket": [int(bucket[lo])], "docs": [ids[own].tobytes()], "sigs": [heads[own].tobytes()], "sizes": [ns[own].tobytes()], "owner": [(at * 2 + all_flags[lo:hi]).astype(np.uint32).tobytes()], "grams": [all_grams[lo:hi].tobytes()]})
 
         for b in batches:
             for doc, raw in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
@@ -189,12 +200,14 @@ def _postings(order: Order, buckets: int):
                 length = len(s) - int(need(len(s), order.percent)) + matches
                 docs.append(doc)
                 sigs.append(sig)
+                sizes.append(len(s))
+                flags.append(np.arange(length) < len(s) - need_smaller(len(s), order.percent) + matches)
                 grams.append(ordered[:length])
                 known.append(is_known[:length])
                 size += length
             if size > CHUNK // 10:
                 yield from packed()
-                docs, sigs, grams, known = [], [], [], []
+                docs, sigs, grams, known, flags, sizes = [], [], [], [], [], []
                 size, turn = 0, turn + 1
                 if len(seen) > CHUNK:
                     seen.clear()
@@ -204,24 +217,51 @@ def _postings(order: Order, buckets: int):
     return run
 
 
-def _lists(buckets: int):
-    """Of one bucket the postings (gram, sig, doc) whose gram two sets have; all postings of a frequent gram."""
+def _lists(buckets: int, percent: int):
+    """Of one bucket the postings whose gram two sets of like size have; all postings of a frequent gram.
+
+    ``list`` is a hash of the gram and a range of sizes.  In a bucket, a list
+    is a run of sizes without a gap too wide for a link.  A frequent gram's
+    postings, which are not together, go to two size classes each, so that any
+    two sets of like size share one.
+    """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        docs, sigs, grams = [], [], []
-        for d, s, o, g in zip(rows["docs"], rows["sigs"], rows["owner"], rows["grams"], strict=True):
+        docs, sigs, sizes, flags, grams = [], [], [], [], []
+        for d, s, n, o, g in zip(rows["docs"], rows["sigs"], rows["sizes"], rows["owner"], rows["grams"], strict=True):
             at = np.frombuffer(o, np.uint32)
+            flags.append(at & 1 == 1)
+            at = at >> 1
             docs.append(np.frombuffer(d, np.int64)[at])
             sigs.append(np.frombuffer(s, np.uint64)[at])
+            sizes.append(np.frombuffer(n, np.uint32)[at].astype(np.int64))
             grams.append(np.frombuffer(g, np.uint64))
-        doc, sig, gram = np.concatenate(docs), np.concatenate(sigs), np.concatenate(grams)
-        if int(rows["bucket"].iloc[0]) < buckets:
-            by = np.argsort(gram)
-            doc, sig, gram = doc[by], sig[by], gram[by]
-            start = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
-            keep = np.repeat(np.diff(start, append=len(gram)) > 1, np.diff(start, append=len(gram)))
-            doc, sig, gram = doc[keep], sig[keep], gram[keep]
-        return pd.DataFrame({"gram": gram.view(np.int64), "sig": sig.view(np.int64), "doc": doc})
+        doc, sig, n, flag, gram = map(np.concatenate, (docs, sigs, sizes, flags, grams))
+        if int(rows["bucket"].iloc[0]) >= buckets:
+            band = np.floor(np.log(n) / np.log(100 / percent) + 1e-9).astype(np.int64)
+            doc, sig, n, flag, gram, band = (np.concatenate((x, y)) for x, y in ((doc, doc), (sig, sig), (n, n), (flag, flag), (gram, gram), (band, band + 1)))
+            key = mix64(gram + band.astype(np.uint64) * _ODD)
+        else:
+            by = np.lexsort((n, gram))
+            doc, sig, n, flag, gram = doc[by], sig[by], n[by], flag[by], gram[by]
+            for _ in range(2):  # dropping what has no partner may leave others alone
+                new_gram = np.concatenate(([True], gram[1:] != gram[:-1]))
+                # A set without its flag needs a flagged one of its size or smaller; both are in order of size.
+                run_no = np.cumsum(new_gram)
+                flagged = np.maximum.accumulate(np.where(flag, run_no * (1 << 32) + n, 0))
+                upto = flagged[np.searchsorted(run_no * (1 << 32) + n, run_no * (1 << 32) + n, "right") - 1]
+                useful = (upto >> 32 == run_no) & (100 * (upto & 0xFFFFFFFF) >= percent * n)
+                start = new_gram | np.concatenate(([True], 100 * n[:-1] < percent * n[1:]))
+                first = np.flatnonzero(start)
+                size = np.repeat(np.diff(first, append=len(n)), np.diff(first, append=len(n)))
+                keep = useful & (size > 1)
+                doc, sig, n, flag, gram = doc[keep], sig[keep], n[keep], flag[keep], gram[keep]
+                if not len(n):
+                    break
+            start = np.concatenate(([True], (gram[1:] != gram[:-1]) | (100 * n[:-1] < percent * n[1:]))) if len(n) else np.empty(0, bool)
+            first = np.flatnonzero(start)
+            key = mix64(gram + np.repeat(n[first], np.diff(first, append=len(n))).astype(np.uint64) * _ODD)
+        return pd.DataFrame({"list": key.view(np.int64), "sig": sig.view(np.int64), "doc": doc, "n": n, "flag": flag})
 
     return run
 
@@ -278,10 +318,17 @@ def _verify_block(percent: int):
 
 
 def _links_of(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The verified ones of candidate pairs (a, b)."""
-    one = sets.select(F.col("doc").alias("a"), F.col("matches").alias("a_matches"), F.col("grams").alias("a_grams"))
+    """The verified ones of written candidate pairs (a, b).
+
+    The sets stay where they are as long as the pairs can be broadcast; only
+    the sets of pairs are then shuffled.
+    """
     two = sets.select(F.col("doc").alias("b"), F.col("matches").alias("b_matches"), F.col("grams").alias("b_grams"))
-    return pairs.join(two, "b").join(one, "a").select("a", "b", "a_grams", "b_grams", "a_matches", "b_matches").mapInArrow(_verify(percent), "a long, b long")
+    one = sets.select(F.col("doc").alias("a"), F.col("matches").alias("a_matches"), F.col("grams").alias("a_grams"))
+    small = pairs.count() <= BROADCAST_ROWS
+    with_b = two.join(F.broadcast(pairs) if small else pairs, "b")
+    pivots = semi_join(one, pairs.select("a").distinct(), "a") if small else one
+    return with_b.join(pivots, "a").select("a", "b", "a_grams", "b_grams", "a_matches", "b_matches").mapInArrow(_verify(percent), "a long, b long")
 
 
 def _with_components(lists: DataFrame, links: DataFrame) -> DataFrame:
@@ -292,16 +339,16 @@ def _with_components(lists: DataFrame, links: DataFrame) -> DataFrame:
 def _rest(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links across components that no pivot has tested, by queries against blocks."""
     spark = lists.sparkSession
-    per_comp = lists.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("n"))
-    open_lists = per_comp.groupBy("gram").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("comps")).where("comps > 1 AND n > 2").select("gram", "main")
-    rest = materialize(lists.join(open_lists, "gram"), spark, "join-rest")
+    per_comp = lists.groupBy("list", "comp").agg(F.count(F.lit(1)).alias("n"))
+    open_lists = per_comp.groupBy("list").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("comps")).where("comps > 1 AND n > 2").select("list", "main")
+    rest = materialize(lists.join(open_lists, "list"), spark, "join-rest")
     # Sets of one family (the best pivot they have met) share blocks, so that a list meets few blocks.
     family = rest.groupBy("doc", "comp").agg(F.max("pivot")["doc"].alias("family"))
     blocks = family.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     placed = materialize(family.join(blocks, "family").select("doc", "comp", "family", F.pmod(F.xxhash64("doc"), F.col("blocks")).alias("block")), spark, "join-blocks")
-    met = rest.join(placed.select("doc", "family", "block"), "doc").select("gram", "family", "block").distinct()
-    asked = rest.where("comp != main").select("gram", F.col("doc").alias("query"), F.col("comp").alias("query_comp"))
-    tests = asked.join(met, "gram").select("query", "query_comp", "family", "block").distinct()
+    met = rest.join(placed.select("doc", "family", "block"), "doc").select("list", "family", "block").distinct()
+    asked = rest.where("comp != main").select("list", F.col("doc").alias("query"), F.col("comp").alias("query_comp"))
+    tests = asked.join(met, "list").select("query", "query_comp", "family", "block").distinct()
     tests = materialize(tests, spark, "join-tests")
     salts = tests.groupBy("family", "block").agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("salts"))
     queries = tests.join(salts, ["family", "block"]).withColumn("salt", F.pmod(F.xxhash64("query"), F.col("salts"))).join(sets.select(F.col("doc").alias("query"), "grams"), "query")
@@ -322,25 +369,35 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     members = profile.where("kind = 0").select("doc_id", "n", "sig")
     total = members.agg(F.sum(F.col("n") * (100 - percent) / 100 + 1)).first()[0] or 0
     buckets = max(12, int(total // PER_BUCKET) + 1)
-    packed = rows.mapInArrow(_postings(order, buckets), "bucket long, docs binary, sigs binary, owner binary, grams binary")
-    posted = packed.groupBy("bucket").applyInPandas(_lists(buckets), "gram long, sig long, doc long")
-    lists = posted.groupBy("gram", "sig").agg(F.min("doc").alias("doc")).drop("sig")
+    packed = rows.mapInArrow(_postings(order, buckets), "bucket long, docs binary, sigs binary, sizes binary, owner binary, grams binary")
+    posted = packed.groupBy("bucket").applyInPandas(_lists(buckets, percent), "list long, sig long, doc long, n long, flag boolean")
+    lists = posted.groupBy("list", "sig").agg(F.min(F.struct("doc", "n", "flag")).alias("e")).select("list", "e.*")
     lists = materialize(lists, spark, "join-lists")
     often = lists.groupBy("doc").agg(F.count(F.lit(1)).alias("often"))
+    pivot = F.max(F.struct("often", "doc", "n", "flag")).alias("pivot")
     ranked = lists.join(often, "doc")
-    pivots = ranked.groupBy("gram").agg(F.max(F.struct("often", "doc")).alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    lists = materialize(ranked.drop("often").join(pivots, "gram"), spark, "join-ranked")
-    wanted = materialize(lists.select("doc").distinct(), spark, "join-wanted")
-    texts = semi_join(rows, wanted.withColumnRenamed("doc", "doc_id"))
-    sets = materialize(texts.mapInArrow(_sets(order), "doc long, matches int, grams binary").dropDuplicates(["doc"]), spark, "join-sets")
-
-    pairs = lists.select(F.col("pivot.doc").alias("a"), F.col("doc").alias("b")).where("a != b").distinct()
-    links = materialize(_links_of(pairs, sets, percent), spark, "join-links")
+    pivots = ranked.groupBy("list").agg(pivot, F.count(F.lit(1)).alias("in_list")).where("in_list > 1").drop("in_list")
+    lists = materialize(ranked.drop("often").join(pivots, "list"), spark, "join-ranked")
+    wanted = materialize(lists.select(F.col("doc").alias("doc_id")).distinct(), spark, "join-wanted")
+    sets = semi_join(rows, wanted).mapInArrow(_sets(order), "doc long, matches int, grams binary")
+    if members.groupBy("doc_id").count().where("count > 1").take(1):
+        sets = sets.dropDuplicates(["doc"])
+    sets = materialize(sets, spark, "join-sets")
+
+    def candidates(with_pivots: DataFrame) -> DataFrame:
+        """Pairs of a pivot with the other sets of its lists that size and flags allow."""
+        p, own_smaller = F.col("pivot"), F.col("n") <= F.col("pivot.n")
+        like = 100 * F.least("n", "pivot.n") >= percent * F.greatest("n", "pivot.n")
+        flagged = (own_smaller & F.col("flag")) | ((F.col("pivot.n") <= F.col("n")) & F.col("pivot.flag"))
+        found = with_pivots.where((p["doc"] != F.col("doc")) & like & flagged).select(p["doc"].alias("a"), F.col("doc").alias("b")).distinct()
+        return materialize(found, spark, "join-pairs")
+
+    links = materialize(_links_of(candidates(lists), sets, percent), spark, "join-links")
     lists = materialize(_with_components(lists, links), spark, "join-round")
-    spot = F.xxhash64("gram", "doc")
-    at_random = lists.groupBy("gram").agg(F.max(F.struct(spot.alias("spot"), F.col("doc"), F.col("comp"))).alias("p"), F.count(F.lit(1)).alias("n")).where("n > 2").select("gram", "p")
-    pairs = lists.join(at_random, "gram").where(F.col("comp") != F.col("p.comp")).select(F.least("p.doc", "doc").alias("a"), F.greatest("p.doc", "doc").alias("b")).distinct()
-    links = materialize(links.union(_links_of(pairs, sets, percent)), spark, "join-links")
+    spot = F.xxhash64("list", "doc").alias("spot")
+    at_random = lists.groupBy("list").agg(F.max(F.struct(spot, "doc", "n", "flag", "comp")).alias("pivot"), F.count(F.lit(1)).alias("in_list")).where("in_list > 2").drop("in_list")
+    untested = lists.drop("pivot").join(at_random, "list").where(F.col("comp") != F.col("pivot.comp"))
+    links = materialize(links.union(_links_of(candidates(untested), sets, percent)), spark, "join-links")
     lists = materialize(_with_components(lists.drop("comp"), links), spark, "join-round")
     links = materialize(links.union(_rest(lists, sets, percent)), spark, "join-links")
 
@@ -352,3 +409,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     joined = materialize(joined.join(least, F.col("component") == F.col("of"), "left").select(F.col("sig").alias("of_sig"), F.coalesce("least", "first").alias("found")), spark, "join-classes")
     out = members.join(joined, (members["sig"] == joined["of_sig"]) & (members["n"] > 0), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("found")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Of each group of linked documents the one with the smallest id, with all its columns.
+
+    Rows without an id stay; rows that share an id are one document.
+    """
+    spark = docs.sparkSession
+    found = jaccard_components(docs, id_col, text_col)
+    dropped = materialize(found.where("doc_id != component_id").select(F.col("doc_id").alias("_dropped")).distinct(), spark, "join-dropped")
+    return anti_join(docs, dropped, id_col)

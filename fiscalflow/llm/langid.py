@@ -152,6 +152,20 @@ def predict_languages(docs: DataFrame, profiles: dict[str, list[int]], id_col: s
     return text_rows(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def drop_rejected(docs: DataFrame, profiles: dict[str, list[int]], text_col: str = "text", size: int = PROFILE) -> DataFrame:
+    """The rows whose text some learned language fits, with all their columns; without profiles, all rows with a letter."""
+    arrow_rows(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranker = Ranker(profiles, size)
+        for b in batches:
+            texts = [t or "" for t in b.column(text_col).to_pylist()]
+            keep = [ranker.predict(t)[0] != "und" if profiles else len(ngram_codes(t)) > 0 for t in texts]
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def learn_and_predict(docs: DataFrame) -> DataFrame:
     """Learn from the labelled rows that are not held out, predict every row."""
     profiles = fit_profiles(docs.where(~held_out(F.col("doc_id"))))

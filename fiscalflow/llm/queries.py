@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fiscalflow.llm import bpe, dac_tokens, golomb_dedup, imatch, jaccard_join, langid, maglev, secrets_scan, toxicity
+from fiscalflow.llm import bpe, dac_tokens, golomb_dedup, imatch, jaccard_join, langid, maglev, mixing, secrets_scan, toxicity
 from fiscalflow.llm.common import documents
 
 
@@ -62,6 +62,10 @@ def op6_markov_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_scan.scan(documents(spark, sf_dir))
 
 
+def op7_soft_membership_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "source", "mix.*")
+
+
 def op8_imatch_lexicons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.edit_report(documents(spark, sf_dir))
 
@@ -72,7 +76,7 @@ def op9_maglev_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_golomb_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return golomb_dedup.exact_groups(documents(spark, sf_dir))
+    return golomb_dedup.exact_groups(documents(spark, sf_dir)).drop("n_chars")
 
 
 OP10_SQL = r"""
@@ -95,6 +99,7 @@ CATALOG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op4_noisy_channel_toxicity": (op4_noisy_channel_toxicity, None),
     "op5_adaptive_jaccard_join": (op5_adaptive_jaccard_join, OP5_SQL),
     "op6_markov_secret_scan": (op6_markov_secret_scan, None),
+    "op7_soft_membership_mixing": (op7_soft_membership_mixing, None),
     "op8_imatch_lexicons": (op8_imatch_lexicons, None),
     "op9_maglev_shards": (op9_maglev_shards, None),
     "op10_golomb_exact_dedup": (op10_golomb_exact_dedup, OP10_SQL),
