@@ -19,12 +19,14 @@ the order of their texts; an empty table gives an empty file and result.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,9 +40,11 @@ WIDTH = 8
 #: Bitmap bits for one entry of the rank directory.
 RUN = 512
 #: Distinct pieces of text that a worker remembers at most (about 200 bytes each).
-CACHE = 1_000_000
+CACHE = 500_000
 #: Ends each document.
 END = 2
+#: What a space is written as in a byte-level vocabulary.
+SPACE = "\u0120"
 
 _BLOCK = "part int, block int, n_docs int, n_tokens long, ids binary, id_null binary, offsets binary, chunks array<binary>, bitmaps array<binary>, ranks array<binary>"
 
@@ -105,32 +109,71 @@ class CachedTokenizer:
 
     A piece starts at a space before a non-blank (which always starts a new
     word), so the ids of a text are those of its pieces, one after the other.
+    New pieces are asked for in one text: each starts with a token that starts
+    with a space, and holds no other one.
     """
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
+        vocab = self.library.get_vocab()
+        self.starts = np.zeros(1 + max(vocab.values()), bool)
+        self.starts[[i for token, i in vocab.items() if token[0] == SPACE]] = True
         self.known: dict[str, bytes] = {}
 
     def _ask(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Ids (little-endian, 32 bits) of each text."""
-        cut = [pieces_of(t) for t in texts]
-        new: set[str] = set()
-        for _, tails in cut:
-            new.update(set(tails).difference(self.known))
+    def _learn(self, pieces: list[str]) -> None:
+        plain = [p for p in pieces if p and " " not in p]
+        ids = np.frombuffer(self._ask([" " + " ".join(plain)])[0], "<u4") if plain else np.empty(0, "<u4")
+        at = np.flatnonzero(self.starts[ids])
+        if len(at) == len(plain):
+            raw, cuts = ids.tobytes(), (at * 4).tolist()
+            self.known.update(zip(plain, map(raw.__getitem__, map(slice, cuts, [*cuts[1:], len(raw)])), strict=True))
+        rest = [p for p in pieces if p not in self.known] if len(at) != len(plain) or len(plain) != len(pieces) else []
+        if rest:
+            self.known.update(zip(rest, self._ask([" " + p for p in rest]), strict=True))
+
+    def _codes(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces."""
+        new = [p for p in pieces if p not in self.known]
         if len(self.known) + len(new) > CACHE:
             self.known.clear()
-            new = {p for _, tails in cut for p in tails}
-        ask = list(new)
-        self.known.update(zip(ask, self._ask([" " + p for p in ask]), strict=True))
-        heads = self._ask([head for head, _ in cut])
-        return [head + b"".join(map(self.known.__getitem__, tails)) for head, (_, tails) in zip(heads, cut, strict=True)]
+            new = pieces
+        self._learn(new)
+        return list(map(self.known.__getitem__, pieces))
+
+    def encode_batch(self, texts: pa.Array) -> list[bytes]:
+        """Ids (little-endian, 32 bits) of each of an array of texts."""
+        lists = pc.split_pattern(texts, " ")
+        odd = np.flatnonzero(pc.match_substring_regex(texts, r" [\s\p{Z}\x0b\x1c-\x1f\x85]").to_numpy(zero_copy_only=False))
+        if len(odd):
+            cut = dict(enumerate(lists.to_pylist()))
+            for i in odd.tolist():  # runs of blanks stay with the piece before them
+                head, tails = pieces_of(texts[i].as_py())
+                cut[i] = [head, *tails]
+            lists = pa.array([cut[i] for i in range(len(texts))], pa.list_(pa.string()))
+        flat, offsets = lists.flatten(), lists.offsets.to_numpy()
+        first = offsets[:-1]
+        is_tail = np.ones(len(flat), bool)
+        is_tail[first] = False
+        heads = self._ask(flat.take(pa.array(first)).to_pylist())
+        coded = flat.filter(pa.array(is_tail)).dictionary_encode()
+        codes = self._codes(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+        ids = np.frombuffer(b"".join(codes), "<u4")
+        which = coded.indices.to_numpy()
+        n = sizes[which]
+        ends = np.concatenate(([0], np.cumsum(n)))
+        starts = np.cumsum(sizes) - sizes
+        out = ids[np.repeat(starts[which] - ends[:-1], n) + np.arange(ends[-1])]
+        cuts = ends[offsets - np.arange(len(offsets))]  # a text has one head before its tails
+        return [head + out[i:j].tobytes() for head, i, j in zip(heads, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
 
 @lru_cache(2)
@@ -146,7 +189,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, out: str, id_col: str = "doc_i
         encoder, part = _tokenizer(tokenizer), TaskContext.get().partitionId()
         last = np.array([end], "<u4").tobytes()
         for block, b in enumerate(batches):
-            ids = [x + last for x in encoder.encode_batch([t.decode("utf-8", "replace") for t in b["text"].to_pylist()])]
+            ids = [x + last for x in encoder.encode_batch(b["text"].cast(pa.string()))]
             offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))).astype("<i8")
             dac = Dac.encode(np.frombuffer(b"".join(ids), "<u4"))
             doc_ids = b["doc_id"].to_pylist()
