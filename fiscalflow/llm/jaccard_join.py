@@ -24,8 +24,8 @@ Stages, all over whole texts and all documents:
    takes pivots at random and skips pairs within one component.
 4. the rest: a pair in two components that no pivot has tested is tested in
    blocks: sets outside a list's main component are the queries, the list's
-   sets stand in blocks of about ``BLOCK``, and a task holds one block and a
-   bounded batch of queries.  No list is expanded into all its pairs.
+   sets stand in blocks of about ``BLOCK`` grams, and a task holds one block
+   and a bounded batch of queries.  No list is expanded into all its pairs.
 
 Links between equal sets are the classes of equal signature (128 bits).  Every
 link between different sets is found or lies within a component already.
@@ -56,8 +56,8 @@ WORDS, PERCENT = 5, 80
 HOT_GRAMS = 1 << 18
 #: Longest prefix extension, and the cost of verifying a pair against that of a posting.
 MOST_MATCHES, VERIFY_COST = 8, 20.0
-#: Postings in a bucket, sets in a block, queries beside a block, about.
-PER_BUCKET, BLOCK, QUERIES = 1_000_000, 128, 512
+#: Postings in a bucket, grams in a block of sets, grams of the queries beside a block, about.
+PER_BUCKET, BLOCK, QUERIES = 1_000_000, 1_000_000, 1_000_000
 #: Grams counted, and postings packed, at a time in a task.
 CHUNK = 2_000_000
 
@@ -317,18 +317,18 @@ def _verify_block(percent: int):
     return run
 
 
-def _links_of(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The verified ones of written candidate pairs (a, b).
+def _with_sets(rows: DataFrame, key: str, sets: DataFrame) -> DataFrame:
+    """Written narrow rows with the grams of the set that ``key`` names; the sets stay in place while the rows can be broadcast."""
+    side = F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+    return sets.select(F.col("doc").alias(key), "matches", "grams").join(side, key)
 
-    The sets stay where they are as long as the pairs can be broadcast; only
-    the sets of pairs are then shuffled.
-    """
-    two = sets.select(F.col("doc").alias("b"), F.col("matches").alias("b_matches"), F.col("grams").alias("b_grams"))
-    one = sets.select(F.col("doc").alias("a"), F.col("matches").alias("a_matches"), F.col("grams").alias("a_grams"))
-    small = pairs.count() <= BROADCAST_ROWS
-    with_b = two.join(F.broadcast(pairs) if small else pairs, "b")
-    pivots = semi_join(one, pairs.select("a").distinct(), "a") if small else one
-    return with_b.join(pivots, "a").select("a", "b", "a_grams", "b_grams", "a_matches", "b_matches").mapInArrow(_verify(percent), "a long, b long")
+
+def _links_of(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The verified ones of written candidate pairs (a, b); only the sets of pairs are shuffled."""
+    with_b = _with_sets(pairs, "b", sets).select("a", "b", F.col("matches").alias("b_matches"), F.col("grams").alias("b_grams"))
+    pivots = materialize(pairs.select("a").distinct(), sets.sparkSession, "join-pivots")
+    with_a = _with_sets(pivots, "a", sets).select("a", F.col("matches").alias("a_matches"), F.col("grams").alias("a_grams"))
+    return with_b.join(with_a, "a").select("a", "b", "a_grams", "b_grams", "a_matches", "b_matches").mapInArrow(_verify(percent), "a long, b long")
 
 
 def _with_components(lists: DataFrame, links: DataFrame) -> DataFrame:
@@ -343,17 +343,20 @@ def _rest(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     open_lists = per_comp.groupBy("list").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("comps")).where("comps > 1 AND n > 2").select("list", "main")
     rest = materialize(lists.join(open_lists, "list"), spark, "join-rest")
     # Sets of one family (the best pivot they have met) share blocks, so that a list meets few blocks.
-    family = rest.groupBy("doc", "comp").agg(F.max("pivot")["doc"].alias("family"))
-    blocks = family.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    family = rest.groupBy("doc", "comp", "n").agg(F.max("pivot")["doc"].alias("family"))
+    blocks = family.groupBy("family").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
     placed = materialize(family.join(blocks, "family").select("doc", "comp", "family", F.pmod(F.xxhash64("doc"), F.col("blocks")).alias("block")), spark, "join-blocks")
     met = rest.join(placed.select("doc", "family", "block"), "doc").select("list", "family", "block").distinct()
-    asked = rest.where("comp != main").select("list", F.col("doc").alias("query"), F.col("comp").alias("query_comp"))
-    tests = asked.join(met, "list").select("query", "query_comp", "family", "block").distinct()
-    tests = materialize(tests, spark, "join-tests")
-    salts = tests.groupBy("family", "block").agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("salts"))
-    queries = tests.join(salts, ["family", "block"]).withColumn("salt", F.pmod(F.xxhash64("query"), F.col("salts"))).join(sets.select(F.col("doc").alias("query"), "grams"), "query")
-    members = placed.join(salts, ["family", "block"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).join(sets.select("doc", "grams"), "doc")
-    left = queries.select(F.col("family").alias("f"), F.col("block").alias("k"), F.col("salt").alias("s"), F.col("query").alias("doc"), F.col("query_comp").alias("comp"), F.col("grams").alias("grams"))
+    asked = rest.where("comp != main").select("list", F.col("doc").alias("query"), F.col("comp").alias("query_comp"), F.col("n").alias("query_n"))
+    tests = materialize(asked.join(met, "list").select("query", "query_comp", "query_n", "family", "block").distinct(), spark, "join-tests")
+    salts = materialize(tests.groupBy("family", "block").agg(F.ceil(F.sum("query_n") / QUERIES).alias("salts")), spark, "join-salts")
+    asking = tests.join(salts, ["family", "block"]).select("family", "block", F.pmod(F.xxhash64("query"), F.col("salts")).alias("salt"), "query", "query_comp")
+    asking = materialize(asking, spark, "join-asking")
+    standing = placed.join(salts, ["family", "block"]).select("family", "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt"), F.col("doc").alias("member"), "comp")
+    standing = materialize(standing, spark, "join-standing")
+    queries = _with_sets(asking, "query", sets).withColumnsRenamed({"query": "doc", "query_comp": "comp"})
+    members = _with_sets(standing, "member", sets).withColumnRenamed("member", "doc")
+    left = queries.select(F.col("family").alias("f"), F.col("block").alias("k"), F.col("salt").alias("s"), F.col("doc").alias("doc"), F.col("comp").alias("comp"), F.col("grams").alias("grams"))
     right = members.select(F.col("family").alias("f"), F.col("block").alias("k"), F.col("salt").alias("s"), F.col("doc").alias("doc"), F.col("comp").alias("comp"), F.col("grams").alias("grams"))
     return left.groupBy("f", "k", "s").cogroup(right.groupBy("f", "k", "s")).applyInPandas(_verify_block(percent), "a long, b long")
 
@@ -394,7 +397,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     links = materialize(_links_of(candidates(lists), sets, percent), spark, "join-links")
     lists = materialize(_with_components(lists, links), spark, "join-round")
-    spot = F.xxhash64("list", "doc").alias("spot")
+    spot = F.xxhash64(F.lit("round 2"), "doc").alias("spot")  # lists of one family mostly agree on it
     at_random = lists.groupBy("list").agg(F.max(F.struct(spot, "doc", "n", "flag", "comp")).alias("pivot"), F.count(F.lit(1)).alias("in_list")).where("in_list > 2").drop("in_list")
     untested = lists.drop("pivot").join(at_random, "list").where(F.col("comp") != F.col("pivot.comp"))
     links = materialize(links.union(_links_of(candidates(untested), sets, percent)), spark, "join-links")

@@ -192,7 +192,7 @@ class Restorer:
                 continue
             core = token.strip(_EDGES)
             if core.isalpha() or len(core) < 2:
-                if not (token[0] in "!(|+" and core.isalpha() and token[1:2].isalpha()):
+                if not (token[0] in "!|+" and core.isalpha() and token[1:2].isalpha()):
                     continue
                 core = token.rstrip(_EDGES)
             if core.endswith(("$$$", "@@@")):
