@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalflow.functions.names import group_from_name, ignore_by_name, safe_name_py
+from fiscalflow.functions.names import group_from_name, ignore_by_name
 from fiscalflow.operators.extract import apply_filters, apply_where, normalize_columns
 from fiscalflow.operators.union import relaxed_union
 
@@ -30,31 +30,16 @@ def with_lineage(
     """Add ``arquivo_origem`` (source file name) and ``grupo_mescla``.
 
     ``name_col`` defaults to the scan's ``_metadata.file_name``; a caller
-    ``group`` overrides the rule for every row.  The name rule depends on the
-    file only, so it runs on the distinct file list (a metadata-only scan:
-    no data columns are read), and the per-file tags are joined back on the
-    file.  Nothing goes through the driver; AQE broadcasts the tag table
-    when its measured size allows, else the join is a shuffle join whose
-    skewed partitions (one huge file) AQE splits.
+    ``group`` overrides the rule for every row.  Both tags are a projection
+    of the scan: no row moves.  Lineage columns that the data already have
+    (an earlier merged output) are replaced.
     """
-    if name_col is None:
-        key, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
-    else:
-        key = name = F.col(name_col)
-    tags = (
-        df.select(key.cast("string").alias("__lineage_key"), name.cast("string").alias(ORIGIN))
-        .distinct()
-        .withColumn(GROUP, group_from_name(F.col(ORIGIN), group))
-    )
-    cond = F.col("__lineage_key").eqNullSafe(F.col("__tag_key"))
-    out = (
-        df.withColumn("__lineage_key", key.cast("string"))
-        .join(tags.withColumnRenamed("__lineage_key", "__tag_key"), cond, "left")
-        .drop("__lineage_key", "__tag_key")
-    )
-    if drop_name_col and name_col is not None and name_col not in (ORIGIN, GROUP):
-        out = out.drop(name_col)
-    return out
+    name = F.col("_metadata.file_name") if name_col is None else F.col(name_col)
+    keep = [c for c in df.columns if c.lower() not in (ORIGIN, GROUP) or c == name_col]
+    if drop_name_col and name_col is not None:
+        keep = [c for c in keep if c != name_col]
+    origin = name.cast("string")
+    return df.select(*[F.col(f"`{c}`") for c in keep if c.lower() not in (ORIGIN, GROUP)], origin.alias(ORIGIN), group_from_name(origin, group).alias(GROUP))
 
 
 def select_for_merge(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
@@ -111,8 +96,9 @@ def merge_by_group(
     The only data brought to the driver is the distinct (source, group)
     list, whose size is the number of files; a caller that already knows it
     (one ``(origin, group)`` list per source) passes ``file_groups`` and no
-    scan is spent on it.  ``merge_single=False`` keeps the v1.0 rule: a group
-    made of a single file is not rewritten.
+    scan is spent on it.  ``merge_single=False`` keeps the v1.0 rule: when
+    there is a single file in all, nothing is written and its tagged rows are
+    the result; otherwise every group is merged.
     """
     if not sources:
         raise ValueError("no sources to merge")
@@ -153,10 +139,10 @@ def merge_by_group(
     if not members:
         raise ValueError("no file could be merged: every source is empty or ignored")
 
+    if not merge_single and sum(n_files.values()) == 1:
+        return MergeResult(files=files, unified=relaxed_union(prepared))
     buckets: dict[frozenset[int], list[str]] = {}
     for g in sorted(members):
-        if not merge_single and n_files.get(g, 0) <= 1:
-            continue
         buckets.setdefault(frozenset(members[g]), []).append(g)
 
     result = MergeResult(files=files)
@@ -166,7 +152,8 @@ def merge_by_group(
         parts = [prepared[j].filter(F.col(GROUP).isin(*groups)) for j in sorted(srcs)]
         path = f"{root}/mescla_{i}"
         merged = relaxed_union(parts)
-        merged.write.mode("overwrite").partitionBy(GROUP).parquet(path)
+        # Rows of a group stand together, a hot group is split over tasks: few files a group, no task x group files.
+        merged.hint("rebalance", GROUP).write.mode("overwrite").partitionBy(GROUP).parquet(path)
         result.tables.append(path)
         for g in groups:
             result.outputs[g] = f"{path}/{GROUP}={_escape(g)}"
@@ -180,4 +167,4 @@ def merge_by_group(
 def _escape(value: str) -> str:
     """Hive partition-path escaping of a value (as Spark writes it)."""
     special = set('"#%\'*/:=?\\\x7f{[]^') | {chr(c) for c in range(0x20)}
-    return "".join(f"%{ord(ch):02X}" if ch in special else ch for ch in value)
\ No newline at end of file
+    return "".join(f"%{ord(ch):02X}" if ch in special else ch for ch in value)

@@ -63,6 +63,7 @@ def with_partition_total(
     df: DataFrame, group: Column | str, value_col: str, group_name: str, total_name: str
 ) -> DataFrame:
     """Every row plus the total of ``value_col`` over its group (e.g. its
-    year): ``SUM(v) OVER (PARTITION BY g)`` computed as aggregate + join."""
+    year): ``SUM(v) OVER (PARTITION BY g)`` as an aggregate joined back; the
+    rows are not exchanged while the totals can be broadcast."""
     with_g = df.withColumn(group_name, col(group))
-    return with_key_aggregates(with_g, [group_name], [F.sum(col(value_col)).alias(total_name)])
+    return with_key_aggregates(with_g, [group_name], [F.sum(col(value_col)).alias(total_name)], fact_sized=True)

@@ -1064,7 +1064,7 @@ def q_merge_from_manifest(spark, sf):
             continue
         prio = local.split("prioridade=", 1)[1].split("/", 1)[0]
         name = f"pedidos_{prio}.parquet"
-        rows.append((local, local[len(norm_path(root)) + 1:], name, local, name, "", "arquivo_tabular_convertido_parquet"))
+        rows.append((local, local[len(norm_path(root)) + 1:], name, local, name, "", "arquivo_tabular"))
     res = merge_from_manifest(spark, spark.createDataFrame(rows, MANIFEST_SCHEMA), scratch_path(spark, "merged-manifest"))
     return res.unified.groupBy("grupo_mescla").agg(
         F.count(F.lit(1)).alias("linhas"), F.round(F.sum("o_totalprice"), 2).alias("total")

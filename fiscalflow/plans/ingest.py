@@ -9,12 +9,12 @@ count:
    read) and classify each file by name and suffix;
 2. expand archives in tasks (entries landed as files, see
    ``sources.archives``);
-3. sniff CSV dialects in tasks, reading file prefixes only;
+3. find CSV dialects in tasks (separator from a prefix, encoding and quoted
+   line breaks from the whole file, streamed);
 4. read each *class* of files (same dialect and header, same workbook
    header, same Parquet schema) with one scan;
 5. tag rows with their origin and group by joining the scan's
-   ``_metadata.file_path`` to the manifest (one row per file, broadcast
-   with its size known on the driver);
+   ``_metadata.file_path`` to the manifest (one row per file);
 6. apply filters, SQL predicate and columns per class (a class that lacks
    a requested column becomes error rows for its files);
 7. merge by group (``operators.merge``).
@@ -25,27 +25,28 @@ the driver; row data never is.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from fiscalflow.functions.names import group_from_name_py, ignore_by_name_py
+from fiscalflow.functions.names import file_suffix, group_from_name, ignore_by_name
 from fiscalflow.operators.extract import apply_filters, apply_where, normalize_columns
 from fiscalflow.operators.merge import GROUP, ORIGIN, MergeResult, merge_by_group
 from fiscalflow.session import materialize, scratch_path
 from fiscalflow.sources import manifest as M
 from fiscalflow.sources.archives import MAX_DEPTH, zip_entries
 from fiscalflow.sources.dialect import detect_dialects
-from fiscalflow.sources.files import parquet_schema_classes, read_csv
-from fiscalflow.sources.sheets import promote_header, spreadsheet_rows
+from fiscalflow.sources.files import REJECTED, bad_value, cast_with_rejects, literal_path, parquet_schema_classes, read_csv
+from fiscalflow.sources.sheets import PATH, ROW, promote_header, spreadsheet_rows
 
-# Manifest-sized tables up to this many rows are broadcast to the scans.
-BROADCAST_FILES = 200_000
 READABLE = {".csv", ".xlsx", ".ods", ".parquet", ".zip"}
 KNOWN_NO_READER = {".xls"}
+MERGEABLE = {".csv", ".xlsx", ".ods", ".parquet"}
 
 
 def norm_path(p: str) -> str:
@@ -57,13 +58,9 @@ def norm_path(p: str) -> str:
     return p
 
 
-def norm_path_col(c: Column) -> Column:
-    return F.regexp_replace(F.url_decode(c), r"^file:/*", "/")
-
-
-def _suffix(name: str) -> str:
-    dot = name.rfind(".")
-    return name[dot:].lower() if 0 < dot < len(name) - 1 else ""
+def plain_path(uri: Column) -> Column:
+    """Plain path of a scan's ``_metadata.file_path``: ``%XX`` decoded (a plus sign stands for itself)."""
+    return F.regexp_replace(F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), r"^file:/*", "/")
 
 
 @dataclass
@@ -74,32 +71,41 @@ class IngestResult:
     frames: list[DataFrame] = field(default_factory=list)
     merge: MergeResult | None = None
     out_dir: str = ""
+    #: (arquivo, linhas): rows with too many or too few fields, or values of the wrong type, by file.
+    rejects: DataFrame | None = None
+    include_metadata: bool = True
 
     @property
     def files_read(self) -> DataFrame:
-        return self.manifest.select(F.col("arquivo_origem")).distinct()
+        """Origins of the files that were read (those with an error row are not)."""
+        failed = self.errors.select(F.col("arquivo").alias("_failed"))
+        read = self.manifest.select("arquivo_origem").distinct()
+        return read.join(failed, F.col("arquivo_origem") == F.col("_failed"), "left_anti")
 
     @property
     def unified(self) -> DataFrame | None:
-        return self.merge.unified if self.merge else None
+        out = self.merge.unified if self.merge else None
+        return out.drop(ORIGIN, GROUP) if out is not None and not self.include_metadata else out
+
+
+def classified_files(spark: SparkSession, folder: str, group: str | None = None, recursive: bool = True) -> DataFrame:
+    """(path, name, suffix, ignored, group) of the files under ``folder`` (content not read)."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(folder)
+    named = listing.select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("name"))
+    return named.select("path", "name", file_suffix("name").alias("suffix"), ignore_by_name("name").alias("ignored"), group_from_name("name", group).alias("group"))
 
 
 def list_files(spark: SparkSession, folder: str, recursive: bool = True) -> list[str]:
     """Paths under ``folder`` (content not read)."""
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(folder).select("path")
-    return sorted(r.path for r in listing.collect())
+    return sorted(r.path for r in classified_files(spark, folder, None, recursive).select("path").collect())
 
 
-def _tag(df: DataFrame, manifest_rows: list[dict], spark: SparkSession, path_col: Column) -> DataFrame:
-    """Join rows to their manifest row by file path: origin and group."""
-    tags = spark.createDataFrame(
-        [(norm_path(r["caminho_local"]), r["arquivo_origem"], group_from_name_py(r["nome_arquivo"], r["grupo_mescla_padrao"]))
-         for r in manifest_rows],
-        "__path string, arquivo_origem string, grupo_mescla string",
-    )
-    if len(manifest_rows) <= BROADCAST_FILES:  # size known here: one row per file
-        tags = F.broadcast(tags)
-    return df.withColumn("__path", norm_path_col(path_col)).join(tags, "__path", "inner").drop("__path")
+def tag_rows(df: DataFrame, members: Sequence[dict], spark: SparkSession, plain: Column) -> DataFrame:
+    """Join rows to their file's origin and group; lineage columns the data already have are replaced."""
+    tags = spark.createDataFrame([(norm_path(r["caminho_local"]), r["arquivo_origem"], r["grupo"]) for r in members], "__path string, __origin string, __group string")
+    own = [c for c in df.columns if c.lower() not in (ORIGIN, GROUP)]
+    tagged = df.select(*[F.col(f"`{c}`") for c in own], plain.alias("__file")).join(tags, F.col("__file") == F.col("__path"))
+    return tagged.select(*[F.col(f"`{c}`") for c in own], F.col("__origin").alias(ORIGIN), F.col("__group").alias(GROUP))
 
 
 def ingest(
@@ -116,8 +122,15 @@ def ingest(
     group: str | None = None,
     recursive: bool = True,
     merge_single: bool = True,
+    schema: T.StructType | str | None = None,
 ) -> IngestResult:
-    """Ingest every readable file under ``landing`` and merge by group."""
+    """Ingest every readable file under ``landing`` and merge by group.
+
+    CSV and workbook columns named in ``schema`` are cast to its types before
+    filters and predicate; a value that does not fit becomes null and its row
+    is counted in ``rejects``, as are CSV rows with too many or too few fields.
+    """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     cols = normalize_columns(columns)
     out = (out or scratch_path(spark, "ingest")).rstrip("/")
     root = norm_path(landing.rstrip("/"))
@@ -127,25 +140,23 @@ def ingest(
 
     # 1. listing and classification (driver holds one path per file).
     zips = []
-    for path in list_files(spark, landing, recursive):
-        plain = norm_path(path)
-        name = plain.rsplit("/", 1)[-1]
-        ext = _suffix(name)
-        if ignore_by_name_py(name):
+    for f in sorted(classified_files(spark, landing, group, recursive).collect(), key=lambda f: f.path):
+        plain, name, ext = norm_path(f.path), f.name, f.suffix
+        if f.ignored:
             ignored.append((name, "dicionario de dados"))
         elif ext in KNOWN_NO_READER:
             errors.append((name, f"sem leitor para {ext}"))
         elif ext not in READABLE:
             ignored.append((name, f"extensao nao suportada: {ext or '(nenhuma)'}"))
         elif ext == ".zip":
-            zips.append(path)
+            zips.append(f.path)
         else:
             rel = plain[len(root) + 1:] if plain.startswith(root + "/") else plain
             entries.append(
                 {
                     "caminho_local": plain, "caminho_relativo": rel, "nome_arquivo": name, "origem_url": plain,
                     "arquivo_origem": name, "grupo_mescla_padrao": group or "", "origem_tipo": M.KIND_TABULAR,
-                    "ext": ext,
+                    "ext": ext, "grupo": f.group,
                 }
             )
 
@@ -153,11 +164,11 @@ def ingest(
     if zips:
         land = f"{out}/_extraidos"
         ent = materialize(
-            zip_entries(spark.createDataFrame([(z,) for z in zips], "path string"), land, max_zip_depth, group, len(zips)),
+            zip_entries(spark.createDataFrame([(z,) for z in zips], "path string"), land, max_zip_depth, group),
             spark,
             "zip-entries",
         )
-        for r in ent.collect():  # one row per archive entry
+        for r in ent.withColumn("ext", file_suffix("nome_arquivo")).collect():  # one row per archive entry
             if r.status == "ok":
                 local = norm_path(r.caminho_local)
                 entries.append(
@@ -165,7 +176,8 @@ def ingest(
                         "caminho_local": local, "caminho_relativo": local[len(norm_path(out)) + 1:],
                         "nome_arquivo": r.nome_arquivo, "origem_url": norm_path(r.arquivo_zip),
                         "arquivo_origem": r.arquivo_origem, "grupo_mescla_padrao": r.grupo_mescla_padrao,
-                        "origem_tipo": M.KIND_ZIP_ENTRY, "ext": _suffix(r.nome_arquivo),
+                        "origem_tipo": M.KIND_ZIP_ENTRY, "ext": r.ext,
+                        "grupo": r.grupo_mescla_padrao,
                     }
                 )
             elif r.status == "ignorado":
@@ -177,28 +189,30 @@ def ingest(
     frame_files: list[list[tuple[str, str]]] = []  # (origin, group) of each frame's files
     by_path = {e["caminho_local"]: e for e in entries}
 
-    def add_class(df: DataFrame, members: list[dict], path_col: Column) -> None:
-        tagged = _tag(df, members, spark, path_col)
+    rejected: list[DataFrame] = []
+
+    def add_class(read: Callable[[], DataFrame], members: list[dict], plain: Column, text: bool = False) -> None:
+        """One scan's rows, tagged and filtered; whatever fails in it becomes error rows of its files."""
         try:
-            kept = apply_where(apply_filters(tagged, filters), where)
+            df = read()
+            if text and schema is not None:
+                named = T.StructType([f for f in schema.fields if f.name in df.columns])
+                bad = reduce(lambda a, b: a | b, [bad_value(f) for f in named.fields], F.lit(False))
+                reject = F.when(bad, F.lit("")) if REJECTED not in df.columns else F.coalesce(F.col(REJECTED), F.when(bad, F.lit("")))
+                df = cast_with_rejects(df.withColumn(REJECTED, reject), named)[0]
+            tagged = tag_rows(df, members, spark, plain)
+            if REJECTED in tagged.columns:
+                rejected.append(tagged.groupBy(F.col(ORIGIN).alias("arquivo")).agg(F.count(REJECTED).alias("linhas")).where("linhas > 0"))
+                tagged = tagged.drop(REJECTED)
+            kept = apply_where(apply_filters(tagged.drop(PATH, ROW), filters), where)
             if cols is not None:
                 wanted = list(dict.fromkeys([*cols, ORIGIN, GROUP]))
                 missing = [c for c in wanted if c not in kept.columns]
                 if missing:
                     raise ValueError(f"colunas ausentes: {missing}; disponiveis: {kept.columns}")
                 kept = kept.select(*wanted)
-            else:
-                kept = kept.drop("path", "row_idx")
-            if not include_metadata:
-                kept = kept.drop(ORIGIN)
             frames.append(kept)
-            frame_files.append(
-                [
-                    (m["arquivo_origem"] if include_metadata else group_from_name_py(m["nome_arquivo"], m["grupo_mescla_padrao"]),
-                     group_from_name_py(m["nome_arquivo"], m["grupo_mescla_padrao"]))
-                    for m in members
-                ]
-            )
+            frame_files.append([(m["arquivo_origem"], m["grupo"]) for m in members])
         except (ValueError, AnalysisException) as e:
             for m in members:
                 errors.append((m["arquivo_origem"], f"{type(e).__name__}: {str(e).splitlines()[0]}"))
@@ -216,8 +230,8 @@ def ingest(
             else:
                 classes.setdefault((d.encoding, d.sep, d.header, bool(d.multilinha)), []).append(by_path[d.path])
         for (enc, sep, _h, multi), members in classes.items():
-            df = read_csv(spark, [m["caminho_local"] for m in members], sep=sep, encoding=enc, multiline=multi)
-            add_class(df, members, F.col("_metadata.file_path"))
+            paths = [m["caminho_local"] for m in members]
+            add_class(partial(read_csv, spark, paths, sep=sep, encoding=enc, multiline=multi, rejects=True), members, plain_path(F.col("_metadata.file_path")), text=True)
 
     # Spreadsheets: parsed in tasks once (bronze cells), one frame per header.
     sheets = [e for e in entries if e["ext"] in (".xlsx", ".ods")]
@@ -227,13 +241,15 @@ def ingest(
             spark,
             "cells",
         )
+        for r in cells.where("erro IS NOT NULL").select("path", "erro").collect():  # one row per bad workbook
+            errors.append((by_path[norm_path(r.path)]["arquivo_origem"], r.erro))
         seen = {norm_path(r.path) for r in cells.select("path").distinct().collect()}
         for s in sheets:
             if s["caminho_local"] not in seen:
                 errors.append((s["arquivo_origem"], "planilha vazia"))
-        for names, df in promote_header(cells):
-            paths = {norm_path(r.path) for r in df.select("path").distinct().collect()}
-            add_class(df, [by_path[p] for p in paths if p in by_path], F.col("path"))
+        for _names, df in promote_header(cells):
+            paths = sorted({norm_path(r[PATH]) for r in df.select(PATH).distinct().collect()})
+            add_class(lambda df=df: df, [by_path[p] for p in paths if p in by_path], F.regexp_replace(PATH, r"^file:/*", "/"), text=True)
 
     # Parquet: one scan per distinct footer schema (footers read in tasks).
     parquets = [e for e in entries if e["ext"] == ".parquet"]
@@ -242,7 +258,7 @@ def ingest(
         errors.append((by_path[norm_path(p)]["arquivo_origem"], err))
     for paths in classes:
         members = [by_path[norm_path(p)] for p in paths]
-        add_class(spark.read.parquet(*paths), members, F.col("_metadata.file_path"))
+        add_class(partial(spark.read.parquet, *map(literal_path, paths)), members, plain_path(F.col("_metadata.file_path")))
 
     manifest = M.normalize_manifest(
         spark.createDataFrame([tuple(e[f] for f in M.FIELDS) for e in entries], M.MANIFEST_SCHEMA)
@@ -250,7 +266,8 @@ def ingest(
     M.write_manifest(manifest, f"{out}/manifesto")
     err_df = spark.createDataFrame(errors, M.ERROR_SCHEMA)
     ign_df = spark.createDataFrame(ignored, M.IGNORED_SCHEMA)
-    result = IngestResult(manifest=manifest, errors=err_df, ignored=ign_df, frames=frames, out_dir=out)
+    rejects = reduce(DataFrame.union, rejected) if rejected else spark.createDataFrame([], "arquivo string, linhas long")
+    result = IngestResult(manifest=manifest, errors=err_df, ignored=ign_df, frames=frames, out_dir=out, rejects=rejects, include_metadata=include_metadata)
 
     if not frames:
         sample = "; ".join(f"{a}: {e}" for a, e in errors[:5])
@@ -270,55 +287,75 @@ def merge_from_manifest(
     columns: Sequence[str] | None = None,
     merge_single: bool = True,
 ) -> IngestResult:
-    """Merge the Parquet files a manifest lists, by group.
+    """Merge the files a manifest lists (Parquet, CSV, ``.xlsx``, ``.ods``), by group.
 
-    Missing files become error rows (left-anti join of the manifest against
-    a listing of the folders it points to); an empty manifest, or one whose
-    files are all missing, is an error.
+    Missing files become error rows; an empty manifest, or one whose files
+    are all missing, is an error.  Two rows on one path are two files with
+    the same content.
     """
     man = M.read_manifest(spark, manifest) if isinstance(manifest, str) else M.normalize_manifest(manifest)
-    rows = [r.asDict() for r in man.collect()]  # one row per file
+    local = F.regexp_replace(F.coalesce("caminho_local", F.lit("")), r"^file:/*", "/")
+    name = F.coalesce("nome_arquivo", F.regexp_extract(local, r"([^/]*)$", 1))
+    listed = man.select(
+        local.alias("caminho_local"), name.alias("nome_arquivo"), F.coalesce("arquivo_origem", name).alias("arquivo_origem"),
+        group_from_name(name, F.coalesce("grupo_mescla_padrao", F.lit(""))).alias("grupo"), ignore_by_name(name).alias("ignored"), file_suffix(local).alias("suffix"),
+    )
+    rows = [r.asDict() for r in listed.collect()]  # one row per file
     if not rows:
         raise ValueError("o manifesto esta vazio")
-    folders = sorted({norm_path(r["caminho_local"] or "").rsplit("/", 1)[0] for r in rows if r["caminho_local"]})
     existing: set[str] = set()
-    for folder in folders:
+    for folder in sorted({r["caminho_local"].rsplit("/", 1)[0] for r in rows if r["caminho_local"]}):
         try:
-            existing |= {norm_path(p) for p in list_files(spark, folder, recursive=False)}
+            existing |= {norm_path(p) for p in list_files(spark, literal_path(folder), recursive=False)}
         except AnalysisException:
             pass  # folder gone: all its files are missing
-    errors, ignored, present = [], [], []
+    errors, ignored = [], []
+    present: dict[str, list[dict]] = {}
     for r in rows:
-        local = norm_path(r["caminho_local"] or "")
-        name = r["nome_arquivo"] or local.rsplit("/", 1)[-1]
-        r = {**r, "caminho_local": local, "nome_arquivo": name, "arquivo_origem": r["arquivo_origem"] or name,
-             "grupo_mescla_padrao": r["grupo_mescla_padrao"] or ""}
-        if ignore_by_name_py(name):
-            ignored.append((name, "dicionario de dados"))
-        elif local not in existing:
-            errors.append((r["arquivo_origem"], f"arquivo local nao encontrado: {local}"))
-        elif _suffix(local) != ".parquet":
-            errors.append((r["arquivo_origem"], f"o manifesto deveria apontar para Parquet: {local}"))
+        if r["ignored"]:
+            ignored.append((r["nome_arquivo"], "dicionario de dados"))
+        elif r["caminho_local"] not in existing:
+            errors.append((r["arquivo_origem"], f"arquivo local nao encontrado: {r['caminho_local']}"))
+        elif r["suffix"] not in MERGEABLE:
+            errors.append((r["arquivo_origem"], f"sem leitor para {r['suffix'] or '(sem extensao)'}: {r['caminho_local']}"))
         else:
-            present.append(r)
-    frames = []
-    present_by_path = {r["caminho_local"]: r for r in present}
-    classes, bad = parquet_schema_classes(spark, sorted(present_by_path))
-    errors.extend((present_by_path[p]["arquivo_origem"], err) for p, err in bad)
-    by_schema = {i: [present_by_path[p] for p in paths] for i, paths in enumerate(classes)}
+            present.setdefault(r["caminho_local"], []).append(r)
     cols = normalize_columns(columns)
+    frames: list[DataFrame] = []
     known: list[list[tuple[str, str]]] = []
-    for members in by_schema.values():
-        df = _tag(spark.read.parquet(*[m["caminho_local"] for m in members]), members, spark, F.col("_metadata.file_path"))
+
+    def add(df: DataFrame, paths: Sequence[str], plain: Column) -> None:
+        members = [m for p in paths for m in present[norm_path(p)]]
+        df = tag_rows(df, members, spark, plain).drop(PATH, ROW)
         if cols is not None:
             wanted = list(dict.fromkeys([*cols, ORIGIN, GROUP]))
             missing = [c for c in wanted if c not in df.columns]
             if missing:
                 errors.extend((m["arquivo_origem"], f"colunas ausentes: {missing}") for m in members)
-                continue
+                return
             df = df.select(*wanted)
         frames.append(df)
-        known.append([(m["arquivo_origem"], group_from_name_py(m["nome_arquivo"], m["grupo_mescla_padrao"])) for m in members])
+        known.append([(m["arquivo_origem"], m["grupo"]) for m in members])
+
+    of = lambda *kinds: sorted(p for p, ms in present.items() if ms[0]["suffix"] in kinds)
+    classes, bad = parquet_schema_classes(spark, of(".parquet"))
+    errors.extend((m["arquivo_origem"], err) for p, err in bad for m in present[norm_path(p)])
+    for paths in classes:
+        add(spark.read.parquet(*map(literal_path, paths)), paths, plain_path(F.col("_metadata.file_path")))
+    if of(".csv"):
+        dialects: dict[tuple, list[str]] = {}
+        for d in detect_dialects(spark.createDataFrame([(p,) for p in of(".csv")], "path string")).collect():
+            if d.erro or not d.header:
+                errors.extend((m["arquivo_origem"], d.erro or "arquivo vazio") for m in present[d.path])
+            else:
+                dialects.setdefault((d.encoding, d.sep, d.header, bool(d.multilinha)), []).append(d.path)
+        for (enc, sep, _h, multi), paths in dialects.items():
+            add(read_csv(spark, paths, sep=sep, encoding=enc, multiline=multi), paths, plain_path(F.col("_metadata.file_path")))
+    if of(".xlsx", ".ods"):
+        cells = materialize(spreadsheet_rows(spark.createDataFrame([(p,) for p in of(".xlsx", ".ods")], "path string")), spark, "cells")
+        errors.extend((m["arquivo_origem"], r.erro) for r in cells.where("erro IS NOT NULL").collect() for m in present[r.path])
+        for _names, df in promote_header(cells):
+            add(df, sorted(r[PATH] for r in df.select(PATH).distinct().collect()), F.col(PATH))
     result = IngestResult(
         manifest=man,
         errors=spark.createDataFrame(errors, M.ERROR_SCHEMA),
@@ -331,4 +368,3 @@ def merge_from_manifest(
         raise ValueError("nenhum arquivo do manifesto pode ser mesclado" + (f"; primeiros erros: {sample}" if sample else ""))
     result.merge = merge_by_group(spark, frames, out, merge_single=merge_single, file_groups=known)
     return result
-

@@ -109,6 +109,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError(f"set {_CHECKPOINT_KEY} to a folder that all machines share; a local temporary folder is used with a local[...] master only")
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="fiscalflow-ckpt-")
     return _local_root

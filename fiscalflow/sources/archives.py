@@ -1,11 +1,13 @@
 """Zip archives: recursive expansion inside tasks, entries landed as files.
 
-Each archive is one task (deflate streams do not split), opened by path
-with random access; nested archives are landed and opened the same way,
-down to ``max_depth``.  Tabular entries are streamed to a landing folder
-under the shared checkpoint area and come back as *paths*, so their bytes
-never travel inside Spark rows and the landed CSVs are read by Spark's own
-splittable CSV scan afterwards.
+Two light passes a nesting level.  The first reads the central directories
+(one row per entry, no entry bytes); names are classified by the Column
+rules.  The second spreads the (archive, entry) rows over tasks, and each
+task opens the archive by path with random access and streams its entries
+out in chunks, so one large archive is worked on by many tasks in bounded
+memory.  Nested archives are landed and go through the same two passes, down
+to ``max_depth``.  Landed entries come back as *paths*: their bytes never
+travel inside Spark rows.
 
 Per entry the output says what happened (``ok``, ``ignorado`` with the
 reason, ``erro`` with the message), which feeds the error and ignored
@@ -16,16 +18,19 @@ also keeps two archives with the same stem apart.
 
 from __future__ import annotations
 
-import hashlib
 import os
 import shutil
+import uuid
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from fiscalflow.functions.names import group_from_name_py, ignore_by_name_py
+from fiscalflow.functions.names import file_suffix, group_from_name, ignore_by_name
+from fiscalflow.session import materialize
 
 # Fixed values of the reference: chain separator and default depth limit.
 CHAIN_SEP = "::"
@@ -39,12 +44,6 @@ ENTRY_SCHEMA = (
 )
 
 
-def _suffix(name: str) -> str:
-    base = name.rsplit("/", 1)[-1]
-    dot = base.rfind(".")
-    return base[dot:].lower() if 0 < dot < len(base) - 1 else ""
-
-
 def _local(path: str) -> str | None:
     from fiscalflow.sources.dialect import local_or_fs
 
@@ -63,13 +62,13 @@ def open_input(path: str):
 def write_stream(path: str, src, chunk: int = 8 << 20) -> None:
     """Copy a readable stream to ``path`` in chunks (bounded memory).
 
-    Local files are written under a temporary name and renamed, so a retried
-    task rewrites the same name atomically; object stores commit on close.
+    Local files are written under a temporary name of their own and renamed,
+    so a retried task rewrites the same name atomically; object stores commit on close.
     """
     local = _local(path)
     if local is not None:
         os.makedirs(os.path.dirname(local), exist_ok=True)
-        tmp = f"{local}.tmp-{os.getpid()}"
+        tmp = f"{local}.tmp-{uuid.uuid4().hex}"
         with open(tmp, "wb") as fh:
             shutil.copyfileobj(src, fh, chunk)
         os.replace(tmp, local)
@@ -81,97 +80,108 @@ def write_stream(path: str, src, chunk: int = 8 << 20) -> None:
         shutil.copyfileobj(src, fh, chunk)
 
 
-def expand_zip(
-    archive: str,
-    chain: str,
-    group: str,
-    land_dir: str,
-    depth: int = 0,
-    max_depth: int = MAX_DEPTH,
-    archive_path: str = "",
-) -> Iterator[tuple]:
-    """Yield one tuple per entry (see ``ENTRY_SCHEMA`` minus ``arquivo_zip``).
-
-    ``archive`` is a path opened with random access, so only the central
-    directory and the entries themselves are read, in chunks.  A nested
-    archive is first landed (streamed) and then opened the same way, so
-    memory stays bounded whatever the sizes.  ``group`` is the outermost
-    archive's group, kept for every nested entry.  Landed names hash the
-    outermost archive's full path with the chain, so archives that share a
-    name in different folders land apart.
-    """
-    root = land_dir.rstrip("/")
-    with open_input(archive) as raw, zipfile.ZipFile(raw) as zf:
-        for info in zf.infolist():
-            if info.is_dir():
-                continue
-            entry = info.filename
-            name = entry.rsplit("/", 1)[-1]
-            origin = f"{chain}{CHAIN_SEP}{entry}"
-            ext = _suffix(name)
-            if ignore_by_name_py(name):
-                yield (origin, entry, name, depth, group, "ignorado", "dicionario de dados", None)
-                continue
-            key = hashlib.sha1(f"{archive_path}{CHAIN_SEP}{origin}".encode("utf-8")).hexdigest()[:20]
+_LISTED = "archive string, outer string, chain string, depth int, entry string, error string"
+
+
+def _list_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row per entry of each archive, or one error row for an archive that cannot be read."""
+    for pdf in batches:
+        for archive, outer, chain, depth in zip(pdf["archive"], pdf["outer"], pdf["chain"], pdf["depth"], strict=True):
+            entries, error = [], None
             try:
-                if ext == ".zip":
-                    if depth + 1 > max_depth:
-                        raise ValueError(f"maximum archive depth {max_depth} exceeded")
-                    nested = f"{root}/_aninhados/{key}.zip"
-                    with zf.open(info) as src:
-                        write_stream(nested, src)
-                    yield from expand_zip(nested, origin, group, land_dir, depth + 1, max_depth, archive_path)
-                    continue
-                if ext not in TABULAR:
-                    yield (origin, entry, name, depth, group, "ignorado", f"extensao nao suportada: {ext or '(nenhuma)'}", None)
-                    continue
-                if ext not in READABLE:
-                    raise ValueError(f"no reader for {ext}")
-                target = f"{root}/{key}/{_safe_file_name(name)}"
-                with zf.open(info) as src:  # CRC is checked as the stream ends
-                    write_stream(target, src)
-                yield (origin, entry, name, depth, group, "ok", None, target)
-            except Exception as e:  # noqa: BLE001 - a bad entry is recorded, the rest goes on
-                yield (origin, entry, name, depth, group, "erro", f"{type(e).__name__}: {e}", None)
-
-
-def _safe_file_name(name: str) -> str:
-    keep = "".join(ch if ch.isalnum() or ch in "._-" else "_" for ch in name)
-    return keep.lstrip(".") or "entrada"
-
-
-def _expand_batches(land_dir: str, max_depth: int, given_group: str | None):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cols = ["arquivo_zip", "arquivo_origem", "entrada", "nome_arquivo", "profundidade",
-                "grupo_mescla_padrao", "status", "motivo", "caminho_local"]
-        for pdf in batches:
-            out = []
-            for path in pdf["path"]:
-                zip_name = path.rsplit("/", 1)[-1]
-                group = group_from_name_py(zip_name, given_group)
+                with open_input(archive) as raw, zipfile.ZipFile(raw) as zf:
+                    entries = [i.filename for i in zf.infolist() if not i.is_dir()]
+            except Exception as e:  # noqa: BLE001 - corrupt archive: one error row
+                entries, error = [None], f"{type(e).__name__}: {e}"
+            yield pd.DataFrame({"archive": archive, "outer": outer, "chain": chain, "depth": depth, "entry": entries, "error": error}).astype({"depth": "int32"})
+
+
+def _extract_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Stream each entry to its target; rows of one archive that stand together share one open handle."""
+    for pdf in batches:
+        errors = []
+        for _, group in pdf.groupby((pdf["archive"] != pdf["archive"].shift()).cumsum(), sort=False):
+            errors += _extract(group["archive"].iloc[0], group["entry"], group["target"])
+        yield pdf.assign(error=pd.Series(errors, index=pdf.index, dtype="object"))
+
+
+def _extract(archive: str, entries, targets) -> list[str | None]:
+    out: list[str | None] = []
+    try:
+        with open_input(archive) as raw, zipfile.ZipFile(raw) as zf:
+            for entry, target in zip(entries, targets, strict=True):
                 try:
-                    for row in expand_zip(path, zip_name, group, land_dir, 0, max_depth, path):
-                        out.append((path, *row))
-                except Exception as e:  # noqa: BLE001 - corrupt archive: one error row
-                    out.append((path, zip_name, None, zip_name, 0, group, "erro", f"{type(e).__name__}: {e}", None))
-            yield pd.DataFrame(out, columns=cols).astype({"profundidade": "int32"})
-
-    return run
+                    with zf.open(entry) as src:  # CRC is checked as the stream ends
+                        write_stream(target, src)
+                    out.append(None)
+                except Exception as e:  # noqa: BLE001 - a bad entry is recorded, the rest goes on
+                    out.append(f"{type(e).__name__}: {e}")
+    except Exception as e:  # noqa: BLE001 - the archive went away between the passes
+        out += [f"{type(e).__name__}: {e}"] * (len(entries) - len(out))
+    return out
 
 
 def zip_entries(
-    archives: DataFrame, land_dir: str, max_depth: int = MAX_DEPTH, group: str | None = None, n_files: int | None = None
+    archives: DataFrame, land_dir: str, max_depth: int = MAX_DEPTH, group: str | None = None, entries_per_task: int = 16
 ) -> DataFrame:
     """``archives`` has a ``path`` column (e.g. a ``binaryFile`` listing with
     only ``path`` selected: no bytes are read by Spark).
 
-    Each task opens its archives by path with random access and streams
-    entries out, so an archive of any size (beyond the 2 GB a single
-    ``binaryFile`` row can hold) expands in bounded memory.  One row per
-    archive, spread over as many partitions as archives (capped), so big
-    archives expand in parallel.
+    One row per entry (``ENTRY_SCHEMA``).  A nested entry keeps the group of
+    the outermost archive.
     """
     from fiscalflow.sources.sheets import one_file_per_task
 
-    paths = one_file_per_task(archives, n_files)
-    return paths.mapInPandas(_expand_batches(land_dir, max_depth, group), ENTRY_SCHEMA)
+    spark = archives.sparkSession
+    root = land_dir.rstrip("/")
+    paths = one_file_per_task(archives)
+    level = paths.select(F.col("path").alias("archive"), F.col("path").alias("outer"), F.regexp_extract("path", r"([^/]*)$", 1).alias("chain"), F.lit(0).alias("depth"))
+    done: list[DataFrame] = []
+    for depth in range(max_depth + 1):
+        listed = level.mapInPandas(_list_batches, _LISTED)
+        name = F.regexp_extract("entry", r"([^/]*)$", 1)
+        ext = file_suffix(name)
+        safe = F.regexp_replace(F.regexp_replace(name, r"[^\p{L}\p{N}._-]", "_"), r"^\.+", "")
+        key = F.substring(F.sha1(F.concat_ws(CHAIN_SEP, "outer", "origin")), 1, 20)
+        kinds = (
+            F.when(F.col("error").isNotNull(), "erro")
+            .when(ignore_by_name(name), "dicionario")
+            .when(ext == ".zip", "zip")
+            .when(ext.isin(*READABLE), "tabular")
+            .when(ext.isin(*TABULAR), "sem leitor")
+            .otherwise("outro")
+        )
+        listed = listed.withColumn("origin", F.when(F.col("entry").isNull(), F.col("chain")).otherwise(F.concat_ws(CHAIN_SEP, "chain", "entry")))
+        listed = listed.select("*", kinds.alias("kind"), ext.alias("ext"), key.alias("key"), safe.alias("safe"))
+        target = F.when(F.col("kind") == "zip", F.concat(F.lit(f"{root}/_aninhados/"), "key", F.lit(".zip"))).otherwise(
+            F.concat(F.lit(f"{root}/"), "key", F.lit("/"), F.when(F.col("safe") == "", F.lit("entrada")).otherwise(F.col("safe")))
+        )
+        listed = materialize(listed.withColumn("target", target), spark, "zip-listed")
+        wanted = listed.where(F.col("kind").isin("zip", "tabular") & ((F.col("kind") != "zip") | F.lit(depth < max_depth)))
+        parts = max(1, -(-wanted.count() // entries_per_task))
+        schema = listed.schema
+        extracted = wanted.repartition(parts, "archive", "entry").sortWithinPartitions("archive").mapInPandas(_extract_batches, schema)
+        extracted = materialize(extracted, spark, "zip-extracted")
+        nested = extracted.where("kind = 'zip' AND error IS NULL")
+        done += [
+            listed.where(~F.col("kind").isin("zip", "tabular")),
+            extracted.where("kind = 'tabular' OR error IS NOT NULL"),
+        ]
+        if depth == max_depth:
+            done.append(listed.where("kind = 'zip'").withColumn("error", F.lit(f"ValueError: maximum archive depth {max_depth} exceeded")))
+        if depth == max_depth or not nested.take(1):
+            break
+        level = nested.select(F.col("target").alias("archive"), "outer", F.col("origin").alias("chain"), F.lit(depth + 1).alias("depth"))
+    found = reduce(DataFrame.unionByName, done)
+    why = (
+        F.when(F.col("kind") == "dicionario", F.lit("dicionario de dados"))
+        .when(F.col("kind") == "outro", F.concat(F.lit("extensao nao suportada: "), F.when(F.col("ext") == "", "(nenhuma)").otherwise(F.col("ext"))))
+        .when(F.col("kind") == "sem leitor", F.concat(F.lit("ValueError: no reader for "), "ext"))
+        .otherwise(F.col("error"))
+    )
+    status = F.when(F.col("kind").isin("dicionario", "outro"), "ignorado").when(F.col("error").isNotNull() | F.col("kind").isin("sem leitor", "erro"), "erro").otherwise("ok")
+    file_name = F.regexp_extract(F.coalesce("entry", "chain"), r"([^/]*)$", 1)
+    return found.select(
+        F.col("outer").alias("arquivo_zip"), F.col("origin").alias("arquivo_origem"), F.col("entry").alias("entrada"), file_name.alias("nome_arquivo"), F.col("depth").alias("profundidade"),
+        group_from_name(F.regexp_extract("outer", r"([^/]*)$", 1), group).alias("grupo_mescla_padrao"), status.alias("status"), why.alias("motivo"), F.when(status == "ok", F.col("target")).alias("caminho_local"),
+    )

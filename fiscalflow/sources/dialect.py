@@ -1,8 +1,10 @@
 """CSV dialect detection: encoding, separator and header line per file.
 
-One row per file goes through ``mapInPandas``; each task opens its files
-and reads only the first ``SAMPLE_BYTES`` (never the whole file), tries the
-encodings in order and sniffs the separator.  The result is a small
+One row per file goes through ``mapInPandas``.  A task sniffs the separator
+and the header on the first ``SAMPLE_BYTES`` of its file, and streams the
+whole file in chunks of bounded size for what a prefix cannot tell: the
+encoding (UTF-8 only if every byte decodes) and whether a line break stands
+between quotes (then the file is read with ``multiLine``).  The result is a small
 ``(path, encoding, sep, header, erro)`` DataFrame (one row per file), which
 the caller groups into dialect classes so each class is read by one
 ``spark.read.csv`` scan.
@@ -16,8 +18,8 @@ Decisions on the reference's hazards:
 
 from __future__ import annotations
 
+import codecs
 import csv
-import io
 from collections.abc import Iterator
 
 import pandas as pd
@@ -68,21 +70,41 @@ def _decode(sample: bytes, encoding: str) -> str:
         raise
 
 
-def has_quoted_newlines(text: str, sep: str) -> bool:
-    """Whether a quoted field in the sample spans lines (then the file must
-    be read with ``multiLine``, which gives up splitting it)."""
-    if '"' not in text:
-        return False
-    complete = text[: text.rfind("\n")] if "\n" in text else text  # ignore a row cut by the sample end
-    try:
-        for row in csv.reader(io.StringIO(complete), delimiter=sep, strict=True):
-            if any("\n" in field or "\r" in field for field in row):
-                return True
-        return False
-    except csv.Error:
-        # The text was cut at a line break; a quote still open there means a
-        # quoted field runs across lines.
-        return True
+CHUNK_BYTES = 4 << 20
+
+
+def whole_file_facts(chunks: Iterator[bytes]) -> tuple[bool, bool]:
+    """(is UTF-8, a line break stands between quotes), from a whole file in chunks.
+
+    Quotes are counted by parity, so a stray quote inside an unquoted value
+    may call for ``multiLine`` without need; that reader gives the same rows.
+    """
+    decoder, utf8 = codecs.getincrementaldecoder("utf-8")(), True
+    inside = broken = False
+    for chunk in chunks:
+        if utf8:
+            try:
+                decoder.decode(chunk)
+            except UnicodeDecodeError:
+                utf8 = False
+        if not broken:
+            parts = chunk.split(b'"')
+            between = parts[0 if inside else 1 :: 2]
+            broken = any(b"\n" in x or b"\r" in x for x in between)
+            inside ^= len(parts) % 2 == 0
+    if utf8:
+        try:
+            decoder.decode(b"", True)
+        except UnicodeDecodeError:
+            utf8 = False
+    return utf8, broken
+
+
+def read_chunks(path: str, n: int = CHUNK_BYTES) -> Iterator[bytes]:
+    fs, inner = local_or_fs(path)
+    with open(inner, "rb") if fs is None else fs.open_input_stream(inner) as fh:
+        while chunk := fh.read(n):
+            yield chunk
 
 
 def sniff(sample: bytes) -> tuple[str, str, str]:
@@ -97,7 +119,7 @@ def sniff(sample: bytes) -> tuple[str, str, str]:
             sep = csv.Sniffer().sniff(text, delimiters=DELIMITERS).delimiter
         except csv.Error:
             sep = FALLBACK_SEP
-        header = text.splitlines()[0] if text else ""
+        header = next((line for line in text.splitlines() if line.strip()), "")  # Spark skips blank lines, too
         return SPARK_ENCODING[enc], sep, header
     raise ValueError("no encoding decodes the sample")  # unreachable: latin-1 decodes all bytes
 
@@ -107,10 +129,13 @@ def _sniff_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for path in pdf["path"]:
             try:
+                utf8, multi = whole_file_facts(read_chunks(path))
                 sample = open_prefix(path, SAMPLE_BYTES)
                 enc, sep, header = sniff(sample)
-                text = sample.decode({"UTF-8": "utf-8", "ISO-8859-1": "latin1"}[enc], errors="ignore")
-                out.append((path, enc, sep, header, has_quoted_newlines(text, sep), None))
+                if not utf8 and enc == "UTF-8":
+                    enc = "ISO-8859-1"
+                    _, sep, header = sniff(sample.decode("latin1").encode("utf-8"))
+                out.append((path, enc, sep, header, multi, None))
             except Exception as e:  # noqa: BLE001 - one bad file must not stop the others
                 out.append((path, None, None, None, None, f"{type(e).__name__}: {e}"))
         yield pd.DataFrame(out, columns=["path", "encoding", "sep", "header", "multilinha", "erro"])

@@ -9,14 +9,20 @@ over the data).  Typed columns come from a declared schema or from lenient
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PARQUET_GLOB = "*.{parquet,PARQUET,Parquet}"
+REJECTED = "__linha_rejeitada"
+
+
+def literal_path(path: str) -> str:
+    """A path whose glob characters stand for themselves."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
 def scan_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -71,16 +77,16 @@ def scan_parquet_dir(spark: SparkSession, folder: str) -> list[DataFrame]:
     """
     listing = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", PARQUET_GLOB)
         .option("recursiveFileLookup", "false")
         .load(folder)
         .select("path")
+        .where(F.lower("path").endswith(".parquet"))
     )
     paths = sorted(r.path for r in listing.collect())  # file names only: metadata-sized
     classes, bad = parquet_schema_classes(spark, paths)
     if bad:
         raise ValueError(f"unreadable Parquet footers: {bad[:5]}")
-    return [spark.read.parquet(*ps) for ps in classes]
+    return [spark.read.parquet(*map(literal_path, ps)) for ps in classes]
 
 
 def read_csv(
@@ -93,34 +99,49 @@ def read_csv(
     header: bool = True,
     multiline: bool = False,
     infer: bool = False,
+    rejects: bool = False,
 ) -> DataFrame:
     """CSV with a known dialect.  Malformed values become null (PERMISSIVE);
-    with no schema every column is read as string unless ``infer``."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    r = (
-        spark.read.option("header", header)
-        .option("sep", sep)
-        .option("encoding", encoding)
-        .option("mode", "PERMISSIVE")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multiline)
-    )
+    with no schema every column is read as string unless ``infer``.
+
+    ``rejects`` adds the text column ``REJECTED``: the whole line of a row
+    with too many or too few fields, or with a value that its type cannot
+    hold; null for sound rows.  Paths are taken literally (no globs).
+    """
+    from fiscalflow.sources.csv_options import reader_options, restore_empties
+
+    paths = [literal_path(p) for p in ([paths] if isinstance(paths, str) else paths)]
+    options = reader_options(sep, encoding, header, multiline)
+    r = spark.read.options(**options)
+    if rejects:
+        if schema is None:
+            schema = (r.option("inferSchema", True) if infer else r).csv(paths).schema
+        schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        schema = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
+        return restore_empties(spark.read.options(**options).option("columnNameOfCorruptRecord", REJECTED).schema(schema).csv(paths))
     if schema is not None:
         r = r.schema(schema)
     elif infer:
         r = r.option("inferSchema", True)
-    return r.csv(paths)
+    return restore_empties(r.csv(paths))
 
 
-def bronze_convert(spark: SparkSession, csv_paths: str | Sequence[str], out: str, *, sep: str, encoding: str) -> DataFrame:
+def bronze_convert(spark: SparkSession, csv_paths: str | Sequence[str], out: str, *, sep: str, encoding: str, multiline: bool = False) -> DataFrame:
     """CSV -> Parquet with every column as string, plus the source file."""
-    df = read_csv(spark, csv_paths, sep=sep, encoding=encoding)
+    df = read_csv(spark, csv_paths, sep=sep, encoding=encoding, multiline=multiline)
     df = df.withColumn("arquivo_origem", F.col("_metadata.file_name"))
     df.write.mode("overwrite").parquet(out)
     return spark.read.parquet(out)
 
 
+def bad_value(field: T.StructField) -> Column:
+    """Whether a row's text is neither blank nor a value of the field's type."""
+    text = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        return F.lit(False)
+    return F.coalesce(F.trim(text) != "", F.lit(False)) & text.try_cast(field.dataType).isNull()
+
+
 def cast_with_rejects(raw: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """Cast an all-string frame to ``schema`` leniently.
 
@@ -151,9 +172,10 @@ def read_partitioned(spark: SparkSession, path: str, text_columns: Sequence[str]
 def read_tabular(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
     """CSV (dialect sniffed per file), ``.xlsx``/``.ods`` and Parquet files as
     one all-string (Parquet: typed) DataFrame per schema class, each with a
-    ``path`` column naming the source file."""
+    column ``sheets.PATH`` naming the source file."""
+    from fiscalflow.session import materialize
     from fiscalflow.sources.dialect import detect_dialects
-    from fiscalflow.sources.sheets import promote_header, spreadsheet_rows
+    from fiscalflow.sources.sheets import PATH, ROW, promote_header, spreadsheet_rows
 
     def suffix(p: str) -> str:
         name = p.rsplit("/", 1)[-1]
@@ -171,16 +193,19 @@ def read_tabular(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
             classes.setdefault((d.encoding, d.sep, d.header, bool(d.multilinha)), []).append(d.path)
         for (enc, sep, _h, multi), ps in classes.items():
             df = read_csv(spark, ps, sep=sep, encoding=enc, multiline=multi)
-            out.append(df.withColumn("path", F.col("_metadata.file_path")))
+            out.append(df.withColumn(PATH, F.col("_metadata.file_path")))
     sheets = [p for p in paths if suffix(p) in (".xlsx", ".ods")]
     if sheets:
-        for _names, df in promote_header(spreadsheet_rows(spark.read.format("binaryFile").load(sheets))):
-            out.append(df.drop("row_idx"))
+        cells = materialize(spreadsheet_rows(spark.createDataFrame([(p,) for p in sheets], "path string")), spark, "cells")
+        if unreadable := cells.where("erro IS NOT NULL").select("path", "erro").take(5):
+            raise ValueError(f"unreadable workbooks: {[tuple(r) for r in unreadable]}")
+        for _names, df in promote_header(cells):
+            out.append(df.drop(ROW))
     parquets = [p for p in paths if suffix(p) == ".parquet"]
     classes_pq, bad = parquet_schema_classes(spark, parquets)
     if bad:
         raise ValueError(f"unreadable Parquet footers: {bad[:5]}")
-    out += [spark.read.parquet(*ps).withColumn("path", F.col("_metadata.file_path")) for ps in classes_pq]
+    out += [spark.read.parquet(*map(literal_path, ps)).withColumn(PATH, F.col("_metadata.file_path")) for ps in classes_pq]
     unsupported = [p for p in paths if suffix(p) not in (".csv", ".xlsx", ".ods", ".parquet")]
     if unsupported:
         raise ValueError(f"unsupported file types: {unsupported[:5]}")
@@ -190,12 +215,13 @@ def read_tabular(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
 def convert_tabular(spark: SparkSession, paths: Sequence[str], out: str, fmt: str = "csv") -> list[str]:
     """Convert tabular files to CSV (UTF-8, header) or Parquet, one output
     folder per schema class (``out/parte_<i>``); returns the folders."""
+    from fiscalflow.sources.sheets import PATH
     from fiscalflow.sources.sinks import write_csv, write_parquet
 
     written = []
     for i, df in enumerate(read_tabular(spark, paths)):
         target = f"{out.rstrip('/')}/parte_{i}"
-        data = df.drop("path")
+        data = df.drop(PATH)
         if fmt == "csv":
             write_csv(data, target)
         elif fmt == "parquet":

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Manifest fields and origin kinds of the reference.
+# Manifest fields; origin kinds (files stay as they landed, so the
+# kinds do not claim a conversion).
 FIELDS = (
     "caminho_local",
     "caminho_relativo",
@@ -21,9 +22,9 @@ FIELDS = (
     "grupo_mescla_padrao",
     "origem_tipo",
 )
-KIND_ZIP_ENTRY = "zip_extraido_convertido_parquet"
-KIND_TABULAR = "arquivo_tabular_convertido_parquet"
-KIND_REMOTE = "arquivo_remoto_convertido_parquet"
+KIND_ZIP_ENTRY = "zip_extraido"
+KIND_TABULAR = "arquivo_tabular"
+KIND_REMOTE = "arquivo_remoto"
 
 MANIFEST_SCHEMA = T.StructType([T.StructField(f, T.StringType(), True) for f in FIELDS])
 ERROR_SCHEMA = "arquivo string, erro string"
@@ -45,7 +46,7 @@ def normalize_manifest(df: DataFrame) -> DataFrame:
 
 def write_manifest(df: DataFrame, path: str, as_csv: bool = True) -> str:
     """Write once, overwrite on rerun: CSV with header (UTF-8), or Parquet."""
-    out = normalize_manifest(df).coalesce(1)  # manifest-sized: one row per file
+    out = normalize_manifest(df)
     if as_csv:
         out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     else:

@@ -4,7 +4,8 @@ No spreadsheet library is installed, and both formats are zip files of
 XML, so each workbook is opened by path inside a task (one workbook per
 task: a workbook cannot be split) and its sheet XML is streamed with
 ``iterparse``, so memory stays bounded by the batch size, not the file.  The output is one
-row per sheet row, ``(path, row_idx, cells array<string>)``; the header row
+row per sheet row, ``(path, row_idx, cells array<string>, erro)``, and one row with only
+path and erro for a workbook that cannot be read; the header row
 is promoted to column names per header class by :func:`promote_header`,
 with JVM-side projections.  ``.xls`` (binary BIFF) has no reader here and is
 reported as an error by the caller.
@@ -22,7 +23,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CELLS_SCHEMA = "path string, row_idx int, cells array<string>"
+CELLS_SCHEMA = "path string, row_idx int, cells array<string>, erro string"
+#: Helper columns of ``promote_header``; a header may use any other name.
+PATH, ROW = "__caminho", "__linha"
 
 _NS_MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _NS_REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
@@ -98,13 +101,28 @@ def _ods_cell(c) -> str | None:
         return c.get(f"{_NS_OFFICE}date-value")
     if vtype == "boolean":
         return c.get(f"{_NS_OFFICE}boolean-value")
-    paras = ["".join(p.itertext()) for p in c.iter(f"{_NS_TEXT}p")]
+    paras = ["".join(_ods_text(p)) for p in c.findall(f"{_NS_TEXT}p")]  # a comment's paragraphs lie deeper
     return "\n".join(paras) if paras else None
 
 
+def _ods_text(p) -> Iterator[str]:
+    """Text of a paragraph; runs of blanks, tabs and line breaks are elements of their own."""
+    yield p.text or ""
+    for el in p:
+        if el.tag == f"{_NS_TEXT}s":
+            yield " " * int(el.get(f"{_NS_TEXT}c", "1"))
+        elif el.tag == f"{_NS_TEXT}tab":
+            yield "\t"
+        elif el.tag == f"{_NS_TEXT}line-break":
+            yield "\n"
+        elif not el.tag.startswith(_NS_OFFICE):  # annotations are not part of the value
+            yield from _ods_text(el)
+        yield el.tail or ""
+
+
 def _iter_ods(zf: zipfile.ZipFile) -> Iterator[list[str | None]]:
-    """First table only; repeated cells/rows expanded, trailing empty cells
-    dropped, runs of empty rows kept once only when rows follow them."""
+    """First table only; repeated cells and rows are expanded as they are
+    read, blanks at the end of a row or of the table have no rows."""
     pending_empty = 0
     depth = 0
     with zf.open("content.xml") as fh:
@@ -117,22 +135,25 @@ def _iter_ods(zf: zipfile.ZipFile) -> Iterator[list[str | None]]:
             if event != "end" or el.tag != f"{_NS_TABLE}table-row" or depth == 0:
                 continue
             cells: list[str | None] = []
+            blank = 0
             for c in el:
                 if c.tag not in (f"{_NS_TABLE}table-cell", f"{_NS_TABLE}covered-table-cell"):
                     continue
-                rep = int(c.get(f"{_NS_TABLE}number-columns-repeated", "1"))
-                cells.extend([_ods_cell(c)] * min(rep, 16384))
-            while cells and cells[-1] is None:
-                cells.pop()
+                rep, value = int(c.get(f"{_NS_TABLE}number-columns-repeated", "1")), _ods_cell(c)
+                if value is None:
+                    blank += rep  # the tail of a row is often one cell repeated to the sheet's edge
+                    continue
+                cells.extend([None] * blank + [value] * rep)
+                blank = 0
             rep_rows = int(el.get(f"{_NS_TABLE}number-rows-repeated", "1"))
             el.clear()
             if not cells:
-                pending_empty = 1  # a run of empty rows counts once; trailing ones vanish
+                pending_empty += rep_rows
                 continue
             for _ in range(pending_empty):
                 yield []
             pending_empty = 0
-            for _ in range(min(rep_rows, 1_048_576)):
+            for _ in range(rep_rows):
                 yield cells
 
 
@@ -163,34 +184,35 @@ BATCH_ROWS = 10_000
 def _sheet_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     from fiscalflow.sources.archives import open_input
 
-    def frame(paths, idxs, cells):
-        return pd.DataFrame({"path": paths, "row_idx": pd.Series(idxs, dtype="int32"), "cells": cells})
+    def frame(paths, idxs, cells, error=None):
+        return pd.DataFrame({"path": paths, "row_idx": pd.Series(idxs, dtype="Int32"), "cells": cells, "erro": error})
 
     for pdf in batches:
         for path in pdf["path"]:
-            reader = _READERS.get(_suffix(path))
-            if reader is None:
-                continue
             paths, idxs, cells = [], [], []
-            with open_input(path) as raw, zipfile.ZipFile(raw) as zf:
-                for i, row in enumerate(reader(zf)):
-                    paths.append(path)
-                    idxs.append(i)
-                    cells.append(row)
-                    if len(paths) >= BATCH_ROWS:  # bounded memory per task
-                        yield frame(paths, idxs, cells)
-                        paths, idxs, cells = [], [], []
+            try:
+                reader = _READERS[_suffix(path)]
+                with open_input(path) as raw, zipfile.ZipFile(raw) as zf:
+                    for i, row in enumerate(reader(zf)):
+                        paths.append(path)
+                        idxs.append(i)
+                        cells.append(row)
+                        if len(paths) >= BATCH_ROWS:  # bounded memory per task
+                            yield frame(paths, idxs, cells)
+                            paths, idxs, cells = [], [], []
+            except Exception as e:  # noqa: BLE001 - one bad workbook must not stop the others
+                yield frame([path], [None], [None], f"{type(e).__name__}: {e}")
             if paths:
                 yield frame(paths, idxs, cells)
 
 
-def one_file_per_task(files: DataFrame, n_files: int | None = None, cap: int = 10_000) -> DataFrame:
+def one_file_per_task(files: DataFrame, n_files: int | None = None) -> DataFrame:
     """Spread a path list so each task gets about one file: an explicit
     partition count (AQE does not coalesce it) with range partitioning
     (balanced, unlike hashing a few keys)."""
     paths = files.select("path")
     n = n_files if n_files is not None else paths.count()  # a listing: metadata only
-    return paths.repartitionByRange(max(1, min(n, cap)), "path")
+    return paths.repartitionByRange(max(1, n), "path")
 
 
 def spreadsheet_rows(files: DataFrame, n_files: int | None = None) -> DataFrame:
@@ -219,16 +241,18 @@ def promote_header(rows: DataFrame) -> list[tuple[list[str], DataFrame]]:
     rows of each class are selected by a join with the (path, header) table,
     which has one row per file.
     """
+    rows = rows.where("erro IS NULL")
     headers = rows.filter(F.col("row_idx") == 0).select("path", F.col("cells").alias("__header"))
     classes = [r["__header"] for r in headers.select("__header").distinct().collect()]
     out = []
     body = rows.filter(F.col("row_idx") > 0)
     for h in classes:
         names = header_names(list(h))
-        members = headers.filter(F.col("__header") == F.array(*[F.lit(x).cast("string") for x in h]))
+        header = F.array(*[F.lit(x).cast("string") for x in h]).cast("array<string>")
+        members = headers.filter(F.col("__header").eqNullSafe(header))
         df = body.join(members.select("path"), "path", "inner").select(
-            "path",
-            "row_idx",
+            F.col("path").alias(PATH),
+            F.col("row_idx").alias(ROW),
             *[F.try_element_at(F.col("cells"), F.lit(i + 1)).alias(n) for i, n in enumerate(names)],
         )
         out.append((names, df))

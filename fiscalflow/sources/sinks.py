@@ -10,6 +10,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fiscalflow.operators.extract import extract
 from fiscalflow.session import scratch_path
@@ -26,16 +28,23 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None =
 def write_csv(
     df: DataFrame, path: str, *, sep: str = ",", encoding: str = "UTF-8", header: bool = True
 ) -> str:
-    """CSV with a header, RFC 4180 quoting (a quote inside a field is doubled)."""
-    (
-        df.write.mode("overwrite")
-        .option("header", header)
-        .option("sep", sep)
-        .option("encoding", encoding)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
+    """CSV with a header, RFC 4180 quoting (a quote inside a field is doubled).
+
+    Blanks around values and empty texts are kept.  A value that ``encoding``
+    cannot hold fails the write: Spark would put ``?`` in its place.
+    """
+    from fiscalflow.sources.csv_options import writer_options
+
+    if encoding.upper().replace("_", "-") not in ("UTF-8", "UTF8", "UTF-16"):
+        checked = []
+        for f in df.schema.fields:
+            c = F.col(f"`{f.name}`")
+            if isinstance(f.dataType, T.StringType):
+                held = ~c.rlike(r"[^\x00-\xFF]") if encoding.upper() == "ISO-8859-1" else F.decode(F.encode(c, encoding), encoding) == c
+                c = F.when(held, c).otherwise(F.when(c.isNotNull(), F.raise_error(F.concat(F.lit(f"{encoding} cannot hold: "), c)))).alias(f.name)
+            checked.append(c)
+        df = df.select(*checked)
+    df.write.mode("overwrite").options(**writer_options(sep, encoding, header)).csv(path)
     return path
 
 

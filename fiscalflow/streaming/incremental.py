@@ -16,15 +16,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from fiscalflow.functions.names import group_from_name
 from fiscalflow.operators.merge import GROUP, ORIGIN
 from fiscalflow.session import checkpoint_root
+from fiscalflow.sources.csv_options import reader_options, restore_empties
 
 
 @dataclass
 class IncrementalRun:
-    batches: int
+    batches: int  # of the last progress reports (Spark keeps 100)
     rows_written: int
     output: str
 
@@ -41,6 +43,7 @@ def incremental_csv_stream(
     max_files_per_trigger: int | None = None,
     name: Column | None = None,
     recursive: bool = True,
+    multiline: bool = True,
 ) -> DataFrame:
     """Streaming DataFrame of the CSV files landing under ``source_dir``,
     tagged with the source file and its merge group.
@@ -48,19 +51,12 @@ def incremental_csv_stream(
     ``name`` is the expression the group rule reads (default: the file
     name); for Spark-written landings a folder segment of
     ``_metadata.file_path`` names the file better than ``part-00000``."""
-    r = (
-        spark.readStream.schema(schema)
-        .option("header", header)
-        .option("sep", sep)
-        .option("encoding", encoding)
-        .option("mode", "PERMISSIVE")
-        .option("recursiveFileLookup", recursive)
-    )
+    r = spark.readStream.schema(schema).options(**reader_options(sep, encoding, header, multiline)).option("recursiveFileLookup", recursive)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = r.csv(source_dir)
     origin = F.col("_metadata.file_name")
-    return stream.withColumns({ORIGIN: origin, GROUP: group_from_name(origin if name is None else name, group)})
+    return restore_empties(stream.withColumns({ORIGIN: origin, GROUP: group_from_name(origin if name is None else name, group)}))
 
 
 def run_incremental(
@@ -78,6 +74,7 @@ def run_incremental(
         # and the (source, output) pair, not from a per-application folder.
         digest = hashlib.sha1(f"{source_dir}|{output}".encode()).hexdigest()[:16]
         checkpoint = f"{checkpoint_root(spark).rstrip('/')}/incremental-{digest}"
+    before = _committed(spark, output)
     q = (
         incremental_csv_stream(spark, source_dir, schema, **options)
         .writeStream.format("parquet")
@@ -89,10 +86,17 @@ def run_incremental(
         .start()
     )
     q.awaitTermination()
-    progress = q.recentProgress
-    rows = sum(int(p.get("numInputRows", 0)) for p in progress)
-    batches = sum(1 for p in progress if int(p.get("numInputRows", 0)) > 0)
-    return IncrementalRun(batches=batches, rows_written=rows, output=output)
+    # Spark keeps the last progress reports only, so rows are counted from the sink.
+    batches = sum(1 for p in q.recentProgress if int(p.get("numInputRows", 0)) > 0)
+    return IncrementalRun(batches=batches, rows_written=_committed(spark, output) - before, output=output)
+
+
+def _committed(spark: SparkSession, output: str) -> int:
+    """Rows of the committed files of the output, from their footers; 0 before the first run."""
+    try:
+        return spark.read.parquet(output).count()
+    except AnalysisException:
+        return 0
 
 
 def read_output(spark: SparkSession, output: str) -> DataFrame:

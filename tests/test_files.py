@@ -77,7 +77,7 @@ def test_spreadsheets(spark, tmp_path):
     assert len(classes) == 1
     names, df = classes[0]
     assert names == ["id", "nome", "valor"]
-    got = sorted((r.path.rsplit(".", 1)[-1], r.id, r.nome, r.valor) for r in df.collect())
+    got = sorted((r[sheets.PATH].rsplit(".", 1)[-1], r.id, r.nome, r.valor) for r in df.collect())
     assert got == [
         ("ods", "1", "Ana", "10.5"), ("ods", "2", "José", None), ("ods", "3", None, "7"),
         ("xlsx", "1", "Ana", "10.5"), ("xlsx", "2", "José", None), ("xlsx", "3", None, "7"),

@@ -1,11 +1,12 @@
-"""Property tests: Column rules against their plain-Python twins / urllib,
-each property batched into one DataFrame (one Spark job per property)."""
+"""Property tests of Column rules, each batched into one DataFrame (one Spark job per property)."""
 
 from urllib.parse import urljoin
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from fiscalflow.functions import names, urls
 
 NAME_ALPHABET = st.sampled_from(list("abcXYZ019_-. áÉçãÕüß") + ["pda", "dicionario", "Dicionário", "202401", "2005"])
@@ -14,12 +15,15 @@ names_st = st.lists(st.lists(NAME_ALPHABET, min_size=0, max_size=8).map("".join)
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(names_st)
-def test_group_and_ignore_rules_match_python(spark, values):
-    df = spark.createDataFrame([(v,) for v in values], "n string")
-    got = df.select("n", names.group_from_name("n").alias("g"), names.ignore_by_name("n").alias("i")).collect()
-    for r in got:
-        assert r.g == names.group_from_name_py(r.n), r.n
-        assert r.i == names.ignore_by_name_py(r.n), r.n
+def test_group_and_ignore_rules_depend_on_the_plain_stem_only(spark, values):
+    """Folders, suffix, accents and the choice of separator change neither rule; the group is a part of the name."""
+    df = spark.createDataFrame([(v,) for v in values if v and "." not in v], "n string")
+    g, i = names.group_from_name, names.ignore_by_name
+    other = F.concat(F.lit("dir/"), F.replace(names.strip_accents("n"), F.lit("_"), F.lit("-")), F.lit(".csv"))
+    for r in df.select("n", g("n").alias("g"), i("n").alias("i"), g(other).alias("g2"), i(F.concat(F.lit("d/"), "n", F.lit(".ods"))).alias("i2"), names.strip_accents("n").alias("s")).collect():
+        assert r.g and r.g == r.g2 and r.i == r.i2, r.n
+        assert r.g == names.NO_GROUP or r.g.upper() == r.g
+        assert r.i == ("dicionario" in r.s.lower())
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
