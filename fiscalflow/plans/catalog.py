@@ -13,6 +13,8 @@ inputs can produce.
 
 from __future__ import annotations
 
+import shutil
+
 import datetime as dt
 from collections.abc import Callable
 
@@ -772,12 +774,12 @@ def q_file_kind(spark, sf):
     return v.select("page_id", "url", names.file_suffix(path).alias("extensao"), urls.file_kind(path).alias("leitor"))
 
 
+# The page without comments, cut at each anchor's start; the attribute's end is found by position.
 _ANCHORS_SQL = """anc AS (
-  SELECT page_id, url, pos, trim(replace(replace(replace(replace(replace(regexp_replace(raw, '^["'']|["'']$', '', 'g'),
+  SELECT page_id, url, pos, trim(replace(replace(replace(replace(replace(substr(piece, 1, strpos(piece, '"') - 1),
          '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&')) AS href
-  FROM (SELECT page_id, url, unnest(l) AS raw, unnest(range(len(l))) AS pos
-        FROM (SELECT page_id, url, regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s"''>]+)', 1) AS l
-              FROM pages) p) q)"""
+  FROM (SELECT page_id, url, unnest(l) AS piece, unnest(range(len(l))) AS pos
+        FROM (SELECT page_id, url, string_split(regexp_replace(html, '<!--.*?-->', '', 'gs'), '<a href="')[2:] AS l FROM pages) p) q)"""
 
 
 @register("distinct_links", Q.with_ctes([_ANCHORS_SQL], "SELECT page_id, href, min(pos) AS posicao FROM anc GROUP BY 1, 2"))
@@ -953,14 +955,20 @@ def _customer_landing(spark, sf) -> str:
     return root
 
 
-@register("csv_dialect", None)
+@register(
+    "csv_dialect",
+    "SELECT * FROM (VALUES ('ponto_e_virgula', 'UTF-8', ';'), ('virgula', 'UTF-8', ','), ('tab', 'UTF-8', chr(9)), ('barra', 'UTF-8', '|')) "
+    "AS t(pasta, encoding, sep) WHERE EXISTS (SELECT 1 FROM customer)",
+)
 def q_csv_dialect(spark, sf):
     from fiscalflow.sources.dialect import detect_dialects
 
     root = _customer_landing(spark, sf)
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(root)
     d = detect_dialects(listing.select("path"))
-    return d.select(F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("pasta"), "encoding", "sep", "header", "erro")
+    # All of customer is ASCII, so its latin-1 copy is (rightly) UTF-8; how many parts a folder has does not matter.
+    good = d.where("erro IS NULL AND header IS NOT NULL")
+    return good.select(F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("pasta"), "encoding", "sep").distinct()
 
 
 _CUSTOMER_TEXT = (
@@ -1029,17 +1037,169 @@ def q_ingest_end_to_end(spark, sf):
     return _ingested(spark, sf).unified.drop("arquivo_origem")
 
 
-@register("manifest_build", None)
+_MANIFEST_SQL = (
+    "SELECT * FROM (VALUES ('clientes', 'CADASTRO', 'arquivo_tabular', '.csv'), ('fornecedores', 'CADASTRO', 'arquivo_tabular', '.csv'), "
+    "('nacoes', 'CADASTRO', 'arquivo_tabular', '.parquet')) AS t(pasta, grupo_mescla_padrao, origem_tipo, sufixo) WHERE EXISTS (SELECT 1 FROM customer)"
+)
+
+
+def _manifest_kinds(manifest):
+    """What a manifest says whatever the number of part files: folder, group, kind and suffix."""
+    folder = F.regexp_extract("caminho_relativo", r"^([^/]+)/", 1)
+    return manifest.select(folder.alias("pasta"), "grupo_mescla_padrao", "origem_tipo", names.file_suffix("nome_arquivo").alias("sufixo")).distinct()
+
+
+@register("manifest_build", _MANIFEST_SQL)
 def q_manifest_build(spark, sf):
-    return _ingested(spark, sf, merge=False).manifest
+    return _manifest_kinds(_ingested(spark, sf, merge=False).manifest)
 
 
-@register("manifest_roundtrip", None)
+@register("manifest_roundtrip", _MANIFEST_SQL)
 def q_manifest_roundtrip(spark, sf):
     from fiscalflow.sources.manifest import read_manifest
 
     res = _ingested(spark, sf, merge=False)
-    return read_manifest(spark, f"{res.out_dir}/manifesto")
+    return _manifest_kinds(read_manifest(spark, f"{res.out_dir}/manifesto"))
+
+
+@register(
+    "csv_late_quotes",
+    "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text FROM documents UNION ALL "
+    "SELECT 'a' || CAST(doc_id AS VARCHAR), replace(text, chr(10), ' ') FROM documents",
+)
+def q_csv_late_quotes(spark, sf):
+    """``documents`` landed so that each file starts with texts on one line; line breaks between quotes come after them."""
+    from fiscalflow.plans.ingest import ingest
+    from fiscalflow.session import scratch_path
+    from fiscalflow.sources.sinks import write_csv
+
+    root = scratch_path(spark, "landing-late")
+    d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    flat = d.select(F.concat(F.lit("a"), "doc_id").alias("doc_id"), F.replace("text", F.lit("\n"), F.lit(" ")).alias("text"))
+    both = flat.withColumn("depois", F.lit(0)).union(d.withColumn("depois", F.lit(1)))
+    ordered = both.repartition(4, F.regexp_replace("doc_id", "^a", "")).sortWithinPartitions("depois").select("doc_id", "text")
+    write_csv(ordered, f"{root}/csv", sep=";")
+    return ingest(spark, root, scratch_path(spark, "ingest-late"), group="DOCUMENTOS").unified.select("doc_id", "text")
+
+
+@register(
+    "csv_blanks_roundtrip",
+    "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '  ' || left(text, 50) || ' ' WHEN 1 THEN '' WHEN 2 THEN NULL ELSE 'a \"b\", ' || text END AS v FROM documents",
+)
+def q_csv_blanks_roundtrip(spark, sf):
+    """Blanks around values, empty texts, nulls, quotes and line breaks survive a CSV round trip."""
+    from fiscalflow.session import scratch_path
+    from fiscalflow.sources.files import read_csv
+    from fiscalflow.sources.sinks import write_csv
+
+    k = F.col("doc_id") % 4
+    v = F.when(k == 0, F.concat(F.lit("  "), F.substring("text", 1, 50), F.lit(" "))).when(k == 1, F.lit("")).when(k == 3, F.concat(F.lit('a "b", '), "text"))
+    out = write_csv(table(spark, sf, "documents").select("doc_id", v.alias("v")), scratch_path(spark, "csv-blanks"))
+    return read_csv(spark, out, schema="doc_id long, v string", multiline=True)
+
+
+@register(
+    "spreadsheet_rows",
+    "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders",
+)
+def q_spreadsheet_rows(spark, sf):
+    """``orders`` written as ``.xlsx`` workbooks by tasks (dates as styled day counts), and their rows read back."""
+    from fiscalflow.session import materialize, scratch_path
+    from fiscalflow.sources.sheets import promote_header, spreadsheet_rows
+
+    root = scratch_path(spark, "landing-xlsx")
+    day = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1899-12-30").cast("date"))
+    o = table(spark, sf, "orders").select("o_orderkey", day.alias("dia"), "o_orderpriority")
+    books = materialize(o.mapInPandas(_write_workbooks(root), "path string"), spark, "workbooks")
+    (_names, rows), = promote_header(materialize(spreadsheet_rows(books), spark, "cells"))
+    return rows.select("o_orderkey", "o_orderdate", "o_orderpriority")
+
+
+def _write_workbooks(root: str):
+    """mapInPandas body: one workbook for each batch of rows, its sheet streamed out row by row."""
+    import uuid
+
+    import pandas as pd
+
+    from fiscalflow.sources.archives import write_stream
+
+    def run(batches):
+        import tempfile
+        import zipfile
+        from xml.sax.saxutils import escape
+
+        main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+        for pdf in batches:
+            target = f"{root}/{uuid.uuid4().hex}.xlsx"
+            with tempfile.TemporaryFile() as raw:
+                with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as zf:
+                    zf.writestr("xl/workbook.xml", f'<workbook {main} xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets><sheet name="a" sheetId="1" r:id="r1"/></sheets></workbook>')
+                    zf.writestr("xl/styles.xml", f'<styleSheet {main}><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>')
+                    with zf.open("xl/worksheets/sheet1.xml", "w") as fh:
+                        text = lambda v: f'<c t="inlineStr"><is><t>{escape(str(v))}</t></is></c>'
+                        fh.write(f'<worksheet {main}><sheetData><row>{text("o_orderkey")}{text("o_orderdate")}{text("o_orderpriority")}</row>'.encode())
+                        for key, day, priority in zip(pdf["o_orderkey"], pdf["dia"], pdf["o_orderpriority"], strict=True):
+                            fh.write(f'<row><c><v>{key}</v></c><c s="1"><v>{day}</v></c>{text(priority)}</row>'.encode())
+                        fh.write(b"</sheetData></worksheet>")
+                raw.seek(0)
+                write_stream(target, raw)
+            yield pd.DataFrame({"path": [target]})
+
+    return run
+
+
+@register(
+    "sql_over_frame",
+    "SELECT year(o_orderdate) AS ano, o_orderpriority, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2",
+)
+def q_sql_over_frame(spark, sf):
+    """SQL over a DataFrame by name, without a view."""
+    frame = table(spark, sf, "orders").filter(F.col("o_orderstatus") == "F")
+    return spark.sql("SELECT year(o_orderdate) AS ano, o_orderpriority, round(sum(o_totalprice), 2) AS total FROM {df} GROUP BY 1, 2", df=frame)
+
+
+@register(
+    "typed_ingest",
+    "SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 10 = 0 THEN NULL ELSE s_nationkey END AS s_nationkey, "
+    "s_acctbal, CASE WHEN s_suppkey % 10 = 0 THEN 1 ELSE 0 END AS rejeitada FROM supplier WHERE s_suppkey > 4",
+)
+def q_typed_ingest(spark, sf):
+    """``supplier`` as CSV text with a bad value in every tenth row: typed on ingest, so numeric predicates work; bad values are counted."""
+    from fiscalflow.plans.ingest import ingest
+    from fiscalflow.session import scratch_path
+    from fiscalflow.sources.sinks import write_csv
+
+    root = scratch_path(spark, "landing-typed")
+    s = table(spark, sf, "supplier")
+    bad = F.when(F.col("s_suppkey") % 10 == 0, F.lit("n/d")).otherwise(F.col("s_nationkey").cast("string"))
+    write_csv(s.withColumn("s_nationkey", bad), f"{root}/f", sep="|")
+    schema = "s_suppkey long, s_nationkey int, s_acctbal double"
+    res = ingest(spark, root, scratch_path(spark, "ingest-typed"), group="F", schema=schema, where="s_suppkey > 4")
+    rejected = res.rejects.agg(F.sum("linhas")).first()[0] or 0
+    if rejected != s.where("s_suppkey % 10 = 0").count():
+        raise ValueError(f"{rejected} rows counted as rejected")
+    flag = F.when(F.col("s_nationkey").isNull(), 1).otherwise(0)
+    return res.unified.select("s_suppkey", "s_name", F.col("s_nationkey"), "s_acctbal", flag.alias("rejeitada"))
+
+
+@register(
+    "single_file_manifest",
+    "SELECT n_nationkey, n_name, n_regionkey, 'NACOES' AS grupo_mescla FROM nation",
+)
+def q_single_file_manifest(spark, sf):
+    """A manifest of one row with ``merge_single=False``: nothing is written, the tagged rows are the result."""
+    from fiscalflow.plans.ingest import list_files, merge_from_manifest, norm_path
+    from fiscalflow.session import scratch_path
+    from fiscalflow.sources.manifest import MANIFEST_SCHEMA
+
+    root = scratch_path(spark, "landing-single")
+    table(spark, sf, "nation").coalesce(1).write.parquet(f"{root}/n")  # 25 rows, so one file
+    (path,) = [norm_path(p) for p in list_files(spark, f"{root}/n") if p.endswith(".parquet")]
+    row = (path, "n", "nacoes.parquet", path, "nacoes.parquet", "", "arquivo_tabular")
+    res = merge_from_manifest(spark, spark.createDataFrame([row], MANIFEST_SCHEMA), f"{root}/out", merge_single=False)
+    if res.merge.outputs:
+        raise ValueError("a single file was rewritten")
+    return res.unified.drop("arquivo_origem")
 
 
 @register(
@@ -1101,8 +1261,8 @@ def q_incremental_ingest(spark, sf):
 def _zip_parts(out_dir: str):
     """mapInPandas body: pack each landed CSV part into its own archive
     (every second one nested one level deeper), written under ``out_dir``."""
-    import io as _io
-    import zipfile as _zip
+    import tempfile
+    import zipfile
 
     import pandas as pd
 
@@ -1112,21 +1272,17 @@ def _zip_parts(out_dir: str):
         for pdf in batches:
             made = []
             for path in pdf["path"]:
-                part = path.rsplit("/", 1)[-1]
-                stem = part.split(".", 1)[0]
-                buf = _io.BytesIO()
-                with _zip.ZipFile(buf, "w", _zip.ZIP_DEFLATED) as zf, open_input(path) as src:
-                    with zf.open(f"documentos/{stem}.csv", "w") as dst:
-                        while chunk := src.read(8 << 20):
-                            dst.write(chunk)
-                data = buf.getvalue()
-                if sum(map(ord, stem)) % 2:  # nest this one: outer.zip::inner.zip::entry
-                    outer = _io.BytesIO()
-                    with _zip.ZipFile(outer, "w", _zip.ZIP_STORED) as zf:
-                        zf.writestr(f"interno_{stem}.zip", data)
-                    data = outer.getvalue()
+                stem = path.rsplit("/", 1)[-1].split(".", 1)[0]
                 target = f"{out_dir.rstrip('/')}/documentos_{stem}.zip"
-                write_stream(target, _io.BytesIO(data))
+                with tempfile.TemporaryFile() as inner, tempfile.TemporaryFile() as outer:
+                    with zipfile.ZipFile(inner, "w", zipfile.ZIP_DEFLATED) as zf, open_input(path) as src, zf.open(f"documentos/{stem}.csv", "w") as dst:
+                        shutil.copyfileobj(src, dst, 8 << 20)
+                    inner.seek(0)
+                    if sum(map(ord, stem)) % 2:  # nest this one: outer.zip::inner.zip::entry
+                        with zipfile.ZipFile(outer, "w", zipfile.ZIP_STORED) as zf, zf.open(f"interno_{stem}.zip", "w") as dst:
+                            shutil.copyfileobj(inner, dst, 8 << 20)
+                        outer.seek(0)
+                    write_stream(target, outer if sum(map(ord, stem)) % 2 else inner)
                 made.append(target)
             yield pd.DataFrame({"path": made})
 

@@ -2,7 +2,9 @@
 
 The reference fetches one folder page at a time and walks its ``<a href>``
 tags.  Here the pages are rows, and every step is a column expression:
-``regexp_extract_all`` + ``posexplode`` for the anchors, skip rules,
+comments are cut out, ``regexp_extract_all`` takes whole anchor tags (a ``>``
+between quotes does not end one) and then whole attributes, of which the
+first named ``href`` counts; entities are decoded; then skip rules,
 ``resolve_href`` for ``urljoin``, a same-host filter, the path relative to
 a root, an optional suffix filter, and de-duplication of (url, relative
 path) per page keeping the first position.  Fetching linked sub-folders
@@ -11,7 +13,9 @@ path) per page keeping the first position.  Fetching linked sub-folders
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,26 +23,50 @@ from pyspark.sql import functions as F
 from fiscalflow.functions.names import file_suffix
 from fiscalflow.functions.urls import PROCESSABLE_SUFFIXES, resolve_href, url_host, url_path
 
-# Anchor pattern and the hrefs the reference skips outright.
-ANCHOR_HREF = r"(?i)<a\s[^>]*?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
+COMMENT = r"(?s)<!--.*?(?:-->|$)"
+ANCHOR = r"""(?is)<a(?=[\s/])((?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>"""
+ATTRIBUTE = r"""(?s)([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"""
+ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+# The hrefs the reference skips outright.
 SKIPPED_HREFS = ("../", "./", "/")
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
 
-def _unquote_attr(c: Column) -> Column:
-    v = F.regexp_replace(c, r"^[\"']|[\"']$", "")
-    for ent, ch in ENTITIES:
-        v = F.replace(v, F.lit(ent), F.lit(ch))
-    return F.regexp_replace(v, r"^\s+|\s+$", "")
+def _named_entities() -> Column:
+    """Entity name -> characters, from Python's table of the HTML standard."""
+    return F.from_json(F.lit(json.dumps({k: v for k, v in html5.items() if k.endswith(";")})), "map<string,string>")
+
+
+def _entity_text(entity: Column) -> Column:
+    """The characters of one entity; an unknown one stays as it is."""
+    body = F.substring(entity, 3, 1 << 30)
+    number = F.when(F.lower(F.substring(entity, 3, 1)) == "x", F.conv(F.regexp_extract(entity, r"([0-9a-fA-F]+);$", 1), 16, 10)).otherwise(F.regexp_extract(body, r"^([0-9]+)", 1)).try_cast("long")
+    valid = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    return F.when(entity.startswith("&#"), F.when(valid, char).otherwise(F.lit("\ufffd"))).otherwise(
+        F.coalesce(F.try_element_at(_named_entities(), F.substring(entity, 2, 1 << 30)), entity)
+    )
+
+
+def decode_entities(c: Column) -> Column:
+    """Numeric and named character references (with their semicolon) decoded once, from left to right."""
+    between, found = F.split(c, ENTITY, -1), F.regexp_extract_all(c, F.lit(ENTITY), F.lit(0))
+    joined = F.concat(F.transform(found, lambda e, i: F.concat(F.element_at(between, i + 1), _entity_text(e))), F.slice(between, -1, 1))
+    return F.when(c.contains("&") & (F.size(found) > 0), F.array_join(joined, "")).otherwise(c)
 
 
 def anchors(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """One row per ``<a href>`` with its 0-based position in the page."""
-    found = F.regexp_extract_all(F.col(html_col), F.lit(ANCHOR_HREF), 1)
+    """One row per ``<a>`` with an ``href``, with its 0-based position among them in the page."""
+    tags = F.regexp_extract_all(F.regexp_replace(F.col(html_col), COMMENT, ""), F.lit(ANCHOR), 1)
+
+    def href(tag: Column) -> Column:
+        names, values = F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(1)), F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(2))
+        return F.element_at(values, F.array_position(F.transform(names, F.lower), F.lit("href")).cast("int"))
+
+    has_href = lambda tag: F.array_contains(F.transform(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(1)), F.lower), "href")
     others = [c for c in pages.columns if c != html_col]
-    return pages.select(*others, F.posexplode(found).alias("posicao", "href_raw")).withColumn(
-        "href", _unquote_attr(F.col("href_raw"))
-    ).drop("href_raw")
+    each = pages.select(*others, F.posexplode(F.transform(F.filter(tags, has_href), href)).alias("posicao", "href_raw"))
+    bare = F.regexp_replace(F.col("href_raw"), r"""^["']|["']$""", "")
+    return each.withColumn("href", F.regexp_replace(decode_entities(bare), r"^\s+|\s+$", "")).drop("href_raw")
 
 
 def relative_to_root(path: Column, root: str) -> Column:

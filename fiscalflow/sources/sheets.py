@@ -13,6 +13,7 @@ reported as an error by the caller.
 
 from __future__ import annotations
 
+import datetime as dt
 import io
 import re
 import zipfile
@@ -43,6 +44,31 @@ def _col_index(ref: str) -> int:
     return n - 1
 
 
+#: Built-in number formats that show dates or times.
+_DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
+_TIME_OF_DAY = {18, 19, 20, 21, 45, 46, 47}
+
+
+def _date_styles(zf: zipfile.ZipFile, names: set[str]) -> set[int]:
+    """Cell styles (by number) whose number format shows a date."""
+    if "xl/styles.xml" not in names:
+        return set()
+    root = ET.fromstring(zf.read("xl/styles.xml"))
+    own = {}
+    for f in root.iter(f"{_NS_MAIN}numFmt"):
+        shown = re.sub(r'"[^"]*"|\\.|\[[^\]]*\]', "", f.get("formatCode") or "")
+        own[int(f.get("numFmtId"))] = bool(re.search(r"[yd]", shown, re.IGNORECASE))
+    xfs = root.find(f"{_NS_MAIN}cellXfs")
+    ids = [int(x.get("numFmtId", "0")) for x in xfs] if xfs is not None else []
+    return {i for i, n in enumerate(ids) if own.get(n, n in _DATE_FORMATS - _TIME_OF_DAY)}
+
+
+def _iso_date(serial: str, epoch: dt.datetime) -> str:
+    """A day count as ``yyyy-mm-dd``, with the time of day where there is one."""
+    when = epoch + dt.timedelta(seconds=round(float(serial) * 86_400))
+    return when.date().isoformat() if when.time() == dt.time(0) else when.isoformat(sep=" ")
+
+
 def _iter_xlsx(zf: zipfile.ZipFile) -> Iterator[list[str | None]]:
     names = set(zf.namelist())
     shared: list[str] = []
@@ -54,6 +80,9 @@ def _iter_xlsx(zf: zipfile.ZipFile) -> Iterator[list[str | None]]:
                     el.clear()
     wb = ET.fromstring(zf.read("xl/workbook.xml"))
     first = next(wb.iter(f"{_NS_MAIN}sheet"))
+    dates = _date_styles(zf, names)
+    from_1904 = any(p.get("date1904") in ("1", "true") for p in wb.iter(f"{_NS_MAIN}workbookPr"))
+    epoch = dt.datetime(1904, 1, 1) if from_1904 else dt.datetime(1899, 12, 30)
     rid = first.get(f"{_NS_REL}id")
     target = "worksheets/sheet1.xml"
     if "xl/_rels/workbook.xml.rels" in names:
@@ -87,6 +116,8 @@ def _iter_xlsx(zf: zipfile.ZipFile) -> Iterator[list[str | None]]:
                     value = "true" if v.text == "1" else "false"
                 else:
                     value = v.text if v is not None else None
+                    if value and kind in (None, "n") and int(c.get("s", "-1")) in dates:
+                        value = _iso_date(value, epoch)
                 cells.append(value)
             row.clear()
             yield cells

