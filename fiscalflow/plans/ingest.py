@@ -40,6 +40,7 @@ from fiscalflow.operators.merge import GROUP, ORIGIN, MergeResult, merge_by_grou
 from fiscalflow.session import materialize, scratch_path
 from fiscalflow.sources import manifest as M
 from fiscalflow.sources.archives import MAX_DEPTH, zip_entries
+from fiscalflow.sources.csv_options import EMPTY
 from fiscalflow.sources.dialect import detect_dialects
 from fiscalflow.sources.files import REJECTED, bad_value, cast_with_rejects, literal_path, parquet_schema_classes, read_csv
 from fiscalflow.sources.sheets import PATH, ROW, promote_header, spreadsheet_rows
@@ -202,7 +203,10 @@ def ingest(
                 df = cast_with_rejects(df.withColumn(REJECTED, reject), named)[0]
             tagged = tag_rows(df, members, spark, plain)
             if REJECTED in tagged.columns:
-                rejected.append(tagged.groupBy(F.col(ORIGIN).alias("arquivo")).agg(F.count(REJECTED).alias("linhas")).where("linhas > 0"))
+                # The parser judges a line by the columns asked for, so the count looks at all of them in passing.
+                others = [F.col(f"`{c}`").cast("string") for c in df.columns if c.lower() not in (REJECTED, ORIGIN, GROUP, PATH, ROW)]
+                line = F.when(F.concat_ws("", *others) != EMPTY, F.col(REJECTED))
+                rejected.append(tagged.groupBy(F.col(ORIGIN).alias("arquivo")).agg(F.count(line).alias("linhas")).where("linhas > 0"))
                 tagged = tagged.drop(REJECTED)
             kept = apply_where(apply_filters(tagged.drop(PATH, ROW), filters), where)
             if cols is not None:
