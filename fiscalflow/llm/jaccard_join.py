@@ -25,7 +25,10 @@ Stages, all over whole texts and all documents:
 4. the rest: a pair in two components that no pivot has tested is tested in
    blocks: sets outside a list's main component are the queries, the list's
    sets stand in blocks of about ``BLOCK`` grams, and a task holds one block
-   and a bounded batch of queries.  No list is expanded into all its pairs.
+   and a bounded batch of queries.  Counts of grams by hash bucket (512 bytes a
+   set) bound what two sets can share; only sets that may be similar to one of
+   another component are tested with all their grams.  No list is expanded
+   into all its pairs.
 
 Links between equal sets are the classes of equal signature (128 bits).  Every
 link between different sets is found or lies within a component already.
@@ -58,6 +61,8 @@ HOT_GRAMS = 1 << 18
 MOST_MATCHES, VERIFY_COST = 8, 20.0
 #: Postings in a bucket, grams in a block of sets, grams of the queries beside a block, about.
 PER_BUCKET, BLOCK, QUERIES = 1_000_000, 1_000_000, 1_000_000
+#: Hash buckets of the counts that bound a shared number of grams.
+COUNTERS = 256
 #: Grams counted, and postings packed, at a time in a task.
 CHUNK = 2_000_000
 
@@ -266,13 +271,22 @@ def _lists(buckets: int, percent: int):
     return run
 
 
+def gram_counts(grams: np.ndarray) -> np.ndarray:
+    """Grams of a set by hash bucket; the sum of the lesser counts of two sets is at least what they share."""
+    return np.minimum(np.bincount((grams >> np.uint64(56)).astype(np.int64), minlength=COUNTERS), 65_535).astype("<u2")
+
+
 def _sets(order: Order):
-    """(doc, matches, grams in order) of each document."""
+    """(doc, matches, n, counts, grams in order) of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [order.arrange(gram_set(t)) for t in b["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array([x[2] for x in found], pa.int32()), pa.array([x[0].tobytes() for x in found], pa.binary())], ["doc", "matches", "grams"])
+            grams = [x[0] for x in found]
+            yield pa.RecordBatch.from_arrays(
+                [b["doc_id"], pa.array([x[2] for x in found], pa.int32()), pa.array([len(g) for g in grams], pa.int64()), pa.array([gram_counts(g).tobytes() for g in grams], pa.binary()), pa.array([g.tobytes() for g in grams], pa.binary())],
+                ["doc", "matches", "n", "counts", "grams"],
+            )
 
     return run
 
@@ -289,6 +303,31 @@ def _verify(percent: int):
     return run
 
 
+def _possible(percent: int):
+    """Of queries and a block of sets those that may be similar to one of another component, by their counts (kind 0: query, 1: set)."""
+
+    def run(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+        names = ["f", "k", "s", "doc", "comp"]
+        if not len(queries) or not len(members):
+            return pd.DataFrame({"kind": pd.Series(dtype="int32"), **{c: pd.Series(dtype="int64") for c in names}})
+        counts = np.array([np.frombuffer(x, "<u2") for x in members["counts"]])
+        sizes, comps = members["n"].to_numpy(), members["comp"].to_numpy()
+        asked, met = np.zeros(len(queries), bool), np.zeros(len(members), bool)
+        for i, (raw, n, comp) in enumerate(zip(queries["counts"], queries["n"], queries["comp"], strict=True)):
+            near = np.flatnonzero((100 * np.minimum(n, sizes) >= percent * np.maximum(n, sizes)) & (comps != comp))
+            own = np.frombuffer(raw, "<u2")
+            most = np.minimum(counts[near], own).sum(1, dtype=np.int64)
+            # A full counter may stand for more than it holds.
+            full = (counts[near] == 65_535).any(1) | (own == 65_535).any()
+            on = near[full | (100 * most >= percent * (n + sizes[near] - most))]
+            asked[i] = len(on) > 0
+            met[on] = True
+        out = pd.concat([queries.loc[asked, names].assign(kind=0), members.loc[met, names].assign(kind=1)])
+        return out[["kind", *names]].astype({"kind": "int32"})
+
+    return run
+
+
 def _verify_block(percent: int):
     """Queries against one block of sets: shared grams are counted through the block's inverted lists."""
 
@@ -354,11 +393,23 @@ def _rest(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     asking = materialize(asking, spark, "join-asking")
     standing = placed.join(salts, ["family", "block"]).select("family", "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt"), F.col("doc").alias("member"), "comp")
     standing = materialize(standing, spark, "join-standing")
-    queries = _with_sets(asking, "query", sets).withColumnsRenamed({"query": "doc", "query_comp": "comp"})
-    members = _with_sets(standing, "member", sets).withColumnRenamed("member", "doc")
-    left = queries.select(F.col("family").alias("f"), F.col("block").alias("k"), F.col("salt").alias("s"), F.col("doc").alias("doc"), F.col("comp").alias("comp"), F.col("grams").alias("grams"))
-    right = members.select(F.col("family").alias("f"), F.col("block").alias("k"), F.col("salt").alias("s"), F.col("doc").alias("doc"), F.col("comp").alias("comp"), F.col("grams").alias("grams"))
-    return left.groupBy("f", "k", "s").cogroup(right.groupBy("f", "k", "s")).applyInPandas(_verify_block(percent), "a long, b long")
+    keys = [F.col("family").alias("f"), F.col("block").alias("k"), F.col("salt").alias("s")]
+    left = asking.select(*keys, F.col("query").alias("doc"), F.col("query_comp").alias("comp"))
+    right = standing.select(*keys, F.col("member").alias("doc"), F.col("comp").alias("comp"))
+    possible = materialize(_cogroup(left, right, sets, ["n", "counts"]).applyInPandas(_possible(percent), "kind int, f long, k long, s long, doc long, comp long"), spark, "join-possible")
+    left = materialize(possible.where("kind = 0").drop("kind"), spark, "join-asking")
+    right = materialize(possible.where("kind = 1").drop("kind"), spark, "join-standing")
+    return _cogroup(left, right, sets, ["grams"]).applyInPandas(_verify_block(percent), "a long, b long")
+
+
+def _cogroup(left: DataFrame, right: DataFrame, sets: DataFrame, columns: list[str]):
+    """Two written tables (f, k, s, doc, comp), each with columns of its docs' sets, grouped together by f, k and s."""
+    sides = []
+    for rows in (left, right):
+        side = F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+        found = sets.select("doc", *columns).join(side, "doc")
+        sides.append(found.select(*[F.col(c).alias(c) for c in ("f", "k", "s", "doc", "comp", *columns)]).groupBy("f", "k", "s"))
+    return sides[0].cogroup(sides[1])
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -382,7 +433,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pivots = ranked.groupBy("list").agg(pivot, F.count(F.lit(1)).alias("in_list")).where("in_list > 1").drop("in_list")
     lists = materialize(ranked.drop("often").join(pivots, "list"), spark, "join-ranked")
     wanted = materialize(lists.select(F.col("doc").alias("doc_id")).distinct(), spark, "join-wanted")
-    sets = semi_join(rows, wanted).mapInArrow(_sets(order), "doc long, matches int, grams binary")
+    sets = semi_join(rows, wanted).mapInArrow(_sets(order), "doc long, matches int, n long, counts binary, grams binary")
     if members.groupBy("doc_id").count().where("count > 1").take(1):
         sets = sets.dropDuplicates(["doc"])
     sets = materialize(sets, spark, "join-sets")

@@ -75,6 +75,15 @@ def test_prefixes_lose_no_similar_pair(seed, n, edit, i, j):
             assert len(np.intersect1d(x[: len(x) - J.need_smaller(len(x)) + 1], y[: len(y) - J.need(len(y)) + 1])) >= 1
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 10_000), st.integers(1, 400), st.integers(1, 400), st.integers(0, 400))
+def test_counts_bound_what_is_shared(seed, n, m, both):
+    rng = np.random.default_rng(seed)
+    x = rng.integers(0, 2**64, n + m + both, dtype=np.uint64)
+    a, b = np.unique(np.concatenate([x[:n], x[n + m :]])), np.unique(x[n:])
+    assert np.minimum(J.gram_counts(a), J.gram_counts(b)).sum() >= len(np.intersect1d(a, b))
+
+
 def test_longer_prefix_where_candidates_cost_more():
     rare, hot = np.arange(100, dtype=np.uint64), np.arange(1000, 1100, dtype=np.uint64)
     order = J.Order(hot, np.full(100, 1000))
