@@ -39,8 +39,8 @@ from fiscalflow.llm.common import arrow_rows, scratch_path, text_rows
 WIDTH = 8
 #: Bitmap bits for one entry of the rank directory.
 RUN = 512
-#: Distinct pieces of text that a worker remembers at most (about 200 bytes each).
-CACHE = 500_000
+#: Distinct pieces of text that a worker remembers at most, in two generations (about 200 bytes each).
+CACHE = 900_000
 #: Ends each document.
 END = 2
 #: What a space is written as in a byte-level vocabulary.
@@ -104,13 +104,18 @@ class Dac:
         return out
 
 
+#: Marks a piece that has no space before it; texts that hold it are cut at spaces only.
+INNER = "\x01"
+
+
 class CachedTokenizer:
     """The tokenizers library, asked once for each distinct piece of text.
 
-    A piece starts at a space before a non-blank (which always starts a new
-    word), so the ids of a text are those of its pieces, one after the other.
-    New pieces are asked for in one text: each starts with a token that starts
-    with a space, and holds no other one.
+    A new word of the vocabulary's pattern always starts at a space before a
+    non-blank, and at a sign after a letter or number; texts are cut there, so
+    the ids of a text are those of its pieces, one after the other.  New
+    pieces with a space before them are asked for in one text: each starts
+    with a token that starts with a space, and holds no other one.
     """
 
     def __init__(self, path: str) -> None:
@@ -123,13 +128,15 @@ class CachedTokenizer:
         vocab = self.library.get_vocab()
         self.starts = np.zeros(1 + max(vocab.values()), bool)
         self.starts[[i for token, i in vocab.items() if token[0] == SPACE]] = True
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ask(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, pieces: list[str]) -> None:
-        plain = [p for p in pieces if p and " " not in p]
+        plain = [p for p in pieces if p and " " not in p and p[0] != INNER]
         ids = np.frombuffer(self._ask([" " + " ".join(plain)])[0], "<u4") if plain else np.empty(0, "<u4")
         at = np.flatnonzero(self.starts[ids])
         if len(at) == len(plain):
@@ -137,26 +144,30 @@ class CachedTokenizer:
             self.known.update(zip(plain, map(raw.__getitem__, map(slice, cuts, [*cuts[1:], len(raw)])), strict=True))
         rest = [p for p in pieces if p not in self.known] if len(at) != len(plain) or len(plain) != len(pieces) else []
         if rest:
-            self.known.update(zip(rest, self._ask([" " + p for p in rest]), strict=True))
+            self.known.update(zip(rest, self._ask([p[1:] if p[:1] == INNER else " " + p for p in rest]), strict=True))
 
     def _codes(self, pieces: list[str]) -> list[bytes]:
-        """Ids of distinct pieces."""
-        new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = pieces
-        self._learn(new)
+        """Ids of distinct pieces; what is in use moves to the younger generation."""
+        if len(self.known) + len(pieces) > CACHE // 2:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = [p for p in pieces if p not in known]
+        known.update((p, older[p]) for p in new if p in older)
+        self._learn([p for p in new if p not in known])
         return list(map(self.known.__getitem__, pieces))
 
     def encode_batch(self, texts: pa.Array) -> list[bytes]:
         """Ids (little-endian, 32 bits) of each of an array of texts."""
-        lists = pc.split_pattern(texts, " ")
-        odd = np.flatnonzero(pc.match_substring_regex(texts, r" [\s\p{Z}\x0b\x1c-\x1f\x85]").to_numpy(zero_copy_only=False))
-        if len(odd):
+        odd = pc.match_substring_regex(texts, r"\x01| [\s\p{Z}\x0b\x1c-\x1f\x85]")
+        for token in self.special:
+            odd = pc.or_(odd, pc.match_substring(texts, token))
+        lists = pc.split_pattern(pc.replace_substring_regex(texts, r"([\p{L}\p{N}])([^\s\p{L}\p{N}\p{Z}\x0b\x1c-\x1f\x85])", f"\\1 {INNER}\\2"), " ")
+        if len(rows := np.flatnonzero(odd.to_numpy(zero_copy_only=False))):
             cut = dict(enumerate(lists.to_pylist()))
-            for i in odd.tolist():  # runs of blanks stay with the piece before them
+            for i in rows.tolist():  # cut at spaces alone; runs of blanks stay with the piece before them
                 head, tails = pieces_of(texts[i].as_py())
-                cut[i] = [head, *tails]
+                # A text whose own mark could be taken for ours is asked for whole.
+                cut[i] = [head, *tails] if not any(t[:1] == INNER for t in tails) else [texts[i].as_py()]
             lists = pa.array([cut[i] for i in range(len(texts))], pa.list_(pa.string()))
         flat, offsets = lists.flatten(), lists.offsets.to_numpy()
         first = offsets[:-1]
@@ -226,7 +237,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
             for row in b.to_pylist():
                 dac = Dac(row["n_tokens"], row["chunks"], row["bitmaps"], row["ranks"])
                 offsets = np.frombuffer(row["offsets"], "<i8")
-                ids = [dac.tokens(int(x), int(y)).astype("<u4").tobytes() for x, y in zip(offsets[:-1], offsets[1:], strict=True)]
+                block = dac.tokens(0, row["n_tokens"]).astype("<u4")
+                ids = [block[x:y].tobytes() for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
                 null = np.frombuffer(row["id_null"], np.uint8).astype(bool)
                 yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(row["ids"], "<i8"), mask=null), pa.array(offsets[:-1] + row["start"]), pa.array(np.diff(offsets)), pa.array(ids, pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
 
