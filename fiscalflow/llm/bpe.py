@@ -37,8 +37,8 @@ from fiscalflow.llm.common import arrow_rows, binary_column, text_rows
 
 #: The word pattern of byte-level BPE vocabularies of this family (a fixed value, as published with them).
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Distinct pieces that a worker remembers at most (about 200 bytes each); a quarter as many words and token pairs.
-CACHE = 1_000_000
+#: Distinct pieces that a task remembers at most (about 200 bytes each); a quarter as many words and token pairs.
+CACHE = 400_000
 
 _BLANK_AFTER_SPACE = re.compile(r" (?=\s)")
 _BEFORE_WORD = re.compile(r" (?=\S)")
@@ -212,6 +212,10 @@ class Bpe:
         first = self.encode_piece(head) if head else b""
         return np.frombuffer(first + b"".join(map(known.__getitem__, tails)), "<u4")
 
+    def forget(self) -> None:
+        """Drop what a task has remembered: a worker lives on, and other operators need its memory."""
+        self.piece_ids, self.word_ids, self.pair_ok = {}, {}, {}
+
     def decimal(self, ids: np.ndarray) -> str:
         """Ids as decimal numbers joined by commas."""
         return ",".join(map(self.decimals.__getitem__, ids.tolist()))
@@ -243,6 +247,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         bpe = load(path)
         for b in batches:
             yield pa.RecordBatch.from_arrays([b["doc_id"], binary_column([bpe.encode(t.decode("utf-8", "replace")).tobytes() for t in b["text"].to_pylist()])], ["doc_id", "ids"])
+        bpe.forget()
 
     return text_rows(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids binary")
 
@@ -273,5 +278,6 @@ def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
                 of_ids.append(hashlib.sha256(bpe.decimal(ids).encode()).hexdigest())
                 of_text.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        bpe.forget()
 
     return text_rows(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

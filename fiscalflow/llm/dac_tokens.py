@@ -40,7 +40,7 @@ WIDTH = 8
 #: Bitmap bits for one entry of the rank directory.
 RUN = 512
 #: Distinct pieces of text that a worker remembers at most, in two generations (about 200 bytes each).
-CACHE = 900_000
+CACHE = 600_000
 #: Ends each document.
 END = 2
 #: What a space is written as in a byte-level vocabulary.

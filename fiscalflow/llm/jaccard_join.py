@@ -64,7 +64,7 @@ PER_BUCKET, BLOCK, QUERIES = 1_000_000, 1_000_000, 1_000_000
 #: Hash buckets of the counts that bound a shared number of grams.
 COUNTERS = 256
 #: Grams counted, and postings packed, at a time in a task.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -210,7 +210,7 @@ def _postings(order: Order, buckets: int):
                 grams.append(ordered[:length])
                 known.append(is_known[:length])
                 size += length
-            if size > CHUNK // 10:
+            if size > CHUNK // 5:
                 yield from packed()
                 docs, sigs, grams, known, flags, sizes = [], [], [], [], [], []
                 size, turn = 0, turn + 1
