@@ -75,7 +75,7 @@ def gram_set(raw: bytes, words: int = WORDS) -> np.ndarray:
     if not found:
         return np.empty(0, np.uint64)
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
-    if len(h) <= words:
+    if len(h) < words:
         return mix64(np.array([xxhash.xxh3_64_intdigest(h.tobytes())], np.uint64))
     n = len(h) - words + 1
     grams = h[:n].copy()

@@ -39,6 +39,13 @@ def result(df):
     return sorted(tuple(r) for r in J.jaccard_components(df).collect())
 
 
+def test_five_equal_words_are_the_gram_of_a_longer_text(spark):
+    """A text of exactly five words has the shingle that the same five words have in a longer text."""
+    rows = list(enumerate(["x x x x x", "x x x x x x", "- - - - -", "- " * 40, "x x x x", "a b c d e", "a b c d e f"], 1))
+    got = result(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got == brute(rows) == [(1, 1, 1), (2, 1, 1), (3, 1, 3), (4, 1, 3), (5, 1, 5), (6, 1, 6), (7, 2, 7)]
+
+
 def families(seed, n):
     """Families of edited copies around and below the threshold, with shared passages and exact copies."""
     rnd = random.Random(seed)
