@@ -15,7 +15,9 @@
    probability of the rest, by a hash of its id.
 
 By default targets are the domains' shares to the power ``FLATTEN``, and the
-total is the largest at which no domain has to be repeated.
+total is ``TOTAL``: as many tokens are drawn as there are, whatever the rarest
+domain.  Large domains are thinned and rare ones repeated, one of share s at
+about the rate s ** (FLATTEN - 1) / sum(shares ** FLATTEN).
 
 Defined results: a null text is empty and has no tokens, so its rate moves no
 total; a row without a tag is judged by its words alone; without any labelled
@@ -43,6 +45,8 @@ SAMPLE_PER_DOMAIN, DOMAINS = 500, 256
 #: Hashed words of the model; words that a text's evidence is tempered to; trust in a tag.
 WORDS, EVIDENCE, TAG_TRUST = 1 << 14, 20.0, 0.9
 FLATTEN = 0.7
+#: Tokens to draw, as a part of those there are, where the caller says nothing.
+TOTAL = 1.0
 #: Steps at most; the largest difference from a target share at which they stop; pull of rates towards 1.
 STEPS, CLOSE, PULL = 40, 1e-4, 1e-3
 
@@ -130,7 +134,7 @@ class Fit:
 def fit_rates(posteriors: DataFrame, size: int, target: np.ndarray | None = None, total: float | None = None) -> Fit:
     """Fit rates to target weights; ``posteriors`` is a written table (n_tokens, posterior as 32-bit floats).
 
-    ``total`` is the wanted number of tokens as a part of those there are.
+    ``total`` is the wanted number of tokens as a part of those there are, by default ``TOTAL``.
     """
 
     def sums(fit: Fit) -> np.ndarray:
@@ -157,7 +161,7 @@ def fit_rates(posteriors: DataFrame, size: int, target: np.ndarray | None = None
         target = share**FLATTEN
     target = target / target.sum()
     if total is None:
-        total = float(min(1.0, (share[target > 0] / target[target > 0]).min()))
+        total = TOTAL
     # Expected shares are linear in the rates; the largest share bounds the curvature.
     fit = Fit(target * total, 1.0 / (float(share.max()) + PULL))
     now = share

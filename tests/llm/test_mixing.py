@@ -57,6 +57,18 @@ def test_default_targets_repeat_nothing_much(docs):
     assert got.rate.max() < 1.1 and got.copies.max() <= 2 and abs(got.copies.sum() - got.rate.sum()) < 60
 
 
+@pytest.mark.parametrize("rare", [1e-2, 1e-4, 1e-6])
+def test_a_rare_domain_does_not_set_the_total(spark, rare):
+    """All tokens are drawn at any share of the rarest domain; the hot one is thinned, the others are not."""
+    share = np.array([0.35, *[(0.65 - rare) / 19] * 19, rare])
+    p = np.eye(len(share), dtype=np.float32)
+    table = spark.createDataFrame([(int(x), bytearray(q.tobytes())) for x, q in zip(np.round(share * 10**7), p, strict=True)], "n_tokens long, posterior binary")
+    fit = M.fit_rates(table, len(share))
+    got = fit.rates(p)[0]
+    assert abs(share @ got - 1) < 0.01 and abs(fit.target.sum() - 1) < 1e-9
+    assert got[0] < 0.7 and (got[1:] > 1).all()
+
+
 def test_odd_rows(odd, empty):
     rows = M.mix(odd).collect()
     assert len(rows) == odd.count()
