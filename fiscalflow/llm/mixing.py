@@ -4,10 +4,14 @@
    labelled table (text, domain).  A document's posterior over domains joins
    the evidence of its words, tempered to that of ``EVIDENCE`` words so that
    long texts are not overconfident, with its own domain tag where it has one,
-   which is taken for right with probability ``TAG_TRUST``.
+   which is taken for right with probability ``TAG_TRUST``.  The ``DOMAINS`` most
+   frequent domains have word models; any further one has the words of all and
+   is known by its tag, so a posterior holds the first ones and its own.
 2. Document rates r >= 0 are fitted by projected gradient steps (with momentum)
    on the squared distance between the expected share of tokens of each domain
-   and its target, plus a small pull towards 1.  A step needs one number a
+   and its target, weighted up for small domains, plus a small pull towards 1.
+   Steps end when every domain is close to its target, as a part of the target
+   too; a warning names the domains that are not.  A step needs one number a
    domain from all documents: each task recomputes the rates of its documents
    from the list of past steps and returns its part of the sums.  No rate is
    kept between steps and none passes through the driver.
@@ -22,14 +26,15 @@ about the rate s ** (FLATTEN - 1) / sum(shares ** FLATTEN).
 Defined results: a null text is empty and has no tokens, so its rate moves no
 total; a row without a tag is judged by its words alone; without any labelled
 row, or without tokens, every rate is 1; repeated rows have equal posteriors,
-rates and copies; a domain beyond the ``DOMAINS`` most frequent counts as no
-tag; an empty table gives an empty result.
+rates and copies; a positive target of a domain without a labelled row is an
+error; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +45,7 @@ from pyspark.sql import types as T
 
 from fiscalflow.llm.common import arrow_rows, materialize
 
-#: Labelled rows learned from per domain, about, picked by a hash of the id; domains at most.
+#: Labelled rows learned from per domain, about, picked by a hash of the id; domains with a word model at most.
 SAMPLE_PER_DOMAIN, DOMAINS = 500, 256
 #: Hashed words of the model; words that a text's evidence is tempered to; trust in a tag.
 WORDS, EVIDENCE, TAG_TRUST = 1 << 14, 20.0, 0.9
@@ -49,6 +54,8 @@ FLATTEN = 0.7
 TOTAL = 1.0
 #: Steps at most; the largest difference from a target share at which they stop; pull of rates towards 1.
 STEPS, CLOSE, PULL = 40, 1e-4, 1e-3
+#: A target counts as met within this part of it; steps at most while one is not, without a pull after ``STEPS``; the pull at most as a part of the largest share.
+NEAR, MORE_STEPS, PULL_SHARE = 0.02, 100, 1 / 250
 
 
 def word_codes(raw: bytes) -> np.ndarray:
@@ -58,24 +65,37 @@ def word_codes(raw: bytes) -> np.ndarray:
 
 @dataclass
 class Classifier:
-    """Log-probabilities of hashed words by domain, and the domains' shares of labelled rows."""
+    """Log-probabilities of hashed words by domain, and the domains' shares of labelled rows.
+
+    ``logp`` has a column for each of the first domains, and one of all words for the others.
+    """
 
     domains: list[str]
     logp: np.ndarray
     prior: np.ndarray
 
+    @property
+    def size(self) -> int:
+        """Domains with a word model."""
+        return self.logp.shape[1] - 1
+
+    def own(self, tag: str | None) -> int:
+        """The place of a tag among the domains without a word model, or -1."""
+        return max(-1, self._place.get(tag, -1) - self.size)
+
     def posterior(self, raw: bytes, tag: str | None) -> tuple[int, np.ndarray]:
-        codes = word_codes(raw)
-        score = np.log(self.prior)
+        """(words, posterior): of the domains with a word model, then, where there are others, of the text's own one."""
+        codes, size, k = word_codes(raw), self.size, len(self.domains)
+        at = self._place.get(tag, -1)
+        score = np.full(size + 1, -np.inf)
+        score[:size] = np.log(self.prior[:size])
+        if at >= 0 and k > 1:
+            score += np.log((1 - TAG_TRUST) / (1 - self.prior[at]))
+            score[min(at, size)] = np.log(TAG_TRUST)
         if len(codes):
             score = score + self.logp[codes].mean(0) * min(EVIDENCE, len(codes))
-        k = len(self.domains)
-        if tag in self._place and k > 1:
-            trust = np.full(k, np.log((1 - TAG_TRUST) / (k - 1)))
-            trust[self._place[tag]] = np.log(TAG_TRUST)
-            score = score + trust
         p = np.exp(score - score.max())
-        return len(codes), (p / p.sum()).astype(np.float32)
+        return len(codes), (p / p.sum()).astype(np.float32)[: size + (k > size)]
 
     def __post_init__(self) -> None:
         self._place = {d: i for i, d in enumerate(self.domains)}
@@ -86,11 +106,13 @@ def fit_classifier(labelled: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = labelled.sparkSession
     arrow_rows(spark)
     rows = labelled.where(F.col(domain_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"), F.col(domain_col).cast("string").alias("domain"))
-    sizes = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "domain").limit(DOMAINS).collect()}
+    sizes = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return None
-    domains = sorted(sizes)
-    share = spark.createDataFrame([(d, i, min(1.0, per_domain / sizes[d])) for i, d in enumerate(domains)], "_domain string, _k int, _share double")
+    by_size = sorted(sizes, key=lambda d: (-sizes[d], d))
+    first = sorted(by_size[:DOMAINS])
+    domains = first + sorted(by_size[DOMAINS:])
+    share = spark.createDataFrame([(d, i, min(1.0, per_domain / sizes[d])) for i, d in enumerate(first)], "_domain string, _k int, _share double")
     spot = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / float(1 << 20)
     sample = rows.join(F.broadcast(share), F.col("domain") == F.col("_domain")).where(spot < F.col("_share")).select("text", F.col("_k").alias("k"))
 
@@ -104,73 +126,103 @@ def fit_classifier(labelled: DataFrame, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(on), k, np.int32)), pa.array(on.astype(np.int32)), pa.array(counts[on].astype(np.int64))], ["k", "word", "n"])
 
     found = sample.mapInArrow(run, "k int, word int, n long").groupBy("k", "word").agg(F.sum("n").alias("n")).toArrow()  # at most domains x WORDS numbers
-    counts = np.full((WORDS, len(domains)), 0.5)
-    counts[found["word"].to_numpy(), found["k"].to_numpy()] += found["n"].to_numpy()
+    counts = np.zeros((WORDS, len(first) + 1))
+    counts[found["word"].to_numpy(), found["k"].to_numpy()] = found["n"].to_numpy()
+    # Half a count a word, dealt as the words of all: a domain of few words is like all, not unlike every text.
+    every = counts.sum(1) + 1 / WORDS
+    counts += (every / every.sum() * WORDS / 2)[:, None]
     prior = np.array([sizes[d] for d in domains], float)
     return Classifier(domains, np.log(counts / counts.sum(0)).astype(np.float32), prior / prior.sum())
 
 
 @dataclass
 class Fit:
-    """The steps that give every document its rate."""
+    """The steps that give every document its rate, and the places of domains whose targets they do not meet."""
 
     target: np.ndarray
     step: float
-    residuals: list[np.ndarray] = field(default_factory=list)
+    pull: float = PULL
+    residuals: np.ndarray | None = None  # domains x steps
+    missed: tuple[int, ...] = ()
 
-    def rates(self, posteriors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rates after all steps, and the point from which the next step goes on."""
+    def rates(self, posteriors: np.ndarray, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Rates after all steps, and the point from which the next step goes on.
+
+        With ``own`` the last column of the posteriors is that of the domain at this place behind the others; -1: none.
+        """
         n = len(posteriors)
         rate, look = np.ones(n), np.ones(n)
-        if self.residuals:
-            slopes = posteriors.astype(np.float64) @ np.array(self.residuals).T
+        if self.residuals is not None:
+            p = posteriors.astype(np.float64)
+            size = p.shape[1] - (own is not None)
+            slopes = p[:, :size] @ self.residuals[:size]
+            if own is not None:
+                some = np.flatnonzero(own >= 0)
+                slopes[some] += p[some, size:] * self.residuals[size + own[some]]
             for t in range(slopes.shape[1]):
                 before = rate
-                rate = np.maximum(0.0, look - self.step * (slopes[:, t] + PULL * (look - 1)))
+                rate = np.maximum(0.0, look - self.step * (slopes[:, t] + self.pull * (t < STEPS) * (look - 1)))
                 look = rate + t / (t + 3) * (rate - before)
         return rate, look
 
 
-def fit_rates(posteriors: DataFrame, size: int, target: np.ndarray | None = None, total: float | None = None) -> Fit:
+def fit_rates(posteriors: DataFrame, size: int, target: np.ndarray | None = None, total: float | None = None, others: int = 0) -> Fit:
     """Fit rates to target weights; ``posteriors`` is a written table (n_tokens, posterior as 32-bit floats).
 
     ``total`` is the wanted number of tokens as a part of those there are, by default ``TOTAL``.
+    ``others`` is the number of domains behind the first ``size``: then a posterior has one more
+    number, that of the domain whose place among them is in the column ``own`` (-1: none).
     """
+    domains, width = size + others, size + (others > 0)
 
     def sums(fit: Fit) -> np.ndarray:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held = np.zeros(size + 1)
+            held = np.zeros(domains + 1)
             for b in batches:
                 n = b["n_tokens"].to_numpy().astype(np.float64)
-                p = np.frombuffer(b"".join(b["posterior"].to_pylist()), np.float32).reshape(-1, size)
-                held[:size] += (n * fit.rates(p)[1]) @ p
-                held[size] += n.sum()
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size + 1, dtype=np.int32)), pa.array(held)], ["k", "x"])
-
-        out = np.zeros(size + 1)
+                p = np.frombuffer(b"".join(b["posterior"].to_pylist()), np.float32).reshape(-1, width)
+                own = b["own"].to_numpy() if others else None
+                weight = n * fit.rates(p, own)[1]
+                held[:size] += weight @ p[:, :size]
+                if others:
+                    some = np.flatnonzero(own >= 0)
+                    np.add.at(held, size + own[some], weight[some] * p[some, size])
+                held[domains] += n.sum()
+            on = np.flatnonzero(held)
+            yield pa.RecordBatch.from_arrays([pa.array(on.astype(np.int32)), pa.array(held[on])], ["k", "x"])
+
+        out = np.zeros(domains + 1)
         for r in posteriors.mapInArrow(run, "k int, x double").groupBy("k").agg(F.sum("x").alias("x")).collect():
             out[r["k"]] = r["x"]
         return out
 
-    first = sums(Fit(np.zeros(size), 0.0))
-    tokens = first[size]
+    first = sums(Fit(np.zeros(domains), 0.0))
+    tokens = first[domains]
     if not tokens:
-        return Fit(np.zeros(size), 0.0)
-    share = first[:size] / tokens
+        return Fit(np.zeros(domains), 0.0)
+    share = first[:domains] / tokens
     if target is None:
         target = share**FLATTEN
     target = target / target.sum()
     if total is None:
         total = TOTAL
-    # Expected shares are linear in the rates; the largest share bounds the curvature.
-    fit = Fit(target * total, 1.0 / (float(share.max()) + PULL))
+    # Expected shares are linear in the rates; the largest share, and any other times its weight, bounds the curvature.
+    most = float(share.max())
+    weight = np.where(share > 0, 2.0 ** np.floor(np.log2(most / np.where(share > 0, share, most))), 1.0)
+    fit = Fit(target * total, 1.0 / (most + PULL), min(PULL, PULL_SHARE * most))
+    near = NEAR * np.where(fit.target > 0, fit.target, share)
     now = share
-    for _ in range(STEPS):
-        residual = np.round(now - fit.target, 12)
-        if np.abs(residual).max() < CLOSE:
+    for t in range(MORE_STEPS + 1):
+        residual = np.round(now - fit.target, 15)
+        far = np.abs(residual)
+        if (far <= (near if t >= STEPS else np.minimum(CLOSE, near))).all():
+            break
+        if t == MORE_STEPS:
+            fit.missed = tuple(map(int, np.flatnonzero(far > near)))
             break
-        fit.residuals.append(residual)
-        now = sums(fit)[:size] / tokens
+        column = (weight * residual)[:, None]
+        fit.residuals = column if fit.residuals is None else np.hstack([fit.residuals, column])
+        now = sums(fit)[:domains] / tokens
     return fit
 
 
@@ -179,6 +231,7 @@ def mix(docs: DataFrame, targets: dict[str, float] | None = None, labelled: Data
 
     ``targets`` are weights by domain name (missing domains: 0); ``labelled``
     is a table with the same columns to learn from, by default the rows.
+    Warns of domains whose targets the rates do not meet within ``NEAR``.
     """
     spark = docs.sparkSession
     arrow_rows(spark)
@@ -188,30 +241,37 @@ def mix(docs: DataFrame, targets: dict[str, float] | None = None, labelled: Data
     if model is None:
         words = F.size(F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), r"[\x20\x09-\x0D]+"), lambda x: x != "")).cast("long")
         return docs.withColumn("mix", F.struct(words.alias("n_tokens"), F.lit(None).cast("string").alias("domain"), F.lit(None).cast("double").alias("domain_share"), F.lit(1.0).alias("rate"), F.lit(1).alias("copies")))
-    size = len(model.domains)
+    size, others = model.size, len(model.domains) - model.size
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [model.posterior(raw, tag) for raw, tag in zip(b["text"].to_pylist(), b["tag"].to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1].tobytes() for x in found], pa.binary())], ["n_tokens", "posterior"])
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1].tobytes() for x in found], pa.binary()), pa.array(map(model.own, b["tag"].to_pylist()), pa.int32())], ["n_tokens", "posterior", "own"])
 
     texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"), F.col(domain_col).cast("string").alias("tag"))
-    posteriors = materialize(texts.mapInArrow(judged, "n_tokens long, posterior binary"), spark, "mix-posteriors")
+    posteriors = materialize(texts.mapInArrow(judged, "n_tokens long, posterior binary, own int"), spark, "mix-posteriors")
+    unknown = sorted(d for d, w in (targets or {}).items() if w > 0 and d not in model.domains)
+    if unknown:
+        raise ValueError(f"no labelled row of the target domains {unknown}")
     wanted = None if targets is None else np.array([max(0.0, targets.get(d, 0.0)) for d in model.domains])
     if wanted is not None and not wanted.sum():
         raise ValueError("no learned domain has a positive target")
-    fit = fit_rates(posteriors, size, wanted, total)
+    fit = fit_rates(posteriors, size, wanted, total, others)
+    if fit.missed:
+        warnings.warn(f"mixing: after {fit.residuals.shape[1]} steps {len(fit.missed)} of {len(model.domains)} domains are further than {NEAR:.0%} from their targets: {[model.domains[k] for k in fit.missed[:20]]}", stacklevel=2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, tags = b.column(text_col).to_pylist(), b.column(domain_col).to_pylist()
-            found = [model.posterior((t or "").encode("utf-8", "replace"), None if d is None else str(d)) for t, d in zip(texts, tags, strict=True)]
-            p = np.array([x[1] for x in found], np.float32).reshape(-1, size)
-            rates = fit.rates(p)[0]
+            tags = [None if d is None else str(d) for d in tags]
+            found = [model.posterior((t or "").encode("utf-8", "replace"), d) for t, d in zip(texts, tags, strict=True)]
+            p = np.array([x[1] for x in found], np.float32).reshape(-1, size + (others > 0))
+            own = np.fromiter(map(model.own, tags), np.int64, len(tags))
+            rates = fit.rates(p, own if others else None)[0]
             spot = np.array([xxhash.xxh64_intdigest(str(i), seed=7) / 2**64 for i in b.column(id_col).to_pylist()])
             best = p.argmax(1) if len(p) else np.empty(0, np.int64)
             out = pa.StructArray.from_arrays(
-                [pa.array([x[0] for x in found], pa.int64()), pa.array([model.domains[k] for k in best], pa.string()), pa.array(p.max(1).astype(np.float64) if len(p) else [], pa.float64()), pa.array(rates, pa.float64()), pa.array(np.floor(rates + spot).astype(np.int32), pa.int32())],
+                [pa.array([x[0] for x in found], pa.int64()), pa.array([model.domains[k + max(0, o) if k == size else k] for k, o in zip(best, own, strict=True)], pa.string()), pa.array(p.max(1).astype(np.float64) if len(p) else [], pa.float64()), pa.array(rates, pa.float64()), pa.array(np.floor(rates + spot).astype(np.int32), pa.int32())],
                 ["n_tokens", "domain", "domain_share", "rate", "copies"],
             )
             yield pa.RecordBatch.from_arrays([*b.columns, out], [*b.schema.names, "mix"])

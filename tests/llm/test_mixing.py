@@ -69,6 +69,50 @@ def test_a_rare_domain_does_not_set_the_total(spark, rare):
     assert got[0] < 0.7 and (got[1:] > 1).all()
 
 
+def crisp(spark, share, others=0):
+    """Documents of one domain each, as posteriors; the last ``others`` domains are known by their tag alone."""
+    k, size = len(share), len(share) - others
+    p = np.eye(k, dtype=np.float32)
+    own = np.maximum(-1, np.arange(k) - size)
+    if others:
+        p = np.hstack([p[:, :size], (own >= 0).astype(np.float32)[:, None]])
+    rows = [(int(x), bytearray(q.tobytes()), int(o)) for x, q, o in zip(np.round(share * 10**8), p, own, strict=True)]
+    return spark.createDataFrame(rows, "n_tokens long, posterior binary, own int").coalesce(2), p, own
+
+
+def test_rare_targets_are_met_within_a_part_of_them(spark):
+    share = np.array([0.4, 0.3, 0.29989, 1e-4, 1e-5])
+    for others in (0, 2):
+        table, p, own = crisp(spark, share, others)
+        fit = M.fit_rates(table, len(share) - others, others=others)
+        want = share**M.FLATTEN / (share**M.FLATTEN).sum()
+        assert not fit.missed
+        assert np.allclose(share * fit.rates(p, own if others else None)[0], want, rtol=0.021, atol=0)
+
+
+def test_targets_out_of_reach_are_named(spark, monkeypatch):
+    monkeypatch.setattr(M, "STEPS", 3)
+    monkeypatch.setattr(M, "MORE_STEPS", 4)
+    rows = [(10, bytearray(np.array([0.5, 0.5], np.float32).tobytes()))] * 4
+    fit = M.fit_rates(spark.createDataFrame(rows, "n_tokens long, posterior binary").coalesce(1), 2, np.array([0.9, 0.1]))
+    assert fit.missed == (0, 1)
+
+
+def test_domains_beyond_those_with_a_word_model(spark, monkeypatch):
+    """Each source has its target, also those known by their tags alone; a target of no source is an error."""
+    monkeypatch.setattr(M, "DOMAINS", 2)
+    rng = np.random.default_rng(0)
+    sources = ["a"] * 150 + ["b"] * 120 + ["c"] * 12 + ["d"] * 6
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 50, 40)), s) for i, s in enumerate(sources)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(2)
+    got = M.mix(table, {"a": 1, "b": 1, "c": 1, "d": 1}).select("source", "mix.*").toPandas()
+    assert (got.source == got.domain).all()
+    drawn = got.assign(w=got.n_tokens * got.rate).groupby("source").w.sum() / got.n_tokens.sum()
+    assert (drawn > 0.2).all() and (drawn < 0.3).all()
+    with pytest.raises(ValueError, match="nowhere"):
+        M.mix(table, {"a": 1, "nowhere": 1})
+
+
 def test_odd_rows(odd, empty):
     rows = M.mix(odd).collect()
     assert len(rows) == odd.count()
