@@ -12,8 +12,10 @@ one's.  Subsets are therefore nested: at level l a subset holds 2 ** -l of the
 lexicon, and a document writes the two levels that hold about one of its terms
 and half as many.  Texts of like size share a level.
 
-Document frequencies are counted over all texts; which terms are in the band
-is sent to the tasks as sorted 64-bit hashes, at most ``LEXICON`` of them.
+Document frequencies are counted over all texts.  The band's terms are sent to
+the tasks as sorted 64-bit hashes, up to ``LEXICON`` of them, those of the most
+documents; in a larger band the others are looked up by a join of the texts'
+remaining terms, so the band is whole at any size.
 
 Defined results: a null text is empty; a text without a lexicon term is
 fingerprinted by all its terms; a text without any term has the fingerprint
@@ -41,7 +43,7 @@ from fiscalflow.llm.common import arrow_rows, materialize, mix64, text_rows
 
 #: A lexicon term is in at least this many documents, and in at most this share of them.
 LEAST_DOCS, MOST_SHARE = 2, 0.05
-#: Lexicon terms at most (8 bytes each are sent to every task); those of the most documents are kept.
+#: Lexicon terms that are sent to every task at most (8 bytes each); the rest of the band is joined.
 LEXICON = 1 << 20
 #: Random subsets of the lexicon.
 SUBSETS = 32
@@ -79,12 +81,17 @@ class Lexicon:
         at = np.minimum(np.searchsorted(self.terms, h), len(self.terms) - 1)
         return h[self.terms[at] == h]
 
-    def fingerprint(self, text: str) -> str:
-        """``level:hashes:hashes`` (16 bits a subset, 0000 for an empty list), after ``*`` when no term is in the lexicon."""
+    def fingerprint(self, text: str, rest: np.ndarray | None = None) -> str:
+        """``level:hashes:hashes`` (16 bits a subset, 0000 for an empty list), after ``*`` when no term is in the lexicon.
+
+        ``rest`` are terms of the band that the lexicon does not hold.
+        """
         every = hashes(terms(text))
         if not len(every):
             return "-"
         inside = self.known(every)
+        if rest is not None and len(rest):
+            inside = np.concatenate([inside, every[np.isin(every, rest)]])
         mark, used = ("", inside) if len(inside) else ("*", every)
         level = round(float(np.log2(len(used))))
         return f"{mark}{level}:" + ":".join(_subset_hashes(used, k) for k in (level, level + 1))
@@ -115,9 +122,10 @@ def likeness(a: str, b: str) -> float:
     return best
 
 
-def fit_lexicon(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_DOCS, share: float = MOST_SHARE) -> np.ndarray:
-    """Sorted hashes of the terms in the band; frequencies are summed over all texts."""
-    arrow_rows(docs.sparkSession)
+def fit_band(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_DOCS, share: float = MOST_SHARE) -> tuple[DataFrame, DataFrame]:
+    """Written tables (term, n) of the terms in the band and of those above it; frequencies are summed over all texts."""
+    spark = docs.sparkSession
+    arrow_rows(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -139,8 +147,51 @@ def fit_lexicon(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     total = docs.count()
     counts = text_rows(docs, id_col, text_col).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    band = counts.where((F.col("n") >= least) & (F.col("n") <= max(float(least), share * total)))
-    return np.sort(band.orderBy(F.desc("n"), "term").limit(LEXICON).select("term").toArrow()["term"].to_numpy().view(np.uint64))
+    some = materialize(counts.where(F.col("n") >= least), spark, "imatch-terms")
+    most = max(float(least), share * total)
+    return some.where(F.col("n") <= most), some.where(F.col("n") > most)
+
+
+def collected(terms_: DataFrame) -> np.ndarray:
+    return np.sort(terms_.select("term").toArrow()["term"].to_numpy().view(np.uint64))
+
+
+def fit_lexicon(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_DOCS, share: float = MOST_SHARE) -> np.ndarray:
+    """Sorted hashes of all terms in a band of up to ``LEXICON``."""
+    band, _ = fit_band(docs, id_col, text_col, least, share)
+    if (n := band.count()) > LEXICON:
+        raise ValueError(f"the band has {n} terms, more than {LEXICON} to be sent to every task")
+    return collected(band)
+
+
+def split_band(band: DataFrame) -> tuple[np.ndarray, DataFrame | None]:
+    """The ``LEXICON`` terms of the most documents as sorted hashes, and the table of the others, if any."""
+    if band.count() <= LEXICON:
+        return collected(band), None
+    top = band.orderBy(F.desc("n"), "term").limit(LEXICON).toArrow()
+    term, n = top["term"].to_numpy(), top["n"].to_numpy()
+    least = int(n.min())
+    last = int(term[n == least].max())
+    return np.sort(term.view(np.uint64)), band.where((F.col("n") < least) | ((F.col("n") == least) & (F.col("term") > last))).select("term")
+
+
+def with_rest(pairs: DataFrame, lexicon: np.ndarray, above: np.ndarray, rest: DataFrame) -> DataFrame:
+    """The rows of ``with_next`` with the terms of either text, or of the edited one, that are in ``rest`` (column ``rest``)."""
+    pairs = materialize(pairs.withColumn("row", F.monotonically_increasing_id()), pairs.sparkSession, "imatch-pairs")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        book = Lexicon(np.union1d(lexicon, above))
+        for b in batches:
+            asked = []
+            for raw, follow in zip(b["text"].to_pylist(), b["next"].to_pylist(), strict=True):
+                text, after = raw.decode("utf-8", "replace"), follow.decode("utf-8", "replace")
+                every = hashes(terms(text) | terms(after) | terms(edited(text, after)))
+                asked.append(np.setdiff1d(every, book.known(every), assume_unique=True))
+            rows = np.repeat(b["row"].to_numpy(), [len(x) for x in asked])
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(np.concatenate([np.empty(0, np.uint64), *asked]).view(np.int64))], ["row", "term"])
+
+    found = pairs.mapInArrow(run, "row long, term long").join(rest, "term", "left_semi").groupBy("row").agg(F.collect_list("term").alias("rest"))
+    return pairs.join(found, "row", "left").select("doc_id", "text", "next", "rest")
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -198,23 +249,27 @@ def fingerprints(docs: DataFrame, lexicon: np.ndarray, id_col: str = "doc_id", t
 
 def edit_report(docs: DataFrame) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every row."""
-    lexicon = fit_lexicon(docs)
+    band, above = fit_band(docs)
+    lexicon, rest = split_band(band)
+    pairs = with_next(docs)
+    pairs = pairs.withColumn("rest", F.lit(None).cast("array<bigint>")) if rest is None else with_rest(pairs, lexicon, collected(above), rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book = Lexicon(lexicon)
         known: dict[bytes, str] = {}
         for b in batches:
             out: list[tuple] = []
-            for doc, raw, follow in zip(*(b[c].to_pylist() for c in ("doc_id", "text", "next")), strict=True):
+            for doc, raw, follow, more in zip(*(b[c].to_pylist() for c in ("doc_id", "text", "next", "rest")), strict=True):
+                more = None if more is None else np.array(more, np.int64).view(np.uint64)
                 text, after = raw.decode("utf-8", "replace"), follow.decode("utf-8", "replace")
-                own = known[raw] if raw in known else book.fingerprint(text)
-                behind = own if raw == follow else book.fingerprint(after)
+                own = known[raw] if raw in known else book.fingerprint(text, more)
+                behind = own if raw == follow else book.fingerprint(after, more)
                 known = {follow: behind}
                 changed = edited(text, after)
-                print_ = book.fingerprint(changed)
+                print_ = book.fingerprint(changed, more)
                 out.append((doc, len(text), hashlib.sha256(changed.encode("utf-8", "replace")).hexdigest(), own, print_, likeness(own, print_), likeness(own, behind)))
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
             cols = list(zip(*out, strict=True)) or [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
-    return with_next(docs).mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return pairs.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

@@ -39,6 +39,16 @@ def test_lexicon_is_the_band(spark):
     assert got.tolist() == I.hashes({b"third", b"tenth"}).tolist()
 
 
+def test_a_band_larger_than_the_sent_lexicon_is_whole(small, odd, monkeypatch):
+    """Fingerprints do not depend on how many of the band's terms are sent to the tasks."""
+    for docs, most in ((small, 20), (odd, 1)):
+        want = sorted(map(str, I.edit_report(docs).collect()))
+        monkeypatch.setattr(I, "LEXICON", most)
+        assert I.split_band(I.fit_band(docs)[0])[1] is not None
+        assert sorted(map(str, I.edit_report(docs).collect())) == want
+        monkeypatch.undo()
+
+
 def test_subset_hashes_against_brute_force():
     rng = np.random.default_rng(0)
     used = np.sort(rng.integers(0, 2**64, 40, dtype=np.uint64))
