@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fiscalflow.llm import bpe, dac_tokens, golomb_dedup, imatch, jaccard_join, langid, maglev, mixing, secrets_scan, toxicity
+from fiscalflow.llm import bpe, dac_tokens, golomb_dedup, hard_negatives, imatch, jaccard_join, langid, maglev, mixing, secrets_scan, toxicity
 from fiscalflow.llm.common import documents
 
 
@@ -92,6 +92,30 @@ FROM n
 """
 
 
+def op12_rotated_code_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+
+
+OP12_SQL = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), n AS (
+  SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+)
+SELECT * FROM n WHERE rank <= 5
+"""
+
+
 CATALOG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_rank_order_language": (op1_rank_order_language, None),
     "op2_dac_token_files": (op2_dac_token_files, None),
@@ -103,4 +127,5 @@ CATALOG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_imatch_lexicons": (op8_imatch_lexicons, None),
     "op9_maglev_shards": (op9_maglev_shards, None),
     "op10_golomb_exact_dedup": (op10_golomb_exact_dedup, OP10_SQL),
+    "op12_rotated_code_negatives": (op12_rotated_code_negatives, OP12_SQL),
 }
