@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fiscalflow.llm import bpe, dac_tokens, golomb_dedup, hard_negatives, imatch, jaccard_join, langid, maglev, mixing, secrets_scan, toxicity
+from fiscalflow.llm import bpe, dac_tokens, golomb_dedup, hard_negatives, imatch, jaccard_join, langid, maglev, mixing, ranked_search, secrets_scan, toxicity
 from fiscalflow.llm.common import documents
 
 
@@ -92,6 +92,29 @@ FROM n
 """
 
 
+def op11_k2_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
+
+
+OP11_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+d AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+t AS (SELECT count(*) AS docs, sum(n)::BIGINT AS length FROM d),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), s AS (
+  SELECT item_id, doc_id,
+    sum(CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // length))))::BIGINT AS score
+  FROM asked JOIN tf USING (term) JOIN df USING (term) JOIN d USING (doc_id), t GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0
+QUALIFY rank <= 10
+"""
+
+
 def op12_rotated_code_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
 
@@ -127,5 +150,6 @@ CATALOG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_imatch_lexicons": (op8_imatch_lexicons, None),
     "op9_maglev_shards": (op9_maglev_shards, None),
     "op10_golomb_exact_dedup": (op10_golomb_exact_dedup, OP10_SQL),
+    "op11_k2_treap_search": (op11_k2_treap_search, OP11_SQL),
     "op12_rotated_code_negatives": (op12_rotated_code_negatives, OP12_SQL),
 }
