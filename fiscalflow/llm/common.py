@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fiscalflow.session import ensure_checkpoint_dir, materialize, scratch_path, ship_package
 
-__all__ = ["BROADCAST_ROWS", "anti_join", "arrow_rows", "binary_column", "documents", "held_out", "materialize", "mix64", "scratch_path", "semi_join", "text_rows"]
+__all__ = ["BROADCAST_ROWS", "anti_join", "arrow_rows", "binary_column", "discard", "documents", "held_out", "materialize", "mix64", "scratch_path", "semi_join", "text_rows"]
 
 #: Arrow batches of at most this many documents bound a Python worker's memory (texts of 100 kB: 25 MB a batch).
 ARROW_ROWS = 256
@@ -26,6 +26,15 @@ def arrow_rows(spark: SparkSession, n: int = ARROW_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(n))
 
 
+def discard(*tables: DataFrame) -> None:
+    """Remove written tables (``materialize``) that nothing reads any more, on whatever store they are."""
+    for table in tables:
+        jvm, conf = table.sparkSession.sparkContext._jvm, table.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fiscalflow.llm import bpe, dac_tokens, golomb_dedup, hard_negatives, imatch, jaccard_join, langid, maglev, mixing, ranked_search, secrets_scan, toxicity
+from fiscalflow.llm import bpe, dac_tokens, golomb_dedup, hard_negatives, imatch, jaccard_join, langid, maglev, mixing, packing, ranked_search, secrets_scan, toxicity
 from fiscalflow.llm.common import documents
 
 
@@ -139,6 +139,10 @@ SELECT * FROM n WHERE rank <= 5
 """
 
 
+def op13_bulk_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
+
+
 CATALOG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_rank_order_language": (op1_rank_order_language, None),
     "op2_dac_token_files": (op2_dac_token_files, None),
@@ -152,4 +156,5 @@ CATALOG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op10_golomb_exact_dedup": (op10_golomb_exact_dedup, OP10_SQL),
     "op11_k2_treap_search": (op11_k2_treap_search, OP11_SQL),
     "op12_rotated_code_negatives": (op12_rotated_code_negatives, OP12_SQL),
+    "op13_bulk_best_fit": (op13_bulk_best_fit, None),
 }
