@@ -11,11 +11,12 @@ import pyarrow as pa
 class IdHeap:
     """Remembers the ids of pieces; asks for those it does not know.
 
-    Of more than ``most`` pieces the older half is forgotten: pieces in use
-    are numbered anew when a second generation begins.
+    ``ask`` may put the pieces into another order, and gives (ids of all, one
+    piece after the other; how many of each).  Beyond ``most`` pieces all are
+    forgotten, and those in use asked for again.
     """
 
-    def __init__(self, ask: Callable[[list[str]], list[list[int]]], most: int) -> None:
+    def __init__(self, ask: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int) -> None:
         self.ask, self.most = ask, most
         self._clear()
 
@@ -27,14 +28,13 @@ class IdHeap:
         self.sizes = np.empty(1 << 14, np.int64)
 
     def _learn(self, pieces: list[str]) -> None:
-        found = self.ask(pieces)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        n, total, used = len(self.number), int(sizes.sum()), self.used
+        ids, sizes = self.ask(pieces)
+        n, total, used = len(self.number), len(ids), self.used
         while used + total > len(self.ids):
             self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
         while n + len(pieces) > len(self.starts):
             self.starts, self.sizes = (np.concatenate((x, np.empty_like(x))) for x in (self.starts, self.sizes))
-        self.ids[used : used + total] = np.fromiter((i for x in found for i in x), "<u4", total)
+        self.ids[used : used + total] = ids
         ends = np.cumsum(sizes)
         self.starts[n : n + len(pieces)] = used + ends - sizes
         self.sizes[n : n + len(pieces)] = sizes

@@ -28,6 +28,7 @@ row's place; an empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache, reduce
@@ -46,10 +47,13 @@ from fiscalflow.llm.id_heap import IdHeap
 #: Tokens of a sequence; the id that ends a document.
 SEQUENCE, END = 4096, 1
 #: Distinct words that a worker remembers at most (about 150 bytes each).
-CACHE = 400_000
+CACHE = 800_000
 #: Bytes of text encoded at a time, documents in an Arrow batch, rows in a partition of the sort, about.
 SLICE, BATCH, PER_PART = 4 << 20, 1024, 250_000
 
+#: Letters and digits that stay letters and digits in lower case, and signs but for the apostrophe: texts are cut between them.
+LETTERS, SIGNS = "A-Za-z0-9À-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
+
 _PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long"
 _SWEPT = "kind int, part int, place long, key long, size int, seq long, slot int"
 #: Kinds of swept rows: a match, a piece left over, a slot left over.
@@ -59,8 +63,14 @@ MATCH, PIECE, SLOT = 0, 1, 2
 class Encoder:
     """The tokenizers library, asked once for each distinct word.
 
-    The vocabulary drops white space and never joins letters across it, so the
-    ids of a text are those of its words, one after the other.
+    The vocabulary drops white space, reads A-Z as a-z and never joins letters
+    across white space or letters with signs (but for an apostrophe), so texts
+    of Latin letters are cut there and their ids are those of the parts, one after the other.
+    Combining marks may change the letter before them, and a special token is
+    one word of letters and signs: texts with either are cut at spaces only.
+
+    New plain words are asked for in one text: each ends with its one token
+    that ends a word.
     """
 
     def __init__(self, path: str) -> None:
@@ -70,14 +80,38 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
-        self.heap = IdHeap(lambda words: [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)], CACHE)
+        vocab = self.library.get_vocab()
+        self.ends = np.zeros(1 + max(vocab.values()), bool)
+        self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+        self.special = "|".join(re.escape(t.content) for t in self.library.get_added_tokens_decoder().values())
+        self.heap = IdHeap(self._ask, CACHE)
+
+    def _ask(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, how many of each)."""
+        plain = [w for w in words if w.isascii() and w.isalpha()]
+        rest = [w for w in words if not (w.isascii() and w.isalpha())] if len(plain) < len(words) else []
+        ids = np.array(self.library.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(plain):
+            plain, rest, ids, stops = [], words, ids[:0], stops[:0]
+        one_by_one = [e.ids for e in self.library.encode_batch_fast(rest, add_special_tokens=False)]
+        sizes = np.concatenate((np.diff(stops, prepend=0), np.fromiter(map(len, one_by_one), np.int64, len(rest))))
+        words[:] = plain + rest
+        return np.concatenate((ids, np.fromiter((i for x in one_by_one for i in x), "<u4"))), sizes
+
+    def _parted(self, texts: pa.Array) -> pa.Array:
+        """Texts with a space wherever they may be cut."""
+        odd = pc.match_substring_regex(texts, rf"\p{{M}}|{self.special}")
+        cut = pc.replace_substring_regex(pc.ascii_lower(texts), rf"([{LETTERS}])([{SIGNS}])", r"\1 \2")
+        cut = pc.replace_substring_regex(cut, rf"([{SIGNS}])([{LETTERS}])", r"\1 \2")
+        return pc.replace_substring(pc.if_else(odd, texts, cut), "\n", " ")
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(ids, where each text's ids end) of slices of an array of texts."""
         sizes = pc.binary_length(texts).to_numpy()
         cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE, prepend=0)) if len(texts) else np.empty(0, np.int64)
         for lo, hi in zip([0, *cuts[cuts > 0].tolist()], [*cuts[cuts > 0].tolist(), len(texts)], strict=True):
-            lists = pc.split_pattern(pc.replace_substring(texts.slice(lo, hi - lo), "\n", " "), " ")
+            lists = pc.split_pattern(self._parted(texts.slice(lo, hi - lo)), " ")
             ids, n = self.heap.gather(lists.flatten())
             ends = np.concatenate(([0], np.cumsum(n)))
             offsets = lists.offsets.to_numpy()
