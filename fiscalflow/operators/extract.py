@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from fiscalflow.functions._util import column
+
 
 def normalize_columns(columns: Sequence[str] | None) -> list[str] | None:
     """Strip names and drop blanks; ``None`` means keep every column.
@@ -42,7 +44,7 @@ def select_validated(df: DataFrame, columns: Sequence[str] | None, source: str =
     if missing:
         where = f" in {source}" if source else ""
         raise ValueError(f"columns not found{where}: {missing}; available: {available}")
-    return df.select(*cols)
+    return df.select(*[column(c) for c in cols])
 
 
 def normalize_filters(filters: Column | Sequence[Column] | None) -> list[Column]:
@@ -92,7 +94,7 @@ def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     cols = list(subset) if subset else df.columns
     if not cols:
         return df
-    return df.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
+    return df.filter(reduce(lambda a, b: a & b, [column(c).isNotNull() for c in cols]))
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

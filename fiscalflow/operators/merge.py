@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fiscalflow.functions._util import column
 from fiscalflow.functions.names import group_from_name, ignore_by_name
 from fiscalflow.operators.extract import apply_filters, apply_where, normalize_columns
 from fiscalflow.operators.union import relaxed_union
@@ -39,7 +40,12 @@ def with_lineage(
     if drop_name_col and name_col is not None:
         keep = [c for c in keep if c != name_col]
     origin = name.cast("string")
-    return df.select(*[F.col(f"`{c}`") for c in keep if c.lower() not in (ORIGIN, GROUP)], origin.alias(ORIGIN), group_from_name(origin, group).alias(GROUP))
+    return df.select(*[column(c) for c in keep if c.lower() not in (ORIGIN, GROUP)], origin.alias(ORIGIN), group_from_name(origin, group).alias(GROUP))
+
+
+def ignored_origin() -> Column:
+    """Whether the file that ``arquivo_origem`` names (by name, path or chain of archives) is left out."""
+    return ignore_by_name(F.regexp_extract(ORIGIN, r"([^/:]*)$", 1))
 
 
 def select_for_merge(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
@@ -51,7 +57,7 @@ def select_for_merge(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
     missing = [c for c in wanted if c not in df.columns]
     if missing:
         raise ValueError(f"columns not found: {missing}; available: {df.columns}")
-    return df.select(*wanted)
+    return df.select(*[column(c) for c in wanted])
 
 
 @dataclass
@@ -104,7 +110,7 @@ def merge_by_group(
         raise ValueError("no sources to merge")
     prepared = []
     for src in sources:
-        kept = src.filter(~ignore_by_name(F.col(ORIGIN))) if ORIGIN in src.columns else src
+        kept = src.filter(~ignored_origin()) if ORIGIN in src.columns else src
         prepared.append(select_for_merge(apply_where(apply_filters(kept, filters), where), columns))
 
     # Without an origin column (metadata columns not kept) files are counted by group.
@@ -112,7 +118,7 @@ def merge_by_group(
         (s.select(ORIGIN, GROUP) if ORIGIN in s.columns else s.select(F.col(GROUP).alias(ORIGIN), GROUP)).distinct()
         for s in sources
     ]
-    files = relaxed_union(file_lists).withColumn("ignorado", ignore_by_name(F.col(ORIGIN)))
+    files = relaxed_union(file_lists).withColumn("ignorado", ignored_origin())
     members: dict[str, set[int]] = {}
     n_files: dict[str, int] = {}
     if file_groups is None:
@@ -121,7 +127,7 @@ def merge_by_group(
         tagged = [fl.withColumn("__src", F.lit(i)) for i, fl in enumerate(file_lists)]
         summary = (
             relaxed_union(tagged)
-            .filter(~ignore_by_name(F.col(ORIGIN)))
+            .filter(~ignored_origin())
             .groupBy("__src", GROUP)
             .agg(F.count_distinct(ORIGIN).alias("__files"))
             .collect()
@@ -130,12 +136,10 @@ def merge_by_group(
             members.setdefault(r[GROUP], set()).add(r["__src"])
             n_files[r[GROUP]] = n_files.get(r[GROUP], 0) + r["__files"]
     else:
-        origins: dict[str, set[str]] = {}
-        for idx, pairs in enumerate(file_groups):
-            for origin, g in pairs:
+        for idx, pairs in enumerate(file_groups):  # one pair a file, whatever its name
+            for _origin, g in pairs:
                 members.setdefault(g, set()).add(idx)
-                origins.setdefault(g, set()).add(origin)
-        n_files = {g: len(o) for g, o in origins.items()}
+                n_files[g] = n_files.get(g, 0) + 1
     if not members:
         raise ValueError("no file could be merged: every source is empty or ignored")
 

@@ -4,7 +4,9 @@ Columns are matched by name in first-seen order, a frame lacking a column
 gets nulls, and each column is widened to a common supertype computed on
 the driver from the schemas alone (no data read).  Plain ``unionByName``
 is not enough under ANSI: it coerces string to bigint or date and then
-fails at run time, and it refuses boolean with int.
+fails at run time, and it refuses boolean with int.  Names may hold any sign
+(a dot is no path into a struct); names that differ in case alone are one
+column in its first spelling, as Spark itself cannot hold both.
 
 Supertype ladder: equal -> same; null with T -> T; integers -> the wider
 integer; integer with float/double -> double; float with double -> double;
@@ -23,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fiscalflow.functions._util import column
+
 _INT_RANK = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 3, T.LongType: 4}
 _INT_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20}
 
@@ -80,12 +84,13 @@ def supertype(a: T.DataType, b: T.DataType) -> T.DataType:
 
 
 def unified_schema(schemas: Sequence[T.StructType]) -> list[tuple[str, T.DataType]]:
-    """Column names in first-seen order with their supertypes."""
-    order: dict[str, T.DataType] = {}
+    """Column names in first-seen order with their supertypes; names that differ in case alone are one column, in its first spelling."""
+    order: dict[str, tuple[str, T.DataType]] = {}
     for s in schemas:
         for f in s.fields:
-            order[f.name] = supertype(order[f.name], f.dataType) if f.name in order else f.dataType
-    return list(order.items())
+            name, kind = order.get(f.name.lower(), (f.name, f.dataType))
+            order[f.name.lower()] = name, supertype(kind, f.dataType)
+    return list(order.values())
 
 
 def relaxed_union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -97,17 +102,18 @@ def relaxed_union(frames: Sequence[DataFrame]) -> DataFrame:
     target = unified_schema([f.schema for f in frames])
 
     def conform(df: DataFrame) -> DataFrame:
-        have = {f.name: f.dataType for f in df.schema.fields}
+        have = {f.name.lower(): f for f in df.schema.fields}
         cols = []
         for name, t in target:
-            if name not in have:
+            own = have.get(name.lower())
+            if own is None:
                 cols.append(F.lit(None).cast(t).alias(name))
-            elif have[name] == t:
-                cols.append(F.col(name))
-            elif isinstance(t, T.StringType) and isinstance(have[name], T.BooleanType):
-                cols.append(F.lower(F.col(name).cast("string")).alias(name))
+            elif own.dataType == t:
+                cols.append(column(own.name).alias(name))
+            elif isinstance(t, T.StringType) and isinstance(own.dataType, T.BooleanType):
+                cols.append(F.lower(column(own.name).cast("string")).alias(name))
             else:
-                cols.append(F.col(name).cast(t).alias(name))
+                cols.append(column(own.name).cast(t).alias(name))
         return df.select(*cols)
 
     return reduce(lambda a, b: a.unionByName(b), [conform(f) for f in frames])

@@ -17,6 +17,7 @@ import shutil
 
 import datetime as dt
 from collections.abc import Callable
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,9 @@ from fiscalflow.plans import analysis
 from fiscalflow.plans import oracle_sql as Q
 from fiscalflow.session import table
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, tuple[QueryFn, str | None]] = {}
 
@@ -955,20 +959,55 @@ def _customer_landing(spark, sf) -> str:
     return root
 
 
+def _land_groups(frame: DataFrame, key: str, root: str, name: Callable[[int], str], render: Callable[[int, "pd.DataFrame"], bytes]) -> None:
+    """One landed file for each value of ``key``, written by the task that holds its rows (a bounded number a key)."""
+    import io
+
+    import pandas as pd
+
+    from fiscalflow.sources.archives import write_stream
+
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        k = int(pdf[key].iloc[0])
+        write_stream(f"{root}/{name(k)}", io.BytesIO(render(k, pdf)))
+        return pd.DataFrame({"k": [k]})
+
+    frame.groupBy(key).applyInPandas(write, "k long").agg(F.count(F.lit(1))).collect()
+
+
+#: Customers in a landed file.
+_PER_FILE = 200
+
+
+def _customer_files(spark, sf) -> str:
+    """``customer`` as one CSV file a range of keys; separator, encoding and line breaks within quotes differ by file."""
+    from fiscalflow.session import scratch_path
+
+    root = scratch_path(spark, "landing-files")
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", F.floor(F.col("c_custkey") / _PER_FILE).cast("long").alias("parte"))
+
+    def render(k, pdf):
+        sep, name = ";,\t|"[k % 4], "ção" if k % 3 == 0 else "cao"
+        rows = [sep.join((str(r.c_custkey), f'"{r.c_name}\n{name}"' if k % 5 == 0 else f"{r.c_name} {name}", r.c_mktsegment)) for r in pdf.itertuples()]
+        return ("\n".join([sep.join(("codigo", "nome", "segmento")), *rows]) + "\n").encode("latin-1" if k % 2 else "utf-8")
+
+    _land_groups(c, "parte", root, "clientes_{}.csv".format, render)
+    return root
+
+
 @register(
     "csv_dialect",
-    "SELECT * FROM (VALUES ('ponto_e_virgula', 'UTF-8', ';'), ('virgula', 'UTF-8', ','), ('tab', 'UTF-8', chr(9)), ('barra', 'UTF-8', '|')) "
-    "AS t(pasta, encoding, sep) WHERE EXISTS (SELECT 1 FROM customer)",
+    "SELECT 'clientes_' || parte || '.csv' AS arquivo, CASE WHEN parte % 3 = 0 AND parte % 2 = 1 THEN 'ISO-8859-1' ELSE 'UTF-8' END AS encoding, "
+    "CASE parte % 4 WHEN 0 THEN ';' WHEN 1 THEN ',' WHEN 2 THEN chr(9) ELSE '|' END AS sep, parte % 5 = 0 AS multilinha, count(*) + 1 AS registros "
+    "FROM (SELECT CAST(c_custkey // 200 AS BIGINT) AS parte FROM customer) GROUP BY parte",
 )
 def q_csv_dialect(spark, sf):
+    """What is found out about each landed file, by ranges of it."""
     from fiscalflow.sources.dialect import detect_dialects
 
-    root = _customer_landing(spark, sf)
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(root)
-    d = detect_dialects(listing.select("path"))
-    # All of customer is ASCII, so its latin-1 copy is (rightly) UTF-8; how many parts a folder has does not matter.
-    good = d.where("erro IS NULL AND header IS NOT NULL")
-    return good.select(F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("pasta"), "encoding", "sep").distinct()
+    listing = spark.read.format("binaryFile").load(_customer_files(spark, sf))
+    found = detect_dialects(listing.select("path")).where("erro IS NULL")
+    return found.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("arquivo"), "encoding", "sep", "multilinha", "registros")
 
 
 _CUSTOMER_TEXT = (
@@ -1038,28 +1077,108 @@ def q_ingest_end_to_end(spark, sf):
 
 
 _MANIFEST_SQL = (
-    "SELECT * FROM (VALUES ('clientes', 'CADASTRO', 'arquivo_tabular', '.csv'), ('fornecedores', 'CADASTRO', 'arquivo_tabular', '.csv'), "
-    "('nacoes', 'CADASTRO', 'arquivo_tabular', '.parquet')) AS t(pasta, grupo_mescla_padrao, origem_tipo, sufixo) WHERE EXISTS (SELECT 1 FROM customer)"
+    "SELECT DISTINCT 'clientes_' || (c_custkey // 200) || '.csv' AS nome_arquivo, 'clientes_' || (c_custkey // 200) || '.csv' AS caminho_relativo, "
+    "'clientes_' || (c_custkey // 200) || '.csv' AS arquivo_origem, 'CADASTRO' AS grupo_mescla_padrao, 'arquivo_tabular' AS origem_tipo FROM customer"
 )
 
 
-def _manifest_kinds(manifest):
-    """What a manifest says whatever the number of part files: folder, group, kind and suffix."""
-    folder = F.regexp_extract("caminho_relativo", r"^([^/]+)/", 1)
-    return manifest.select(folder.alias("pasta"), "grupo_mescla_padrao", "origem_tipo", names.file_suffix("nome_arquivo").alias("sufixo")).distinct()
+def _listed_customers(spark, sf):
+    from fiscalflow.plans.ingest import ingest
+    from fiscalflow.session import scratch_path
+
+    return ingest(spark, _customer_files(spark, sf), scratch_path(spark, "ingest-files"), group="CADASTRO", merge=False)
+
+
+_MANIFEST_COLUMNS = ("nome_arquivo", "caminho_relativo", "arquivo_origem", "grupo_mescla_padrao", "origem_tipo")
 
 
 @register("manifest_build", _MANIFEST_SQL)
 def q_manifest_build(spark, sf):
-    return _manifest_kinds(_ingested(spark, sf, merge=False).manifest)
+    return _listed_customers(spark, sf).manifest.select(*_MANIFEST_COLUMNS)
 
 
 @register("manifest_roundtrip", _MANIFEST_SQL)
 def q_manifest_roundtrip(spark, sf):
     from fiscalflow.sources.manifest import read_manifest
 
-    res = _ingested(spark, sf, merge=False)
-    return _manifest_kinds(read_manifest(spark, f"{res.out_dir}/manifesto"))
+    return read_manifest(spark, f"{_listed_customers(spark, sf).out_dir}/manifesto").select(*_MANIFEST_COLUMNS)
+
+
+@register("csv_quoted_ranges", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, text FROM documents")
+def q_csv_quoted_ranges(spark, sf):
+    """``documents`` as CSV with line breaks between quotes, each file cut into records by as many tasks as it has ranges."""
+    from fiscalflow.session import scratch_path
+    from fiscalflow.sources.csv_ranges import read_csv_by_ranges
+    from fiscalflow.sources.sinks import write_csv
+
+    root = write_csv(table(spark, sf, "documents").select("doc_id", "lang", "text"), scratch_path(spark, "csv-ranges"), sep=";")
+    files = [r.path for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(root).select("path").collect()]
+    return read_csv_by_ranges(spark, files, ["doc_id", "lang", "text"], sep=";").select("doc_id", "lang", "text")
+
+
+_FAULT_LINE = (
+    "n || ';' || o_orderkey || ';' || CASE WHEN o_orderkey % 13 = 0 THEN 'n/d' ELSE CAST(o_custkey AS VARCHAR) END || ';' || "
+    "CASE WHEN o_orderkey % 17 = 0 THEN '31/02' ELSE strftime(o_orderdate, '%Y-%m-%d') END || ';\"linha ' || n || chr(10) || 'de \"\"' || o_orderstatus || '\"\"\"' || "
+    "CASE WHEN o_orderkey % 19 = 0 THEN ';extra' ELSE '' END"
+)
+
+
+@register(
+    "csv_rejected_rows",
+    "WITH o AS (SELECT *, CAST(o_orderkey // 5000 AS BIGINT) AS parte, row_number() OVER (PARTITION BY o_orderkey // 5000 ORDER BY o_orderkey) AS n FROM orders), "
+    f"l AS (SELECT 'pedidos_' || parte || '.csv' AS arquivo, n AS registro, o_orderkey, {_FAULT_LINE} AS linha FROM o) "
+    "SELECT arquivo, registro, linha, 'o_custkey' AS coluna, 'nao e int' AS motivo FROM l WHERE o_orderkey % 13 = 0 UNION ALL "
+    "SELECT arquivo, registro, linha, 'o_orderdate', 'nao e date' FROM l WHERE o_orderkey % 17 = 0 UNION ALL "
+    "SELECT arquivo, registro, linha, NULL, 'numero de valores diferente do cabecalho' FROM l WHERE o_orderkey % 19 = 0",
+)
+def q_csv_rejected_rows(spark, sf):
+    """``orders`` landed with bad values and rows too long; each fault comes back with its file, record number and line."""
+    from pyspark.sql.window import Window
+
+    from fiscalflow.plans.ingest import ingest
+    from fiscalflow.session import scratch_path
+
+    root = scratch_path(spark, "landing-faults")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd").alias("dia"), F.floor(F.col("o_orderkey") / 5000).cast("long").alias("parte"))
+    o = o.withColumn("n", F.row_number().over(Window.partitionBy("parte").orderBy("o_orderkey")))  # at most 5000 rows a file
+
+    def render(k, pdf):
+        lines = ["n;o_orderkey;o_custkey;o_orderdate;nota"]
+        for r in pdf.sort_values("n").itertuples():
+            key = r.o_orderkey
+            lines.append(f'{r.n};{key};{"n/d" if key % 13 == 0 else r.o_custkey};{"31/02" if key % 17 == 0 else r.dia};"linha {r.n}\nde ""{r.o_orderstatus}"""{";extra" if key % 19 == 0 else ""}')
+        return ("\n".join(lines) + "\n").encode()
+
+    _land_groups(o, "parte", root, "pedidos_{}.csv".format, render)
+    res = ingest(spark, root, scratch_path(spark, "ingest-faults"), group="PEDIDOS", schema="o_custkey int, o_orderdate date", merge=False)
+    return res.rejected_rows()
+
+
+@register(
+    "odd_headers_ingest",
+    "SELECT CAST(c_custkey AS VARCHAR) AS codigo, CAST(c_nationkey AS VARCHAR) AS valor_total, c_name AS nome, "
+    "CASE WHEN (c_custkey // 200) % 3 = 2 THEN c_mktsegment END AS repetida, 'p' || (c_custkey // 200) || '/dados.csv' AS arquivo_origem, 'CADASTRO' AS grupo_mescla FROM customer",
+)
+def q_odd_headers_ingest(spark, sf):
+    """Files of one name in many folders; headers with a dot, in other case, or with a name twice."""
+    from fiscalflow.plans.ingest import ingest
+    from fiscalflow.session import scratch_path
+
+    root = scratch_path(spark, "landing-odd")
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_name", "c_mktsegment", F.floor(F.col("c_custkey") / _PER_FILE).cast("long").alias("parte"))
+    headers = ["codigo;valor.total;Nome", "CODIGO;nome;Valor.Total", "codigo;valor.total;nome;nome"]
+
+    def render(k, pdf):
+        rows = [[str(r.c_custkey), *((r.c_name, str(r.c_nationkey)) if k % 3 == 1 else (str(r.c_nationkey), r.c_name)), *([r.c_mktsegment] if k % 3 == 2 else [])] for r in pdf.itertuples()]
+        return "\n".join([headers[k % 3], *map(";".join, rows), ""]).encode()
+
+    _land_groups(c, "parte", root, "p{}/dados.csv".format, render)
+    res = ingest(spark, root, scratch_path(spark, "ingest-odd"), group="CADASTRO")
+    if res.errors.count() or res.files_read.count() != res.manifest.count():
+        raise ValueError("a file was not read")
+    u = res.unified
+    repeated = F.col("nome_2") if "nome_2" in u.columns else F.lit(None).cast("string")  # few customers: no file with a name twice
+    return u.select("codigo", F.col("`valor.total`").alias("valor_total"), F.col("nome").alias("nome"), repeated.alias("repetida"), "arquivo_origem", "grupo_mescla")
 
 
 @register(
@@ -1084,20 +1203,52 @@ def q_csv_late_quotes(spark, sf):
 
 @register(
     "csv_blanks_roundtrip",
-    "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '  ' || left(text, 50) || ' ' WHEN 1 THEN '' WHEN 2 THEN NULL ELSE 'a \"b\", ' || text END AS v FROM documents",
+    "SELECT doc_id, unnest(['  ' || text || ' ', '', NULL, 'a \"b\", ' || text, text]) AS v FROM documents",
 )
 def q_csv_blanks_roundtrip(spark, sf):
-    """Blanks around values, empty texts, nulls, quotes and line breaks survive a CSV round trip."""
+    """Blanks around values, empty texts, nulls, quotes and line breaks survive a CSV round trip: every text in each form."""
     from fiscalflow.session import scratch_path
     from fiscalflow.sources.files import read_csv
     from fiscalflow.sources.sinks import write_csv
 
-    k = F.col("doc_id") % 4
-    v = F.when(k == 0, F.concat(F.lit("  "), F.substring("text", 1, 50), F.lit(" "))).when(k == 1, F.lit("")).when(k == 3, F.concat(F.lit('a "b", '), "text"))
-    out = write_csv(table(spark, sf, "documents").select("doc_id", v.alias("v")), scratch_path(spark, "csv-blanks"))
+    forms = F.array(F.concat(F.lit("  "), "text", F.lit(" ")), F.lit(""), F.lit(None).cast("string"), F.concat(F.lit('a "b", '), "text"), F.col("text"))
+    out = write_csv(table(spark, sf, "documents").select("doc_id", F.explode(forms).alias("v")), scratch_path(spark, "csv-blanks"))
     return read_csv(spark, out, schema="doc_id long, v string", multiline=True)
 
 
+@register(
+    "xls_rows",
+    "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority, o_totalprice FROM orders",
+)
+def q_xls_rows(spark, sf):
+    """``orders`` written as binary ``.xls`` workbooks by tasks, and their rows read back."""
+    import uuid
+
+    from fiscalflow.session import materialize, scratch_path
+    from fiscalflow.sources.sheets import promote_header, spreadsheet_rows
+
+    root = scratch_path(spark, "landing-xls")
+
+    def write(batches):
+        import io
+
+        import pandas as pd
+
+        from fiscalflow.plans.xls_landing import xls_bytes
+        from fiscalflow.sources.archives import write_stream
+
+        for pdf in batches:
+            target = f"{root}/{uuid.uuid4().hex}.xls"
+            rows = zip(pdf["o_orderkey"].tolist(), [d.to_pydatetime() for d in pd.to_datetime(pdf["dia"])], pdf["o_orderpriority"], pdf["o_totalprice"].tolist(), strict=True)
+            write_stream(target, io.BytesIO(xls_bytes([["o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice"], *rows])))
+            yield pd.DataFrame({"path": [target]})
+
+    o = table(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("dia"), "o_orderpriority", "o_totalprice")
+    books = materialize(o.mapInPandas(write, "path string"), spark, "workbooks")
+    (_names, rows), = promote_header(materialize(spreadsheet_rows(books), spark, "cells"))
+    return rows.select("o_orderkey", "o_orderdate", "o_orderpriority", F.col("o_totalprice").cast("double").alias("o_totalprice"))
+
+
 @register(
     "spreadsheet_rows",
     "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders",
@@ -1184,22 +1335,20 @@ def q_typed_ingest(spark, sf):
 
 @register(
     "single_file_manifest",
-    "SELECT n_nationkey, n_name, n_regionkey, 'NACOES' AS grupo_mescla FROM nation",
+    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, 'PEDIDOS' AS grupo_mescla FROM orders",
 )
 def q_single_file_manifest(spark, sf):
-    """A manifest of one row with ``merge_single=False``: nothing is written, the tagged rows are the result."""
-    from fiscalflow.plans.ingest import list_files, merge_from_manifest, norm_path
+    """A manifest of one row, the table's own file, with ``merge_single=False``: nothing is written, the tagged rows are the result."""
+    from fiscalflow.plans.ingest import merge_from_manifest
     from fiscalflow.session import scratch_path
     from fiscalflow.sources.manifest import MANIFEST_SCHEMA
 
-    root = scratch_path(spark, "landing-single")
-    table(spark, sf, "nation").coalesce(1).write.parquet(f"{root}/n")  # 25 rows, so one file
-    (path,) = [norm_path(p) for p in list_files(spark, f"{root}/n") if p.endswith(".parquet")]
-    row = (path, "n", "nacoes.parquet", path, "nacoes.parquet", "", "arquivo_tabular")
-    res = merge_from_manifest(spark, spark.createDataFrame([row], MANIFEST_SCHEMA), f"{root}/out", merge_single=False)
+    path = f"{sf.rstrip('/')}/orders.parquet"
+    row = (path, "orders.parquet", "pedidos.parquet", path, "pedidos.parquet", "", "arquivo_tabular")
+    res = merge_from_manifest(spark, spark.createDataFrame([row], MANIFEST_SCHEMA), scratch_path(spark, "merged-single"), merge_single=False)
     if res.merge.outputs:
         raise ValueError("a single file was rewritten")
-    return res.unified.drop("arquivo_origem")
+    return res.unified.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "grupo_mescla")
 
 
 @register(

@@ -36,7 +36,6 @@ from fiscalflow.session import materialize
 CHAIN_SEP = "::"
 MAX_DEPTH = 20
 TABULAR = (".csv", ".xlsx", ".xls", ".ods")
-READABLE = (".csv", ".xlsx", ".ods")  # no .xls (BIFF) reader is available
 
 ENTRY_SCHEMA = (
     "arquivo_zip string, arquivo_origem string, entrada string, nome_arquivo string, profundidade int, "
@@ -147,8 +146,7 @@ def zip_entries(
             F.when(F.col("error").isNotNull(), "erro")
             .when(ignore_by_name(name), "dicionario")
             .when(ext == ".zip", "zip")
-            .when(ext.isin(*READABLE), "tabular")
-            .when(ext.isin(*TABULAR), "sem leitor")
+            .when(ext.isin(*TABULAR), "tabular")
             .otherwise("outro")
         )
         listed = listed.withColumn("origin", F.when(F.col("entry").isNull(), F.col("chain")).otherwise(F.concat_ws(CHAIN_SEP, "chain", "entry")))
@@ -176,10 +174,9 @@ def zip_entries(
     why = (
         F.when(F.col("kind") == "dicionario", F.lit("dicionario de dados"))
         .when(F.col("kind") == "outro", F.concat(F.lit("extensao nao suportada: "), F.when(F.col("ext") == "", "(nenhuma)").otherwise(F.col("ext"))))
-        .when(F.col("kind") == "sem leitor", F.concat(F.lit("ValueError: no reader for "), "ext"))
         .otherwise(F.col("error"))
     )
-    status = F.when(F.col("kind").isin("dicionario", "outro"), "ignorado").when(F.col("error").isNotNull() | F.col("kind").isin("sem leitor", "erro"), "erro").otherwise("ok")
+    status = F.when(F.col("kind").isin("dicionario", "outro"), "ignorado").when(F.col("error").isNotNull() | (F.col("kind") == "erro"), "erro").otherwise("ok")
     file_name = F.regexp_extract(F.coalesce("entry", "chain"), r"([^/]*)$", 1)
     return found.select(
         F.col("outer").alias("arquivo_zip"), F.col("origin").alias("arquivo_origem"), F.col("entry").alias("entrada"), file_name.alias("nome_arquivo"), F.col("depth").alias("profundidade"),

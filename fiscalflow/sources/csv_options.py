@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fiscalflow.functions._util import column
+
 #: Stands for a quoted empty text between the reader and ``restore_empties`` (private-use characters).
 EMPTY = "\uf8fe\uf8ff"
 
@@ -29,4 +31,5 @@ def writer_options(sep: str, encoding: str, header: bool) -> dict[str, str]:
 def restore_empties(df: DataFrame) -> DataFrame:
     """Text columns with the marker of a quoted empty text turned into the empty text."""
     text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
-    return df.select(*[F.when(F.col(f"`{c}`") == EMPTY, F.lit("")).otherwise(F.col(f"`{c}`")).alias(c) if c in text else F.col(f"`{c}`") for c in df.columns])
+    own = {c: column(c) for c in df.columns}
+    return df.select(*[F.when(own[c] == EMPTY, F.lit("")).otherwise(own[c]).alias(c) if c in text else own[c] for c in df.columns])

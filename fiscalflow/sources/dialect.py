@@ -1,38 +1,32 @@
 """CSV dialect detection: encoding, separator and header line per file.
 
-One row per file goes through ``mapInPandas``.  A task sniffs the separator
-and the header on the first ``SAMPLE_BYTES`` of its file, and streams the
-whole file in chunks of bounded size for what a prefix cannot tell: the
-encoding (UTF-8 only if every byte decodes) and whether a line break stands
-between quotes (then the file is read with ``multiLine``).  The result is a small
-``(path, encoding, sep, header, erro)`` DataFrame (one row per file), which
-the caller groups into dialect classes so each class is read by one
-``spark.read.csv`` scan.
+Spark's text scan deals out each file by ranges; a task summarises its ranges
+for all separators and for both states a range may begin in (see
+``csv_ranges``), and one row a range is put together by file: the encoding is
+UTF-8 only if every line decodes; line breaks between quotes call for reading
+by records; the separator is the one whose records agree best on their number
+of values.  No task reads more than a range, no prefix stands for a file.
 
 Decisions on the reference's hazards:
-* a sample cut inside a multi-byte character is still UTF-8 (only the
-  truncated tail is dropped before decoding);
-* a byte-order mark means UTF-8 (Spark's reader strips it);
-* latin-1 decodes anything, so it is the last resort, as in the reference.
+* a byte-order mark means UTF-8;
+* latin-1 decodes anything, so it is the last resort, as in the reference;
+* a file of one column has no separator and gets the reference's default.
 """
 
 from __future__ import annotations
 
-import codecs
-import csv
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from fiscalflow.sources.csv_ranges import BOM, Quotes, Range, file_numbers, scan_lines, summaries, walk
 
 # Fixed values of the reference's detection.
-SAMPLE_BYTES = 100_000
-ENCODINGS = ("utf-8", "utf-8-sig", "latin1")
 DELIMITERS = ",;\t|"
 FALLBACK_SEP = ";"
-SPARK_ENCODING = {"utf-8": "UTF-8", "utf-8-sig": "UTF-8", "latin1": "ISO-8859-1"}
-
-DIALECT_SCHEMA = "path string, encoding string, sep string, header string, multilinha boolean, erro string"
 
 
 def local_or_fs(path: str):
@@ -50,98 +44,63 @@ def local_or_fs(path: str):
     return pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
 
-def open_prefix(path: str, n: int) -> bytes:
-    """First ``n`` bytes of a file, read inside the task (never the whole file)."""
-    fs, inner = local_or_fs(path)
-    if fs is None:
-        with open(inner, "rb") as fh:
-            return fh.read(n)
-    with fs.open_input_stream(inner) as fh:
-        return fh.read(n)
+def consistency(fields: Counter) -> tuple[float, int]:
+    """(share of a separator's records that have its most frequent number of values, that number), 0 where that is one value."""
+    total = sum(fields.values())
+    if not total:
+        return 0.0, 1
+    width, records = max(fields.items(), key=lambda f: (f[1], f[0]))
+    return (records / total, width) if width > 1 else (0.0, 1)
 
 
-def _decode(sample: bytes, encoding: str) -> str:
-    try:
-        return sample.decode(encoding)
-    except UnicodeDecodeError as e:
-        # A character cut by the sample boundary is not evidence against UTF-8.
-        if encoding.startswith("utf-8") and e.reason == "unexpected end of data" and e.start >= len(sample) - 3:
-            return sample[: e.start].decode(encoding)
-        raise
-
-
-CHUNK_BYTES = 4 << 20
-
-
-def whole_file_facts(chunks: Iterator[bytes]) -> tuple[bool, bool]:
-    """(is UTF-8, a line break stands between quotes), from a whole file in chunks.
-
-    Quotes are counted by parity, so a stray quote inside an unquoted value
-    may call for ``multiLine`` without need; that reader gives the same rows.
-    """
-    decoder, utf8 = codecs.getincrementaldecoder("utf-8")(), True
-    inside = broken = False
-    for chunk in chunks:
-        if utf8:
-            try:
-                decoder.decode(chunk)
-            except UnicodeDecodeError:
-                utf8 = False
-        if not broken:
-            parts = chunk.split(b'"')
-            between = parts[0 if inside else 1 :: 2]
-            broken = any(b"\n" in x or b"\r" in x for x in between)
-            inside ^= len(parts) % 2 == 0
-    if utf8:
-        try:
-            decoder.decode(b"", True)
-        except UnicodeDecodeError:
-            utf8 = False
-    return utf8, broken
-
-
-def read_chunks(path: str, n: int = CHUNK_BYTES) -> Iterator[bytes]:
-    fs, inner = local_or_fs(path)
-    with open(inner, "rb") if fs is None else fs.open_input_stream(inner) as fh:
-        while chunk := fh.read(n):
-            yield chunk
+def _agrees(first: bytes, sep: str, width: int) -> bool:
+    """Whether the header line has so many values."""
+    return Quotes(sep).fields(first) == width
+
+
+def choose(rows: Sequence[dict]) -> tuple[str, str, str, bool, int]:
+    """(Spark encoding name, separator, header line, whether line breaks stand within quotes, records) from a file's summaries in order."""
+    rows = list(rows)
+    walks = [walk(rows, k) for k in range(len(DELIMITERS))]
+    scores = [consistency(fields) for _, fields, _ in walks]
+    first = next((r["first"] for r in rows if r["first"] is not None), b"")
+    best = max(range(len(DELIMITERS)), key=lambda k: (scores[k][0] > 0 and _agrees(first, DELIMITERS[k], scores[k][1]), *scores[k], -k))
+    sep = DELIMITERS[best] if scores[best][0] > 0 else FALLBACK_SEP
+    starts, _, broken = walks[DELIMITERS.index(sep)]
+    last = rows[-1][f"s{DELIMITERS.index(sep)}{int(starts[-1][0])}"]
+    encoding = "UTF-8" if all(r["utf8"] for r in rows) else "ISO-8859-1"
+    return encoding, sep, first.decode(encoding), broken, starts[-1][1] + last["records"]
 
 
 def sniff(sample: bytes) -> tuple[str, str, str]:
-    """(Spark encoding name, separator, header line) of a CSV sample."""
-    for enc in ENCODINGS:
-        try:
-            text = _decode(sample, enc)
-        except UnicodeDecodeError:
-            continue
-        text = text.lstrip("\ufeff")
-        try:
-            sep = csv.Sniffer().sniff(text, delimiters=DELIMITERS).delimiter
-        except csv.Error:
-            sep = FALLBACK_SEP
-        header = next((line for line in text.splitlines() if line.strip()), "")  # Spark skips blank lines, too
-        return SPARK_ENCODING[enc], sep, header
-    raise ValueError("no encoding decodes the sample")  # unreachable: latin-1 decodes all bytes
-
-
-def _sniff_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        out = []
-        for path in pdf["path"]:
-            try:
-                utf8, multi = whole_file_facts(read_chunks(path))
-                sample = open_prefix(path, SAMPLE_BYTES)
-                enc, sep, header = sniff(sample)
-                if not utf8 and enc == "UTF-8":
-                    enc = "ISO-8859-1"
-                    _, sep, header = sniff(sample.decode("latin1").encode("utf-8"))
-                out.append((path, enc, sep, header, multi, None))
-            except Exception as e:  # noqa: BLE001 - one bad file must not stop the others
-                out.append((path, None, None, None, None, f"{type(e).__name__}: {e}"))
-        yield pd.DataFrame(out, columns=["path", "encoding", "sep", "header", "multilinha", "erro"])
+    """(Spark encoding name, separator, header line) of a text taken as one range; a character cut off at its end is passed over."""
+    try:
+        sample.decode("utf-8")
+    except UnicodeDecodeError as e:
+        if e.reason == "unexpected end of data" and e.start >= len(sample) - 3:
+            sample = sample[: e.start]
+    seen = Range([Quotes(d) for d in DELIMITERS])
+    for line in (sample[3:] if sample.startswith(BOM) else sample).split(b"\n"):
+        seen.take(line)
+    return choose([seen.row(0, 0)])[:3]
 
 
 def detect_dialects(files: DataFrame) -> DataFrame:
     """``files`` has a ``path`` column (e.g. a ``binaryFile`` listing with
-    only ``path`` selected, which reads no content)."""
-    return files.select("path").mapInPandas(_sniff_batches, DIALECT_SCHEMA)
+    only ``path`` selected, which reads no content).  A row a file."""
+    spark = files.sparkSession
+    paths = [r.path for r in files.select("path").distinct().collect()]  # the reader call needs them
+    listed = spark.createDataFrame([(p,) for p in paths], "path string")
+    if not paths:
+        return listed.selectExpr("path", "CAST(NULL AS string) AS encoding", "CAST(NULL AS string) AS sep", "CAST(NULL AS string) AS header", "CAST(NULL AS boolean) AS multilinha", "CAST(NULL AS bigint) AS registros", "CAST(NULL AS string) AS erro")
+    numbers = spark.createDataFrame(list(file_numbers(spark, paths).items()), "file long, path string")
+
+    def of_file(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: r["block"])
+        encoding, sep, header, broken, records = choose(rows)
+        return pa.table({"file": [rows[0]["file"]], "encoding": [encoding], "sep": [sep], "header": [header], "multilinha": [broken], "registros": [records]})
+
+    found = summaries(scan_lines(spark, paths), DELIMITERS).groupBy("file").applyInArrow(of_file, "file long, encoding string, sep string, header string, multilinha boolean, registros long")
+    rows = listed.join(numbers, "path", "left").join(found, "file", "left")
+    # A file without a line has no summary.
+    return rows.select("path", F.coalesce("encoding", F.lit("UTF-8")).alias("encoding"), F.coalesce("sep", F.lit(FALLBACK_SEP)).alias("sep"), F.coalesce("header", F.lit("")).alias("header"), F.coalesce("multilinha", F.lit(False)).alias("multilinha"), F.coalesce("registros", F.lit(0)).alias("registros"), F.lit(None).cast("string").alias("erro"))

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fiscalflow.functions._util import column
+
 REJECTED = "__linha_rejeitada"
 
 
@@ -136,7 +138,7 @@ def bronze_convert(spark: SparkSession, csv_paths: str | Sequence[str], out: str
 
 def bad_value(field: T.StructField) -> Column:
     """Whether a row's text is neither blank nor a value of the field's type."""
-    text = F.col(f"`{field.name}`")
+    text = column(field.name)
     if isinstance(field.dataType, T.StringType):
         return F.lit(False)
     return F.coalesce(F.trim(text) != "", F.lit(False)) & text.try_cast(field.dataType).isNull()
@@ -150,12 +152,13 @@ def cast_with_rejects(raw: DataFrame, schema: T.StructType) -> tuple[DataFrame,
     """
     typed_cols, rejects = [], []
     for f in schema.fields:
-        src = F.col(f.name)
+        src = column(f.name)
         cast = src if isinstance(f.dataType, T.StringType) else src.try_cast(f.dataType)
         typed_cols.append(cast.alias(f.name))
         rejects.append(F.count_if(src.isNotNull() & (F.trim(src) != "") & cast.isNull()).alias(f.name))
-    others = [c for c in raw.columns if c not in schema.fieldNames()]
-    return raw.select(*typed_cols, *others), raw.agg(*rejects)
+    others = [column(c) for c in raw.columns if c not in schema.fieldNames()]
+    counts = raw.agg(*rejects) if rejects else raw.sparkSession.range(1).drop("id")
+    return raw.select(*typed_cols, *others), counts
 
 
 def read_partitioned(spark: SparkSession, path: str, text_columns: Sequence[str] = ("grupo_mescla",)) -> DataFrame:
@@ -167,66 +170,3 @@ def read_partitioned(spark: SparkSession, path: str, text_columns: Sequence[str]
         T.StructField(f.name, T.StringType(), True) if f.name in text_columns else f for f in inferred.fields
     ]
     return spark.read.schema(T.StructType(fields)).parquet(path)
-
-
-def read_tabular(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
-    """CSV (dialect sniffed per file), ``.xlsx``/``.ods`` and Parquet files as
-    one all-string (Parquet: typed) DataFrame per schema class, each with a
-    column ``sheets.PATH`` naming the source file."""
-    from fiscalflow.session import materialize
-    from fiscalflow.sources.dialect import detect_dialects
-    from fiscalflow.sources.sheets import PATH, ROW, promote_header, spreadsheet_rows
-
-    def suffix(p: str) -> str:
-        name = p.rsplit("/", 1)[-1]
-        dot = name.rfind(".")
-        return name[dot:].lower() if 0 < dot < len(name) - 1 else ""
-
-    out: list[DataFrame] = []
-    csvs = [p for p in paths if suffix(p) == ".csv"]
-    if csvs:
-        dia = detect_dialects(spark.createDataFrame([(p,) for p in csvs], "path string")).collect()
-        classes: dict[tuple, list[str]] = {}
-        for d in dia:
-            if d.erro or not d.header:
-                raise ValueError(f"cannot read {d.path}: {d.erro or 'empty file'}")
-            classes.setdefault((d.encoding, d.sep, d.header, bool(d.multilinha)), []).append(d.path)
-        for (enc, sep, _h, multi), ps in classes.items():
-            df = read_csv(spark, ps, sep=sep, encoding=enc, multiline=multi)
-            out.append(df.withColumn(PATH, F.col("_metadata.file_path")))
-    sheets = [p for p in paths if suffix(p) in (".xlsx", ".ods")]
-    if sheets:
-        cells = materialize(spreadsheet_rows(spark.createDataFrame([(p,) for p in sheets], "path string")), spark, "cells")
-        if unreadable := cells.where("erro IS NOT NULL").select("path", "erro").take(5):
-            raise ValueError(f"unreadable workbooks: {[tuple(r) for r in unreadable]}")
-        for _names, df in promote_header(cells):
-            out.append(df.drop(ROW))
-    parquets = [p for p in paths if suffix(p) == ".parquet"]
-    classes_pq, bad = parquet_schema_classes(spark, parquets)
-    if bad:
-        raise ValueError(f"unreadable Parquet footers: {bad[:5]}")
-    out += [spark.read.parquet(*map(literal_path, ps)).withColumn(PATH, F.col("_metadata.file_path")) for ps in classes_pq]
-    unsupported = [p for p in paths if suffix(p) not in (".csv", ".xlsx", ".ods", ".parquet")]
-    if unsupported:
-        raise ValueError(f"unsupported file types: {unsupported[:5]}")
-    return out
-
-
-def convert_tabular(spark: SparkSession, paths: Sequence[str], out: str, fmt: str = "csv") -> list[str]:
-    """Convert tabular files to CSV (UTF-8, header) or Parquet, one output
-    folder per schema class (``out/parte_<i>``); returns the folders."""
-    from fiscalflow.sources.sheets import PATH
-    from fiscalflow.sources.sinks import write_csv, write_parquet
-
-    written = []
-    for i, df in enumerate(read_tabular(spark, paths)):
-        target = f"{out.rstrip('/')}/parte_{i}"
-        data = df.drop(PATH)
-        if fmt == "csv":
-            write_csv(data, target)
-        elif fmt == "parquet":
-            write_parquet(data, target)
-        else:
-            raise ValueError(f"unknown format {fmt!r}")
-        written.append(target)
-    return written

@@ -1,14 +1,13 @@
-"""Spreadsheets (``.xlsx``, ``.ods``): first sheet as rows of text cells.
+"""Spreadsheets (``.xlsx``, ``.ods``, ``.xls``): first sheet as rows of text cells.
 
-No spreadsheet library is installed, and both formats are zip files of
-XML, so each workbook is opened by path inside a task (one workbook per
+No spreadsheet library is installed.  The first two formats are zip files of
+XML, the last is binary (``xls``).  Each workbook is opened by path inside a task (one workbook per
 task: a workbook cannot be split) and its sheet XML is streamed with
 ``iterparse``, so memory stays bounded by the batch size, not the file.  The output is one
 row per sheet row, ``(path, row_idx, cells array<string>, erro)``, and one row with only
 path and erro for a workbook that cannot be read; the header row
 is promoted to column names per header class by :func:`promote_header`,
-with JVM-side projections.  ``.xls`` (binary BIFF) has no reader here and is
-reported as an error by the caller.
+with JVM-side projections.
 """
 
 from __future__ import annotations
@@ -17,13 +16,16 @@ import datetime as dt
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import BinaryIO
 from xml.etree import ElementTree as ET
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fiscalflow.sources import xls
+
 CELLS_SCHEMA = "path string, row_idx int, cells array<string>, erro string"
 #: Helper columns of ``promote_header``; a header may use any other name.
 PATH, ROW = "__caminho", "__linha"
@@ -60,10 +62,13 @@ def _date_styles(zf: zipfile.ZipFile, names: set[str]) -> set[int]:
         own[int(f.get("numFmtId"))] = bool(re.search(r"[yd]", shown, re.IGNORECASE))
     xfs = root.find(f"{_NS_MAIN}cellXfs")
     ids = [int(x.get("numFmtId", "0")) for x in xfs] if xfs is not None else []
-    return {i for i, n in enumerate(ids) if own.get(n, n in _DATE_FORMATS - _TIME_OF_DAY)}
+    return {i for i, n in enumerate(ids) if own.get(n, n in DAY_FORMATS)}
+
+
+DAY_FORMATS = _DATE_FORMATS - _TIME_OF_DAY
 
 
-def _iso_date(serial: str, epoch: dt.datetime) -> str:
+def iso_date(serial: str | float, epoch: dt.datetime) -> str:
     """A day count as ``yyyy-mm-dd``, with the time of day where there is one."""
     when = epoch + dt.timedelta(seconds=round(float(serial) * 86_400))
     return when.date().isoformat() if when.time() == dt.time(0) else when.isoformat(sep=" ")
@@ -117,7 +122,7 @@ def _iter_xlsx(zf: zipfile.ZipFile) -> Iterator[list[str | None]]:
                 else:
                     value = v.text if v is not None else None
                     if value and kind in (None, "n") and int(c.get("s", "-1")) in dates:
-                        value = _iso_date(value, epoch)
+                        value = iso_date(value, epoch)
                 cells.append(value)
             row.clear()
             yield cells
@@ -188,7 +193,17 @@ def _iter_ods(zf: zipfile.ZipFile) -> Iterator[list[str | None]]:
                 yield cells
 
 
-_READERS = {".xlsx": _iter_xlsx, ".ods": _iter_ods}
+def _zipped(reader: Callable[[zipfile.ZipFile], Iterator[list[str | None]]]) -> Callable[[BinaryIO], Iterator[list[str | None]]]:
+    def run(raw: BinaryIO) -> Iterator[list[str | None]]:
+        with zipfile.ZipFile(raw) as zf:
+            yield from reader(zf)
+
+    return run
+
+
+_READERS = {".xlsx": _zipped(_iter_xlsx), ".ods": _zipped(_iter_ods), ".xls": xls.rows}
+#: Suffixes of workbooks that are read.
+WORKBOOKS = tuple(_READERS)
 
 
 def read_xlsx(data: bytes) -> list[list[str | None]]:
@@ -222,9 +237,8 @@ def _sheet_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for path in pdf["path"]:
             paths, idxs, cells = [], [], []
             try:
-                reader = _READERS[_suffix(path)]
-                with open_input(path) as raw, zipfile.ZipFile(raw) as zf:
-                    for i, row in enumerate(reader(zf)):
+                with open_input(path) as raw:
+                    for i, row in enumerate(_READERS[_suffix(path)](raw)):
                         paths.append(path)
                         idxs.append(i)
                         cells.append(row)
@@ -255,13 +269,16 @@ def spreadsheet_rows(files: DataFrame, n_files: int | None = None) -> DataFrame:
 
 def header_names(header: list[str | None]) -> list[str]:
     """Column names from a header row: blanks named by position, repeats
-    suffixed so every name is unique."""
-    names, seen = [], {}
+    (case aside) suffixed so every name is unique."""
+    names, taken = [], set()
     for i, h in enumerate(header):
-        base = (h or "").strip() or f"coluna_{i + 1}"
-        n = seen.get(base, 0)
-        seen[base] = n + 1
-        names.append(base if n == 0 else f"{base}_{n + 1}")
+        base = name = (h or "").strip() or f"coluna_{i + 1}"
+        n = 1
+        while name.lower() in taken:
+            n += 1
+            name = f"{base}_{n}"
+        taken.add(name.lower())
+        names.append(name)
     return names
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fiscalflow.sources import dialect, files, sheets
+from fiscalflow.sources import dialect, files, sheets, tabular
 from tests.fixtures import ods_bytes, write, xlsx_bytes
 
 TABLE = [("1", "Ana", "10,5"), ("2", "José", "3"), ("3", "Çá", "7,25")]
@@ -32,8 +32,8 @@ def test_encodings_and_bom():
 
 
 def test_sample_cut_inside_a_character_is_still_utf8():
-    body = ("a;b\n" + "x" * (dialect.SAMPLE_BYTES - 5) + "é;1\n").encode("utf-8")
-    sample = body[: dialect.SAMPLE_BYTES]
+    body = ("a;b\n" + "x" * 99_995 + "é;1\n").encode("utf-8")
+    sample = body[:100_000]
     with pytest.raises(UnicodeDecodeError):
         sample.decode("utf-8")
     assert dialect.sniff(sample)[0] == "UTF-8"
@@ -105,11 +105,11 @@ def test_convert_tabular_to_csv_and_parquet(spark, tmp_path):
     write(tmp_path / "in" / "a.csv", csv_text(";"))
     write(tmp_path / "in" / "b.xlsx", xlsx_bytes([["id", "nome", "valor"], [4, "Rui", "1,5"]]))
     paths = [str(tmp_path / "in" / "a.csv"), str(tmp_path / "in" / "b.xlsx")]
-    outs = files.convert_tabular(spark, paths, str(tmp_path / "csv"))
+    outs = tabular.convert_tabular(spark, paths, str(tmp_path / "csv")).folders
     assert len(outs) == 2
     back = [files.read_csv(spark, o, sep=",") for o in outs]
     assert sorted(r.id for df in back for r in df.collect()) == ["1", "2", "3", "4"]
-    pq = files.convert_tabular(spark, paths, str(tmp_path / "pq"), fmt="parquet")
+    pq = tabular.convert_tabular(spark, paths, str(tmp_path / "pq"), fmt="parquet").folders
     assert sum(spark.read.parquet(o).count() for o in pq) == 4
 
 

@@ -43,7 +43,7 @@ def test_zip_expansion_rules(spark, tmp_path):
     assert all(str(tmp_path / "land") in by[k].caminho_local for k in ok)
     assert by["AC_202401_HOSP_CONS.zip::Dicionário_de_dados.ods"].status == "ignorado"
     assert by["AC_202401_HOSP_CONS.zip::leia-me.txt"].status == "ignorado"
-    assert by["AC_202401_HOSP_CONS.zip::antigo.xls"].status == "erro"
+    assert by["AC_202401_HOSP_CONS.zip::antigo.xls"].status == "ok"  # landed; its reader will report it
     deep_err = [r for r in rows if r.status == "erro" and "depth" in (r.motivo or "")]
     assert len(deep_err) == 1 and deep_err[0].profundidade == 2
     # the outermost archive's group is kept by every nested entry
@@ -94,12 +94,12 @@ def test_ingest_end_to_end(spark, tmp_path):
     assert {"dicionario_de_dados.csv", "notas.txt", "pacote_IGR.zip::Dicionario.csv"} <= ign
     errs = {r.arquivo for r in res.errors.collect()}
     assert errs == {"velho.xls"}  # zero-byte files are skipped by Spark's file listing
-    assert res.manifest.count() == 5
+    assert res.manifest.count() == 6  # the damaged workbook is a listed file, too
     assert set(res.merge.outputs) == {"IGR", "EXTRA", "ANTIGO"}
     assert res.merge.group(spark, "IGR").count() == 3
     # the written manifest reads back as all-string
     m = read_manifest(spark, f"{res.out_dir}/manifesto")
-    assert m.schema == MANIFEST_SCHEMA and m.count() == 5
+    assert m.schema == MANIFEST_SCHEMA and m.count() == 6
 
 
 def test_rerun_does_not_double_rows(spark, tmp_path):

@@ -26,18 +26,16 @@ def test_quoted_line_break_after_the_sample(spark, tmp_path):
 
 def test_latin1_after_an_ascii_sample(spark, tmp_path):
     text = "id;t\n" + "".join(f"{i};ascii apenas aqui\n" for i in range(8000)) + "x;São João\n"
-    assert len(text) > dialect.SAMPLE_BYTES
+    assert len(text) > 100_000
     write(tmp_path / "in" / "a_IGR.csv", text, encoding="latin-1")
     u = ingest(spark, str(tmp_path / "in"), str(tmp_path / "out")).unified
     assert u.where("id = 'x'").first().t == "São João"
 
 
-def test_chunks_do_not_change_the_facts():
-    data = ('a;"x\ny"\n' + "é" * 50).encode()
-    for n in (1, 2, 3, 7, 100):
-        assert dialect.whole_file_facts(iter([data[i : i + n] for i in range(0, len(data), n)])) == (True, True)
-    assert dialect.whole_file_facts(iter(["é".encode("latin-1")])) == (False, False)
-    assert dialect.whole_file_facts(iter([b'"a"\n"b"\n', b"\xc3"])) == (False, False)
+def test_encoding_is_that_of_all_lines():
+    assert dialect.sniff(("a;b\n" + "é;1\n" * 50).encode())[0] == "UTF-8"
+    assert dialect.sniff("é;1\n".encode("latin-1") + b"a;b\n" * 5)[0] == "ISO-8859-1"
+    assert dialect.sniff(b"a;b\n\xc3;1\nx;y\n")[0] == "ISO-8859-1"
 
 
 def test_names_with_special_characters(spark, tmp_path):
@@ -168,3 +166,54 @@ def test_no_local_scratch_on_a_cluster(monkeypatch):
 
     with pytest.raises(ValueError, match="all machines share"):
         session.checkpoint_root(Session())
+
+
+def test_headers_with_a_dot(spark, tmp_path):
+    write(tmp_path / "in" / "a_IGR.csv", "valor.total;k`x\n1;2\n")
+    write(tmp_path / "in" / "b_IGR.csv", "k`x;outra\n3;4\n")
+    res = ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), schema="`valor.total` int", columns=None)
+    got = {tuple(r[:3]) for r in res.unified.select("`valor.total`", "`k``x`", "outra").collect()}
+    assert got == {(1, "2", None), (None, "3", "4")} and res.errors.count() == 0
+    only = ingest(spark, str(tmp_path / "in"), str(tmp_path / "out2"), columns=["valor.total"])
+    assert only.unified.columns[0] == "valor.total" and [r.arquivo for r in only.errors.collect()] == ["b_IGR.csv"]
+
+
+def test_headers_that_differ_in_case_and_repeat(spark, tmp_path):
+    write(tmp_path / "in" / "a_IGR.csv", "Nome;k\nAna;1\n")
+    write(tmp_path / "in" / "b_IGR.csv", "nome;k;K\nRui;2;3\n")
+    write(tmp_path / "in" / "c_IGR.xlsx", xlsx_bytes([["NOME", "k", "k"], ["Eva", "4", "5"]]))
+    res = ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert sorted(c.lower() for c in res.unified.columns) == ["arquivo_origem", "grupo_mescla", "k", "k_2", "nome"]
+    assert rows(res.unified.fillna(""), "Nome", "k", "K_2") == [("Ana", "1", ""), ("Eva", "4", "5"), ("Rui", "2", "3")]
+
+
+def test_files_of_one_name_are_told_apart(spark, tmp_path):
+    write(tmp_path / "in" / "x" / "igual.csv", "k;v\n1;a\nruim\n")
+    write(tmp_path / "in" / "y" / "igual.csv", " \n")
+    write(tmp_path / "in" / "z" / "p.zip", zip_of({"igual.csv": b"k;v\n2;b\n"}))
+    write(tmp_path / "in" / "w" / "p.zip", zip_of({"igual.csv": b"k;v\n3;c\n"}))
+    res = ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), group="G", merge_single=False)
+    assert [r.arquivo for r in res.errors.collect()] == ["y/igual.csv"]
+    assert sorted(r.arquivo_origem for r in res.files_read.collect()) == ["w/p.zip::igual.csv", "x/igual.csv", "z/p.zip::igual.csv"]
+    assert rows(res.rejects, "arquivo", "linhas") == [("x/igual.csv", 1)]
+    assert rows(res.unified.where("k != 'ruim'"), "k", "arquivo_origem") == [("1", "x/igual.csv"), ("2", "z/p.zip::igual.csv"), ("3", "w/p.zip::igual.csv")]
+    assert set(res.merge.outputs) == {"G"}  # three files, though of two names
+
+
+def zip_of(entries):
+    from tests.fixtures import zip_bytes
+
+    return zip_bytes(entries)
+
+
+def test_faults_by_row_of_csv_and_workbooks(spark, tmp_path):
+    write(tmp_path / "in" / "a_IGR.csv", 'k;v;t\n1;2;"x\ny"\nruim;3;z\n4;cinco;w;EXTRA\n\n6;7\n')
+    write(tmp_path / "in" / "b_IGR.xlsx", xlsx_bytes([["k", "v", "t"], ["8", "9", "ok"], ["oito", "9", "mau"]]))
+    res = ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), schema="k int, v int", merge=False)
+    found = rows(res.rejected_rows().fillna(""), "arquivo", "registro", "coluna", "motivo", "linha")
+    wide = "numero de valores diferente do cabecalho"
+    assert found == [
+        ("a_IGR.csv", 2, "k", "nao e int", "ruim;3;z"), ("a_IGR.csv", 3, "", wide, "4;cinco;w;EXTRA"), ("a_IGR.csv", 3, "v", "nao e int", "4;cinco;w;EXTRA"), ("a_IGR.csv", 4, "", wide, "6;7"),
+        ("b_IGR.xlsx", 2, "k", "nao e int", '["oito","9","mau"]'),
+    ]
+    assert rows(res.rejects, "arquivo", "linhas") == [("a_IGR.csv", 3), ("b_IGR.xlsx", 1)]
