@@ -33,20 +33,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fiscalflow.llm.bpe import pieces_of
-from fiscalflow.llm.common import arrow_rows, scratch_path, text_rows
+from fiscalflow.llm.common import BROADCAST_ROWS, arrow_rows, scratch_path, text_rows
+from fiscalflow.llm.id_heap import IdHeap
 
 #: Bits of a chunk (a power of two up to 32, so that chunks are whole numbers of a NumPy type).
 WIDTH = 8
 #: Bitmap bits for one entry of the rank directory.
 RUN = 512
-#: Distinct pieces of text that a worker remembers at most, in two generations (about 200 bytes each).
-CACHE = 600_000
+#: Distinct pieces of text that a worker remembers at most (about 150 bytes each).
+CACHE = 800_000
+#: Documents in an Arrow batch, and bytes of text in a block, about.
+BATCH, SLICE = 1024, 4 << 20
 #: Ends each document.
 END = 2
 #: What a space is written as in a byte-level vocabulary.
 SPACE = "\u0120"
 
-_BLOCK = "part int, block int, n_docs int, n_tokens long, ids binary, id_null binary, offsets binary, chunks array<binary>, bitmaps array<binary>, ranks array<binary>"
+_BLOCK = "part int, block int, before long, n_docs int, n_tokens long, ids binary, id_null binary, offsets binary, chunks array<binary>, bitmaps array<binary>, ranks array<binary>"
 
 
 class Dac:
@@ -129,32 +132,24 @@ class CachedTokenizer:
         self.starts = np.zeros(1 + max(vocab.values()), bool)
         self.starts[[i for token, i in vocab.items() if token[0] == SPACE]] = True
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.heap = IdHeap(self._learn, CACHE)
 
-    def _ask(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ask(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces, how many of each); plain ones come first."""
         plain = [p for p in pieces if p and " " not in p and p[0] != INNER]
-        ids = np.frombuffer(self._ask([" " + " ".join(plain)])[0], "<u4") if plain else np.empty(0, "<u4")
+        ids = np.array(self._ask([" " + " ".join(plain)])[0] if plain else [], "<u4")
         at = np.flatnonzero(self.starts[ids])
-        if len(at) == len(plain):
-            raw, cuts = ids.tobytes(), (at * 4).tolist()
-            self.known.update(zip(plain, map(raw.__getitem__, map(slice, cuts, [*cuts[1:], len(raw)])), strict=True))
-        rest = [p for p in pieces if p not in self.known] if len(at) != len(plain) or len(plain) != len(pieces) else []
-        if rest:
-            self.known.update(zip(rest, self._ask([p[1:] if p[:1] == INNER else " " + p for p in rest]), strict=True))
-
-    def _codes(self, pieces: list[str]) -> list[bytes]:
-        """Ids of distinct pieces; what is in use moves to the younger generation."""
-        if len(self.known) + len(pieces) > CACHE // 2:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        new = [p for p in pieces if p not in known]
-        known.update((p, older[p]) for p in new if p in older)
-        self._learn([p for p in new if p not in known])
-        return list(map(self.known.__getitem__, pieces))
+        if len(at) != len(plain):
+            plain, ids, at = [], ids[:0], at[:0]
+        taken = set(plain)
+        rest = [p for p in pieces if p not in taken] if len(plain) < len(pieces) else []
+        pieces[:] = plain + rest
+        found = self._ask([p[1:] if p[:1] == INNER else " " + p for p in rest])
+        sizes = np.concatenate((np.diff(at, append=len(ids)), np.fromiter(map(len, found), np.int64, len(found))))
+        return np.concatenate((ids, np.fromiter((i for x in found for i in x), "<u4"))), sizes
 
     def encode_batch(self, texts: pa.Array) -> list[bytes]:
         """Ids (little-endian, 32 bits) of each of an array of texts."""
@@ -170,21 +165,15 @@ class CachedTokenizer:
                 cut[i] = [head, *tails] if not any(t[:1] == INNER for t in tails) else [texts[i].as_py()]
             lists = pa.array([cut[i] for i in range(len(texts))], pa.list_(pa.string()))
         flat, offsets = lists.flatten(), lists.offsets.to_numpy()
+        offsets = offsets - offsets[0]
         first = offsets[:-1]
         is_tail = np.ones(len(flat), bool)
         is_tail[first] = False
         heads = self._ask(flat.take(pa.array(first)).to_pylist())
-        coded = flat.filter(pa.array(is_tail)).dictionary_encode()
-        codes = self._codes(coded.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
-        ids = np.frombuffer(b"".join(codes), "<u4")
-        which = coded.indices.to_numpy()
-        n = sizes[which]
+        out, n = self.heap.gather(flat.filter(pa.array(is_tail)))
         ends = np.concatenate(([0], np.cumsum(n)))
-        starts = np.cumsum(sizes) - sizes
-        out = ids[np.repeat(starts[which] - ends[:-1], n) + np.arange(ends[-1])]
         cuts = ends[offsets - np.arange(len(offsets))]  # a text has one head before its tails
-        return [head + out[i:j].tobytes() for head, i, j in zip(heads, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        return [np.array(head, "<u4").tobytes() + out[i:j].tobytes() for head, i, j in zip(heads, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
 
 @lru_cache(2)
@@ -194,38 +183,49 @@ def _tokenizer(path: str) -> CachedTokenizer:
 
 def write_tokens(docs: DataFrame, tokenizer: str, out: str, id_col: str = "doc_id", text_col: str = "text", end: int = END) -> None:
     """Encode every row and write the blocks to ``out``, in ascending document order."""
-    arrow_rows(docs.sparkSession)
+    arrow_rows(docs.sparkSession, BATCH)
+
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sizes = pc.binary_length(b["text"]).to_numpy()
+            cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE, prepend=0)).tolist()
+            cuts = [0, *(c for c in cuts if c), len(b)]
+            yield from (b.slice(lo, hi - lo) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True) if hi > lo)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = _tokenizer(tokenizer), TaskContext.get().partitionId()
         last = np.array([end], "<u4").tobytes()
-        for block, b in enumerate(batches):
+        before = 0
+        for block, b in enumerate(slices(batches)):
             ids = [x + last for x in encoder.encode_batch(b["text"].cast(pa.string()))]
             offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))).astype("<i8")
             dac = Dac.encode(np.frombuffer(b"".join(ids), "<u4"))
             doc_ids = b["doc_id"].to_pylist()
             yield pa.RecordBatch.from_pydict({
-                "part": pa.array([part], pa.int32()), "block": pa.array([block], pa.int32()), "n_docs": pa.array([len(ids)], pa.int32()), "n_tokens": [int(offsets[-1])],
+                "part": pa.array([part], pa.int32()), "block": pa.array([block], pa.int32()), "before": [before], "n_docs": pa.array([len(ids)], pa.int32()), "n_tokens": [int(offsets[-1])],
                 "ids": [np.array([i or 0 for i in doc_ids], "<i8").tobytes()], "id_null": [bytes(i is None for i in doc_ids)], "offsets": [offsets.tobytes()],
                 "chunks": pa.array([dac.raw[0]], pa.list_(pa.binary())), "bitmaps": pa.array([dac.raw[1]], pa.list_(pa.binary())), "ranks": pa.array([dac.raw[2]], pa.list_(pa.binary())),
             })
+            before += int(offsets[-1])
 
     ordered = text_rows(docs, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(run, _BLOCK).write.parquet(out)
+    # Uncompressed, so that a token is where its codes say.
+    ordered.mapInArrow(run, _BLOCK).write.option("compression", "uncompressed").parquet(out)
 
 
 def placed_blocks(spark: SparkSession, path: str) -> DataFrame:
     """The blocks of a written file, each with ``start``, the tokens before it.
 
-    One total a part goes through a single task; blocks are summed within
-    their part.
+    A block knows the tokens before it in its part; the parts' totals, one row
+    a part, are summed in one task and joined, broadcast up to a checked size,
+    so that blocks do not move.
     """
     blocks = spark.read.parquet(path)
     totals = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     starts = totals.select(F.col("part").alias("_part"), (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("_start"))
-    within = blocks.select("part", "block", "n_tokens").select(F.col("part").alias("_p"), F.col("block").alias("_b"), (F.sum("n_tokens").over(Window.partitionBy("part").orderBy("block")) - F.col("n_tokens")).alias("_within"))
-    place = within.join(starts, F.col("_p") == F.col("_part")).select("_p", "_b", (F.col("_start") + F.col("_within")).alias("start"))
-    return blocks.join(place, (F.col("part") == F.col("_p")) & (F.col("block") == F.col("_b"))).drop("_p", "_b")
+    if totals.count() <= BROADCAST_ROWS:
+        starts = F.broadcast(starts)
+    return blocks.join(starts, F.col("part") == F.col("_part")).withColumn("start", F.col("_start") + F.col("before")).drop("_part", "_start", "before")
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

@@ -45,11 +45,11 @@ class IdHeap:
         """The numbers of distinct pieces."""
         if len(self.number) + len(pieces) > self.most and self.number:
             self._clear()
-        get = self.number.get
-        found = list(map(get, pieces))
-        if new := [p for p, k in zip(pieces, found, strict=True) if k is None]:
-            self._learn(new)
-            found = list(map(get, pieces))
+        found = list(map(self.number.get, pieces))
+        if missing := [i for i, k in enumerate(found) if k is None]:
+            self._learn([pieces[i] for i in missing])
+            for i in missing:
+                found[i] = self.number[pieces[i]]
         return np.array(found, np.int64)
 
     def gather(self, flat: pa.Array) -> tuple[np.ndarray, np.ndarray]:
