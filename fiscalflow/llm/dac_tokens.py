@@ -41,9 +41,9 @@ WIDTH = 8
 #: Bitmap bits for one entry of the rank directory.
 RUN = 512
 #: Distinct pieces of text that a worker remembers at most (about 150 bytes each).
-CACHE = 800_000
-#: Documents in an Arrow batch, and bytes of text in a block, about.
-BATCH, SLICE = 1024, 4 << 20
+CACHE = 400_000
+#: Documents in an Arrow batch, bytes of text in a block, and of a row group of the file, about.
+BATCH, SLICE, ROW_GROUP = 512, 2 << 20, 16 << 20
 #: Ends each document.
 END = 2
 #: What a space is written as in a byte-level vocabulary.
@@ -210,7 +210,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, out: str, id_col: str = "doc_i
 
     ordered = text_rows(docs, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     # Uncompressed, so that a token is where its codes say.
-    ordered.mapInArrow(run, _BLOCK).write.option("compression", "uncompressed").parquet(out)
+    ordered.mapInArrow(run, _BLOCK).write.options(**{"compression": "uncompressed", "parquet.block.size": str(ROW_GROUP)}).parquet(out)
 
 
 def placed_blocks(spark: SparkSession, path: str) -> DataFrame:
