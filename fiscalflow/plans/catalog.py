@@ -1456,3 +1456,101 @@ def q_zip_entries(spark, sf):
     parts.mapInPandas(_zip_parts(f"{root}/zips"), "path string").collect()  # one row per archive written
     res = ingest(spark, f"{root}/zips", scratch_path(spark, "ingest-zip"), group="DOCUMENTOS")
     return res.unified.select("doc_id", "lang", "source", "text", "grupo_mescla")
+
+
+_GRAPH = "CAST(page_id AS BIGINT) AS i, (SELECT count(*) FROM pages) AS n"
+
+
+@register(
+    "recursive_listing",
+    f"WITH RECURSIVE p AS (SELECT {_GRAPH} FROM pages), "
+    "e AS (SELECT i, 2 * i + 1 AS j FROM p WHERE i % 5 <> 3 UNION ALL SELECT i, 2 * i + 2 FROM p WHERE i % 7 <> 4 UNION ALL SELECT i, i // 3 FROM p), "
+    "r AS (SELECT CAST(0 AS BIGINT) AS i UNION SELECT e.j FROM r JOIN e ON e.i = r.i) "
+    "SELECT 'http://lista.example.org/p/' || r.i AS pagina, 'http://lista.example.org/p/' || r.i || '/dados_' || r.i || '.csv' AS url_link FROM r JOIN p ON p.i = r.i",
+)
+def q_recursive_listing(spark, sf):
+    """``pages`` as listing pages that link to each other's folders, with cycles and dead ends; every file reached from the first."""
+    from fiscalflow.sources.crawl import crawl
+
+    i = F.col("page_id").cast("long")
+    link = lambda cond, j: F.when(cond, F.concat(F.lit('<a href="/p/'), j.cast("string"), F.lit('/">pasta</a>'))).otherwise(F.lit(""))
+    links = F.concat(link(i % 5 != 3, 2 * i + 1), link(i % 7 != 4, 2 * i + 2), link(F.lit(True), F.floor(i / 3)), F.lit('<a href="dados_'), i.cast("string"), F.lit('.csv">dados</a>'))
+    pages = table(spark, sf, "pages").select(F.concat(F.lit("http://lista.example.org/p/"), i.cast("string"), F.lit("/")).alias("url"), F.concat(links, "html").alias("html"))
+    return crawl(pages, ["http://lista.example.org/p/0/"]).files.select("pagina", "url_link")
+
+
+@register(
+    "exact_median",
+    "SELECT l_returnflag, l_linestatus, median(l_extendedprice * (1 - l_discount)) AS mediana FROM lineitem GROUP BY 1, 2",
+)
+def q_exact_median(spark, sf):
+    """The exact median of a continuous column, by selection: no state that grows with a key."""
+    from fiscalflow.operators.selection import exact_median
+
+    rows = table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("valor"))
+    return exact_median(rows, ["l_returnflag", "l_linestatus"], "valor")
+
+
+_REGIONS = ("NORTE", "SUL", "LESTE", "OESTE")
+
+
+@register(
+    "merge_changed_groups",
+    "WITH c AS (SELECT c_custkey, c_name, CAST(c_custkey // 200 AS BIGINT) AS parte FROM customer), "
+    "g AS (SELECT *, CASE parte % 4 WHEN 0 THEN 'NORTE' WHEN 1 THEN 'SUL' WHEN 2 THEN 'LESTE' ELSE 'OESTE' END AS grupo_mescla FROM c), "
+    "u AS (SELECT DISTINCT grupo_mescla FROM g WHERE parte = (SELECT max(parte) FROM g)) "
+    "SELECT CAST(c_custkey AS VARCHAR) AS codigo, c_name AS nome, grupo_mescla, CASE WHEN grupo_mescla IN (FROM u) AND (SELECT max(parte) FROM g) > 0 THEN 2 ELSE 1 END AS desde FROM g",
+)
+def q_merge_changed_groups(spark, sf):
+    """All files but the last are merged, then the last one lands: only its group is merged again."""
+    from fiscalflow.plans.versions import merge_changed, read_version
+    from fiscalflow.session import scratch_path
+
+    root, out = scratch_path(spark, "landing-versions"), scratch_path(spark, "versions")
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", F.floor(F.col("c_custkey") / _PER_FILE).cast("long").alias("parte"))
+    last = c.agg(F.max("parte")).first()[0]
+
+    def render(k, pdf):
+        return "\n".join(["codigo;nome", *(f"{r.c_custkey};{r.c_name}" for r in pdf.itertuples()), ""]).encode()
+
+    for wave in ([F.col("parte") < last, F.col("parte") == last] if last else [F.lit(True)]):
+        _land_groups(c.where(wave), "parte", root, lambda k: f"clientes-{k}_{_REGIONS[k % 4]}.csv", render)
+        merge_changed(spark, root, out)
+    return read_version(spark, out).select("codigo", "nome", "grupo_mescla", "desde")
+
+
+@register(
+    "landing_stream",
+    "SELECT CAST(c_custkey AS VARCHAR) AS codigo, c_name AS nome, CASE WHEN (c_custkey // 200) % 3 = 0 THEN 'clientes_' || (c_custkey // 200) || '.zip::dados.csv' "
+    "WHEN (c_custkey // 200) % 3 = 1 THEN 'clientes_' || (c_custkey // 200) || '.xls' ELSE 'clientes_' || (c_custkey // 200) || '.csv' END AS arquivo_origem, "
+    "CAST(CASE WHEN (c_custkey // 200) % 2 = 0 THEN 0 ELSE 1 END AS BIGINT) AS lote FROM customer",
+)
+def q_landing_stream(spark, sf):
+    """Archives, binary workbooks and CSV files land in two waves; each run takes only the files it has not seen."""
+    import io
+    import zipfile
+
+    from fiscalflow.plans.xls_landing import xls_bytes
+    from fiscalflow.session import scratch_path
+    from fiscalflow.streaming.landing import read_landing, run_landing
+
+    root, out = scratch_path(spark, "landing-stream"), scratch_path(spark, "stream-out")
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", F.floor(F.col("c_custkey") / _PER_FILE).cast("long").alias("parte"))
+
+    def render(k, pdf):
+        rows = [["codigo", "nome"], *([int(r.c_custkey), r.c_name] for r in pdf.itertuples())]
+        if k % 3 == 1:
+            return xls_bytes(rows)
+        text = "".join(f"{a};{b}\n" for a, b in rows).encode()
+        if k % 3 == 2:
+            return text
+        raw = io.BytesIO()
+        with zipfile.ZipFile(raw, "w") as zf:
+            zf.writestr("dados.csv", text)
+        return raw.getvalue()
+
+    ext = ("zip", "xls", "csv")
+    for wave in (0, 1):
+        _land_groups(c.where(F.col("parte") % 2 == wave), "parte", root, lambda k: f"clientes_{k}.{ext[k % 3]}", render)
+        run_landing(spark, root, out)
+    return read_landing(spark, out).select("codigo", "nome", "arquivo_origem", "lote")

@@ -54,6 +54,10 @@ MERGEABLE = {".csv", ".parquet", *WORKBOOKS}
 READABLE = {*MERGEABLE, ".zip"}
 
 
+class NothingReadError(ValueError):
+    """No file could be read; the message names the first errors."""
+
+
 @dataclass
 class IngestResult:
     manifest: DataFrame
@@ -92,11 +96,15 @@ class IngestResult:
         return out.drop(ORIGIN, GROUP) if out is not None and not self.include_metadata else out
 
 
-def classified_files(spark: SparkSession, folder: str, group: str | None = None, recursive: bool = True) -> DataFrame:
-    """(path, name, suffix, ignored, group) of the files under ``folder`` (content not read)."""
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(folder)
-    named = listing.select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("name"))
-    return named.select("path", "name", file_suffix("name").alias("suffix"), ignore_by_name("name").alias("ignored"), group_from_name("name", group).alias("group"))
+def classified_files(spark: SparkSession, landing: str | Sequence[str], group: str | None = None, recursive: bool = True) -> DataFrame:
+    """(path, name, suffix, ignored, group, length, modified, number) of the files under a folder, or of the paths given (content not read).
+
+    ``number`` is the ``file`` of ``csv_ranges.scan_lines``.
+    """
+    paths = landing if isinstance(landing, str) else [literal_path(p) for p in landing]
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(paths)
+    named = listing.select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), "length", F.col("modificationTime").alias("modified"), F.xxhash64("_metadata.file_path").alias("number"))
+    return named.select("path", "name", file_suffix("name").alias("suffix"), ignore_by_name("name").alias("ignored"), group_from_name("name", group).alias("group"), "length", "modified", "number")
 
 
 def list_files(spark: SparkSession, folder: str, recursive: bool = True) -> list[str]:
@@ -148,9 +156,10 @@ def sheet_faults(spark: SparkSession, rows: DataFrame, members: Sequence[dict],
 
 def ingest(
     spark: SparkSession,
-    landing: str,
+    landing: str | Sequence[str],
     out: str | None = None,
     *,
+    root: str | None = None,
     merge: bool = True,
     columns: Sequence[str] | None = None,
     filters: Column | Sequence[Column] | None = None,
@@ -162,7 +171,7 @@ def ingest(
     merge_single: bool = True,
     schema: T.StructType | str | None = None,
 ) -> IngestResult:
-    """Ingest every readable file under ``landing`` and merge by group.
+    """Ingest every readable file under ``landing`` (a folder, or the paths of files under ``root``) and merge by group.
 
     CSV and workbook columns named in ``schema`` are cast to its types before
     filters and predicate; a value that does not fit becomes null and its row
@@ -171,7 +180,7 @@ def ingest(
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     cols = normalize_columns(columns)
     out = (out or scratch_path(spark, "ingest")).rstrip("/")
-    root = norm_path(landing.rstrip("/"))
+    root = norm_path((root or (landing if isinstance(landing, str) else "")).rstrip("/"))
     errors: list[tuple[str, str]] = []
     ignored: list[tuple[str, str]] = []
     entries: list[dict] = []  # manifest rows plus the reader suffix
@@ -313,7 +322,7 @@ def ingest(
 
     if not frames:
         sample = "; ".join(f"{a}: {e}" for a, e in errors[:5])
-        raise ValueError("nenhum arquivo foi lido com sucesso" + (f"; primeiros erros: {sample}" if sample else ""))
+        raise NothingReadError("nenhum arquivo foi lido com sucesso" + (f"; primeiros erros: {sample}" if sample else ""))
     if merge:
         result.merge = merge_by_group(
             spark, frames, f"{out}/mesclas", merge_single=merge_single, file_groups=frame_files

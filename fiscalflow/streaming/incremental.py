@@ -74,7 +74,7 @@ def run_incremental(
         # and the (source, output) pair, not from a per-application folder.
         digest = hashlib.sha1(f"{source_dir}|{output}".encode()).hexdigest()[:16]
         checkpoint = f"{checkpoint_root(spark).rstrip('/')}/incremental-{digest}"
-    before = _committed(spark, output)
+    before = set(_committed(spark, output))
     q = (
         incremental_csv_stream(spark, source_dir, schema, **options)
         .writeStream.format("parquet")
@@ -86,17 +86,18 @@ def run_incremental(
         .start()
     )
     q.awaitTermination()
-    # Spark keeps the last progress reports only, so rows are counted from the sink.
+    # Spark keeps the last progress reports only, so rows are counted from the files this run has committed.
     batches = sum(1 for p in q.recentProgress if int(p.get("numInputRows", 0)) > 0)
-    return IncrementalRun(batches=batches, rows_written=_committed(spark, output) - before, output=output)
+    added = [f for f in _committed(spark, output) if f not in before]
+    return IncrementalRun(batches=batches, rows_written=spark.read.parquet(*added).count() if added else 0, output=output)
 
 
-def _committed(spark: SparkSession, output: str) -> int:
-    """Rows of the committed files of the output, from their footers; 0 before the first run."""
+def _committed(spark: SparkSession, output: str) -> list[str]:
+    """The committed files of the output, from the sink's log (no footer is read); none before the first run."""
     try:
-        return spark.read.parquet(output).count()
+        return spark.read.schema("_ string").parquet(output).inputFiles()
     except AnalysisException:
-        return 0
+        return []
 
 
 def read_output(spark: SparkSession, output: str) -> DataFrame:

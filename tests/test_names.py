@@ -1,5 +1,7 @@
 """Name rules against the truth tables read off the reference (FIXTURES.md §2)."""
 
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,24 +55,18 @@ def test_safe_names(spark):
     df = spark.createDataFrame(SAFE, "g string, expected string")
     for r in df.select("g", "expected", names.safe_name("g").alias("s")).collect():
         assert r.s == r.expected
-        assert names.safe_name_py(r.g) == r.expected
 
 
 def test_safe_run_name(spark):
     df = spark.createDataFrame(RUN, "n string, expected string")
     for r in df.select("n", "expected", names.safe_run_name("n").alias("s")).collect():
         assert r.s == r.expected, r.n
-        if r.expected is None:
-            with pytest.raises(ValueError):
-                names.safe_run_name_py(r.n)
-        else:
-            assert names.safe_run_name_py(r.n) == r.expected
 
 
 def test_strip_accents_is_nfkd_without_marks(spark):
     words = ["Ação", "Ñandú", "Ærø", "Straße", "Ελληνικά", "Čeština", "e\u0301", "ǅemal", "oﬁcina ﬄ", "½ litro", "a_½", "\U0001d400\U0001d41b", "№ 5", "", "x" * 50]
     df = spark.createDataFrame([(w,) for w in words], "w string")
-    assert [r.s for r in df.select(names.strip_accents("w").alias("s")).collect()] == [names.strip_accents_py(w) for w in words]
+    assert [r.s for r in df.select(names.strip_accents("w").alias("s")).collect()] == ["".join(c for c in unicodedata.normalize("NFKD", w) if not unicodedata.combining(c)) for w in words]
 
 
 def test_group_of_expanding_characters(spark):
