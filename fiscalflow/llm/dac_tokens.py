@@ -41,7 +41,7 @@ WIDTH = 8
 #: Bitmap bits for one entry of the rank directory.
 RUN = 512
 #: Distinct pieces of text that a worker remembers at most (about 150 bytes each).
-CACHE = 400_000
+CACHE = 600_000
 #: Documents in an Arrow batch, bytes of text in a block, and of a row group of the file, about.
 BATCH, SLICE, ROW_GROUP = 512, 2 << 20, 16 << 20
 #: Ends each document.
