@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fiscalflow.session import ensure_checkpoint_dir, materialize, scratch_path, ship_package
 
-__all__ = ["BROADCAST_ROWS", "anti_join", "arrow_rows", "binary_column", "discard", "documents", "held_out", "materialize", "mix64", "scratch_path", "semi_join", "text_rows"]
+__all__ = ["BROADCAST_ROWS", "anti_join", "arrow_rows", "binary_column", "discard", "documents", "held_out", "materialize", "mix64", "released", "scratch_path", "semi_join", "text_rows"]
 
 #: Arrow batches of at most this many documents bound a Python worker's memory (texts of 100 kB: 25 MB a batch).
 ARROW_ROWS = 256
@@ -79,6 +80,15 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def released() -> None:
+    """Give freed memory back to the system at the end of a task: workers are used again, and what they keep adds up."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
+
+
 def records(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """Rows of Arrow batches as tuples."""
     for b in batches:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fiscalflow.llm.common import materialize
+from fiscalflow.llm.common import discard, materialize
 
 
 def _star(edges: DataFrame, *, large: bool) -> DataFrame:
@@ -38,7 +38,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where(F.col("u") != F.col("v")).distinct()
     seen = None
     while True:
-        edges = materialize(_star(_star(edges, large=True), large=False), spark, "stars")
+        before, edges = edges, materialize(_star(_star(edges, large=True), large=False), spark, "stars")
+        if seen is not None:
+            discard(before)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -6,7 +6,9 @@ Jaccard similarity of t or more, they share at least ``need(n)`` grams, so
 their prefixes of length n - need(n) + l share at least l grams, for any l.
 A longer prefix (a greater l) costs more postings and asks for more shared
 grams before a pair is verified; each document takes the l of least estimated
-cost, from the frequencies of the grams at its front.
+cost, from the frequencies of the grams at its front.  A candidate pair is
+first tested by its two prefixes alone; only pairs that share l grams there
+fetch both sets.
 
 Stages, all over whole texts and all documents:
 
@@ -17,15 +19,19 @@ Stages, all over whole texts and all documents:
    one set only has end there.  Grams known as frequent need no such test and
    pass through in salted buckets, so none is gathered in one task.  Lists are
    cut by size: sets that differ too much in size for a link share no list.
-   Of a similar pair the smaller set has a shared gram in a still shorter
-   prefix; postings in it are flagged, and a pair needs the smaller set's flag.
+   Of a similar pair the smaller set has its first shared gram in a still
+   shorter prefix; postings in it are flagged, and a pair needs the smaller
+   set's flag: sets whose own part is longer than the difference allowed, such
+   as short texts around one boilerplate line, have none in common.  Lists of
+   the same sets are one list, named by its sets.
 3. links: in each list the sets are compared with one pivot, the
    set that most lists have; verified links make components; a second round
    takes pivots at random and skips pairs within one component.
 4. the rest: a pair in two components that no pivot has tested is tested in
    blocks: sets outside a list's main component are the queries, the list's
-   sets stand in blocks of about ``BLOCK`` grams, and a task holds one block
-   and a bounded batch of queries.  Counts of grams by hash bucket (512 bytes a
+   sets stand in blocks of about ``BLOCK`` grams and at most ``BLOCK_SETS``
+   sets, and a task holds one block and a batch of queries under like bounds.
+   Counts of grams by hash bucket (512 bytes a
    set) bound what two sets can share; only sets that may be similar to one of
    another component are tested with all their grams.  No list is expanded
    into all its pairs.
@@ -36,7 +42,8 @@ link between different sets is found or lies within a component already.
 Defined results: a null or blank text has an empty set and is linked with
 nothing; a text under five words is one gram; a row without an id is left out
 of the links, and keeps the class of its equals; repeated rows form one class;
-an empty table gives an empty result; other columns are not read.
+an empty table gives an empty result; other columns are not read.  Tables
+written on the way are removed as soon as nothing reads them any more.
 """
 
 from __future__ import annotations
@@ -50,7 +57,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fiscalflow.llm.common import BROADCAST_ROWS, anti_join, arrow_rows, materialize, mix64, semi_join, text_rows
+from fiscalflow.llm.common import BROADCAST_ROWS, anti_join, arrow_rows, discard, materialize, mix64, released, semi_join, text_rows
 from fiscalflow.llm.components import components
 
 #: Words in a gram; least similarity, in hundredths.
@@ -60,11 +67,15 @@ HOT_GRAMS = 1 << 18
 #: Longest prefix extension, and the cost of verifying a pair against that of a posting.
 MOST_MATCHES, VERIFY_COST = 8, 20.0
 #: Postings in a bucket, grams in a block of sets, grams of the queries beside a block, about.
-PER_BUCKET, BLOCK, QUERIES = 1_000_000, 1_000_000, 1_000_000
+PER_BUCKET, BLOCK, QUERIES = 250_000, 1_000_000, 1_000_000
+#: Sets in a block, queries beside it, at most about: 4 million comparisons of counts a task.
+BLOCK_SETS = 2000
 #: Hash buckets of the counts that bound a shared number of grams.
 COUNTERS = 256
 #: Grams counted, and postings packed, at a time in a task.
 CHUNK = 1_000_000
+#: Signatures that a task remembers, so that copies it meets are taken once (about 100 bytes each).
+SEEN = 200_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -161,10 +172,11 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if size > CHUNK:
             yield frequent()
             held, size = [], 0
-            if len(seen) > CHUNK:
-                seen.clear()
+        if len(seen) > SEEN:
+            seen.clear()
     if held:
         yield frequent()
+    released()
 
 
 def _postings(order: Order, buckets: int):
@@ -206,7 +218,7 @@ def _postings(order: Order, buckets: int):
                 docs.append(doc)
                 sigs.append(sig)
                 sizes.append(len(s))
-                flags.append(np.arange(length) < len(s) - need_smaller(len(s), order.percent) + matches)
+                flags.append(np.arange(length) < len(s) - need_smaller(len(s), order.percent) + 1)
                 grams.append(ordered[:length])
                 known.append(is_known[:length])
                 size += length
@@ -214,10 +226,11 @@ def _postings(order: Order, buckets: int):
                 yield from packed()
                 docs, sigs, grams, known, flags, sizes = [], [], [], [], [], []
                 size, turn = 0, turn + 1
-                if len(seen) > CHUNK:
-                    seen.clear()
+            if len(seen) > SEEN:
+                seen.clear()
         if docs:
             yield from packed()
+        released()
 
     return run
 
@@ -225,10 +238,11 @@ def _postings(order: Order, buckets: int):
 def _lists(buckets: int, percent: int):
     """Of one bucket the postings whose gram two sets of like size have; all postings of a frequent gram.
 
-    ``list`` is a hash of the gram and a range of sizes.  In a bucket, a list
-    is a run of sizes without a gap too wide for a link.  A frequent gram's
-    postings, which are not together, go to two size classes each, so that any
-    two sets of like size share one.
+    In a bucket, a list is a run of sizes without a gap too wide for a link,
+    and ``list`` is a hash of its sets, so that lists of the same sets, in one
+    bucket or several, are one (``grams``: of how many grams).  A frequent
+    gram's postings, which are not together, go to two size classes each, so
+    that any two sets of like size share one; ``list`` is a hash of gram and class.
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -245,9 +259,10 @@ def _lists(buckets: int, percent: int):
         if int(rows["bucket"].iloc[0]) >= buckets:
             band = np.floor(np.log(n) / np.log(100 / percent) + 1e-9).astype(np.int64)
             doc, sig, n, flag, gram, band = (np.concatenate((x, y)) for x, y in ((doc, doc), (sig, sig), (n, n), (flag, flag), (gram, gram), (band, band + 1)))
-            key = mix64(gram + band.astype(np.uint64) * _ODD)
+            key, many = mix64(gram + band.astype(np.uint64) * _ODD), np.ones(len(n), np.int64)
         else:
-            by = np.lexsort((n, gram))
+            by = np.lexsort((doc, sig, n, gram))
+            by = by[np.concatenate(([True], (gram[by][1:] != gram[by][:-1]) | (sig[by][1:] != sig[by][:-1])))] if len(by) else by  # copies from several tasks
             doc, sig, n, flag, gram = doc[by], sig[by], n[by], flag[by], gram[by]
             for _ in range(2):  # dropping what has no partner may leave others alone
                 new_gram = np.concatenate(([True], gram[1:] != gram[:-1]))
@@ -265,8 +280,14 @@ def _lists(buckets: int, percent: int):
                     break
             start = np.concatenate(([True], (gram[1:] != gram[:-1]) | (100 * n[:-1] < percent * n[1:]))) if len(n) else np.empty(0, bool)
             first = np.flatnonzero(start)
-            key = mix64(gram + np.repeat(n[first], np.diff(first, append=len(n))).astype(np.uint64) * _ODD)
-        return pd.DataFrame({"list": key.view(np.int64), "sig": sig.view(np.int64), "doc": doc, "n": n, "flag": flag})
+            key = mix64(np.add.reduceat(mix64(sig * _ODD), first)) if len(first) else np.empty(0, np.uint64)
+            key = np.repeat(key, np.diff(first, append=len(n)))
+            by = np.lexsort((flag, sig, key))
+            key, sig, doc, n, flag = key[by], sig[by], doc[by], n[by], flag[by]
+            last = np.flatnonzero(np.concatenate(((key[1:] != key[:-1]) | (sig[1:] != sig[:-1]), [True]))) if len(key) else np.empty(0, np.int64)
+            many = np.diff(last, prepend=-1)
+            key, sig, doc, n, flag = key[last], sig[last], doc[last], n[last], flag[last]  # flagged in any, for that one sorts last
+        return pd.DataFrame({"list": key.view(np.int64), "sig": sig.view(np.int64), "doc": doc, "n": n, "flag": flag, "grams": many})
 
     return run
 
@@ -277,16 +298,33 @@ def gram_counts(grams: np.ndarray) -> np.ndarray:
 
 
 def _sets(order: Order):
-    """(doc, matches, n, counts, grams in order) of each document."""
+    """(doc, matches, n, prefix, the other grams in order) of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [order.arrange(gram_set(t)) for t in b["text"].to_pylist()]
-            grams = [x[0] for x in found]
+            grams, matches = [x[0] for x in found], [x[2] for x in found]
+            ends = [len(g) - int(need(len(g), order.percent)) + l for g, l in zip(grams, matches, strict=True)]  # noqa: E741
             yield pa.RecordBatch.from_arrays(
-                [b["doc_id"], pa.array([x[2] for x in found], pa.int32()), pa.array([len(g) for g in grams], pa.int64()), pa.array([gram_counts(g).tobytes() for g in grams], pa.binary()), pa.array([g.tobytes() for g in grams], pa.binary())],
-                ["doc", "matches", "n", "counts", "grams"],
+                [b["doc_id"], pa.array(matches, pa.int32()), pa.array([len(g) for g in grams], pa.int64()), pa.array([g[:k].tobytes() for g, k in zip(grams, ends, strict=True)], pa.binary()), pa.array([g[k:].tobytes() for g, k in zip(grams, ends, strict=True)], pa.binary())],
+                ["doc", "matches", "n", "prefix", "rest"],
             )
+        released()
+
+    return run
+
+
+def _promising(percent: int):
+    """Pairs whose prefixes share as many grams as the less extended of them asks for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            on = []
+            for x, y, n, m, i, j in zip(*(b[c].to_pylist() for c in ("a_prefix", "b_prefix", "a_n", "b_n", "a_matches", "b_matches")), strict=True):
+                l = min(i, j)  # noqa: E741
+                x, y = np.frombuffer(x, np.uint64)[: n - int(need(n, percent)) + l], np.frombuffer(y, np.uint64)[: m - int(need(m, percent)) + l]
+                on.append(100 * min(n, m) >= percent * max(n, m) and len(np.intersect1d(x, y, assume_unique=True)) >= l)
+            yield b.select(["a", "b"]).filter(pa.array(on, pa.bool_()))
 
     return run
 
@@ -294,10 +332,10 @@ def _sets(order: Order):
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            on = [
-                similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), i, j, percent)
-                for x, y, i, j in zip(*(b[c].to_pylist() for c in ("a_grams", "b_grams", "a_matches", "b_matches")), strict=True)
-            ]
+            on = []
+            for x, y in zip(b["a_grams"].to_pylist(), b["b_grams"].to_pylist(), strict=True):
+                both = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
+                on.append(100 * both >= percent * ((len(x) + len(y)) // 8 - both))
             yield b.select(["a", "b"]).filter(pa.array(on, pa.bool_()))
 
     return run
@@ -310,12 +348,12 @@ def _possible(percent: int):
         names = ["f", "k", "s", "doc", "comp"]
         if not len(queries) or not len(members):
             return pd.DataFrame({"kind": pd.Series(dtype="int32"), **{c: pd.Series(dtype="int64") for c in names}})
-        counts = np.array([np.frombuffer(x, "<u2") for x in members["counts"]])
+        counts = np.array([gram_counts(np.frombuffer(x, np.uint64)) for x in members["grams"]])
         sizes, comps = members["n"].to_numpy(), members["comp"].to_numpy()
         asked, met = np.zeros(len(queries), bool), np.zeros(len(members), bool)
-        for i, (raw, n, comp) in enumerate(zip(queries["counts"], queries["n"], queries["comp"], strict=True)):
+        for i, (raw, n, comp) in enumerate(zip(queries["grams"], queries["n"], queries["comp"], strict=True)):
             near = np.flatnonzero((100 * np.minimum(n, sizes) >= percent * np.maximum(n, sizes)) & (comps != comp))
-            own = np.frombuffer(raw, "<u2")
+            own = gram_counts(np.frombuffer(raw, np.uint64))
             most = np.minimum(counts[near], own).sum(1, dtype=np.int64)
             # A full counter may stand for more than it holds.
             full = (counts[near] == 65_535).any(1) | (own == 65_535).any()
@@ -356,39 +394,51 @@ def _verify_block(percent: int):
     return run
 
 
-def _with_sets(rows: DataFrame, key: str, sets: DataFrame) -> DataFrame:
-    """Written narrow rows with the grams of the set that ``key`` names; the sets stay in place while the rows can be broadcast."""
+def _of_sets(rows: DataFrame, key: str, sets: DataFrame, columns: dict) -> DataFrame:
+    """Written narrow rows with columns of the set that ``key`` names; the sets stay in place while the rows can be broadcast."""
     side = F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
-    return sets.select(F.col("doc").alias(key), "matches", "grams").join(side, key)
+    return sets.select(F.col("doc").alias(key), *[c.alias(name) for name, c in columns.items()]).join(side, key)
+
+
+def _both(pairs: DataFrame, sets: DataFrame, columns: dict) -> DataFrame:
+    """Written pairs (a, b) with columns of both sets (a_name, b_name)."""
+    with_b = _of_sets(pairs, "b", sets, {f"b_{k}": c for k, c in columns.items()})
+    firsts = materialize(pairs.select("a").distinct(), sets.sparkSession, "join-pivots")
+    return with_b.join(_of_sets(firsts, "a", sets, {f"a_{k}": c for k, c in columns.items()}), "a")
 
 
 def _links_of(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The verified ones of written candidate pairs (a, b); only the sets of pairs are shuffled."""
-    with_b = _with_sets(pairs, "b", sets).select("a", "b", F.col("matches").alias("b_matches"), F.col("grams").alias("b_grams"))
-    pivots = materialize(pairs.select("a").distinct(), sets.sparkSession, "join-pivots")
-    with_a = _with_sets(pivots, "a", sets).select("a", F.col("matches").alias("a_matches"), F.col("grams").alias("a_grams"))
-    return with_b.join(with_a, "a").select("a", "b", "a_grams", "b_grams", "a_matches", "b_matches").mapInArrow(_verify(percent), "a long, b long")
+    """The similar ones of written candidate pairs (a, b), written: first by their prefixes, then by their sets."""
+    spark = sets.sparkSession
+    short = {name: F.col(name) for name in ("prefix", "n", "matches")}
+    some = materialize(_both(pairs, sets, short).mapInArrow(_promising(percent), "a long, b long"), spark, "join-promising")
+    found = _both(some, sets, {"grams": F.concat("prefix", "rest")}).select("a", "b", "a_grams", "b_grams").mapInArrow(_verify(percent), "a long, b long")
+    found = materialize(found, spark, "join-verified")
+    discard(some)
+    return found
 
 
-def _with_components(lists: DataFrame, links: DataFrame) -> DataFrame:
-    labels = components(links)
-    return lists.join(labels, lists["doc"] == labels["node"], "left").withColumn("comp", F.coalesce("component", "doc")).drop("node", "component")
+def _labelled(lists: DataFrame, links: DataFrame) -> DataFrame:
+    """The lists with the component of each document, a join with the narrow table of those that have links."""
+    labels = materialize(components(links), lists.sparkSession, "join-labels")
+    side = F.broadcast(labels) if labels.count() <= BROADCAST_ROWS else labels
+    return lists.join(side, lists["doc"] == F.col("node"), "left").withColumn("comp", F.coalesce("component", "doc")).drop("node", "component")
 
 
 def _rest(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links across components that no pivot has tested, by queries against blocks."""
+    """Links across components that no pivot has tested, by queries against blocks; written."""
     spark = lists.sparkSession
     per_comp = lists.groupBy("list", "comp").agg(F.count(F.lit(1)).alias("n"))
     open_lists = per_comp.groupBy("list").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("comps")).where("comps > 1 AND n > 2").select("list", "main")
     rest = materialize(lists.join(open_lists, "list"), spark, "join-rest")
     # Sets of one family (the best pivot they have met) share blocks, so that a list meets few blocks.
     family = rest.groupBy("doc", "comp", "n").agg(F.max("pivot")["doc"].alias("family"))
-    blocks = family.groupBy("family").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
+    blocks = family.groupBy("family").agg(F.greatest(F.ceil(F.sum("n") / BLOCK), F.ceil(F.count(F.lit(1)) / BLOCK_SETS)).alias("blocks"))
     placed = materialize(family.join(blocks, "family").select("doc", "comp", "family", F.pmod(F.xxhash64("doc"), F.col("blocks")).alias("block")), spark, "join-blocks")
     met = rest.join(placed.select("doc", "family", "block"), "doc").select("list", "family", "block").distinct()
     asked = rest.where("comp != main").select("list", F.col("doc").alias("query"), F.col("comp").alias("query_comp"), F.col("n").alias("query_n"))
     tests = materialize(asked.join(met, "list").select("query", "query_comp", "query_n", "family", "block").distinct(), spark, "join-tests")
-    salts = materialize(tests.groupBy("family", "block").agg(F.ceil(F.sum("query_n") / QUERIES).alias("salts")), spark, "join-salts")
+    salts = materialize(tests.groupBy("family", "block").agg(F.greatest(F.ceil(F.sum("query_n") / QUERIES), F.ceil(F.count(F.lit(1)) / BLOCK_SETS)).alias("salts")), spark, "join-salts")
     asking = tests.join(salts, ["family", "block"]).select("family", "block", F.pmod(F.xxhash64("query"), F.col("salts")).alias("salt"), "query", "query_comp")
     asking = materialize(asking, spark, "join-asking")
     standing = placed.join(salts, ["family", "block"]).select("family", "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt"), F.col("doc").alias("member"), "comp")
@@ -396,19 +446,18 @@ def _rest(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     keys = [F.col("family").alias("f"), F.col("block").alias("k"), F.col("salt").alias("s")]
     left = asking.select(*keys, F.col("query").alias("doc"), F.col("query_comp").alias("comp"))
     right = standing.select(*keys, F.col("member").alias("doc"), F.col("comp").alias("comp"))
-    possible = materialize(_cogroup(left, right, sets, ["n", "counts"]).applyInPandas(_possible(percent), "kind int, f long, k long, s long, doc long, comp long"), spark, "join-possible")
-    left = materialize(possible.where("kind = 0").drop("kind"), spark, "join-asking")
-    right = materialize(possible.where("kind = 1").drop("kind"), spark, "join-standing")
-    return _cogroup(left, right, sets, ["grams"]).applyInPandas(_verify_block(percent), "a long, b long")
+    possible = materialize(_cogroup(left, right, sets).applyInPandas(_possible(percent), "kind int, f long, k long, s long, doc long, comp long"), spark, "join-possible")
+    found = materialize(_cogroup(possible.where("kind = 0").drop("kind"), possible.where("kind = 1").drop("kind"), sets).applyInPandas(_verify_block(percent), "a long, b long"), spark, "join-blocked")
+    discard(rest, placed, tests, salts, asking, standing, possible)
+    return found
 
 
-def _cogroup(left: DataFrame, right: DataFrame, sets: DataFrame, columns: list[str]):
-    """Two written tables (f, k, s, doc, comp), each with columns of its docs' sets, grouped together by f, k and s."""
+def _cogroup(left: DataFrame, right: DataFrame, sets: DataFrame):
+    """Two narrow tables (f, k, s, doc, comp), each with the size and grams of its docs' sets, grouped together by f, k and s."""
     sides = []
     for rows in (left, right):
-        side = F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
-        found = sets.select("doc", *columns).join(side, "doc")
-        sides.append(found.select(*[F.col(c).alias(c) for c in ("f", "k", "s", "doc", "comp", *columns)]).groupBy("f", "k", "s"))
+        found = _of_sets(rows, "doc", sets, {"n": F.col("n"), "grams": F.concat("prefix", "rest")})
+        sides.append(found.select(*[F.col(c).alias(c) for c in ("f", "k", "s", "doc", "comp", "n", "grams")]).groupBy("f", "k", "s"))
     return sides[0].cogroup(sides[1])
 
 
@@ -424,16 +473,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     total = members.agg(F.sum(F.col("n") * (100 - percent) / 100 + 1)).first()[0] or 0
     buckets = max(12, int(total // PER_BUCKET) + 1)
     packed = rows.mapInArrow(_postings(order, buckets), "bucket long, docs binary, sigs binary, sizes binary, owner binary, grams binary")
-    posted = packed.groupBy("bucket").applyInPandas(_lists(buckets, percent), "list long, sig long, doc long, n long, flag boolean")
-    lists = posted.groupBy("list", "sig").agg(F.min(F.struct("doc", "n", "flag")).alias("e")).select("list", "e.*")
-    lists = materialize(lists, spark, "join-lists")
-    often = lists.groupBy("doc").agg(F.count(F.lit(1)).alias("often"))
+    posted = packed.groupBy("bucket").applyInPandas(_lists(buckets, percent), "list long, sig long, doc long, n long, flag boolean, grams long")
+    lists = posted.groupBy("list", "sig").agg(F.min(F.struct("doc", "n")).alias("e"), F.max("flag").alias("flag"), F.sum("grams").alias("grams"))
+    posted = materialize(lists.select("list", "e.*", "flag", "grams"), spark, "join-posted")
+    often = posted.groupBy("doc").agg(F.sum("grams").alias("often"))
+    ranked = posted.drop("grams").join(often, "doc")
     pivot = F.max(F.struct("often", "doc", "n", "flag")).alias("pivot")
-    ranked = lists.join(often, "doc")
-    pivots = ranked.groupBy("list").agg(pivot, F.count(F.lit(1)).alias("in_list")).where("in_list > 1").drop("in_list")
-    lists = materialize(ranked.drop("often").join(pivots, "list"), spark, "join-ranked")
+    # A list without a flag holds no pair that is not in another list, too.
+    pivots = ranked.groupBy("list").agg(pivot, F.count(F.lit(1)).alias("in_list"), F.max("flag").alias("any")).where("in_list > 1 AND any").drop("in_list", "any")
+    lists = materialize(ranked.drop("often").join(pivots, "list"), spark, "join-lists")
+    discard(posted)
     wanted = materialize(lists.select(F.col("doc").alias("doc_id")).distinct(), spark, "join-wanted")
-    sets = semi_join(rows, wanted).mapInArrow(_sets(order), "doc long, matches int, n long, counts binary, grams binary")
+    sets = semi_join(rows, wanted).mapInArrow(_sets(order), "doc long, matches int, n long, prefix binary, rest binary")
     if members.groupBy("doc_id").count().where("count > 1").take(1):
         sets = sets.dropDuplicates(["doc"])
     sets = materialize(sets, spark, "join-sets")
@@ -446,14 +497,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         found = with_pivots.where((p["doc"] != F.col("doc")) & like & flagged).select(p["doc"].alias("a"), F.col("doc").alias("b")).distinct()
         return materialize(found, spark, "join-pairs")
 
-    links = materialize(_links_of(candidates(lists), sets, percent), spark, "join-links")
-    lists = materialize(_with_components(lists, links), spark, "join-round")
+    first = candidates(lists)
+    links = _links_of(first, sets, percent)
+    again = _labelled(lists, links)
     spot = F.xxhash64(F.lit("round 2"), "doc").alias("spot")  # lists of one family mostly agree on it
-    at_random = lists.groupBy("list").agg(F.max(F.struct(spot, "doc", "n", "flag", "comp")).alias("pivot"), F.count(F.lit(1)).alias("in_list")).where("in_list > 2").drop("in_list")
-    untested = lists.drop("pivot").join(at_random, "list").where(F.col("comp") != F.col("pivot.comp"))
-    links = materialize(links.union(_links_of(candidates(untested), sets, percent)), spark, "join-links")
-    lists = materialize(_with_components(lists.drop("comp"), links), spark, "join-round")
-    links = materialize(links.union(_rest(lists, sets, percent)), spark, "join-links")
+    at_random = again.groupBy("list").agg(F.max(F.struct(spot, "doc", "n", "flag", "comp")).alias("pivot"), F.count(F.lit(1)).alias("in_list")).where("in_list > 2").drop("in_list")
+    second = candidates(again.drop("pivot").join(at_random, "list").where(F.col("comp") != F.col("pivot.comp")))
+    links = materialize(links.union(_links_of(second, sets, percent)), spark, "join-links")
+    links = materialize(links.union(_rest(_labelled(lists, links), sets, percent)), spark, "join-links")
+    discard(first, second, wanted, lists, sets)
 
     labels = components(links)
     classes = members.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("first"))

@@ -153,3 +153,22 @@ def test_components_against_union_find(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: find(x) for x in parent}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_boilerplate_line_links_nothing(spark):
+    """20,000 short texts around one line: their own grams are more than the difference allowed, so no list is left to be compared."""
+    line = " ".join(f"w{i}" for i in range(12))
+    rows = [(i, f"a{i} {line} b{i}") for i in range(20_000)] + [(30_000, "a5 " + line + " b5"), (30_001, line + " x y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = {r[0]: r[2] for r in J.jaccard_components(df).collect()}
+    assert got[30_000] == 5 and all(c == d for d, c in got.items() if d != 30_000)
+
+
+def test_lists_of_the_same_sets_are_one():
+    import pandas as pd
+
+    grams = np.arange(40, dtype=np.uint64) * 7
+    owner = np.concatenate([np.full(40, k * 2 + (k == 0), np.uint32) for k in range(3)])  # the first set's postings are flagged
+    rows = pd.DataFrame([{"bucket": 1, "docs": np.arange(3).tobytes(), "sigs": np.array([9, 8, 7], np.uint64).tobytes(), "sizes": np.full(3, 50, np.uint32).tobytes(), "owner": owner.tobytes(), "grams": np.tile(grams, 3).tobytes()}] * 2)
+    out = J._lists(10, 80)(rows)
+    assert len(out) == 3 and out["list"].nunique() == 1 and set(out["grams"]) == {40} and sorted(out["flag"]) == [False, False, True]
