@@ -1,7 +1,10 @@
 """I-Match fingerprints over randomised lexicon subsets.
 
 The lexicon holds the terms whose inverse document frequency lies in a band:
-neither rare (misspellings, ids) nor common.  A document's distinct lexicon
+neither rare (misspellings, ids) nor common.  Both ends of the band are shares
+of the documents, so it means the same at any size, and as a document has so
+many terms only, the band has at most 2048 times a document's mean number of
+distinct terms.  A document's distinct lexicon
 terms are sorted; for each of several random subsets of the lexicon the terms
 that fall into the subset are hashed.  Two texts agree in a subset when the
 hashes are equal and not of the empty list, so a text keeps those hashes whose
@@ -41,8 +44,9 @@ from pyspark.sql.window import Window
 
 from fiscalflow.llm.common import arrow_rows, materialize, mix64, text_rows
 
-#: A lexicon term is in at least this many documents, and in at most this share of them.
-LEAST_DOCS, MOST_SHARE = 2, 0.05
+#: A lexicon term is in at least this many documents, at least this share of them, and at most that share of them: an
+#: inverse document frequency (natural logarithm) between 3.0 and 7.6 at any size of corpus.
+LEAST_DOCS, LEAST_SHARE, MOST_SHARE = 2, 2.0**-11, 0.05
 #: Lexicon terms that are sent to every task at most (8 bytes each); the rest of the band is joined.
 LEXICON = 1 << 20
 #: Random subsets of the lexicon.
@@ -122,7 +126,7 @@ def likeness(a: str, b: str) -> float:
     return best
 
 
-def fit_band(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_DOCS, share: float = MOST_SHARE) -> tuple[DataFrame, DataFrame]:
+def fit_band(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_DOCS, share: float = MOST_SHARE, least_share: float = LEAST_SHARE) -> tuple[DataFrame, DataFrame]:
     """Written tables (term, n) of the terms in the band and of those above it; frequencies are summed over all texts."""
     spark = docs.sparkSession
     arrow_rows(spark)
@@ -148,8 +152,9 @@ def fit_band(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     total = docs.count()
     counts = text_rows(docs, id_col, text_col).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     some = materialize(counts.where(F.col("n") >= least), spark, "imatch-terms")
-    most = max(float(least), share * total)
-    return some.where(F.col("n") <= most), some.where(F.col("n") > most)
+    least_docs = max(float(least), least_share * total)
+    most = max(least_docs, share * total)
+    return some.where((F.col("n") >= least_docs) & (F.col("n") <= most)), some.where(F.col("n") > most)
 
 
 def collected(terms_: DataFrame) -> np.ndarray:
@@ -205,7 +210,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     cuts = sorted({int(x) for x in rows.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.2 / parts)}) if parts > 1 else []
     bounds = F.array(*map(F.lit, cuts)).cast("array<bigint>")
-    # The number of bounds up to the id, by halving: a range needs no list walk at a thousand bounds.
+    # The number of bounds up to the id: a walk over one literal array, a bound a shuffle partition.
     part = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.size(F.filter(bounds, lambda x: x <= F.col("doc_id"))))
     dealt = rows.select(part.alias("part"), F.lit(False).alias("copy"), "doc_id", "text")
     order = F.struct(F.col("doc_id").isNotNull().alias("has_id"), F.col("doc_id"), F.col("text"))
