@@ -1,7 +1,8 @@
 """Byte-level BPE by a backtracking encoder, and decoding by an offset table.
 
-The encoder walks a word with longest token matches (a trie of all tokens) and
-accepts a token only if it may stand after the last one: a pair of tokens is
+An Aho-Corasick automaton of all tokens, written backwards, goes over the word
+backwards once and so gives the longest token that starts at each place.  The
+encoder walks the word with these matches and accepts a token only if it may stand after the last one: a pair of tokens is
 compatible when the merges, taken apart again from the boundary outwards, would
 never have joined across it.  On an incompatible pair it tries the next shorter
 token that starts there; when none is left it takes the last token back and
@@ -9,8 +10,8 @@ marks the boundary as dead.  Each boundary dies once at most, so the work is
 linear in the word, and the tokens are exactly those that the merges give.
 
 Words are cut from texts by the tokenizer's pattern.  A space before a
-non-blank always starts a new word, so texts are split there first and every
-distinct piece is encoded once per worker, in a cache of bounded size.
+non-blank always starts a new word, and so does a sign after a letter or
+number, so texts are split there first and every distinct piece is encoded once per worker, in a heap of bounded size.
 
 Defined results: null and empty texts have no ids and decode to the empty
 text; a special token's string in a text becomes its id, as in the library;
@@ -30,15 +31,22 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from fiscalflow.llm.common import arrow_rows, binary_column, text_rows
+from fiscalflow.llm.common import arrow_rows, binary_column, released, text_rows
+from fiscalflow.llm.id_heap import IdHeap
 
 #: The word pattern of byte-level BPE vocabularies of this family (a fixed value, as published with them).
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Distinct pieces that a task remembers at most (about 200 bytes each); a quarter as many words and token pairs.
-CACHE = 400_000
+#: Distinct pieces that a task remembers at most (about 150 bytes each); half as many words, a quarter as many token pairs.
+CACHE = 800_000
+#: Documents in an Arrow batch, bytes of text encoded at a time, about.
+BATCH, SLICE = 512, 2 << 20
+
+#: Marks a piece that has no space before it; texts that hold it are split at spaces only.
+INNER = "\x01"
 
 _BLANK_AFTER_SPACE = re.compile(r" (?=\s)")
 _BEFORE_WORD = re.compile(r" (?=\S)")
@@ -92,20 +100,14 @@ class Bpe:
         self.id_of = [known.get(b, -1) for b in self.bytes_of]
         # A token that the merges never make of its own bytes cannot occur.
         self.rank = {b.decode("latin-1"): r for b, r in rank.items() if r < 256 or self.stay_apart(*self.parts[r], r)}
-        self.trie = ahocorasick.Automaton()
+        self.matches = ahocorasick.Automaton()
         for s, r in self.rank.items():
-            self.trie.add_word(s, r)
-        #: The longest token that each path of the trie starts with; a walk down the trie ends on such a path.
-        self.longest: dict[str, int] = {}
-        for s, r in sorted(self.rank.items(), key=lambda x: len(x[0])):
-            for n in range(1, len(s)):
-                self.longest.setdefault(s[:n], self.rank[s[0]] if n == 1 else self.longest[s[: n - 1]])
-            self.longest[s] = r
+            self.matches.add_word(s[::-1], r)
+        self.matches.make_automaton()
         #: For each rank the longest shorter token that the token starts with, or -1.
         self.shorter = [-1] * len(self.parts)
         for s, r in self.rank.items():
-            if len(s) > 1:
-                self.shorter[r] = self.longest[s[:-1]]
+            self.shorter[r] = next((self.rank[s[:n]] for n in range(len(s) - 1, 0, -1) if s[:n] in self.rank), -1)
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.special_split = re.compile("(" + "|".join(sorted(map(re.escape, self.special), key=len, reverse=True)) + ")") if self.special else None
         self.words = regex.compile(WORDS)
@@ -120,7 +122,7 @@ class Bpe:
         self.heap = np.frombuffer(b"".join(table), np.uint8)
         self.pair_ok: dict[tuple[int, int], bool] = {}
         self.word_ids: dict[str, bytes] = {}
-        self.piece_ids: dict[str, bytes] = {}
+        self.heap_of_pieces = IdHeap(self._ask, CACHE)
         self.decimals = [str(i) for i in range(size)]
 
     def compatible(self, left: int, right: int) -> bool:
@@ -156,7 +158,8 @@ class Bpe:
         out: list[int] = []
         dead: set[int] = set()
         at, end = 0, len(s)
-        token = self._longest(s, 0)
+        longest = self.longest_matches(s)
+        token = longest[0] if end else -1
         while at < end:
             stop = at + len(bytes_of[token])
             ok = stop not in dead
@@ -169,7 +172,7 @@ class Bpe:
                 out.append(token)
                 at = stop
                 if at < end:
-                    token = self._longest(s, at)
+                    token = longest[at]
             elif shorter[token] >= 0:
                 token = shorter[token]
             else:
@@ -178,9 +181,15 @@ class Bpe:
                 at -= len(bytes_of[token])
         return out
 
-    def _longest(self, s: str, at: int) -> int:
-        tail = s[at:]
-        return self.longest[tail[: self.trie.longest_prefix(tail)]]
+    def longest_matches(self, s: str) -> list[int]:
+        """The longest token that starts at each place: of the matches that end at a place of the word written backwards the first."""
+        found = [-1] * len(s)
+        last = len(s)
+        for i, r in self.matches.iter(s[::-1]):
+            if i != last:
+                found[-1 - i] = r
+                last = i
+        return found
 
     def encode_piece(self, piece: str) -> bytes:
         """Ids (little-endian, 32 bits) of a text that starts and ends at word boundaries."""
@@ -197,24 +206,52 @@ class Bpe:
                 found.append(known)
         return found[0] if len(found) == 1 else b"".join(found)
 
+    def _ask(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of pieces, which follow a space unless they are marked, how many of each)."""
+        if len(self.word_ids) > CACHE // 2:
+            self.word_ids.clear()
+        found = [self.encode_piece(p[1:] if p[:1] == INNER else " " + p) for p in pieces]
+        return np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+
+    def encode_batch(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each of an array of texts."""
+        sizes = pc.binary_length(texts).to_numpy()
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE, prepend=0)).tolist()
+        cuts = [0, *(c for c in cuts if c), len(texts)]
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            yield from self._encode_slice(texts.slice(lo, hi - lo))
+
+    def _encode_slice(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        # Texts with blanks after a space are cut one by one: there a space may belong to the piece before it.
+        special = "|".join([INNER, *map(re.escape, self.special)])
+        odd = pc.match_substring_regex(texts, rf" [\s\p{{Z}}\x0b\x1c-\x1f\x85]|{special}").to_numpy(zero_copy_only=False)
+        order = np.argsort(odd, kind="stable")
+        texts = texts.take(pa.array(order))
+        plain = len(texts) - int(odd.sum())
+        parted = pc.replace_substring_regex(texts.slice(0, plain), r"([\p{L}\p{N}])([^\s\p{L}\p{N}\p{Z}\x0b\x1c-\x1f\x85])", rf"\1 {INNER}\2")
+        lists = pc.split_pattern(parted, " ")
+        if plain < len(texts):
+            # A piece that begins with the mark itself would be taken for one without a space: such a text is one piece.
+            own = [(t, []) if any(x[:1] == INNER for x in tails) else (head, tails) for t in texts.slice(plain).to_pylist() for head, tails in [pieces_of(t)]]
+            lists = pa.concat_arrays([lists, pa.array([[head, *tails] for head, tails in own], pa.list_(pa.string()))])
+        flat, offsets = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        is_tail = np.ones(len(flat), bool)
+        is_tail[offsets[:-1]] = False
+        heads = [self.encode_piece(h) if h else b"" for h in flat.take(pa.array(offsets[:-1])).to_pylist()]
+        ids, n = self.heap_of_pieces.gather(flat.filter(pa.array(is_tail)))
+        ends = np.concatenate(([0], np.cumsum(n)))[offsets - np.arange(len(offsets))].tolist()
+        back = np.argsort(order).tolist()
+        for k in back:
+            yield np.frombuffer(heads[k] + ids[ends[k] : ends[k + 1]].tobytes(), "<u4")
+
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text."""
-        head, tails = pieces_of(text)
-        known = self.piece_ids
-        new = set(tails).difference(known)
-        if len(known) + len(new) > CACHE:
-            known.clear()
-            new = set(tails)
-        if len(self.word_ids) > CACHE // 4:
-            self.word_ids.clear()
-        for piece in new:
-            known[piece] = self.encode_piece(" " + piece)
-        first = self.encode_piece(head) if head else b""
-        return np.frombuffer(first + b"".join(map(known.__getitem__, tails)), "<u4")
+        return next(self.encode_batch(pa.array([text])))
 
     def forget(self) -> None:
         """Drop what a task has remembered: a worker lives on, and other operators need its memory."""
-        self.piece_ids, self.word_ids, self.pair_ok = {}, {}, {}
+        self.heap_of_pieces, self.word_ids, self.pair_ok = IdHeap(self._ask, CACHE), {}, {}
+        released()
 
     def decimal(self, ids: np.ndarray) -> str:
         """Ids as decimal numbers joined by commas."""
@@ -241,12 +278,12 @@ def load(path: str) -> Bpe:
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids as little-endian unsigned 32-bit integers) of every row; one narrow pass."""
-    arrow_rows(docs.sparkSession)
+    arrow_rows(docs.sparkSession, BATCH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b["doc_id"], binary_column([bpe.encode(t.decode("utf-8", "replace")).tobytes() for t in b["text"].to_pylist()])], ["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], binary_column([ids.tobytes() for ids in bpe.encode_batch(b["text"].cast(pa.string()))])], ["doc_id", "ids"])
         bpe.forget()
 
     return text_rows(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids binary")
@@ -264,20 +301,28 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row: encoded, and decoded again from the ids."""
-    arrow_rows(docs.sparkSession)
+def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", content: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row: encoded, and decoded again from the ids.
+
+    With ``content`` also ids (little-endian unsigned 32-bit integers) and text (decoded).
+    """
+    arrow_rows(docs.sparkSession, BATCH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         for b in batches:
-            n, of_ids, of_text = [], [], []
-            for raw in b["text"].to_pylist():
-                ids = bpe.encode(raw.decode("utf-8", "replace"))
+            n, of_ids, of_text, raw, texts = [], [], [], [], []
+            for ids in bpe.encode_batch(b["text"].cast(pa.string())):
                 n.append(len(ids))
                 of_ids.append(hashlib.sha256(bpe.decimal(ids).encode()).hexdigest())
-                of_text.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                text = bpe.decode(ids)
+                of_text.append(hashlib.sha256(text.encode()).hexdigest())
+                if content:
+                    raw.append(ids.tobytes())
+                    texts.append(text)
+            cols = [b["doc_id"], pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())]
+            yield pa.RecordBatch.from_arrays([*cols, *([binary_column(raw), pa.array(texts, pa.string())] if content else [])], [c.split()[0] for c in schema.split(", ")])
         bpe.forget()
 
-    return text_rows(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids binary, text string" if content else "")
+    return text_rows(docs, id_col, text_col).mapInArrow(run, schema)

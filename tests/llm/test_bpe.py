@@ -23,7 +23,7 @@ def codec():
 
 
 @settings(max_examples=400, deadline=None)
-@given(st.one_of(st.text(max_size=40), st.text(alphabet="ab '\n\té日1<|endoftext|>.,!  ", max_size=60)))
+@given(st.one_of(st.text(max_size=40), st.text(alphabet="ab '\n\té日1\x01<|endoftext|>.,!  ", max_size=60)))
 def test_same_ids_and_text_as_the_library(library, codec, text):
     ids = library.encode(text, add_special_tokens=False).ids
     assert codec.encode(text).tolist() == ids
@@ -72,3 +72,36 @@ def test_odd_rows(odd, empty):
     assert {(r.doc_id, r.text) for r in bpe.decode(encoded, path).collect()} == texts
     assert all(r.n_tokens == 0 for r in bpe.encode_and_decode(odd, path).collect() if r.doc_id in (2, 3))
     assert bpe.encode_and_decode(empty, path).count() == 0
+
+
+def test_work_is_linear_in_a_long_word(library, codec):
+    """Matches and backtracking steps a letter stay the same from 10^4 to 10^6 letters; ids are the library's."""
+    rng = np.random.default_rng(4)
+
+    class Counted(list):
+        taken = 0
+
+        def __getitem__(self, i):
+            self.taken += 1
+            return super().__getitem__(i)
+
+    per_letter = []
+    for n in (10_000, 100_000, 1_000_000):
+        word = bytes(rng.integers(97, 123, n, dtype=np.uint8))
+        matches = sum(1 for _ in codec.matches.iter(word.decode()[::-1]))
+        kept, codec.shorter = codec.shorter, Counted(codec.shorter)
+        ranks = codec.encode_word(word)
+        steps, codec.shorter = codec.shorter.taken, kept
+        per_letter.append((matches + steps) / n)
+        assert b"".join(codec.bytes_of[r] for r in ranks) == word
+        if n == 10_000:
+            assert [codec.id_of[r] for r in ranks] == library.encode(word.decode(), add_special_tokens=False).ids
+    assert max(per_letter) < 1.1 * min(per_letter) < 8
+
+
+def test_longest_matches_are_the_longest(codec):
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        s = "".join(rng.choice(list(" theinatorsé'\n1"), rng.integers(0, 25))).encode().decode("latin-1")
+        want = [max((r for r in (codec.rank.get(s[i:j]) for j in range(i + 1, len(s) + 1)) if r is not None), key=lambda r: len(codec.bytes_of[r])) for i in range(len(s))]
+        assert codec.longest_matches(s) == want

@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
@@ -61,8 +62,8 @@ def test_bpe(stages):
     want = []
     for d, t in pairs(stages[4][1]):
         ids = library.encode(t or "", add_special_tokens=False).ids
-        want.append((d, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
-    assert sorted(tuple(r) for r in stages[5][1]) == sorted(want)
+        want.append((d, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest(), np.array(ids, "<u4").tobytes(), t or ""))
+    assert sorted((*r[:4], bytes(r.ids), r.text) for r in stages[5][1]) == sorted(want)
 
 
 def test_odd_rows_and_empty_table(spark, odd, empty):
