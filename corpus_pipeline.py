@@ -6,7 +6,7 @@
    similarity of 0.8 or more one stays;
 4. mixing: documents are drawn at the rates that bring the sources to flatter
    weights;
-5. BPE: ids of every document left, and their text decoded again.
+5. BPE: ids of every document left, their text decoded again, and digests of both.
 
 Each stage works on all rows that the one before it kept.  No stage has an SQL
 form (models, hashing and a tokenizer), so ``ORACLE_SQL`` is None and every
@@ -43,7 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode_and_decode(docs, vocabulary())
+    return bpe.encode_and_decode(docs, vocabulary(), content=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
