@@ -6,7 +6,10 @@ lengths give code-point spans.  Long tokens that no pattern covers are scored
 by the log-likelihood ratio of two first-order character models: random
 strings against ordinary identifiers.  Both are trained from labelled samples
 of the corpus itself: the values that the patterns found are secrets, long
-tokens without digits are ordinary (as they stand and in capitals).
+tokens of two documents or more that are spelt as words are (small letters,
+with a capital before them or all capitals, joined by signs or humps) are
+ordinary, as they stand and in capitals.  Every long token with a letter is scored, whether it has digits or
+not; one of digits and signs alone is a number.
 
 Defined results: a null text is empty; a text without a finding has zero
 counts, empty spans and the digest of the empty string; repeated rows are each
@@ -31,11 +34,15 @@ HEX = r"[0-9a-f]{32,}"
 #: Least length of an assigned value, of a token that is scored and of an ordinary sample.
 VALUE, TOKEN, SAMPLE = 8, 16, 12
 LONG_TOKEN = r"(?<![\p{L}\p{N}+/_=-])[A-Za-z0-9+/_=-]{%d,}+(?![\p{L}\p{N}])" % SAMPLE
+#: How ordinary names are spelt; one or two small letters between capitals are no hump.
+SPELT = r"^(?:[A-Z]?[a-z]{3,}+|[A-Z]{3,}+)(?:[+/_=-]+(?:[A-Za-z][a-z]*+|[A-Z]++)|[A-Z][a-z]{2,}+)*+$"
 #: Characters of the models; place 0 is a token's start.
 ALPHABET = string.ascii_letters + string.digits + "+/_=-"
 _K = len(ALPHABET) + 1
 #: Part of each model that is uniform over the alphabet: strings of unseen kinds stay possible.
 RANDOM_UNIFORM, ORDINARY_UNIFORM = 0.5, 0.02
+#: Added to each count of a pair of characters.
+SMOOTHING = 0.05
 #: Log-likelihood ratio, in all and per character, from which on a token is a secret.
 LEAST_RATIO, LEAST_PER_CHARACTER = 12.0, 0.6
 KINDS = ("assign", "access", "hex", "markov")
@@ -91,7 +98,8 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def labelled_samples(spans: DataFrame) -> DataFrame:
     """(sample, secret): values of base findings, and ordinary long tokens in both cases."""
     value = F.col("value")
-    ordinary = spans.where((F.col("kind") == 3) & ~value.rlike("[0-9]"))
+    # Random strings spelt like words are met once; each word counts once, however often it is met.
+    ordinary = spans.where((F.col("kind") == 3) & value.rlike(SPELT)).groupBy("value").agg(F.min("row").alias("a"), F.max("row").alias("b")).where("a < b").select("value")  # combined before its shuffle
     return (
         spans.where(F.col("kind") < 3).select(value.alias("sample"), F.lit(True).alias("secret"))
         .union(ordinary.select(value, F.lit(False)))
@@ -113,7 +121,7 @@ def train(samples: DataFrame) -> list[float]:
     for a in range(_K):
         random, ordinary = counts[True][a], counts[False][a]
         for b in range(_K):
-            p, q = ((x[b] + 0.5) / (sum(x) + 0.5 * _K) for x in (random, ordinary))
+            p, q = ((x[b] + SMOOTHING) / (sum(x) + SMOOTHING * _K) for x in (random, ordinary))
             out.append(math.log((1 - RANDOM_UNIFORM) * p + RANDOM_UNIFORM / _K) - math.log((1 - ORDINARY_UNIFORM) * q + ORDINARY_UNIFORM / _K))
     return out
 
@@ -131,7 +139,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     rows, spans = findings(docs, id_col, text_col)
     table = train(labelled_samples(spans))
     value = F.col("value")
-    tokens = spans.where((F.col("kind") == 3) & (F.length(value) >= TOKEN) & value.rlike("[0-9]") & value.rlike("[A-Za-z]"))
+    tokens = spans.where((F.col("kind") == 3) & (F.length(value) >= TOKEN) & value.rlike("[A-Za-z]"))
     scored = tokens.withColumn("ratio", ratio(value, table)).where((F.col("ratio") >= LEAST_RATIO) & (F.col("ratio") >= LEAST_PER_CHARACTER * F.length(value)))
     found = spans.where("kind < 3").union(scored.drop("ratio"))
     named = F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind") + 1)

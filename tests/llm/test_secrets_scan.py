@@ -57,6 +57,23 @@ def test_markov_models_tell_random_strings(spark, docs):
     assert sum(r.n_markov > 0 for r in clean) <= 0.01 * len(clean)
 
 
+def test_recall_by_kind_of_random_string(spark, docs):
+    """At least 0.9 of each kind, with digits or without; long names of every spelling stay."""
+    rnd = random.Random(11)
+    rand = lambda n, a: "".join(rnd.choice(a) for _ in range(n))
+    kinds = {"mixed": string.ascii_letters + string.digits, "letters": string.ascii_letters, "small": string.ascii_lowercase, "capitals": string.ascii_uppercase, "small and digits": string.ascii_lowercase + string.digits, "base64": string.ascii_letters + string.digits + "+/"}
+    planted = [(kind, "x" + rand(rnd.choice((24, 32, 40)), a) + "k") for kind, a in kinds.items() for _ in range(40)]
+    names = ["internationalization", "getUserAccountSettings", "CONFIGURATION_DEFAULTS", "the-quick-brown-fox-jumps", "InternationalBusinessMachines", "responsabilidade_social", "counterrevolutionary"]
+    rows = [(10_000 + i, f"see {s} here") for i, (_, s) in enumerate(planted)] + [(20_000 + i, f"see {s} here") for i, s in enumerate(names)]
+    got = {r.doc_id: r.n_markov for r in S.scan(docs.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    for kind in kinds:
+        hits = [got[10_000 + i] for i, (k, _) in enumerate(planted) if k == kind]
+        assert sum(hits) >= 0.9 * len(hits), (kind, sum(hits))
+    assert [n for i, n in enumerate(names) if got[20_000 + i]] == []
+    clean = [n for d, n in got.items() if d < 10_000]
+    assert sum(n > 0 for n in clean) <= 0.01 * len(clean)
+
+
 def test_odd_rows(spark, odd, empty):
     check([(r.doc_id, r.text) for r in odd.collect()], S.scan(odd).collect())
     assert S.scan(empty).count() == 0
