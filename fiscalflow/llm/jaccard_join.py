@@ -6,8 +6,9 @@ Jaccard similarity of t or more, they share at least ``need(n)`` grams, so
 their prefixes of length n - need(n) + l share at least l grams, for any l.
 A longer prefix (a greater l) costs more postings and asks for more shared
 grams before a pair is verified; each document takes the l of least estimated
-cost, from the frequencies of the grams at its front.  A candidate pair is
-first tested by its two prefixes alone; only pairs that share l grams there
+cost, from the frequencies of the grams at its front.  Shared prefix postings
+are counted by pair; a pair that does not share l of them in the lists it was
+met in is tested by its two prefixes alone, and only pairs that share l grams
 fetch both sets.
 
 Stages, all over whole texts and all documents:
@@ -67,11 +68,14 @@ HOT_GRAMS = 1 << 18
 #: Longest prefix extension, and the cost of verifying a pair against that of a posting.
 MOST_MATCHES, VERIFY_COST = 8, 20.0
 #: Postings in a bucket, grams in a block of sets, grams of the queries beside a block, about.
-PER_BUCKET, BLOCK, QUERIES = 250_000, 1_000_000, 1_000_000
+PER_BUCKET, BLOCK, QUERIES = 500_000, 1_000_000, 1_000_000
 #: Sets in a block, queries beside it, at most about: 4 million comparisons of counts a task.
 BLOCK_SETS = 2000
 #: Hash buckets of the counts that bound a shared number of grams.
 COUNTERS = 256
+#: Sets are first compared by the upper half of each hash; halves may agree by chance, so only a pair that shares so many
+#: more than it needs is similar by them alone (nine agreements by chance do not happen), and one that shares too few is not.
+CHANCE = 8
 #: Grams counted, and postings packed, at a time in a task.
 CHUNK = 1_000_000
 #: Signatures that a task remembers, so that copies it meets are taken once (about 100 bytes each).
@@ -147,23 +151,28 @@ def _signature(grams: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(grams.tobytes())
 
 
+def _heads(sigs: list[bytes]) -> np.ndarray:
+    """The first 64 bits of signatures, by which postings name their sets."""
+    return np.frombuffer(b"".join(s[:8] for s in sigs), np.uint64)
+
+
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each document, and one for each gram that this task has seen twice (kind 1: gram, count)."""
     seen: set[bytes] = set()
     held: list[np.ndarray] = []
     size = 0
-    names = ["kind", "doc_id", "n", "sig"]
+    names = ["kind", "doc_id", "n", "sig", "head"]
 
     def frequent() -> pa.RecordBatch:
         values, counts = np.unique(np.concatenate(held), return_counts=True)
         on = counts > 1
         k = int(on.sum())
-        return pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), pa.array(values[on].view(np.int64)), pa.array(counts[on].astype(np.int64)), pa.nulls(k, pa.binary())], names)
+        return pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), pa.array(values[on].view(np.int64)), pa.array(counts[on].astype(np.int64)), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int64())], names)
 
     for b in batches:
         sets = [gram_set(t) for t in b["text"].to_pylist()]
         sigs = [_signature(s) for s in sets]
-        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sets), np.int32)), b["doc_id"], pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sets), np.int32)), b["doc_id"], pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.binary()), pa.array(_heads(sigs).view(np.int64))], names)
         for s, sig in zip(sets, sigs, strict=True):
             if len(s) and sig not in seen:
                 seen.add(sig)
@@ -180,32 +189,27 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _postings(order: Order, buckets: int):
-    """Prefix grams of each document, packed by bucket; frequent ones in buckets of their own."""
+    """Prefix grams of each distinct set (signature's head, size and flag, upper half of the gram), packed by bucket; frequent ones in buckets of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
-        docs: list[int] = []
         sigs: list[bytes] = []
         grams: list[np.ndarray] = []
         known: list[np.ndarray] = []
-        flags: list[np.ndarray] = []
-        sizes: list[int] = []
+        sizes: list[np.ndarray] = []
         size = turn = 0
 
         def packed() -> Iterator[pa.RecordBatch]:
-            all_grams, all_known = np.concatenate(grams), np.concatenate(known)
-            all_flags = np.concatenate(flags)
-            owner = np.repeat(np.arange(len(grams), dtype=np.uint32), [len(g) for g in grams])
-            bucket = (all_grams % np.uint64(buckets)).astype(np.int64)
+            gram, hot, n = np.concatenate(grams), np.concatenate(known), np.concatenate(sizes)
+            head = np.repeat(_heads(sigs), [len(g) for g in grams])
+            bucket = (gram % np.uint64(buckets)).astype(np.int64)
             # Frequent grams need no list in one place; which bucket takes them does not matter.
-            bucket[all_known] = buckets + (xxhash.xxh3_64_intdigest(sigs[0]) + turn) % buckets
+            bucket[hot] = buckets + (xxhash.xxh3_64_intdigest(sigs[0]) + turn) % buckets
             by = np.argsort(bucket, kind="stable")
-            bucket, owner, all_grams, all_flags = bucket[by], owner[by], all_grams[by], all_flags[by]
+            bucket, head, n, gram = bucket[by], head[by], n[by], (gram[by] >> np.uint64(32)).astype(np.uint32)
             cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
-            ids, heads, ns = np.array(docs, np.int64), np.frombuffer(b"".join(x[:8] for x in sigs), np.uint64), np.array(sizes, np.uint32)
             for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                own, at = np.unique(owner[lo:hi], return_inverse=True)
-                yield pa.RecordBatch.from_pydict({"bucket": [int(bucket[lo])], "docs": [ids[own].tobytes()], "sigs": [heads[own].tobytes()], "sizes": [ns[own].tobytes()], "owner": [(at * 2 + all_flags[lo:hi]).astype(np.uint32).tobytes()], "grams": [all_grams[lo:hi].tobytes()]})
+                yield pa.RecordBatch.from_pydict({"bucket": [int(bucket[lo])], "heads": [head[lo:hi].tobytes()], "sizes": [n[lo:hi].tobytes()], "grams": [gram[lo:hi].tobytes()]})
 
         for b in batches:
             for doc, raw in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
@@ -215,20 +219,19 @@ def _postings(order: Order, buckets: int):
                 seen.add(sig)
                 ordered, is_known, matches = order.arrange(s)
                 length = len(s) - int(need(len(s), order.percent)) + matches
-                docs.append(doc)
                 sigs.append(sig)
-                sizes.append(len(s))
-                flags.append(np.arange(length) < len(s) - need_smaller(len(s), order.percent) + 1)
+                flags = np.arange(length) < len(s) - need_smaller(len(s), order.percent) + 1
+                sizes.append((len(s) * 2 + flags).astype(np.uint32))
                 grams.append(ordered[:length])
                 known.append(is_known[:length])
                 size += length
-            if size > CHUNK // 5:
+            if size > CHUNK // 4:
                 yield from packed()
-                docs, sigs, grams, known, flags, sizes = [], [], [], [], [], []
+                sigs, grams, known, sizes = [], [], [], []
                 size, turn = 0, turn + 1
             if len(seen) > SEEN:
                 seen.clear()
-        if docs:
+        if sigs:
             yield from packed()
         released()
 
@@ -246,24 +249,16 @@ def _lists(buckets: int, percent: int):
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        docs, sigs, sizes, flags, grams = [], [], [], [], []
-        for d, s, n, o, g in zip(rows["docs"], rows["sigs"], rows["sizes"], rows["owner"], rows["grams"], strict=True):
-            at = np.frombuffer(o, np.uint32)
-            flags.append(at & 1 == 1)
-            at = at >> 1
-            docs.append(np.frombuffer(d, np.int64)[at])
-            sigs.append(np.frombuffer(s, np.uint64)[at])
-            sizes.append(np.frombuffer(n, np.uint32)[at].astype(np.int64))
-            grams.append(np.frombuffer(g, np.uint64))
-        doc, sig, n, flag, gram = map(np.concatenate, (docs, sigs, sizes, flags, grams))
+        sig, size, gram = (np.concatenate([np.frombuffer(x, kind) for x in rows[c]]) for c, kind in (("heads", np.uint64), ("sizes", np.uint32), ("grams", np.uint32)))
+        n, flag, gram = (size >> 1).astype(np.int64), size & 1 == 1, gram.astype(np.uint64)
         if int(rows["bucket"].iloc[0]) >= buckets:
             band = np.floor(np.log(n) / np.log(100 / percent) + 1e-9).astype(np.int64)
-            doc, sig, n, flag, gram, band = (np.concatenate((x, y)) for x, y in ((doc, doc), (sig, sig), (n, n), (flag, flag), (gram, gram), (band, band + 1)))
+            sig, n, flag, gram, band = (np.concatenate((x, y)) for x, y in ((sig, sig), (n, n), (flag, flag), (gram, gram), (band, band + 1)))
             key, many = mix64(gram + band.astype(np.uint64) * _ODD), np.ones(len(n), np.int64)
         else:
-            by = np.lexsort((doc, sig, n, gram))
+            by = np.lexsort((sig, n, gram))
             by = by[np.concatenate(([True], (gram[by][1:] != gram[by][:-1]) | (sig[by][1:] != sig[by][:-1])))] if len(by) else by  # copies from several tasks
-            doc, sig, n, flag, gram = doc[by], sig[by], n[by], flag[by], gram[by]
+            sig, n, flag, gram = sig[by], n[by], flag[by], gram[by]
             for _ in range(2):  # dropping what has no partner may leave others alone
                 new_gram = np.concatenate(([True], gram[1:] != gram[:-1]))
                 # A set without its flag needs a flagged one of its size or smaller; both are in order of size.
@@ -275,7 +270,7 @@ def _lists(buckets: int, percent: int):
                 first = np.flatnonzero(start)
                 size = np.repeat(np.diff(first, append=len(n)), np.diff(first, append=len(n)))
                 keep = useful & (size > 1)
-                doc, sig, n, flag, gram = doc[keep], sig[keep], n[keep], flag[keep], gram[keep]
+                sig, n, flag, gram = sig[keep], n[keep], flag[keep], gram[keep]
                 if not len(n):
                     break
             start = np.concatenate(([True], (gram[1:] != gram[:-1]) | (100 * n[:-1] < percent * n[1:]))) if len(n) else np.empty(0, bool)
@@ -283,11 +278,11 @@ def _lists(buckets: int, percent: int):
             key = mix64(np.add.reduceat(mix64(sig * _ODD), first)) if len(first) else np.empty(0, np.uint64)
             key = np.repeat(key, np.diff(first, append=len(n)))
             by = np.lexsort((flag, sig, key))
-            key, sig, doc, n, flag = key[by], sig[by], doc[by], n[by], flag[by]
+            key, sig, n, flag = key[by], sig[by], n[by], flag[by]
             last = np.flatnonzero(np.concatenate(((key[1:] != key[:-1]) | (sig[1:] != sig[:-1]), [True]))) if len(key) else np.empty(0, np.int64)
             many = np.diff(last, prepend=-1)
-            key, sig, doc, n, flag = key[last], sig[last], doc[last], n[last], flag[last]  # flagged in any, for that one sorts last
-        return pd.DataFrame({"list": key.view(np.int64), "sig": sig.view(np.int64), "doc": doc, "n": n, "flag": flag, "grams": many})
+            key, sig, n, flag = key[last], sig[last], n[last], flag[last]  # flagged in any, for that one sorts last
+        return pd.DataFrame({"list": key.view(np.int64), "head": sig.view(np.int64), "n": n, "flag": flag, "grams": many})
 
     return run
 
@@ -298,7 +293,7 @@ def gram_counts(grams: np.ndarray) -> np.ndarray:
 
 
 def _sets(order: Order):
-    """(doc, matches, n, prefix, the other grams in order) of each document."""
+    """(doc, matches, n, counts, prefix, the other grams in order) of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -306,8 +301,8 @@ def _sets(order: Order):
             grams, matches = [x[0] for x in found], [x[2] for x in found]
             ends = [len(g) - int(need(len(g), order.percent)) + l for g, l in zip(grams, matches, strict=True)]  # noqa: E741
             yield pa.RecordBatch.from_arrays(
-                [b["doc_id"], pa.array(matches, pa.int32()), pa.array([len(g) for g in grams], pa.int64()), pa.array([g[:k].tobytes() for g, k in zip(grams, ends, strict=True)], pa.binary()), pa.array([g[k:].tobytes() for g, k in zip(grams, ends, strict=True)], pa.binary())],
-                ["doc", "matches", "n", "prefix", "rest"],
+                [b["doc_id"], pa.array(matches, pa.int32()), pa.array([len(g) for g in grams], pa.int64()), pa.array([gram_counts(g).tobytes() for g in grams], pa.binary()), pa.array([g[:k].tobytes() for g, k in zip(grams, ends, strict=True)], pa.binary()), pa.array([g[k:].tobytes() for g, k in zip(grams, ends, strict=True)], pa.binary())],
+                ["doc", "matches", "n", "counts", "prefix", "rest"],
             )
         released()
 
@@ -329,6 +324,37 @@ def _promising(percent: int):
     return run
 
 
+def _shared(x: np.ndarray, y: np.ndarray) -> int:
+    """Values that two sorted arrays share, with repeats."""
+    both = np.sort(np.concatenate((np.unique(x), np.unique(y))))
+    n = int((both[1:] == both[:-1]).sum())
+    return n + (len(x) - len(np.unique(x))) + (len(y) - len(np.unique(y)))  # at least what the whole hashes share
+
+
+def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets by the upper halves of their hashes, sorted."""
+    for b in batches:
+        halves = [np.sort(np.frombuffer(x + y, np.uint32)[1::2]).tobytes() for x, y in zip(b["prefix"].to_pylist(), b["rest"].to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([b["doc"], pa.array(halves, pa.binary())], ["doc", "halves"])
+
+
+def _judge(percent: int):
+    """Pairs that may be similar by the halves of their hashes; ``sure`` if by more than chance."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            on, sure = [], []
+            for x, y in zip(b["a_halves"].to_pylist(), b["b_halves"].to_pylist(), strict=True):
+                x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+                both = _shared(x, y)
+                least = -(-percent * (len(x) + len(y)) // (100 + percent))
+                on.append(both >= least)
+                sure.append(both >= least + CHANCE)
+            yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(sure, pa.bool_())], ["a", "b", "sure"]).filter(pa.array(on, pa.bool_()))
+
+    return run
+
+
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -348,12 +374,12 @@ def _possible(percent: int):
         names = ["f", "k", "s", "doc", "comp"]
         if not len(queries) or not len(members):
             return pd.DataFrame({"kind": pd.Series(dtype="int32"), **{c: pd.Series(dtype="int64") for c in names}})
-        counts = np.array([gram_counts(np.frombuffer(x, np.uint64)) for x in members["grams"]])
+        counts = np.array([np.frombuffer(x, "<u2") for x in members["counts"]])
         sizes, comps = members["n"].to_numpy(), members["comp"].to_numpy()
         asked, met = np.zeros(len(queries), bool), np.zeros(len(members), bool)
-        for i, (raw, n, comp) in enumerate(zip(queries["grams"], queries["n"], queries["comp"], strict=True)):
+        for i, (raw, n, comp) in enumerate(zip(queries["counts"], queries["n"], queries["comp"], strict=True)):
             near = np.flatnonzero((100 * np.minimum(n, sizes) >= percent * np.maximum(n, sizes)) & (comps != comp))
-            own = gram_counts(np.frombuffer(raw, np.uint64))
+            own = np.frombuffer(raw, "<u2")
             most = np.minimum(counts[near], own).sum(1, dtype=np.int64)
             # A full counter may stand for more than it holds.
             full = (counts[near] == 65_535).any(1) | (own == 65_535).any()
@@ -408,13 +434,24 @@ def _both(pairs: DataFrame, sets: DataFrame, columns: dict) -> DataFrame:
 
 
 def _links_of(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The similar ones of written candidate pairs (a, b), written: first by their prefixes, then by their sets."""
+    """The similar ones of written candidate pairs (a, b, known: shared prefix postings met), written.
+
+    Pairs that are not known to share enough are tested by their prefixes;
+    then sets are compared by halves of their hashes, and where that is not
+    sure, by all of them.
+    """
     spark = sets.sparkSession
+    few = materialize(pairs.where(F.col("known") < MOST_MATCHES).select("a", "b"), spark, "join-few")
     short = {name: F.col(name) for name in ("prefix", "n", "matches")}
-    some = materialize(_both(pairs, sets, short).mapInArrow(_promising(percent), "a long, b long"), spark, "join-promising")
-    found = _both(some, sets, {"grams": F.concat("prefix", "rest")}).select("a", "b", "a_grams", "b_grams").mapInArrow(_verify(percent), "a long, b long")
-    found = materialize(found, spark, "join-verified")
-    discard(some)
+    some = pairs.where(F.col("known") >= MOST_MATCHES).select("a", "b").union(_both(few, sets, short).mapInArrow(_promising(percent), "a long, b long"))
+    some = materialize(some, spark, "join-promising")
+    halves = sets.select("doc", "prefix", "rest").mapInArrow(_halves, "doc long, halves binary")
+    judged = _both(some, halves, {"halves": F.col("halves")}).select("a", "b", "a_halves", "b_halves").mapInArrow(_judge(percent), "a long, b long, sure boolean")
+    judged = materialize(judged, spark, "join-judged")
+    near = materialize(judged.where("NOT sure").select("a", "b"), spark, "join-near")
+    exact = _both(near, sets, {"grams": F.concat("prefix", "rest")}).select("a", "b", "a_grams", "b_grams").mapInArrow(_verify(percent), "a long, b long")
+    found = materialize(judged.where("sure").select("a", "b").union(exact), spark, "join-verified")
+    discard(few, some, judged, near)
     return found
 
 
@@ -446,18 +483,18 @@ def _rest(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     keys = [F.col("family").alias("f"), F.col("block").alias("k"), F.col("salt").alias("s")]
     left = asking.select(*keys, F.col("query").alias("doc"), F.col("query_comp").alias("comp"))
     right = standing.select(*keys, F.col("member").alias("doc"), F.col("comp").alias("comp"))
-    possible = materialize(_cogroup(left, right, sets).applyInPandas(_possible(percent), "kind int, f long, k long, s long, doc long, comp long"), spark, "join-possible")
-    found = materialize(_cogroup(possible.where("kind = 0").drop("kind"), possible.where("kind = 1").drop("kind"), sets).applyInPandas(_verify_block(percent), "a long, b long"), spark, "join-blocked")
+    possible = materialize(_cogroup(left, right, sets, {"n": F.col("n"), "counts": F.col("counts")}).applyInPandas(_possible(percent), "kind int, f long, k long, s long, doc long, comp long"), spark, "join-possible")
+    found = materialize(_cogroup(possible.where("kind = 0").drop("kind"), possible.where("kind = 1").drop("kind"), sets, {"grams": F.concat("prefix", "rest")}).applyInPandas(_verify_block(percent), "a long, b long"), spark, "join-blocked")
     discard(rest, placed, tests, salts, asking, standing, possible)
     return found
 
 
-def _cogroup(left: DataFrame, right: DataFrame, sets: DataFrame):
-    """Two narrow tables (f, k, s, doc, comp), each with the size and grams of its docs' sets, grouped together by f, k and s."""
+def _cogroup(left: DataFrame, right: DataFrame, sets: DataFrame, columns: dict):
+    """Two narrow tables (f, k, s, doc, comp), each with columns of its docs' sets, grouped together by f, k and s."""
     sides = []
     for rows in (left, right):
-        found = _of_sets(rows, "doc", sets, {"n": F.col("n"), "grams": F.concat("prefix", "rest")})
-        sides.append(found.select(*[F.col(c).alias(c) for c in ("f", "k", "s", "doc", "comp", "n", "grams")]).groupBy("f", "k", "s"))
+        found = _of_sets(rows, "doc", sets, columns)
+        sides.append(found.select(*[F.col(c).alias(c) for c in ("f", "k", "s", "doc", "comp", *columns)]).groupBy("f", "k", "s"))
     return sides[0].cogroup(sides[1])
 
 
@@ -466,25 +503,26 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     arrow_rows(spark)
     rows = text_rows(docs, id_col, text_col)
-    profile = materialize(rows.mapInArrow(_profile, "kind int, doc_id long, n long, sig binary"), spark, "join-profile")
+    profile = materialize(rows.mapInArrow(_profile, "kind int, doc_id long, n long, sig binary, head long"), spark, "join-profile")
     hot = profile.where("kind = 1").groupBy("doc_id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "doc_id").limit(HOT_GRAMS).toArrow()
     order = Order(hot["doc_id"].to_numpy().view(np.uint64), hot["n"].to_numpy(), percent)
-    members = profile.where("kind = 0").select("doc_id", "n", "sig")
+    members = profile.where("kind = 0").select("doc_id", "n", "sig", "head")
     total = members.agg(F.sum(F.col("n") * (100 - percent) / 100 + 1)).first()[0] or 0
     buckets = max(12, int(total // PER_BUCKET) + 1)
-    packed = rows.mapInArrow(_postings(order, buckets), "bucket long, docs binary, sigs binary, sizes binary, owner binary, grams binary")
-    posted = packed.groupBy("bucket").applyInPandas(_lists(buckets, percent), "list long, sig long, doc long, n long, flag boolean, grams long")
-    lists = posted.groupBy("list", "sig").agg(F.min(F.struct("doc", "n")).alias("e"), F.max("flag").alias("flag"), F.sum("grams").alias("grams"))
-    posted = materialize(lists.select("list", "e.*", "flag", "grams"), spark, "join-posted")
+    packed = rows.mapInArrow(_postings(order, buckets), "bucket long, heads binary, sizes binary, grams binary")
+    posted = packed.groupBy("bucket").applyInPandas(_lists(buckets, percent), "list long, head long, n long, flag boolean, grams long")
+    firsts = members.where("n > 0 AND doc_id IS NOT NULL").groupBy("head").agg(F.min("doc_id").alias("doc"))
+    posted = posted.groupBy("list", "head").agg(F.min("n").alias("n"), F.max("flag").alias("flag"), F.sum("grams").alias("grams")).join(firsts, "head")
+    posted = materialize(posted.select("list", "doc", "n", "flag", "grams"), spark, "join-posted")
     often = posted.groupBy("doc").agg(F.sum("grams").alias("often"))
-    ranked = posted.drop("grams").join(often, "doc")
+    ranked = posted.join(often, "doc")
     pivot = F.max(F.struct("often", "doc", "n", "flag")).alias("pivot")
     # A list without a flag holds no pair that is not in another list, too.
     pivots = ranked.groupBy("list").agg(pivot, F.count(F.lit(1)).alias("in_list"), F.max("flag").alias("any")).where("in_list > 1 AND any").drop("in_list", "any")
     lists = materialize(ranked.drop("often").join(pivots, "list"), spark, "join-lists")
     discard(posted)
     wanted = materialize(lists.select(F.col("doc").alias("doc_id")).distinct(), spark, "join-wanted")
-    sets = semi_join(rows, wanted).mapInArrow(_sets(order), "doc long, matches int, n long, prefix binary, rest binary")
+    sets = semi_join(rows, wanted).mapInArrow(_sets(order), "doc long, matches int, n long, counts binary, prefix binary, rest binary")
     if members.groupBy("doc_id").count().where("count > 1").take(1):
         sets = sets.dropDuplicates(["doc"])
     sets = materialize(sets, spark, "join-sets")
@@ -494,8 +532,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         p, own_smaller = F.col("pivot"), F.col("n") <= F.col("pivot.n")
         like = 100 * F.least("n", "pivot.n") >= percent * F.greatest("n", "pivot.n")
         flagged = (own_smaller & F.col("flag")) | ((F.col("pivot.n") <= F.col("n")) & F.col("pivot.flag"))
-        found = with_pivots.where((p["doc"] != F.col("doc")) & like & flagged).select(p["doc"].alias("a"), F.col("doc").alias("b")).distinct()
-        return materialize(found, spark, "join-pairs")
+        # Whether a list flags the pair or not, its grams are shared; a pair needs one list that does.
+        met = with_pivots.where((p["doc"] != F.col("doc")) & like).groupBy(p["doc"].alias("a"), F.col("doc").alias("b")).agg(F.sum("grams").alias("known"), F.max(flagged).alias("flagged"))
+        return materialize(met.where("flagged").drop("flagged"), spark, "join-pairs")
 
     first = candidates(lists)
     links = _links_of(first, sets, percent)

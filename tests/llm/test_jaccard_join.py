@@ -167,8 +167,19 @@ def test_a_boilerplate_line_links_nothing(spark):
 def test_lists_of_the_same_sets_are_one():
     import pandas as pd
 
-    grams = np.arange(40, dtype=np.uint64) * 7
-    owner = np.concatenate([np.full(40, k * 2 + (k == 0), np.uint32) for k in range(3)])  # the first set's postings are flagged
-    rows = pd.DataFrame([{"bucket": 1, "docs": np.arange(3).tobytes(), "sigs": np.array([9, 8, 7], np.uint64).tobytes(), "sizes": np.full(3, 50, np.uint32).tobytes(), "owner": owner.tobytes(), "grams": np.tile(grams, 3).tobytes()}] * 2)
+    sizes = np.repeat(np.array([101, 100, 100], np.uint32), 40)  # size 50; the first set's postings are flagged
+    heads = np.repeat(np.array([9, 8, 7], np.uint64), 40)
+    rows = pd.DataFrame([{"bucket": 1, "heads": heads.tobytes(), "sizes": sizes.tobytes(), "grams": np.tile(np.arange(40, dtype=np.uint32) * 7, 3).tobytes()}] * 2)
     out = J._lists(10, 80)(rows)
     assert len(out) == 3 and out["list"].nunique() == 1 and set(out["grams"]) == {40} and sorted(out["flag"]) == [False, False, True]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(0, 10_000), st.integers(1, 80), st.floats(0, 0.4), st.sampled_from([1, 3, 30]))
+def test_halves_never_share_less(seed, n, edit, kinds):
+    rng = np.random.default_rng(seed)
+    draw = lambda k: (rng.integers(0, 2**kinds, k, dtype=np.uint64) << np.uint64(32)) | rng.integers(0, 2**32, k, dtype=np.uint64)
+    a = np.unique(draw(n))
+    b = np.unique(np.concatenate([a[rng.random(len(a)) >= edit], draw(int(edit * n))]))
+    half = lambda x: np.sort((x >> np.uint64(32)).astype(np.uint32))
+    assert J._shared(half(a), half(b)) >= len(np.intersect1d(a, b))
