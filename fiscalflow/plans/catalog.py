@@ -1157,7 +1157,9 @@ def q_csv_rejected_rows(spark, sf):
 @register(
     "odd_headers_ingest",
     "SELECT CAST(c_custkey AS VARCHAR) AS codigo, CAST(c_nationkey AS VARCHAR) AS valor_total, c_name AS nome, "
-    "CASE WHEN (c_custkey // 200) % 3 = 2 THEN c_mktsegment END AS repetida, 'p' || (c_custkey // 200) || '/dados.csv' AS arquivo_origem, 'CADASTRO' AS grupo_mescla FROM customer",
+    "CASE WHEN (c_custkey // 200) % 3 = 2 THEN c_mktsegment END AS repetida, "
+    "CASE WHEN (SELECT count(DISTINCT c_custkey // 200) FROM customer) = 1 THEN 'dados.csv' ELSE 'p' || (c_custkey // 200) || '/dados.csv' END AS arquivo_origem, "
+    "'CADASTRO' AS grupo_mescla FROM customer",
 )
 def q_odd_headers_ingest(spark, sf):
     """Files of one name in many folders; headers with a dot, in other case, or with a name twice."""
