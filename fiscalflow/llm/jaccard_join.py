@@ -50,6 +50,7 @@ written on the way are removed as soon as nothing reads them any more.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -293,7 +294,7 @@ def gram_counts(grams: np.ndarray) -> np.ndarray:
 
 
 def _sets(order: Order):
-    """(doc, matches, n, counts, prefix, the other grams in order) of each document."""
+    """(doc, n, matches, prefix, the other grams in order) of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -301,8 +302,8 @@ def _sets(order: Order):
             grams, matches = [x[0] for x in found], [x[2] for x in found]
             ends = [len(g) - int(need(len(g), order.percent)) + l for g, l in zip(grams, matches, strict=True)]  # noqa: E741
             yield pa.RecordBatch.from_arrays(
-                [b["doc_id"], pa.array(matches, pa.int32()), pa.array([len(g) for g in grams], pa.int64()), pa.array([gram_counts(g).tobytes() for g in grams], pa.binary()), pa.array([g[:k].tobytes() for g, k in zip(grams, ends, strict=True)], pa.binary()), pa.array([g[k:].tobytes() for g, k in zip(grams, ends, strict=True)], pa.binary())],
-                ["doc", "matches", "n", "counts", "prefix", "rest"],
+                [b["doc_id"], pa.array([len(g) for g in grams], pa.int64()), pa.array(matches, pa.int32()), pa.array([g[:k].tobytes() for g, k in zip(grams, ends, strict=True)], pa.binary()), pa.array([g[k:].tobytes() for g, k in zip(grams, ends, strict=True)], pa.binary())],
+                ["doc", "n", "matches", "prefix", "rest"],
             )
         released()
 
@@ -332,10 +333,12 @@ def _shared(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sets by the upper halves of their hashes, sorted."""
+    """(doc, n, counts, upper halves of the hashes in order) of each document."""
     for b in batches:
-        halves = [np.sort(np.frombuffer(x + y, np.uint32)[1::2]).tobytes() for x, y in zip(b["prefix"].to_pylist(), b["rest"].to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([b["doc"], pa.array(halves, pa.binary())], ["doc", "halves"])
+        sets = [gram_set(t) for t in b["text"].to_pylist()]
+        halves = [(s >> np.uint64(32)).astype(np.uint32).tobytes() for s in sets]
+        yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array([len(s) for s in sets], pa.int64()), pa.array([gram_counts(s).tobytes() for s in sets], pa.binary()), pa.array(halves, pa.binary())], ["doc", "n", "counts", "halves"])
+    released()
 
 
 def _judge(percent: int):
@@ -433,25 +436,52 @@ def _both(pairs: DataFrame, sets: DataFrame, columns: dict) -> DataFrame:
     return with_b.join(_of_sets(firsts, "a", sets, {f"a_{k}": c for k, c in columns.items()}), "a")
 
 
-def _links_of(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+class Sets:
+    """The documents' sets: ``table`` has the halves of all that are in a list; whole ones are made again from the texts, for few."""
+
+    def __init__(self, rows: DataFrame, docs: DataFrame, order: Order, repeated: bool) -> None:
+        self.rows, self.order, self.repeated = rows, order, repeated
+        self.table = materialize(self._once(semi_join(rows, docs).mapInArrow(_halves, "doc long, n long, counts binary, halves binary")), rows.sparkSession, "join-sets")
+
+    def _once(self, sets: DataFrame) -> DataFrame:
+        return sets.dropDuplicates(["doc"]) if self.repeated else sets
+
+    def whole(self, *columns: DataFrame) -> DataFrame:
+        """(doc, n, matches, prefix, rest) of the documents in one-column tables, written."""
+        spark = self.rows.sparkSession
+        docs = reduce(DataFrame.union, columns).toDF("doc_id").distinct()
+        docs = materialize(docs, spark, "join-docs")
+        found = materialize(self._once(semi_join(self.rows, docs).mapInArrow(_sets(self.order), "doc long, n long, matches int, prefix binary, rest binary")), spark, "join-whole")
+        discard(docs)
+        return found
+
+
+def _links_of(pairs: DataFrame, sets: Sets, percent: int) -> DataFrame:
     """The similar ones of written candidate pairs (a, b, known: shared prefix postings met), written.
 
     Pairs that are not known to share enough are tested by their prefixes;
     then sets are compared by halves of their hashes, and where that is not
     sure, by all of them.
     """
-    spark = sets.sparkSession
+    spark = pairs.sparkSession
+    some = pairs.where(F.col("known") >= MOST_MATCHES).select("a", "b")
     few = materialize(pairs.where(F.col("known") < MOST_MATCHES).select("a", "b"), spark, "join-few")
-    short = {name: F.col(name) for name in ("prefix", "n", "matches")}
-    some = pairs.where(F.col("known") >= MOST_MATCHES).select("a", "b").union(_both(few, sets, short).mapInArrow(_promising(percent), "a long, b long"))
+    spent = [few]
+    if few.take(1):
+        whole = sets.whole(few.select("a"), few.select("b"))
+        some = some.union(_both(few, whole, {name: F.col(name) for name in ("prefix", "n", "matches")}).mapInArrow(_promising(percent), "a long, b long"))
+        spent.append(whole)
     some = materialize(some, spark, "join-promising")
-    halves = sets.select("doc", "prefix", "rest").mapInArrow(_halves, "doc long, halves binary")
-    judged = _both(some, halves, {"halves": F.col("halves")}).select("a", "b", "a_halves", "b_halves").mapInArrow(_judge(percent), "a long, b long, sure boolean")
+    judged = _both(some, sets.table, {"halves": F.col("halves")}).select("a", "b", "a_halves", "b_halves").mapInArrow(_judge(percent), "a long, b long, sure boolean")
     judged = materialize(judged, spark, "join-judged")
+    found = judged.where("sure").select("a", "b")
     near = materialize(judged.where("NOT sure").select("a", "b"), spark, "join-near")
-    exact = _both(near, sets, {"grams": F.concat("prefix", "rest")}).select("a", "b", "a_grams", "b_grams").mapInArrow(_verify(percent), "a long, b long")
-    found = materialize(judged.where("sure").select("a", "b").union(exact), spark, "join-verified")
-    discard(few, some, judged, near)
+    if near.take(1):
+        whole = sets.whole(near.select("a"), near.select("b"))
+        found = found.union(_both(near, whole, {"grams": F.concat("prefix", "rest")}).select("a", "b", "a_grams", "b_grams").mapInArrow(_verify(percent), "a long, b long"))
+        spent.append(whole)
+    found = materialize(found, spark, "join-verified")
+    discard(*spent, some, judged, near)
     return found
 
 
@@ -462,7 +492,7 @@ def _labelled(lists: DataFrame, links: DataFrame) -> DataFrame:
     return lists.join(side, lists["doc"] == F.col("node"), "left").withColumn("comp", F.coalesce("component", "doc")).drop("node", "component")
 
 
-def _rest(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _rest(lists: DataFrame, sets: Sets, percent: int) -> DataFrame:
     """Links across components that no pivot has tested, by queries against blocks; written."""
     spark = lists.sparkSession
     per_comp = lists.groupBy("list", "comp").agg(F.count(F.lit(1)).alias("n"))
@@ -483,9 +513,10 @@ def _rest(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     keys = [F.col("family").alias("f"), F.col("block").alias("k"), F.col("salt").alias("s")]
     left = asking.select(*keys, F.col("query").alias("doc"), F.col("query_comp").alias("comp"))
     right = standing.select(*keys, F.col("member").alias("doc"), F.col("comp").alias("comp"))
-    possible = materialize(_cogroup(left, right, sets, {"n": F.col("n"), "counts": F.col("counts")}).applyInPandas(_possible(percent), "kind int, f long, k long, s long, doc long, comp long"), spark, "join-possible")
-    found = materialize(_cogroup(possible.where("kind = 0").drop("kind"), possible.where("kind = 1").drop("kind"), sets, {"grams": F.concat("prefix", "rest")}).applyInPandas(_verify_block(percent), "a long, b long"), spark, "join-blocked")
-    discard(rest, placed, tests, salts, asking, standing, possible)
+    possible = materialize(_cogroup(left, right, sets.table, {"n": F.col("n"), "counts": F.col("counts")}).applyInPandas(_possible(percent), "kind int, f long, k long, s long, doc long, comp long"), spark, "join-possible")
+    whole = sets.whole(possible.select("doc"))
+    found = materialize(_cogroup(possible.where("kind = 0").drop("kind"), possible.where("kind = 1").drop("kind"), whole, {"grams": F.concat("prefix", "rest")}).applyInPandas(_verify_block(percent), "a long, b long"), spark, "join-blocked")
+    discard(rest, placed, tests, salts, asking, standing, possible, whole)
     return found
 
 
@@ -522,10 +553,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lists = materialize(ranked.drop("often").join(pivots, "list"), spark, "join-lists")
     discard(posted)
     wanted = materialize(lists.select(F.col("doc").alias("doc_id")).distinct(), spark, "join-wanted")
-    sets = semi_join(rows, wanted).mapInArrow(_sets(order), "doc long, matches int, n long, counts binary, prefix binary, rest binary")
-    if members.groupBy("doc_id").count().where("count > 1").take(1):
-        sets = sets.dropDuplicates(["doc"])
-    sets = materialize(sets, spark, "join-sets")
+    sets = Sets(rows, wanted, order, bool(members.groupBy("doc_id").count().where("count > 1").take(1)))
 
     def candidates(with_pivots: DataFrame) -> DataFrame:
         """Pairs of a pivot with the other sets of its lists that size and flags allow."""
@@ -544,7 +572,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     second = candidates(again.drop("pivot").join(at_random, "list").where(F.col("comp") != F.col("pivot.comp")))
     links = materialize(links.union(_links_of(second, sets, percent)), spark, "join-links")
     links = materialize(links.union(_rest(_labelled(lists, links), sets, percent)), spark, "join-links")
-    discard(first, second, wanted, lists, sets)
+    discard(first, second, wanted, lists, sets.table)
 
     labels = components(links)
     classes = members.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("first"))
