@@ -41,7 +41,7 @@ from fiscalflow.llm.id_heap import IdHeap
 #: The word pattern of byte-level BPE vocabularies of this family (a fixed value, as published with them).
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Distinct pieces that a task remembers at most (about 150 bytes each); half as many words, a quarter as many token pairs.
-CACHE = 800_000
+CACHE = 300_000
 #: Documents in an Arrow batch, bytes of text encoded at a time, about.
 BATCH, SLICE = 512, 2 << 20
 
