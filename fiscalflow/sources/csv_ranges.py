@@ -32,6 +32,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fiscalflow.sources.csv_options import reader_options, restore_empties
 from fiscalflow.sources.files import REJECTED, literal_path
@@ -336,3 +337,11 @@ def read_csv_by_ranges(spark: SparkSession, paths: str | Sequence[str], names: S
     parsed = found.select(F.col("path").alias(PATH), F.col("record").alias(ROW), decoded(F.col("raw"), encoding).alias(RECORD))
     parsed = parsed.select("*", F.from_csv(RECORD, ddl, options).alias("__r"))
     return restore_empties(parsed.select(PATH, ROW, *([RECORD] if record else []), *[F.col("__r")[n].alias(n) for n in [*names, REJECTED]]))
+
+
+def read_typed_by_ranges(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, *, sep: str, encoding: str = "UTF-8") -> DataFrame:
+    """The rows of CSV files with a header as columns of ``schema``, values by place; a value that its type cannot hold is null."""
+    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+    found = records(spark, [paths] if isinstance(paths, str) else paths, sep).where("record > 0")
+    parsed = found.select(F.from_csv(decoded(F.col("raw"), encoding), nullable.toDDL(), reader_options(sep, "UTF-8", False, True)).alias("__r"))
+    return restore_empties(parsed.select(*[F.col("__r")[f.name].alias(f.name) for f in nullable.fields]))

@@ -21,6 +21,9 @@ from fiscalflow.functions._util import column
 
 REJECTED = "__linha_rejeitada"
 
+#: Encodings in which quotes, separators and line ends are the bytes of ASCII, and no others.
+ASCII_BASED = ("UTF-8", "ISO-8859-1", "US-ASCII", "WINDOWS-1252")
+
 
 def literal_path(path: str) -> str:
     """A path whose glob characters stand for themselves."""
@@ -109,9 +112,19 @@ def read_csv(
     ``rejects`` adds the text column ``REJECTED``: the whole line of a row
     with too many or too few fields, or with a value that its type cannot
     hold; null for sound rows.  Paths are taken literally (no globs).
+
+    With ``multiline`` and a schema of several columns many tasks read one
+    file, by ranges (``csv_ranges``): Spark's own multi-line scan gives a file
+    to one task.  (A lone column's blank value would be a blank line there.)
     """
     from fiscalflow.sources.csv_options import reader_options, restore_empties
 
+    if multiline and schema is not None and header and not rejects and sep.strip() and encoding.upper() in ASCII_BASED:
+        from fiscalflow.sources.csv_ranges import read_typed_by_ranges
+
+        typed = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        if len(typed.fields) > 1:
+            return read_typed_by_ranges(spark, paths, typed, sep=sep, encoding=encoding)
     paths = [literal_path(p) for p in ([paths] if isinstance(paths, str) else paths)]
     options = reader_options(sep, encoding, header, multiline)
     r = spark.read.options(**options)

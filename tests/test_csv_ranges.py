@@ -110,6 +110,15 @@ def test_many_tasks_read_one_file(spark, tmp_path, tiny_ranges, sep, end, encodi
     assert got.where(F.col(files.REJECTED).isNotNull()).count() == 0
 
 
+def test_many_tasks_read_one_typed_file(spark, tmp_path, tiny_ranges):
+    rows = random_rows(300, 5)
+    write(tmp_path / "a.csv", csv_bytes([["k", "u", "v"], *rows, ["x", "não é", "int"], ["7", "curta"]], ","))
+    got = files.read_csv(spark, str(tmp_path / "a.csv"), schema="k int, u string, v string", multiline=True)
+    assert got.rdd.getNumPartitions() > 10
+    want = [(int(k), u or None, v or None) for k, u, v in rows] + [(None, "não é", "int"), (7, "curta", None)]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_several_files_blank_lines_bom_and_lone_returns(spark, tmp_path, tiny_ranges):
     write(tmp_path / "a.csv", b"\xef\xbb\xbf\n  \nk;v\n1;\"x\ny\"\n\n2;b\n\n")
     write(tmp_path / "b.csv", b"k;v\r1;\"m\rn\"\r2;c\r")
