@@ -1183,6 +1183,10 @@ def q_odd_headers_ingest(spark, sf):
     return u.select("codigo", F.col("`valor.total`").alias("valor_total"), F.col("nome").alias("nome"), repeated.alias("repetida"), "arquivo_origem", "grupo_mescla")
 
 
+#: Bytes of text of ``documents`` that go into one landed file, twice.
+_LATE_BYTES = 32 << 20
+
+
 @register(
     "csv_late_quotes",
     "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text FROM documents UNION ALL "
@@ -1198,7 +1202,8 @@ def q_csv_late_quotes(spark, sf):
     d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     flat = d.select(F.concat(F.lit("a"), "doc_id").alias("doc_id"), F.replace("text", F.lit("\n"), F.lit(" ")).alias("text"))
     both = flat.withColumn("depois", F.lit(0)).union(d.withColumn("depois", F.lit(1)))
-    ordered = both.repartition(4, F.regexp_replace("doc_id", "^a", "")).sortWithinPartitions("depois").select("doc_id", "text")
+    held = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ordered = both.repartition(max(4, held // _LATE_BYTES), F.regexp_replace("doc_id", "^a", "")).sortWithinPartitions("depois").select("doc_id", "text")
     write_csv(ordered, f"{root}/csv", sep=";")
     return ingest(spark, root, scratch_path(spark, "ingest-late"), group="DOCUMENTOS").unified.select("doc_id", "text")
 

@@ -52,6 +52,8 @@ from fiscalflow.sources.tabular import dialect_classes, read_dialect_class
 
 MERGEABLE = {".csv", ".parquet", *WORKBOOKS}
 READABLE = {*MERGEABLE, ".zip"}
+#: Files of one scan whose names are sent to every task (about 300 bytes each: 30 MB).
+TAGS_SENT = 100_000
 
 
 class NothingReadError(ValueError):
@@ -115,6 +117,8 @@ def list_files(spark: SparkSession, folder: str, recursive: bool = True) -> list
 def tag_rows(df: DataFrame, members: Sequence[dict], spark: SparkSession, plain: Column) -> DataFrame:
     """Join rows to their file's origin and group; lineage columns the data already have are replaced."""
     tags = spark.createDataFrame([(norm_path(r["caminho_local"]), r["arquivo_origem"], r["grupo"]) for r in members], "__path string, __origin string, __group string")
+    if len(members) <= TAGS_SENT:  # no row moves; dealt by file, a large file's rows would go to one task
+        tags = F.broadcast(tags)
     own = [c for c in df.columns if c.lower() not in (ORIGIN, GROUP)]
     tagged = df.select(*[column(c) for c in own], plain.alias("__file")).join(tags, F.col("__file") == F.col("__path"))
     return tagged.select(*[column(c) for c in own], F.col("__origin").alias(ORIGIN), F.col("__group").alias(GROUP))

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from fiscalflow.plans.ingest import ingest, merge_from_manifest
+from fiscalflow.plans.ingest import ingest, merge_from_manifest, norm_path, plain_path, tag_rows
 from fiscalflow.sources import archives
 from fiscalflow.sources.manifest import MANIFEST_SCHEMA, read_manifest, write_manifest
 from tests.fixtures import corrupt_entry_zip, ods_bytes, write, xlsx_bytes, zip_bytes
@@ -141,3 +141,27 @@ def test_merge_from_manifest(spark, tmp_path):
     assert [r.arquivo for r in res.ignored.collect()] == ["dicionario.parquet"]
     with pytest.raises(ValueError):
         merge_from_manifest(spark, spark.createDataFrame([], MANIFEST_SCHEMA), str(tmp_path / "o2"))
+
+
+def test_rows_are_tagged_without_a_shuffle(spark, tmp_path):
+    """Dealt by file, all rows of a large file went to one task."""
+    spark.range(10).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    members = [{"caminho_local": norm_path(f), "arquivo_origem": "a.parquet", "grupo": "A"} for f in df.inputFiles()]
+    tagged = tag_rows(df, members, spark, plain_path(F.col("_metadata.file_path")))
+    assert "hashpartitioning" not in tagged._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.id, r.arquivo_origem, r.grupo_mescla) for r in tagged.collect()) == [(i, "a.parquet", "A") for i in range(10)]
+
+
+def test_late_quotes_land_in_more_files_as_the_table_grows(spark, tmp_path, monkeypatch):
+    from fiscalflow.plans import catalog
+    from fiscalflow.sources import sinks
+
+    rows = [(i, f"um {i}\n\"dois\"; {i}") for i in range(200)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    seen, write_csv = [], sinks.write_csv
+    monkeypatch.setattr(sinks, "write_csv", lambda df, *a, **k: seen.append(df.rdd.getNumPartitions()) or write_csv(df, *a, **k))
+    monkeypatch.setattr(catalog, "_LATE_BYTES", 500)
+    got = {(r.doc_id, r.text) for r in catalog.q_csv_late_quotes(spark, str(tmp_path)).collect()}
+    assert got == {(str(i), t) for i, t in rows} | {(f"a{i}", t.replace("\n", " ")) for i, t in rows}
+    assert seen[0] > 4
