@@ -311,18 +311,17 @@ def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         for b in batches:
-            n, of_ids, of_text, raw, texts = [], [], [], [], []
+            done, held, rows = 0, 0, []
             for ids in bpe.encode_batch(b["text"].cast(pa.string())):
-                n.append(len(ids))
-                of_ids.append(hashlib.sha256(bpe.decimal(ids).encode()).hexdigest())
                 text = bpe.decode(ids)
-                of_text.append(hashlib.sha256(text.encode()).hexdigest())
-                if content:
-                    raw.append(ids.tobytes())
-                    texts.append(text)
-            cols = [b["doc_id"], pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())]
-            yield pa.RecordBatch.from_arrays([*cols, *([binary_column(raw), pa.array(texts, pa.string())] if content else [])], [c.split()[0] for c in schema.split(", ")])
+                rows.append((len(ids), hashlib.sha256(bpe.decimal(ids).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest(), *([ids.tobytes(), text] if content else [])))
+                held += len(text)
+                if held >= SLICE or done + len(rows) == len(b):  # a few texts at a time: a batch may hold long ones
+                    made = [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), kinds, strict=False)]
+                    yield pa.RecordBatch.from_arrays([b["doc_id"].slice(done, len(rows)), *made], [c.split()[0] for c in schema.split(", ")])
+                    done, held, rows = done + len(rows), 0, []
         bpe.forget()
 
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.binary(), pa.string()]
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids binary, text string" if content else "")
     return text_rows(docs, id_col, text_col).mapInArrow(run, schema)

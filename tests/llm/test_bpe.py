@@ -105,3 +105,19 @@ def test_longest_matches_are_the_longest(codec):
         s = "".join(rng.choice(list(" theinatorsé'\n1"), rng.integers(0, 25))).encode().decode("latin-1")
         want = [max((r for r in (codec.rank.get(s[i:j]) for j in range(i + 1, len(s) + 1)) if r is not None), key=lambda r: len(codec.bytes_of[r])) for i in range(len(s))]
         assert codec.longest_matches(s) == want
+
+
+def test_rows_leave_a_few_at_a_time(spark, monkeypatch):
+    """Long texts and their ids are not held until the end of a batch, and rows keep their ids."""
+    import pyarrow as pa
+
+    class Rows:
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(bpe, "text_rows", lambda *a: Rows())
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    texts = [f"texto {i} " * 60_000 for i in range(9)]
+    out = list(bpe.encode_and_decode(docs, vocabulary(), content=True)(iter([pa.RecordBatch.from_pydict({"doc_id": list(range(9)), "text": [t.encode() for t in texts]})])))
+    assert len(out) > 1
+    assert [(i, t) for b in out for i, t in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True)] == list(enumerate(texts))
