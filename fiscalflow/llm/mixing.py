@@ -41,7 +41,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fiscalflow.llm.common import arrow_rows, materialize
 
@@ -236,20 +235,22 @@ def mix(docs: DataFrame, targets: dict[str, float] | None = None, labelled: Data
     spark = docs.sparkSession
     arrow_rows(spark)
     docs = docs.select(*(c for c in docs.columns if c.lower() != "mix"))
-    schema = T.StructType([*docs.schema.fields, T.StructField("mix", T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("domain", T.StringType()), T.StructField("domain_share", T.DoubleType()), T.StructField("rate", T.DoubleType()), T.StructField("copies", T.IntegerType())]))])
     model = fit_classifier(docs if labelled is None else labelled, id_col, text_col, domain_col)
     if model is None:
         words = F.size(F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), r"[\x20\x09-\x0D]+"), lambda x: x != "")).cast("long")
         return docs.withColumn("mix", F.struct(words.alias("n_tokens"), F.lit(None).cast("string").alias("domain"), F.lit(None).cast("double").alias("domain_share"), F.lit(1.0).alias("rate"), F.lit(1).alias("copies")))
     size, others = model.size, len(model.domains) - model.size
 
-    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [model.posterior(raw, tag) for raw, tag in zip(b["text"].to_pylist(), b["tag"].to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1].tobytes() for x in found], pa.binary()), pa.array(map(model.own, b["tag"].to_pylist()), pa.int32())], ["n_tokens", "posterior", "own"])
+    @F.arrow_udf("n_tokens long, posterior binary, own int")
+    def judged(texts: pa.Array, tags: pa.Array) -> pa.Array:
+        of = tags.to_pylist()
+        found = [model.posterior(raw, tag) for raw, tag in zip(texts.to_pylist(), of, strict=True)]
+        return pa.StructArray.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1].tobytes() for x in found], pa.binary()), pa.array(map(model.own, of), pa.int32())], ["n_tokens", "posterior", "own"])
 
-    texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"), F.col(domain_col).cast("string").alias("tag"))
-    posteriors = materialize(texts.mapInArrow(judged, "n_tokens long, posterior binary, own int"), spark, "mix-posteriors")
+    # Written with the rows, so that no text is judged twice.
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
+    rows = materialize(docs.withColumn("mix", judged(text, F.col(domain_col).cast("string"))), spark, "mix-posteriors")
+    posteriors = rows.select("mix.n_tokens", "mix.posterior", "mix.own")
     unknown = sorted(d for d, w in (targets or {}).items() if w > 0 and d not in model.domains)
     if unknown:
         raise ValueError(f"no labelled row of the target domains {unknown}")
@@ -260,23 +261,21 @@ def mix(docs: DataFrame, targets: dict[str, float] | None = None, labelled: Data
     if fit.missed:
         warnings.warn(f"mixing: after {fit.residuals.shape[1]} steps {len(fit.missed)} of {len(model.domains)} domains are further than {NEAR:.0%} from their targets: {[model.domains[k] for k in fit.missed[:20]]}", stacklevel=2)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts, tags = b.column(text_col).to_pylist(), b.column(domain_col).to_pylist()
-            tags = [None if d is None else str(d) for d in tags]
-            found = [model.posterior((t or "").encode("utf-8", "replace"), d) for t, d in zip(texts, tags, strict=True)]
-            p = np.array([x[1] for x in found], np.float32).reshape(-1, size + (others > 0))
-            own = np.fromiter(map(model.own, tags), np.int64, len(tags))
-            rates = fit.rates(p, own if others else None)[0]
-            spot = np.array([xxhash.xxh64_intdigest(str(i), seed=7) / 2**64 for i in b.column(id_col).to_pylist()])
-            best = p.argmax(1) if len(p) else np.empty(0, np.int64)
-            out = pa.StructArray.from_arrays(
-                [pa.array([x[0] for x in found], pa.int64()), pa.array([model.domains[k + max(0, o) if k == size else k] for k, o in zip(best, own, strict=True)], pa.string()), pa.array(p.max(1).astype(np.float64) if len(p) else [], pa.float64()), pa.array(rates, pa.float64()), pa.array(np.floor(rates + spot).astype(np.int32), pa.int32())],
-                ["n_tokens", "domain", "domain_share", "rate", "copies"],
-            )
-            yield pa.RecordBatch.from_arrays([*b.columns, out], [*b.schema.names, "mix"])
-
-    return docs.mapInArrow(run, schema)
+    @F.arrow_udf("n_tokens long, domain string, domain_share double, rate double, copies int")
+    def rated(judged: pa.Array, ids: pa.Array) -> pa.Array:
+        n_tokens, posterior, own = judged.flatten()
+        p = np.frombuffer(b"".join(posterior.to_pylist()), np.float32).reshape(-1, size + (others > 0))
+        own = own.to_numpy(zero_copy_only=False)
+        rates = fit.rates(p, own if others else None)[0]
+        spot = np.array([xxhash.xxh64_intdigest(str(i), seed=7) / 2**64 for i in ids.to_pylist()])
+        best = p.argmax(1) if len(p) else np.empty(0, np.int64)
+        return pa.StructArray.from_arrays(
+            [n_tokens, pa.array([model.domains[k + max(0, o) if k == size else k] for k, o in zip(best, own, strict=True)], pa.string()), pa.array(p.max(1).astype(np.float64) if len(p) else [], pa.float64()), pa.array(rates, pa.float64()), pa.array(np.floor(rates + spot).astype(np.int32), pa.int32())],
+            ["n_tokens", "domain", "domain_share", "rate", "copies"],
+        )
+
+    # Not deterministic to the planner: a filter on its result must not call it once more.
+    return rows.withColumn("mix", rated.asNondeterministic()("mix", id_col))
 
 
 def draw(mixed: DataFrame) -> DataFrame:

@@ -127,3 +127,9 @@ def test_odd_rows(odd, empty):
     assert {(r.rate, r.copies) for r in untagged} == {(1.0, 1)}
     with pytest.raises(ValueError):
         M.mix(odd, {"nowhere": 1.0})
+
+
+def test_texts_are_judged_once(spark):
+    docs = spark.createDataFrame([(i, "uma palavra " * (i % 5), "ab"[i % 2]) for i in range(20)], "doc_id long, text string, source string")
+    plan = M.mix(docs).select("doc_id", "mix.*")._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in plan.split("ReadSchema")[1]
