@@ -183,3 +183,54 @@ def test_halves_never_share_less(seed, n, edit, kinds):
     b = np.unique(np.concatenate([a[rng.random(len(a)) >= edit], draw(int(edit * n))]))
     half = lambda x: np.sort((x >> np.uint64(32)).astype(np.uint32))
     assert J._shared(half(a), half(b)) >= len(np.intersect1d(a, b))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(0, 10_000), st.integers(1, 700), st.floats(0, 1), st.floats(0, 1), st.sampled_from([50, 80, 95]))
+def test_parities_never_tell_more_than_the_difference(seed, n, edit, cut, percent):
+    rng = np.random.default_rng(seed)
+    a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+    b = np.unique(np.concatenate([a[rng.random(len(a)) >= edit][: 1 + int(cut * n)], rng.integers(0, 2**64, 1 + int(edit * n / 2), dtype=np.uint64)]))
+    both = len(np.intersect1d(a, b))
+    apart = J.least_apart(J.parities(a), J.parities(b))
+    assert apart == J.least_apart(J.parities(b), J.parities(a)) <= len(a) + len(b) - 2 * both
+    if 100 * both >= percent * (len(a) + len(b) - both):
+        assert apart <= J.most_apart(len(a), len(b), percent)
+
+
+def test_blocks_keep_every_set_that_may_be_similar():
+    import pandas as pd
+
+    rng = np.random.default_rng(8)
+    base = np.unique(rng.integers(0, 2**64, 260, dtype=np.uint64))
+    sets = [np.unique(np.concatenate([base[: int(k)], rng.integers(0, 2**64, int(extra), dtype=np.uint64)])) for k, extra in zip(rng.integers(1, 260, 120), rng.integers(0, 30, 120), strict=True)]
+    table = pd.DataFrame({"f": 0, "k": 0, "s": 0, "doc": range(120), "comp": np.arange(120) // 2, "n": [len(s) for s in sets], "parities": [J.parities(s).tobytes() for s in sets]})
+    queries = table.iloc[::3]
+    out = J._possible(80)(queries, table)
+    want = {0: set(), 1: set()}
+    for q in queries["doc"]:
+        for m in range(120):
+            both = len(np.intersect1d(sets[q], sets[m]))
+            if q // 2 != m // 2 and 100 * both >= 80 * (len(sets[q]) + len(sets[m]) - both):
+                want[0].add(q)
+                want[1].add(m)
+    got = {k: set(out.loc[out["kind"] == k, "doc"]) for k in (0, 1)}
+    assert want[0] and want[0] <= got[0] and want[1] <= got[1] < set(range(120))
+
+
+def test_pairs_that_share_a_gram_by_chance_fetch_no_set(spark, monkeypatch):
+    """Texts that share one phrase with another, as random texts of a large corpus do, end at their parities."""
+    written = {}
+
+    def recorded(df, session, label, write=J.materialize):
+        out = write(df, session, label)
+        written[label] = written.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(J, "materialize", recorded)
+    text = lambda i: " ".join([*(f"p{i // 2}y{k}" for k in range(20)), *(f"w{i}x{k}" for k in range(90))])
+    rows = [(i, text(i)) for i in range(400)] + [(1000, text(7) + " z")]
+    got = result(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert got == sorted([(i, 106, i) for i in range(400)] + [(1000, 107, 7)])
+    assert written["join-sets"] > 200  # in lists
+    assert written["join-whole"] + written["join-halves"] <= 12
