@@ -40,10 +40,10 @@ from fiscalflow.llm.id_heap import IdHeap
 
 #: The word pattern of byte-level BPE vocabularies of this family (a fixed value, as published with them).
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Distinct pieces that a task remembers at most (about 150 bytes each); half as many words, a quarter as many token pairs.
+#: Distinct pieces that a task remembers at most (about 150 bytes each); half as many words of longer pieces, a quarter as many token pairs.
 CACHE = 300_000
 #: Documents in an Arrow batch, bytes of text encoded at a time, about.
-BATCH, SLICE = 512, 2 << 20
+BATCH, SLICE = 512, 1 << 19
 
 #: Marks a piece that has no space before it; texts that hold it are split at spaces only.
 INNER = "\x01"
@@ -199,10 +199,13 @@ class Bpe:
             if part in self.special:
                 found.append(_PACK[1](self.special[part]))
                 continue
-            for word in self.words.findall(part):
+            words = self.words.findall(part)
+            for word in words:
                 if (known := self.word_ids.get(word)) is None:
                     ranks = self.encode_word(word.encode("utf-8", "surrogatepass"))
-                    known = self.word_ids[word] = _pack([self.id_of[r] for r in ranks])
+                    known = _pack([self.id_of[r] for r in ranks])
+                    if len(words) > 1:  # else the heap of pieces remembers it
+                        self.word_ids[word] = known
                 found.append(known)
         return found[0] if len(found) == 1 else b"".join(found)
 
@@ -273,7 +276,9 @@ class Bpe:
 @lru_cache(2)
 def load(path: str) -> Bpe:
     """One codec per worker and vocabulary."""
-    return Bpe(path)
+    bpe = Bpe(path)
+    released()
+    return bpe
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -309,6 +314,7 @@ def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
     arrow_rows(docs.sparkSession, BATCH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        released()  # what other operators have left in this worker
         bpe = load(path)
         for b in batches:
             done, held, rows = 0, 0, []

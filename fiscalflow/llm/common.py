@@ -16,15 +16,19 @@ __all__ = ["BROADCAST_ROWS", "anti_join", "arrow_rows", "binary_column", "discar
 
 #: Arrow batches of at most this many documents bound a Python worker's memory (texts of 100 kB: 25 MB a batch).
 ARROW_ROWS = 256
+#: Rows that a task reads from Parquet at a time.
+READER_ROWS = 512
 #: A side of a join is broadcast when it has at most this many rows of one id (8 bytes each: 16 MB); else both sides are shuffled.
 BROADCAST_ROWS = 2_000_000
 
 
 def arrow_rows(spark: SparkSession, n: int = ARROW_ROWS) -> None:
-    """Bound the documents per Arrow batch; make sure that a shared checkpoint folder is known and that workers can import this package."""
+    """Bound the documents per Arrow batch, and per batch that the JVM reads from Parquet (4096 by default: several copies of 12 MB and more of
+    texts a task, for which an executor's heap grows and stays); make sure that a shared checkpoint folder is known and that workers can import this package."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(n))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READER_ROWS))
 
 
 def discard(*tables: DataFrame) -> None:

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fiscalflow.llm.common import anti_join, arrow_rows, materialize, semi_join, text_rows
+from fiscalflow.llm.common import anti_join, arrow_rows, materialize, released, semi_join, text_rows
 
 #: Characters that do not count when texts are compared.
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -105,6 +105,7 @@ def _pack(owner_bits: int):
                 "unary": [unary], "low": [low], "copies": [copies[lo:hi].tobytes()], "ids": [id_all[rows].tobytes()], "id_null": [id_null[rows].tobytes()],
                 "n_chars": [n_chars[rows].tobytes()], "digests": [sha[rows].tobytes()],
             })
+        released()
 
     return run
 

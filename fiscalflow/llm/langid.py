@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fiscalflow.llm.common import arrow_rows, held_out, text_rows
+from fiscalflow.llm.common import arrow_rows, held_out, released, text_rows
 
 #: n-grams kept per profile and per document.
 PROFILE = 400
@@ -96,7 +96,8 @@ def fit_profiles(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "t
     per_lang = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not per_lang:
         return {}
-    share = spark.createDataFrame([(k, min(1.0, sample_per_lang / n)) for k, n in per_lang.items()], "_lang string, _share double")
+    # As an Arrow table: rows of Python objects would start Python workers of another kind, beside those of the tasks.
+    share = spark.createDataFrame(pa.table({"_lang": pa.array(per_lang, pa.string()), "_share": pa.array([min(1.0, sample_per_lang / n) for n in per_lang.values()], pa.float64())}))
     spot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
     sample = rows.join(F.broadcast(share), F.col("lang") == F.col("_lang")).where(spot < F.col("_share")).select("text", "lang")
     counts = sample.mapInArrow(_emit_counts, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
@@ -162,6 +163,7 @@ def drop_rejected(docs: DataFrame, profiles: dict[str, list[int]], text_col: str
             texts = [t or "" for t in b.column(text_col).to_pylist()]
             keep = [ranker.predict(t)[0] != "und" if profiles else len(ngram_codes(t)) > 0 for t in texts]
             yield b.filter(pa.array(keep, pa.bool_()))
+        released()
 
     return docs.mapInArrow(run, docs.schema)
 

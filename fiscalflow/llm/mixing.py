@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fiscalflow.llm.common import arrow_rows, materialize
+from fiscalflow.llm.common import arrow_rows, materialize, released
 
 #: Labelled rows learned from per domain, about, picked by a hash of the id; domains with a word model at most.
 SAMPLE_PER_DOMAIN, DOMAINS = 500, 256
@@ -111,7 +111,8 @@ def fit_classifier(labelled: DataFrame, id_col: str = "doc_id", text_col: str =
     by_size = sorted(sizes, key=lambda d: (-sizes[d], d))
     first = sorted(by_size[:DOMAINS])
     domains = first + sorted(by_size[DOMAINS:])
-    share = spark.createDataFrame([(d, i, min(1.0, per_domain / sizes[d])) for i, d in enumerate(first)], "_domain string, _k int, _share double")
+    # As an Arrow table: rows of Python objects would start Python workers of another kind, beside those of the tasks.
+    share = spark.createDataFrame(pa.table({"_domain": pa.array(first, pa.string()), "_k": pa.array(range(len(first)), pa.int32()), "_share": pa.array([min(1.0, per_domain / sizes[d]) for d in first], pa.float64())}))
     spot = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / float(1 << 20)
     sample = rows.join(F.broadcast(share), F.col("domain") == F.col("_domain")).where(spot < F.col("_share")).select("text", F.col("_k").alias("k"))
 
@@ -189,6 +190,7 @@ def fit_rates(posteriors: DataFrame, size: int, target: np.ndarray | None = None
                 held[domains] += n.sum()
             on = np.flatnonzero(held)
             yield pa.RecordBatch.from_arrays([pa.array(on.astype(np.int32)), pa.array(held[on])], ["k", "x"])
+            released()
 
         out = np.zeros(domains + 1)
         for r in posteriors.mapInArrow(run, "k int, x double").groupBy("k").agg(F.sum("x").alias("x")).collect():

@@ -121,3 +121,13 @@ def test_rows_leave_a_few_at_a_time(spark, monkeypatch):
     out = list(bpe.encode_and_decode(docs, vocabulary(), content=True)(iter([pa.RecordBatch.from_pydict({"doc_id": list(range(9)), "text": [t.encode() for t in texts]})])))
     assert len(out) > 1
     assert [(i, t) for b in out for i, t in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True)] == list(enumerate(texts))
+
+
+def test_a_piece_of_one_word_is_remembered_once(codec):
+    """The heap of pieces has its ids; only words of longer pieces are kept beside it."""
+    codec.forget()
+    codec.encode("alpha beta gamma beta")
+    assert len(codec.heap_of_pieces.number) == 2 and not codec.word_ids
+    codec.encode("x it's\nbeta")
+    assert set(codec.word_ids) == {"'s", "\n", "beta"}
+    codec.forget()

@@ -71,3 +71,13 @@ def test_odd_rows_and_empty_table(spark, odd, empty):
         for _, stage in C.STAGES:
             docs = materialize(stage(spark, docs, SF_SMALL), spark, "test-pipeline")
         assert "ids_sha256" in docs.columns
+
+
+def test_models_start_no_other_python_workers(spark, odd, monkeypatch):
+    """Rows of Python objects would be made by workers of another kind, which stay beside those of the tasks."""
+    from fiscalflow.llm import langid
+
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", lambda *a, **b: pytest.fail("rows of Python objects"))
+    assert set(langid.fit_profiles(odd)) == {"en", "fr"}
+    assert mixing.fit_classifier(odd).domains == ["a", "b", "c"]
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 512
