@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from fiscalflow.llm import dac_tokens as D
+from fiscalflow.llm.id_heap import IdHeap
 from fiscalflow.llm.queries import vocabulary
 from fiscalflow.session import scratch_path
 
@@ -39,6 +40,36 @@ def test_cached_pieces_are_the_librarys_ids():
             assert np.frombuffer(raw, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_texts_with_odd_blanks_are_cut_like_others():
+    """Signs are pieces of their own there, too; a special token's string is not cut."""
+    cached = D.CachedTokenizer(vocabulary())
+    texts = ["", "one,  two.\n three\u00a0 four", "a<|endoftext|>b c", " \u00a0é,\u3000x", ""]
+    pieces, first = cached.pieces(pa.array(["left out", *texts, "left out"]).slice(1, len(texts)))
+    assert [pieces.to_pylist()[i:j] for i, j in zip(first[:-1], first[1:], strict=True)] == [
+        [], ["one", ", ", " two", ".\n", " three\u00a0", " four"], ["a<|endoftext|>b", " c"], [" \u00a0é,\u3000x"], [],
+    ]
+
+
+def test_pieces_of_several_batches_are_asked_once():
+    """A full heap forgets what was seen once, not what is in use."""
+    asked = []
+
+    def ask(pieces):
+        asked.extend(pieces)
+        return np.array([int(p) for p in pieces for _ in range(int(p) % 3)], "<u4"), np.array([int(p) % 3 for p in pieces])
+
+    heap = IdHeap(ask, 40)
+    for k in range(50):
+        pieces = [*range(10), *range(100 + 7 * k, 107 + 7 * k)]
+        ids, n = heap.gather(pa.array(map(str, pieces)))
+        assert ids.tolist() == [p for p in pieces for _ in range(p % 3)] and n.tolist() == [p % 3 for p in pieces]
+        assert len(heap.number) <= 40
+    assert all(asked.count(str(p)) == 1 for p in range(10))
+    for k in range(100):  # more pieces in use than half of what fits
+        heap.gather(pa.array([str(p % 35) for p in range(k, k + 30)]))
+        assert len(heap.number) <= 50
+
+
 def check(rows, got):
     library, start = Tokenizer.from_file(vocabulary()), 0
     for (doc, text), r in zip(rows, got, strict=True):
