@@ -38,17 +38,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fiscalflow.llm.common import arrow_rows, materialize, released
+from fiscalflow.llm.common import arrow_rows, discard, materialize, released
 
 #: Labelled rows learned from per domain, about, picked by a hash of the id; domains with a word model at most.
 SAMPLE_PER_DOMAIN, DOMAINS = 500, 256
 #: Hashed words of the model; words that a text's evidence is tempered to; trust in a tag.
 WORDS, EVIDENCE, TAG_TRUST = 1 << 14, 20.0, 0.9
 FLATTEN = 0.7
+#: Posteriors in an Arrow batch of a step (at most 257 numbers each).
+STEP_ROWS = 2048
 #: Tokens to draw, as a part of those there are, where the caller says nothing.
 TOTAL = 1.0
 #: Steps at most; the largest difference from a target share at which they stop; pull of rates towards 1.
@@ -57,9 +60,36 @@ STEPS, CLOSE, PULL = 40, 1e-4, 1e-3
 NEAR, MORE_STEPS, PULL_SHARE = 0.02, 100, 1 / 250
 
 
+#: A-Z in lower case; blanks (ASCII) as spaces.
+_PLAIN = np.arange(256, dtype=np.uint8)
+_PLAIN[65:91] += 32
+_PLAIN[9:14] = 32
+
+
+def text_codes(texts: pa.Array) -> list[np.ndarray]:
+    """The hashed words of each of an array of texts (bytes); each word is hashed once for all of them."""
+    texts = texts.cast(pa.binary())
+    offsets = np.frombuffer(texts.buffers()[1], "<i4")[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int32)
+    if offsets[0] == offsets[-1]:
+        return [np.empty(0, np.int64)] * len(texts)
+    raw = _PLAIN[np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]]
+    offsets = offsets - offsets[0]
+    blank = raw == 32
+    cut = np.zeros(len(raw) + 1, bool)
+    cut[1:-1] = blank[:-1] & ~blank[1:]
+    cut[offsets] = True
+    # Words with the blanks after them; a text that starts with blanks has them before its first word.
+    at = np.flatnonzero(cut)
+    coded = pa.Array.from_buffers(pa.string(), len(at) - 1, [None, pa.py_buffer(at.astype("<i4")), pa.py_buffer(raw)]).dictionary_encode()
+    words = pc.ascii_rtrim(coded.dictionary, characters=" ").cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+    codes = (np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) % np.uint64(WORDS)).astype(np.int64)[coded.indices.to_numpy()]
+    first = np.searchsorted(at, offsets).tolist()
+    head = np.append(blank, False)[offsets].tolist()
+    return [codes[i + b : j] if i < j else codes[:0] for i, j, b in zip(first[:-1], first[1:], head, strict=False)]
+
+
 def word_codes(raw: bytes) -> np.ndarray:
-    words = raw.lower().split()
-    return (np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) % np.uint64(WORDS)).astype(np.int64)
+    return text_codes(pa.array([raw], pa.binary()))[0]
 
 
 @dataclass
@@ -84,7 +114,11 @@ class Classifier:
 
     def posterior(self, raw: bytes, tag: str | None) -> tuple[int, np.ndarray]:
         """(words, posterior): of the domains with a word model, then, where there are others, of the text's own one."""
-        codes, size, k = word_codes(raw), self.size, len(self.domains)
+        return self.judge(word_codes(raw), tag)
+
+    def judge(self, codes: np.ndarray, tag: str | None) -> tuple[int, np.ndarray]:
+        """``posterior`` of a text's hashed words."""
+        size, k = self.size, len(self.domains)
         at = self._place.get(tag, -1)
         score = np.full(size + 1, -np.inf)
         score[:size] = np.log(self.prior[:size])
@@ -119,8 +153,8 @@ def fit_classifier(labelled: DataFrame, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for b in batches:
-            for raw, k in zip(b["text"].to_pylist(), b["k"].to_pylist(), strict=True):
-                total[k] = total.get(k, 0) + np.bincount(word_codes(raw), minlength=WORDS)
+            for codes, k in zip(text_codes(b["text"]), b["k"].to_pylist(), strict=True):
+                total[k] = total.get(k, 0) + np.bincount(codes, minlength=WORDS)
         for k, counts in total.items():
             on = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(on), k, np.int32)), pa.array(on.astype(np.int32)), pa.array(counts[on].astype(np.int64))], ["k", "word", "n"])
@@ -174,6 +208,7 @@ def fit_rates(posteriors: DataFrame, size: int, target: np.ndarray | None = None
     number, that of the domain whose place among them is in the column ``own`` (-1: none).
     """
     domains, width = size + others, size + (others > 0)
+    arrow_rows(posteriors.sparkSession, STEP_ROWS)
 
     def sums(fit: Fit) -> np.ndarray:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,20 +281,23 @@ def mix(docs: DataFrame, targets: dict[str, float] | None = None, labelled: Data
     @F.arrow_udf("n_tokens long, posterior binary, own int")
     def judged(texts: pa.Array, tags: pa.Array) -> pa.Array:
         of = tags.to_pylist()
-        found = [model.posterior(raw, tag) for raw, tag in zip(texts.to_pylist(), of, strict=True)]
+        found = [model.judge(codes, tag) for codes, tag in zip(text_codes(texts), of, strict=True)]
         return pa.StructArray.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1].tobytes() for x in found], pa.binary()), pa.array(map(model.own, of), pa.int32())], ["n_tokens", "posterior", "own"])
 
     # Written with the rows, so that no text is judged twice.
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = materialize(docs.withColumn("mix", judged(text, F.col(domain_col).cast("string"))), spark, "mix-posteriors")
-    posteriors = rows.select("mix.n_tokens", "mix.posterior", "mix.own")
     unknown = sorted(d for d, w in (targets or {}).items() if w > 0 and d not in model.domains)
     if unknown:
         raise ValueError(f"no labelled row of the target domains {unknown}")
     wanted = None if targets is None else np.array([max(0.0, targets.get(d, 0.0)) for d in model.domains])
     if wanted is not None and not wanted.sum():
         raise ValueError("no learned domain has a positive target")
+    # A table of their own: a step has as many tasks as it, not the texts, asks for.
+    posteriors = materialize(rows.select("mix.n_tokens", "mix.posterior", "mix.own"), spark, "mix-steps")
     fit = fit_rates(posteriors, size, wanted, total, others)
+    arrow_rows(spark)
+    discard(posteriors)
     if fit.missed:
         warnings.warn(f"mixing: after {fit.residuals.shape[1]} steps {len(fit.missed)} of {len(model.domains)} domains are further than {NEAR:.0%} from their targets: {[model.domains[k] for k in fit.missed[:20]]}", stacklevel=2)
 

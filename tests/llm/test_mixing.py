@@ -1,5 +1,9 @@
+from pathlib import Path
+
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from fiscalflow.llm import mixing as M
@@ -133,3 +137,21 @@ def test_texts_are_judged_once(spark):
     docs = spark.createDataFrame([(i, "uma palavra " * (i % 5), "ab"[i % 2]) for i in range(20)], "doc_id long, text string, source string")
     plan = M.mix(docs).select("doc_id", "mix.*")._jdf.queryExecution().executedPlan().toString()
     assert "text" not in plan.split("ReadSchema")[1]
+
+
+def test_words_of_many_texts_are_those_of_each():
+    texts = [None, b"", b" \t", b"A b\x0bB\x0c a", b"  \xc3\x89t\xc3\xa9 \xc3\xa9T ", b"\xff \x00\x1f\x85 Z\xa0z", "\u00a0x\u2003y".encode(), b"a", b"\r\n"]
+    for rows in (texts, texts[::-1], [b"", b" "], []):
+        got = M.text_codes(pa.array([b"left out", *rows, b"left out"], pa.binary()).slice(1, len(rows)))
+        assert [x.tolist() for x in got] == [[xxhash.xxh3_64_intdigest(w) % M.WORDS for w in (raw or b"").lower().split()] for raw in rows]
+
+
+def test_steps_read_a_narrow_table(spark, monkeypatch):
+    """No step has a task for each piece of the texts' table, whose rows are wide."""
+    docs = spark.createDataFrame([(i, "uma palavra " * (i % 5), "ab"[i % 2]) for i in range(20)], "doc_id long, text string, source string").repartition(4)
+    read = []
+    fit_rates = M.fit_rates
+    monkeypatch.setattr(M, "fit_rates", lambda posteriors, *more: read.extend(posteriors.inputFiles()) or fit_rates(posteriors, *more))
+    mixed = M.mix(docs)
+    assert read and not set(read) & set(mixed.inputFiles())
+    assert mixed.count() == 20 and not any(Path(f.removeprefix("file:")).exists() for f in read)
