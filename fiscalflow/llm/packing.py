@@ -27,6 +27,7 @@ row's place; an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import zlib
@@ -41,15 +42,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fiscalflow.llm.common import arrow_rows, discard, materialize, text_rows
+from fiscalflow.llm.common import arrow_rows, discard, materialize, released, text_rows
 from fiscalflow.llm.id_heap import IdHeap
 
 #: Tokens of a sequence; the id that ends a document.
 SEQUENCE, END = 4096, 1
-#: Distinct words that a worker remembers at most (about 150 bytes each).
-CACHE = 800_000
+#: Distinct words that a worker remembers at most (about 250 bytes each).
+CACHE = 400_000
 #: Bytes of text encoded at a time, documents in an Arrow batch, rows in a partition of the sort, about.
-SLICE, BATCH, PER_PART = 4 << 20, 1024, 250_000
+SLICE, BATCH, PER_PART = 2 << 20, 512, 250_000
 
 #: Letters and digits that stay letters and digits in lower case, and signs but for the apostrophe: texts are cut between them.
 LETTERS, SIGNS = "A-Za-z0-9À-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
@@ -123,6 +124,14 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def _put_away() -> None:
+    """Forget the words of encoding: the rounds run in the same workers, hundreds of short tasks during which the executor's heap grows."""
+    if _encoder.cache_info().currsize:
+        _encoder.cache_clear()
+        gc.collect()  # an encoder and its heap know each other
+        released()
+
+
 def encoded_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """(key, doc_id, piece, start, length, ids_crc32 [, ids]) of every row, written; ``key`` tells pieces apart."""
     spark = docs.sparkSession
@@ -143,6 +152,7 @@ def encoded_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
                 if with_ids:
                     cols.append(pa.array([np.frombuffer(r, "<i4") for r in raws], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(cols, [c.split()[0] for c in schema.split(", ")])
+        released()
 
     schema = _PIECES + (", ids array<int>" if with_ids else "")
     found = text_rows(docs, id_col, text_col).mapInArrow(run, schema)
@@ -151,6 +161,7 @@ def encoded_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
 
 def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Match pieces with the nearest free slots passed, in order of size; number the leftovers."""
+    _put_away()
     part = TaskContext.get().partitionId()
     slots: list[tuple[int, int]] = []
     waiting = 0
@@ -214,6 +225,7 @@ def _numbered(met: list[tuple[int, int, int, int, int]], pieces: bool):
         first += n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _put_away()
         for b in batches:
             parts, places = b["part"].to_numpy(), b["place"].to_numpy()
             number = np.full(len(b), -1, np.int64)

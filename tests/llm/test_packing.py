@@ -96,6 +96,26 @@ def test_heap_forgets_and_slices_do_not_matter(monkeypatch):
     assert found == [e.ids for e in library().encode_batch(texts, add_special_tokens=False)]
 
 
+def test_rounds_forget_the_words(spark):
+    """The workers that encoded run the rounds: an encoder kept there holds memory that the executor needs."""
+    import pyarrow as pa
+
+    def kept(step):
+        def run(batches):
+            P._encoder(PATH)
+            batches = list(batches)
+            for _ in step(iter(batches)):
+                pass
+            yield pa.RecordBatch.from_arrays([pa.array([P._encoder.cache_info().currsize])], ["kept"])
+
+        return run
+
+    units = spark.createDataFrame([(True, 7, 1, None)], "is_piece boolean, size int, name long, slot int").coalesce(1)
+    swept = spark.createDataFrame([(P.PIECE, 0, 0, 1, 7, None, None)], P._SWEPT).coalesce(1)
+    assert [r.kept for r in units.mapInArrow(kept(P._sweep), "kept long").collect()] == [0]
+    assert [r.kept for r in swept.mapInArrow(kept(P._numbered([], True)), "kept long").collect()] == [0]
+
+
 @pytest.mark.parametrize("sizes", [[1500] * 900, [2049] * 50 + [2047] * 50, [4096, 4095, 1, 1], list(range(1, 400)), [7] * 5000 + [4000] * 20, [1]])
 def test_places(spark, monkeypatch, sizes):
     monkeypatch.setattr(P, "PER_PART", 100)  # many partitions, so that leftovers meet across them
